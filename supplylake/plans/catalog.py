@@ -131,3 +131,102 @@ SELECT VendorNo, Brand, CAST(SUM(SalesDollars) AS DOUBLE) AS SalesDollars,
 FROM sales GROUP BY VendorNo, Brand"""))
 def _vendor_brand_sums(spark, sf_dir):
     return S.vendor_brand_sums(load_star(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ features
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..functions.semantics import round_ieee  # noqa: E402
+from ..operators import features as FE  # noqa: E402
+from ..operators import quality as DQ  # noqa: E402
+
+KEY7 = ["VendorNumber", "VendorName", "Brand", "Description", "PurchasePrice", "ActualPrice", "Volume"]
+FLOAT_NOISE = {"feat_vendor_avg_margin", "feat_log_sales", "feat_log_purchases",
+               "feat_log_profit", "feat_zscore_profit_margin"}
+
+
+def _summary(spark, sf_dir):
+    return S.vendor_summary(load_star(spark, sf_dir), ordered=False)
+
+
+def _feature_view(df, cols):
+    """Key columns + the layer's features; aggregate/transcendental outputs are
+    rounded to 6 places so the engines' last-ulp differences do not matter."""
+    return df.select(*KEY7, *[round_ieee(c, 6).alias(c) if c in FLOAT_NOISE else F.col(c)
+                              for c in cols])
+
+
+FEATURE_SETS = {
+    "feat_profit": (FE.profitability, ["feat_profit_per_unit", "feat_profit_tier",
+                                       "feat_net_profit_after_freight", "feat_is_profitable"], O.FEAT_PROFIT),
+    "feat_volume": (FE.volume, ["feat_volume_category", "feat_quantity_ratio",
+                                "feat_demand_velocity"], O.FEAT_VOLUME),
+    "feat_price": (FE.pricing, ["feat_price_gap", "feat_price_gap_pct",
+                                "feat_price_competitiveness", "feat_excise_burden"], O.FEAT_PRICE),
+    "feat_inventory": (FE.inventory, ["feat_sell_through_rate", "feat_overstock_flag",
+                                      "feat_revenue_per_purchase_dollar"], O.FEAT_INVENTORY),
+    "feat_vendor": (FE.vendor_aggregates, ["feat_vendor_brand_count", "feat_vendor_total_revenue",
+                                           "feat_vendor_avg_margin", "feat_vendor_revenue_share"], O.FEAT_VENDOR),
+    "feat_stats": (FE.statistical, ["feat_log_sales", "feat_log_purchases", "feat_log_profit",
+                                    "feat_zscore_profit_margin"], O.FEAT_STATS),
+    "feat_freq": (FE.categorical, ["feat_vendor_frequency"], O.FEAT_FREQ),
+}
+
+
+def _make_feature_query(layer, cols):
+    def build(spark, sf_dir):
+        return _feature_view(layer(_summary(spark, sf_dir)), cols)
+    return build
+
+
+for _name, (_layer, _cols, _sql) in FEATURE_SETS.items():
+    register(_name, O.features_sql(_sql))(_make_feature_query(_layer, _cols))
+
+ALL_FEATURES = [c for _, cols, _ in FEATURE_SETS.values() for c in cols]
+
+
+@register("features_all", O.features_sql(*[v[2] for v in FEATURE_SETS.values()]))
+def _features_all(spark, sf_dir):
+    return _feature_view(FE.build_features(_summary(spark, sf_dir)), ALL_FEATURES)
+
+
+@register("numeric_features")
+def _numeric_features(spark, sf_dir):
+    return FE.numeric_features(FE.build_features(_summary(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ data quality
+
+@register("dq_nulls", O.dq_nulls_sql())
+def _dq_nulls(spark, sf_dir):
+    return DQ.null_profile(_summary(spark, sf_dir))
+
+
+@register("null_profile", O.dq_nulls_sql())
+def _null_profile(spark, sf_dir):
+    return DQ.null_profile(_summary(spark, sf_dir))
+
+
+@register("dq_ranges", O.dq_ranges_sql())
+def _dq_ranges(spark, sf_dir):
+    return DQ.range_frame(_summary(spark, sf_dir), DQ.VALIDATION_PROFILES["vendor_summary"])
+
+
+@register("dq_outliers", O.dq_outliers_sql())
+def _dq_outliers(spark, sf_dir):
+    return DQ.outlier_frame(_summary(spark, sf_dir), DQ.VALIDATION_PROFILES["vendor_summary"])
+
+
+@register("dq_report", O.dq_report_sql())
+def _dq_report(spark, sf_dir):
+    v = DQ.DataQualityValidator()
+    return v.check_frame(spark, _summary(spark, sf_dir)).select("check", "passed")
+
+
+@register("dup_count", O.q(O.SUMMARY_CLEAN, """
+SELECT count(*) AS rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM purchases) d) AS distinct_rows,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM purchases) d) AS duplicate_rows
+FROM purchases"""))
+def _dup_count(spark, sf_dir):
+    return DQ.duplicate_frame(load_star(spark, sf_dir).purchases)
