@@ -230,3 +230,336 @@ SELECT count(*) AS rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM purchases
 FROM purchases"""))
 def _dup_count(spark, sf_dir):
     return DQ.duplicate_frame(load_star(spark, sf_dir).purchases)
+
+
+# ------------------------------------------------------------------ imputation / notebook table
+
+from ..operators import explore as EX  # noqa: E402
+from ..operators import impute as IM  # noqa: E402
+
+EDA_KEY = ["VendorNumber", "VendorName", "Brand", "Description", "PurchasePrice"]
+MEDIAN_NOISE = {"AvgSalesPrice", "AvgSalesPrice_imputed", "BrandSalesPriceMedian", "BrandMarkup",
+                "Volume", "BrandVolumeMedian"}
+
+
+def _r6(df, cols=None):
+    """Round columns fed by interpolated medians or float aggregates to 6
+    places (engines interpolate with different but equivalent formulas)."""
+    cols = MEDIAN_NOISE if cols is None else set(cols)
+    return df.select(*[round_ieee(c, 6).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def _r6sql(cols, names=None):
+    names = names or cols
+    return ", ".join(O.rnd(c, 6) + f" AS {n}" if n in MEDIAN_NOISE else f"{c} AS {n}"
+                     for c, n in zip(cols, names))
+
+
+def _eda(spark, sf_dir):
+    return S.eda_summary(load_star(spark, sf_dir), ordered=False)
+
+
+def _eda_clean(spark, sf_dir):
+    return IM.eda_clean(_eda(spark, sf_dir))
+
+
+def _df_clean(spark, sf_dir):
+    return EX.iqr_filter(_eda_clean(spark, sf_dir))
+
+
+@register("impute_all", O.q(O.NOTEBOOK, f"SELECT {', '.join(EDA_KEY)}, ReferencePurchasePrice, Volume FROM prep"))
+def _impute_all(spark, sf_dir):
+    return IM.prepare(_eda(spark, sf_dir)).select(*EDA_KEY, "ReferencePurchasePrice", "Volume")
+
+
+@register("brand_medians", O.q(O.NOTEBOOK, "SELECT bkey AS Brand, " + _r6sql(
+    ["BrandVolumeMedian", "BrandSalesPriceMedian"]) + " FROM bmed"))
+def _brand_medians(spark, sf_dir):
+    return _r6(IM.brand_medians(IM.prepare(_eda(spark, sf_dir))))
+
+
+@register("brand_markup", O.q(O.NOTEBOOK, "SELECT Brand, " + O.rnd("median(ImpliedMarkup)", 6)
+                              + " AS BrandMarkup FROM vm WHERE Brand IS NOT NULL GROUP BY Brand"))
+def _brand_markup(spark, sf_dir):
+    return _r6(IM.brand_markup(IM.prepare(_eda(spark, sf_dir))))
+
+
+@register("impute_volume", O.q(O.NOTEBOOK, f"SELECT {', '.join(EDA_KEY)}, "
+                               + O.rnd("COALESCE(Volume, 750.0)", 6) + " AS Volume FROM imp"))
+def _impute_volume(spark, sf_dir):
+    df = IM.impute(IM.prepare(_eda(spark, sf_dir)))
+    return _r6(df.select(*EDA_KEY, F.coalesce("Volume", F.lit(IM.DEFAULT_VOLUME)).alias("Volume")))
+
+
+@register("impute_price", O.q(O.NOTEBOOK, f"SELECT {', '.join(EDA_KEY)}, "
+                              + _r6sql(["AvgSalesPrice_imputed"]) + " FROM imp"))
+def _impute_price(spark, sf_dir):
+    return _r6(IM.impute(IM.prepare(_eda(spark, sf_dir))).select(*EDA_KEY, "AvgSalesPrice_imputed"))
+
+
+@register("eda_clean", O.q(O.NOTEBOOK, "SELECT " + _r6sql(O.EDA_CLEAN_COLS) + " FROM eda_clean"))
+def _eda_clean_q(spark, sf_dir):
+    return _r6(_eda_clean(spark, sf_dir))
+
+
+def _typed_sql():
+    parts = []
+    for c in O.EDA_CLEAN_COLS:
+        t = IM.TYPED_SINK[c]
+        if t.startswith("DECIMAL"):
+            scale = int(t.split(",")[1].rstrip(")"))
+            parts.append(f"CAST({O.rnd(c, scale)} AS {t}) AS {c}")
+        elif t == "INT":
+            parts.append(f"CAST({c} AS INTEGER) AS {c}")
+        else:
+            parts.append(c)
+    return O.q(O.NOTEBOOK, "SELECT " + ", ".join(parts) + " FROM eda_clean")
+
+
+@register("typed_sink", _typed_sql())
+def _typed_sink(spark, sf_dir):
+    from ..sinks.tables import write_replace
+    out = IM.typed(_eda_clean(spark, sf_dir))
+    return write_replace(out, "vendor_sales_summary_typed")
+
+
+# ------------------------------------------------------------------ explore
+
+@register("distinct_counts", O.q(O.BRAND, """
+SELECT COUNT(DISTINCT VendorNumber) AS vendors, COUNT(DISTINCT Brand) AS brands, COUNT(*) AS rows
+FROM brand_summary"""))
+def _distinct_counts(spark, sf_dir):
+    return EX.distinct_counts(S.brand_summary(load_star(spark, sf_dir), ordered=False))
+
+
+@register("distinct_vendors", O.q(O.EDA, "SELECT DISTINCT VendorName FROM eda_summary"))
+def _distinct_vendors(spark, sf_dir):
+    return EX.distinct_values(_eda(spark, sf_dir), "VendorName")
+
+
+@register("min_check", O.q(O.CLEANED, """
+SELECT 'TotalPurchaseQuantity' AS "column", min(TotalPurchaseQuantity) AS min, max(TotalPurchaseQuantity) AS max FROM df_clean
+UNION ALL SELECT 'TotalSalesQuantity', min(TotalSalesQuantity), max(TotalSalesQuantity) FROM df_clean"""))
+def _min_check(spark, sf_dir):
+    return EX.min_check(_df_clean(spark, sf_dir), ["TotalPurchaseQuantity", "TotalSalesQuantity"])
+
+
+def _iqr_sql():
+    parts = [f"""SELECT '{c}' AS "column", {O.rnd(f'quantile_cont({c}, 0.25)', 6)} AS q1,
+       {O.rnd(f'quantile_cont({c}, 0.75)', 6)} AS q3 FROM eda_clean""" for c in O.IQR_COLS]
+    body = "\nUNION ALL\n".join(parts)
+    return O.q(O.NOTEBOOK + [("qq", body)], """
+SELECT "column", q1, q3, q3 - q1 AS iqr, q1 - 3.0 * (q3 - q1) AS lower, q3 + 3.0 * (q3 - q1) AS upper FROM qq""")
+
+
+@register("iqr_bounds", _iqr_sql())
+def _iqr_bounds(spark, sf_dir):
+    b = EX.iqr_bounds(_eda_clean(spark, sf_dir), EX.IQR_COLUMNS)
+    b = b.withColumns({"q1": round_ieee("q1", 6), "q3": round_ieee("q3", 6)})
+    iqr = F.col("q3") - F.col("q1")
+    return b.withColumns({"iqr": iqr, "lower": F.col("q1") - 3.0 * iqr, "upper": F.col("q3") + 3.0 * iqr})
+
+
+@register("iqr_filter", O.q(O.CLEANED, "SELECT " + _r6sql(O.EDA_CLEAN_COLS) + " FROM df_clean"))
+def _iqr_filter(spark, sf_dir):
+    return _r6(_df_clean(spark, sf_dir))
+
+
+@register("outlier_stats", O.q(O.CLEANED, """
+SELECT (SELECT count(*) FROM eda_clean) AS original_rows, (SELECT count(*) FROM df_clean) AS remaining_rows,
+       (SELECT count(*) FROM eda_clean) - (SELECT count(*) FROM df_clean) AS removed_rows,
+       (1.0 - (SELECT count(*) FROM df_clean) / (SELECT count(*) FROM eda_clean)) * 100 AS removed_pct"""))
+def _outlier_stats(spark, sf_dir):
+    base = EX.materialize(_eda_clean(spark, sf_dir))
+    return EX.outlier_stats(base, EX.iqr_filter(base))
+
+
+@register("clip_ratios", O.q(O.NOTEBOOK, f"""
+SELECT {', '.join(EDA_KEY)}, {O.clip_sql('ProfitMargin', -50, 150)} AS ProfitMargin,
+       {O.clip_sql('GrossMarginPct', -50, 150)} AS GrossMarginPct,
+       {O.clip_sql('SellThroughRatio', 0, 5)} AS SellThroughRatio FROM eda_clean"""))
+def _clip_ratios(spark, sf_dir):
+    from ..functions.semantics import clip_keep_null
+    df = _eda_clean(spark, sf_dir)
+    return df.select(*EDA_KEY, *[clip_keep_null(c, lo, hi).alias(c) for c, (lo, hi) in EX.RATIO_CAPS.items()])
+
+
+LOGS = [f"{c}_log" for c in EX.PRICE_COLUMNS]
+
+
+@register("log_prices", O.q(O.CLEANED, f"SELECT {', '.join(EDA_KEY[:-1])}, PurchasePrice AS PP, "
+                            + ", ".join(f"{O.rnd(f'(CASE WHEN {c} >= -1 THEN ln(1 + {c}) END)', 6)} AS {c}_log"
+                                        for c in EX.PRICE_COLUMNS) + " FROM df_clean"))
+def _log_prices(spark, sf_dir):
+    df = EX.log_prices(_df_clean(spark, sf_dir))
+    return df.select(*EDA_KEY[:-1], F.col("PurchasePrice").alias("PP"), *[round_ieee(c, 6).alias(c) for c in LOGS])
+
+
+def _vol_cat_sql(x):
+    return O.vol_sql(x, EX.NOTEBOOK_VOLUME_EDGES, EX.NOTEBOOK_VOLUME_LABELS)
+
+
+@register("volume_categories", O.q(O.CLEANED, f"SELECT {', '.join(EDA_KEY)}, {_vol_cat_sql('Volume')} AS VolumeCategory FROM df_clean"))
+def _volume_categories(spark, sf_dir):
+    return EX.volume_categories(_df_clean(spark, sf_dir)).select(*EDA_KEY, "VolumeCategory")
+
+
+@register("profit_tiers", O.q(O.CLEANED, f"SELECT {', '.join(EDA_KEY)}, GrossProfit, "
+                              f"{O.cut_sql('GrossProfit', EX.MARGIN_TIER_EDGES, EX.MARGIN_TIER_LABELS)} AS MarginTier FROM df_clean"))
+def _profit_tiers(spark, sf_dir):
+    return EX.profit_tiers(_df_clean(spark, sf_dir)).select(*EDA_KEY, "GrossProfit", "MarginTier")
+
+
+def _tiers_sql():
+    labels = ", ".join(f"({i}, '{lab}')" for i, lab in enumerate(EX.MARGIN_TIER_LABELS))
+    cut = O.cut_sql("GrossProfit", EX.MARGIN_TIER_EDGES, EX.MARGIN_TIER_LABELS)
+    return O.q(O.CLEANED + [
+        ("tiers", f"SELECT * FROM (VALUES {labels}) t(tier_order, MarginTier)"),
+        ("tg", f"""SELECT {cut} AS MarginTier, count(Brand) AS Brand, avg(PurchasePrice) AS PurchasePrice,
+                   median(Volume) AS Volume, avg(ProfitMargin) AS ProfitMargin, avg(StockTurnover) AS StockTurnover
+                   FROM df_clean GROUP BY 1""")], f"""
+SELECT t.tier_order, t.MarginTier, COALESCE(g.Brand, 0) AS Brand,
+       {O.rnd('g.PurchasePrice', 2)} AS PurchasePrice, {O.rnd('g.Volume', 2)} AS Volume,
+       {O.rnd('g.ProfitMargin', 2)} AS ProfitMargin, {O.rnd('g.StockTurnover', 2)} AS StockTurnover
+FROM tiers t LEFT JOIN tg g ON t.MarginTier = g.MarginTier""")
+
+
+@register("margin_tiers", _tiers_sql())
+def _margin_tiers(spark, sf_dir):
+    return EX.margin_tiers(_df_clean(spark, sf_dir))
+
+
+def _numeric_eda_cols():
+    return ["VendorNumber", "Brand"] + O.EDA_NUM
+
+
+def _describe_sql():
+    parts = []
+    for c in _numeric_eda_cols():
+        parts.append(f"""SELECT '{c}' AS "column", count({c}) AS count, {O.rnd(f'avg({c})', 6)} AS mean,
+  {O.rnd(f'stddev_samp({c})', 6)} AS std, CAST(min({c}) AS DOUBLE) AS min,
+  {O.rnd(f'quantile_cont({c}, 0.25)', 6)} AS q25, {O.rnd(f'quantile_cont({c}, 0.5)', 6)} AS q50,
+  {O.rnd(f'quantile_cont({c}, 0.75)', 6)} AS q75, CAST(max({c}) AS DOUBLE) AS max FROM eda_clean""")
+    return O.q(O.NOTEBOOK, "\nUNION ALL\n".join(parts))
+
+
+@register("describe_numeric", _describe_sql())
+def _describe_numeric(spark, sf_dir):
+    d = EX.describe(_eda_clean(spark, sf_dir))
+    return _r6(d, ["mean", "std", "q25", "q50", "q75"])
+
+
+def _hist_sql(bins=30):
+    cols = _numeric_eda_cols()
+    unp = "\nUNION ALL\n".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM eda_clean WHERE {c} IS NOT NULL" for c in cols)
+    return O.q(O.NOTEBOOK + [("lng", unp), ("mm", 'SELECT "column", min(value) AS lo, max(value) AS hi FROM lng GROUP BY 1'),
+                             ("bb", f"""SELECT l."column", lo, hi, CAST(CASE WHEN hi - lo = 0 THEN 1 ELSE
+                               least(floor((value - lo) / (hi - lo) * {float(bins)}) + 1, {bins}) END AS INTEGER) AS bin
+                               FROM lng l JOIN mm m ON l."column" = m."column" """)], f"""
+SELECT "column", bin, lo + (bin - 1) * (hi - lo) / {bins} AS bin_start, count(*) AS count
+FROM bb GROUP BY "column", lo, hi, bin""")
+
+
+@register("histogram", _hist_sql())
+def _histogram(spark, sf_dir):
+    return EX.histogram(_eda_clean(spark, sf_dir), _numeric_eda_cols())
+
+
+def _box_sql():
+    cols = _numeric_eda_cols()
+    unp = "\nUNION ALL\n".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM eda_clean WHERE {c} IS NOT NULL" for c in cols)
+    return O.q(O.NOTEBOOK + [
+        ("lng", unp),
+        ("qs", 'SELECT "column", quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median, '
+               'quantile_cont(value, 0.75) AS q3 FROM lng GROUP BY 1'),
+        ("fz", "SELECT *, q1 - 1.5 * (q3 - q1) AS lof, q3 + 1.5 * (q3 - q1) AS hif FROM qs")], f"""
+SELECT f."column", {O.rnd('f.q1', 6)} AS q1, {O.rnd('f.median', 6)} AS median, {O.rnd('f.q3', 6)} AS q3,
+       min(CASE WHEN value >= lof AND value <= hif THEN value END) AS whisker_low,
+       max(CASE WHEN value >= lof AND value <= hif THEN value END) AS whisker_high,
+       count_if(NOT (value >= lof AND value <= hif)) AS fliers
+FROM lng l JOIN fz f ON l."column" = f."column"
+GROUP BY f."column", f.q1, f.median, f.q3""")
+
+
+@register("box_stats", _box_sql())
+def _box_stats(spark, sf_dir):
+    return _r6(EX.box_stats(_eda_clean(spark, sf_dir), _numeric_eda_cols()), ["q1", "median", "q3"])
+
+
+def _corr_sql(cols, base, ctes, pairs_only=False):
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    def r(a, b):
+        both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+        x, y = f"CASE WHEN {both} THEN {a} END", f"CASE WHEN {both} THEN {b} END"
+        return O.rnd(f"(covar_samp({x}, {y}) / NULLIF(stddev_samp({x}) * stddev_samp({y}), 0))", 6)
+    upper = "\nUNION ALL\n".join(f"SELECT '{a}' AS col_a, '{b}' AS col_b, {r(a, b)} AS corr FROM {base}" for a, b in pairs)
+    final = "SELECT * FROM up UNION ALL SELECT col_b, col_a, corr FROM up WHERE col_a <> col_b"
+    if pairs_only:
+        final = f"SELECT * FROM ({final}) m WHERE corr > 0.95 AND corr < 1.0 AND col_a <> col_b"
+    return O.q(ctes + [("up", upper)], final)
+
+
+CORR_COLS = ["VendorNumber", "Brand"] + O.EDA_NUM + LOGS
+
+
+def _df_logs(spark, sf_dir):
+    return EX.log_prices(_df_clean(spark, sf_dir))
+
+
+LOG_CTE = ("dl", "SELECT *, " + ", ".join(f"(CASE WHEN {c} >= -1 THEN ln(1 + {c}) END) AS {c}_log"
+                                          for c in EX.PRICE_COLUMNS) + " FROM df_clean")
+
+
+@register("corr_matrix", _corr_sql(CORR_COLS, "dl", O.CLEANED + [LOG_CTE]))
+def _corr_matrix(spark, sf_dir):
+    return _r6(EX.corr_matrix(_df_logs(spark, sf_dir), CORR_COLS), ["corr"])
+
+
+@register("corr_pairs", _corr_sql(EX.PRICE_COLUMNS, "df_clean", O.CLEANED, pairs_only=True))
+def _corr_pairs(spark, sf_dir):
+    m = _r6(EX.corr_matrix(_df_clean(spark, sf_dir), EX.PRICE_COLUMNS), ["corr"])
+    return EX.corr_pairs(m)
+
+
+@register("top_categories", O.q(O.NOTEBOOK, """
+SELECT * FROM (SELECT 'VendorName' AS "column", VendorName AS value, count(*) AS count FROM eda_clean
+               WHERE VendorName IS NOT NULL GROUP BY VendorName ORDER BY count DESC, value LIMIT 10)
+UNION ALL
+SELECT * FROM (SELECT 'Description', Description, count(*) AS count FROM eda_clean
+               WHERE Description IS NOT NULL GROUP BY Description ORDER BY count DESC, Description LIMIT 10)"""))
+def _top_categories(spark, sf_dir):
+    return EX.top_categories(_eda_clean(spark, sf_dir))
+
+
+@register("round_number_pct", O.q(O.CLEANED, """
+SELECT 'TotalPurchaseDollars' AS "column", count_if(TotalPurchaseDollars % 1 = 0) / count(*) * 100 AS round_pct FROM df_clean
+UNION ALL SELECT 'TotalSalesDollars', count_if(TotalSalesDollars % 1 = 0) / count(*) * 100 FROM df_clean"""))
+def _round_number_pct(spark, sf_dir):
+    return EX.round_number_pct(_df_clean(spark, sf_dir))
+
+
+def _normality_sql():
+    parts = []
+    for c in EX.NORMALITY_COLUMNS:
+        m = f"(SELECT avg({c}) FROM df_clean)"
+        m2, m3, m4 = (f"avg(pow({c} - {m}, {k}))" for k in (2, 3, 4))
+        parts.append(f"""SELECT '{c}' AS "column", count({c}) AS n, {m3} / pow({m2}, 1.5) AS skew,
+            {m4} / pow({m2}, 2) - 3.0 AS kurt FROM df_clean""")
+    jb = "n / 6.0 * (skew * skew + kurt * kurt / 4.0)"
+    return O.q(O.CLEANED + [("mo", "\nUNION ALL\n".join(parts))], f"""
+SELECT "column", n, {O.rnd('skew', 6)} AS skew, {O.rnd('kurt', 6)} AS excess_kurtosis,
+       {O.rnd(jb, 6)} AS jb, {O.rnd(f'exp(-({jb}) / 2.0)', 6)} AS p_value, exp(-({jb}) / 2.0) > 0.05 AS normal
+FROM mo""")
+
+
+@register("normality", _normality_sql())
+def _normality(spark, sf_dir):
+    return _r6(EX.normality(_df_clean(spark, sf_dir)), ["skew", "excess_kurtosis", "jb", "p_value"])
+
+
+@register("profitable_rows", O.q(O.NOTEBOOK, "SELECT " + _r6sql(O.EDA_CLEAN_COLS)
+                                 + " FROM eda_clean WHERE GrossProfit > 0 AND ProfitMargin > 0 AND TotalSalesQuantity > 0"))
+def _profitable_rows(spark, sf_dir):
+    df = _eda_clean(spark, sf_dir)
+    return _r6(df.where((F.col("GrossProfit") > 0) & (F.col("ProfitMargin") > 0)
+                        & (F.col("TotalSalesQuantity") > 0)))
