@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..operators import summary as S
 from ..sources.star import load_star
@@ -563,3 +564,322 @@ def _profitable_rows(spark, sf_dir):
     df = _eda_clean(spark, sf_dir)
     return _r6(df.where((F.col("GrossProfit") > 0) & (F.col("ProfitMargin") > 0)
                         & (F.col("TotalSalesQuantity") > 0)))
+
+
+# ------------------------------------------------------------------ sources / sinks
+
+from ..session import scratch_path  # noqa: E402
+from ..sinks import loading as LD  # noqa: E402
+from ..sinks import tables as TB  # noqa: E402
+from ..sources import files as FS  # noqa: E402
+from ..sources.star import read_table  # noqa: E402
+from ..streaming import streams as ST  # noqa: E402
+from ..streaming import sync as SY  # noqa: E402
+
+PURCHASE_COLS = ["InventoryId", "Store", "Brand", "Description", "Size", "VendorNumber", "VendorName",
+                 "PONumber", "PODate", "ReceivingDate", "PurchasePrice", "Quantity", "Dollars"]
+
+
+@register("sanitize_names", """
+SELECT p_partkey,
+       lower(regexp_replace(regexp_replace(p_name, '[^a-zA-Z0-9_]', '_', 'g'), '^[0-9]', '_')) AS name_id,
+       lower(regexp_replace(regexp_replace(p_type, '[^a-zA-Z0-9_]', '_', 'g'), '^[0-9]', '_')) AS type_id
+FROM part""")
+def _sanitize_names(spark, sf_dir):
+    part = read_table(spark, sf_dir, "part")
+    return part.select("p_partkey", FS.sanitize_name_col("p_name").alias("name_id"),
+                       FS.sanitize_name_col("p_type").alias("type_id"))
+
+
+@register("coerce_numeric", O.q(O.STAR, f"""
+SELECT Brand, Volume, {O.to_number('Volume')} AS VolumeNumber FROM purchase_prices"""))
+def _coerce_numeric(spark, sf_dir):
+    from ..functions.semantics import to_number
+    pp = load_star(spark, sf_dir).purchase_prices
+    return pp.select("Brand", "Volume", to_number("Volume").alias("VolumeNumber"))
+
+
+def _infer_sql():
+    width = lambda c: f"CASE WHEN max(length({c})) IS NULL THEN 255 ELSE least(max(length({c})) * 2, 65535) END"
+    def text(c):
+        w = width(c)
+        return (f"SELECT '{c}' AS \"column\", 'string' AS spark_type, CAST(max(length({c})) AS INTEGER) AS max_length, "
+                f"CASE WHEN {w} <= 255 THEN 'VARCHAR(' || CAST({w} AS VARCHAR) || ')' "
+                f"WHEN {w} <= 65535 THEN 'TEXT' ELSE 'LONGTEXT' END AS sql_type FROM purchases")
+    fixed = {"Store": ("int", "INT"), "Brand": ("bigint", "BIGINT"), "VendorNumber": ("bigint", "BIGINT"),
+             "PONumber": ("bigint", "BIGINT"), "PODate": ("date", "DATE"), "ReceivingDate": ("date", "DATE"),
+             "PurchasePrice": ("decimal(14,4)", "DECIMAL(14,4)"), "Quantity": ("bigint", "BIGINT"),
+             "Dollars": ("decimal(14,4)", "DECIMAL(14,4)")}
+    parts = []
+    for c in PURCHASE_COLS:
+        if c in fixed:
+            st, sq = fixed[c]
+            parts.append(f"SELECT '{c}', '{st}', CAST(NULL AS INTEGER), '{sq}'")
+        else:
+            parts.append(text(c))
+    return O.q(O.STAR, "\nUNION ALL\n".join(parts))
+
+
+@register("infer_types", _infer_sql())
+def _infer_types(spark, sf_dir):
+    return FS.infer_types(load_star(spark, sf_dir).purchases.select(*PURCHASE_COLS))
+
+
+CSV_SQL_COLS = ("InventoryId, CAST(Store AS INTEGER) AS Store, CAST(Brand AS INTEGER) AS Brand, Description, "
+                "CAST(Size AS INTEGER) AS Size, CAST(VendorNumber AS INTEGER) AS VendorNumber, VendorName, "
+                "CAST(PONumber AS INTEGER) AS PONumber, PODate, ReceivingDate, "
+                "CAST(PurchasePrice AS DOUBLE) AS PurchasePrice, CAST(Quantity AS INTEGER) AS Quantity, "
+                "CAST(Dollars AS DOUBLE) AS Dollars")
+
+
+@register("load_csv", O.q(O.STAR, f"SELECT {CSV_SQL_COLS} FROM purchases"))
+def _load_csv(spark, sf_dir):
+    path = scratch_path(spark, "csv/purchases")
+    FS.write_csv(load_star(spark, sf_dir).purchases, path)
+    return FS.load_csv(spark, path)
+
+
+def _land_star_csv(spark, sf_dir):
+    star = load_star(spark, sf_dir)
+    d = scratch_path(spark, "landing")
+    FS.write_csv(star.purchases, f"{d}/purchases.csv")
+    FS.write_csv(star.sales, f"{d}/sales.csv")
+    FS.write_csv(star.vendor_invoice, f"{d}/vendor-invoice.csv")
+    FS.write_csv(star.purchases.limit(0), f"{d}/empty.csv")
+    star.purchase_prices.write.parquet(f"{d}/purchase_prices.parquet")
+    return d
+
+
+@register("load_directory", O.q(O.STAR, """
+SELECT 'empty.csv' AS file, 'empty' AS "table", CAST(0 AS BIGINT) AS total_rows, CAST(0 AS BIGINT) AS inserted_rows, 'skipped' AS status
+UNION ALL SELECT 'purchases.csv', 'purchases', count(*), count(*), 'success' FROM purchases
+UNION ALL SELECT 'sales.csv', 'sales', count(*), count(*), 'success' FROM sales
+UNION ALL SELECT 'vendor-invoice.csv', 'vendor_invoice', count(*), count(*), 'success' FROM vendor_invoice"""))
+def _load_directory(spark, sf_dir):
+    d = _land_star_csv(spark, sf_dir)
+    _, res = FS.load_directory(spark, d, "*.csv")
+    return res.drop("error")
+
+
+@register("load_report", O.q(O.STAR, """
+SELECT CAST(4 AS BIGINT) AS total_files, CAST(3 AS BIGINT) AS successful, CAST(0 AS BIGINT) AS failed,
+       (SELECT count(*) FROM purchases) + (SELECT count(*) FROM sales) + (SELECT count(*) FROM vendor_invoice) AS total_rows_processed,
+       (SELECT count(*) FROM purchases) + (SELECT count(*) FROM sales) + (SELECT count(*) FROM vendor_invoice) AS total_rows_inserted"""))
+def _load_report(spark, sf_dir):
+    d = _land_star_csv(spark, sf_dir)
+    _, res = FS.load_directory(spark, d, "*.csv")
+    return LD.load_report(res)
+
+
+@register("table_counts", O.q(O.STAR, """
+SELECT 'purchases' AS "table", count(*) AS rows FROM purchases
+UNION ALL SELECT 'sales', count(*) FROM sales
+UNION ALL SELECT 'purchase_prices', count(*) FROM purchase_prices
+UNION ALL SELECT 'vendor_invoice', count(*) FROM vendor_invoice"""))
+def _table_counts(spark, sf_dir):
+    s = load_star(spark, sf_dir)
+    return FS.table_counts({"purchases": s.purchases, "sales": s.sales,
+                            "purchase_prices": s.purchase_prices, "vendor_invoice": s.vendor_invoice})
+
+
+EVENTS_DDL = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+
+
+def _events(spark, sf_dir):
+    return read_table(spark, sf_dir, "events")
+
+
+@register("scan_json", "SELECT * FROM events")
+def _scan_json(spark, sf_dir):
+    path = scratch_path(spark, "json/events")
+    _events(spark, sf_dir).write.option("timestampNTZFormat", FS.TS_MICROS).json(path)
+    return FS.scan_json(spark, path, schema=EVENTS_DDL)
+
+
+@register("json_envelope", "SELECT * FROM events")
+def _json_envelope(spark, sf_dir):
+    """Pages of at most 100 events, each landed in one of the four payload
+    forms (by page number), then unwrapped back into rows."""
+    ev = _events(spark, sf_dir)
+    page = F.floor(F.col("event_id") / 100)
+    opts = {"timestampNTZFormat": FS.TS_MICROS}
+    rec = F.to_json(F.struct(*ev.columns), opts)
+    pages = (ev.withColumn("page", page).groupBy("page")
+             .agg(F.collect_list(F.struct(*ev.columns)).alias("rows")))  # <= 100 rows per page
+    form = F.col("page") % 4
+    doc = (F.when(form == 0, F.to_json(F.struct(F.col("rows").alias("data")), opts))
+           .when(form == 1, F.to_json(F.struct(F.col("rows").alias("results")), opts))
+           .otherwise(F.to_json("rows", opts)))
+    lists = pages.where(form != 3).select(doc.alias("value"))
+    singles = ev.withColumn("page", page).where((F.col("page") % 4) == 3).select(rec.alias("value"))
+    path = scratch_path(spark, "json/payloads")
+    lists.unionByName(singles).write.text(path)
+    raw = FS.scan_json(spark, path)
+    out = FS.unwrap_envelope(raw)
+    return out.select(F.col("event_id").cast("bigint"), F.to_timestamp_ntz("ts").alias("ts"),
+                      F.col("user_id").cast("bigint"), "event_type", F.col("value").cast("double"), "props")
+
+
+@register("latest_file")
+def _latest_file(spark, sf_dir):
+    """Event drops by type; the newest drop is read back (rows-only check)."""
+    ev = _events(spark, sf_dir)
+    d = scratch_path(spark, "drops")
+    types = sorted(r[0] for r in ev.select("event_type").distinct().collect())  # a handful of names
+    for t in types:
+        ev.where(F.col("event_type") == t).coalesce(1).write.parquet(f"{d}/{t}")
+    return FS.read_latest(spark, d, "*.parquet")
+
+
+@register("sql_params", O.q(O.STAR, """
+SELECT VendorNumber, count(*) AS n, CAST(sum(Dollars) AS DOUBLE) AS dollars
+FROM purchases WHERE VendorNumber = 7 AND ReceivingDate >= DATE '1998-01-01' GROUP BY VendorNumber"""))
+def _sql_params(spark, sf_dir):
+    view = f"purchases_{abs(hash(sf_dir)) % 10**8}"
+    load_star(spark, sf_dir).purchases.createOrReplaceTempView(view)
+    return FS.query_to_df(spark, f"""
+        SELECT VendorNumber, count(*) AS n, CAST(sum(Dollars) AS DOUBLE) AS dollars
+        FROM {view} WHERE VendorNumber = :vendor AND ReceivingDate >= :since GROUP BY VendorNumber""",
+        {"vendor": 7, "since": S.DEFAULT_SINCE})
+
+
+@register("recent_rows", """
+SELECT * FROM events WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 30 MINUTES""")
+def _recent_rows(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    as_of = ev.select(F.max("ts")).scalar()
+    return ev.where(F.col("ts") > as_of - F.expr("INTERVAL 30 MINUTES"))
+
+
+@register("sink_replace", O.q(O.SUMMARY_CLEAN, "SELECT * FROM vendor_summary"))
+def _sink_replace(spark, sf_dir):
+    df = S.vendor_summary(load_star(spark, sf_dir), ordered=False)
+    path = TB.table_path(spark, "vendor_sales_summary")
+    TB.write_table(df, path, "replace")
+    TB.write_table(df, path, "replace")  # replacing again leaves one copy
+    return spark.read.parquet(path)
+
+
+@register("sink_append", O.q(O.SUMMARY_RAW, """
+SELECT * FROM vendor_summary_raw UNION ALL SELECT * FROM vendor_summary_raw"""))
+def _sink_append(spark, sf_dir):
+    df = S.vendor_summary_raw(load_star(spark, sf_dir), ordered=False)
+    path = TB.table_path(spark, "vendor_summary_raw")
+    TB.write_table(df, path, "append")
+    TB.write_table(df, path, "append")
+    return spark.read.parquet(path)
+
+
+LOAD_SCHEMA = T.StructType([
+    T.StructField("Brand", T.LongType()), T.StructField("Description", T.StringType()),
+    T.StructField("Price", T.DoubleType()), T.StructField("Volume", T.DoubleType()),
+    T.StructField("VendorNumber", T.LongType()), T.StructField("PurchasePrice", T.DoubleType())])
+
+
+@register("load_with_rejects", O.q(O.STAR, """
+SELECT count(*) AS total_rows, count(*) - count_if(TRY_CAST(Volume AS DOUBLE) IS NULL) AS inserted_rows,
+       count_if(TRY_CAST(Volume AS DOUBLE) IS NULL) AS failed_rows,
+       CAST(count(*) - count_if(TRY_CAST(Volume AS DOUBLE) IS NULL) AS DOUBLE) / count(*) * 100 AS success_rate
+FROM purchase_prices"""))
+def _load_with_rejects(spark, sf_dir):
+    pp = load_star(spark, sf_dir).purchase_prices
+    path = scratch_path(spark, "csv/purchase_prices")
+    FS.write_csv(pp, path)
+    raw = FS.load_csv(spark, path, infer_schema=False)  # all text, as landed
+    return LD.load_stats(raw, LOAD_SCHEMA)
+
+
+@register("table_fingerprint", O.q(O.STAR, """
+SELECT count(*) AS total_rows, CAST(0 AS BIGINT) AS null_count,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM purchases) d) AS duplicate_count
+FROM purchases"""))
+def _table_fingerprint(spark, sf_dir):
+    return TB.table_fingerprint(load_star(spark, sf_dir).purchases, with_hash=False)
+
+
+# ------------------------------------------------------------------ sync / streams
+
+LATEST_SQL = """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) t
+WHERE rn = 1"""
+EV_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def _drops(spark, sf_dir):
+    """Two drops of the events table split at the midpoint of its time range."""
+    ev = _events(spark, sf_dir)
+    mid = ev.select(F.expr("min(ts) + (max(ts) - min(ts)) / 2")).scalar()
+    return ev.where(F.col("ts") <= mid), ev.where(F.col("ts") > mid), ev
+
+
+@register("sync_full", "SELECT * FROM events")
+def _sync_full(spark, sf_dir):
+    first, _, ev = _drops(spark, sf_dir)
+    target = TB.table_path(spark, "events_full")
+    SY.sync_full(first, target)
+    return SY.sync_full(ev, target).select(*EV_COLS)
+
+
+@register("sync_incremental", "SELECT * FROM events")
+def _sync_incremental(spark, sf_dir):
+    first, _, ev = _drops(spark, sf_dir)
+    target = TB.table_path(spark, "events_incr")
+    SY.sync_incremental(first, target, "ts")
+    return SY.sync_incremental(ev, target, "ts").select(*EV_COLS)  # re-sent old rows are skipped
+
+
+@register("sync_upsert", LATEST_SQL)
+def _sync_upsert(spark, sf_dir):
+    first, _, ev = _drops(spark, sf_dir)
+    target = TB.table_path(spark, "events_upsert")
+    SY.sync_upsert(first, target, ["user_id"], ["ts", "event_id"])
+    return SY.sync_upsert(ev, target, ["user_id"], ["ts", "event_id"]).select(*EV_COLS)
+
+
+@register("sync_status", """
+SELECT 'events_full' AS source_name, CAST(2 AS BIGINT) AS total_syncs, CAST(2 AS BIGINT) AS successful_syncs,
+       CAST(0 AS BIGINT) AS failed_syncs, 2 * count(*) AS total_rows_processed FROM events
+UNION ALL SELECT 'events_incr', 2, 2, 0, 2 * count(*) FROM events
+UNION ALL SELECT 'events_upsert', 1, 1, 0, count(*) FROM events""")
+def _sync_status(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    hist = TB.table_path(spark, "pipeline_sync_history")
+    for name, mode, runs in (("events_full", "full", 2), ("events_incr", "incremental", 2),
+                             ("events_upsert", "upsert", 1)):
+        target = TB.table_path(spark, name)
+        for _ in range(runs):
+            SY.run_sync(spark, name, ev, target, mode, history=hist, ts_col="ts",
+                        key=["user_id"], order=["ts", "event_id"])
+    return SY.sync_status(spark.read.parquet(hist)).drop("last_sync")
+
+
+def _stream_two_drops(spark, sf_dir, mode, second_full=False):
+    first, second, ev = _drops(spark, sf_dir)
+    src = scratch_path(spark, "stream/src")
+    target = scratch_path(spark, "stream/target")
+    ckpt = scratch_path(spark, "stream/checkpoint")
+    schema = ev.schema
+    first.write.mode("append").parquet(src)
+    ST.run_stream(spark, src, schema, target, ckpt, mode=mode, ts_col="ts",
+                  key=["user_id"], order=["ts", "event_id"])
+    (ev if second_full else second).write.mode("append").parquet(src)
+    ST.run_stream(spark, src, schema, target, ckpt, mode=mode, ts_col="ts",  # restart: same checkpoint
+                  key=["user_id"], order=["ts", "event_id"])
+    return ST.read_target(spark, target, EV_COLS)
+
+
+@register("stream_append", "SELECT * FROM events")
+def _stream_append(spark, sf_dir):
+    return _stream_two_drops(spark, sf_dir, "append")
+
+
+@register("stream_upsert", LATEST_SQL)
+def _stream_upsert(spark, sf_dir):
+    return _stream_two_drops(spark, sf_dir, "upsert")
+
+
+@register("stream_late", "SELECT * FROM events")
+def _stream_late(spark, sf_dir):
+    """Second drop re-sends every event; rows at or below the mark are late and dropped."""
+    return _stream_two_drops(spark, sf_dir, "incremental", second_full=True)
