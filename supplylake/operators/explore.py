@@ -135,14 +135,16 @@ def remove_outliers_iqr(df: DataFrame, column: str, factor: float = 3.0,
 
 
 def iqr_filter(df: DataFrame, cols: Sequence[str] = IQR_COLUMNS, factor: float = 3.0,
-               caps: dict = RATIO_CAPS, approx: bool = False) -> DataFrame:
+               caps: dict = RATIO_CAPS, approx: bool = False,
+               materialize_input: bool = True) -> DataFrame:
     """X2 + X3: sequential IQR removal (bounds recomputed on the already
     filtered frame, in column order), then ratio caps.
 
-    The input is checkpointed once; each step is one small quantile job over
-    the filtered checkpoint, and only two numbers per step reach the driver.
+    The input is checkpointed once (skip with ``materialize_input=False`` when
+    it already is a stored table); each step is one small quantile job over
+    the filtered input, and only two numbers per step reach the driver.
     """
-    cur = materialize(df)
+    cur = materialize(df) if materialize_input else df
     for c in cols:
         cur = remove_outliers_iqr(cur, c, factor, approx)
     return cur.withColumns({c: clip_keep_null(c, lo, hi) for c, (lo, hi) in caps.items()

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators import summary as S
-from ..sources.star import load_star
+from ..sources.star import load_star  # noqa: F401
+from .tables import stage_table, stored_star
 from . import oracle as O
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -35,24 +36,24 @@ def register(name: str, sql: str | None = None):
 
 @register("vendor_summary", O.q(O.SUMMARY_CLEAN, "SELECT * FROM vendor_summary"))
 def _vendor_summary(spark, sf_dir):
-    return S.vendor_summary(load_star(spark, sf_dir))
+    return S.vendor_summary(stored_star(spark, sf_dir))
 
 
 @register("vendor_summary_raw", O.q(O.SUMMARY_RAW, "SELECT * FROM vendor_summary_raw"))
 def _vendor_summary_raw(spark, sf_dir):
-    return S.vendor_summary_raw(load_star(spark, sf_dir))
+    return S.vendor_summary_raw(stored_star(spark, sf_dir))
 
 
 @register("clean_summary", O.q(O.SUMMARY_CLEAN, "SELECT * FROM clean_summary"))
 def _clean_summary(spark, sf_dir):
-    return S.clean_summary(S.vendor_summary_raw(load_star(spark, sf_dir)))
+    return S.clean_summary(S.vendor_summary_raw(stored_star(spark, sf_dir)))
 
 
 @register("freight_summary", O.q(O.STAR, """
 SELECT VendorNumber, CAST(SUM(Freight) AS DOUBLE) AS FreightCost
 FROM vendor_invoice GROUP BY VendorNumber"""))
 def _freight_summary(spark, sf_dir):
-    fs = S.freight_summary(load_star(spark, sf_dir).vendor_invoice)
+    fs = S.freight_summary(stored_star(spark, sf_dir).vendor_invoice)
     return fs.withColumn("FreightCost", fs.FreightCost.cast("double"))
 
 
@@ -63,7 +64,7 @@ SELECT VendorNumber, VendorName, Brand, Description,
        CAST(TotalPurchaseDollars AS DOUBLE) AS TotalPurchaseDollars
 FROM PurchaseSummary"""))
 def _purchase_summary(spark, sf_dir):
-    ps = S.purchase_summary(load_star(spark, sf_dir))
+    ps = S.purchase_summary(stored_star(spark, sf_dir))
     return ps.withColumns({c: ps[c].cast("double") for c in
                            ("PurchasePrice", "ActualPrice", "TotalPurchaseDollars")})
 
@@ -75,29 +76,29 @@ SELECT VendorNo, Brand, CAST(TotalSalesQuantity AS BIGINT) AS TotalSalesQuantity
        CAST(TotalExciseTax AS DOUBLE) AS TotalExciseTax
 FROM SalesSummary"""))
 def _sales_summary(spark, sf_dir):
-    ss = S.sales_summary(load_star(spark, sf_dir).sales, "sum")
+    ss = S.sales_summary(stored_star(spark, sf_dir).sales, "sum")
     return ss.withColumns({c: ss[c].cast("double") for c in
                            ("TotalSalesDollars", "TotalSalesPrice", "TotalExciseTax")})
 
 
 @register("eda_summary", O.q(O.EDA, "SELECT * FROM eda_summary"))
 def _eda_summary(spark, sf_dir):
-    return S.eda_summary(load_star(spark, sf_dir))
+    return S.eda_summary(stored_star(spark, sf_dir))
 
 
 @register("brand_purchases", O.q(O.BRAND, "SELECT * FROM brand_purchases"))
 def _brand_purchases(spark, sf_dir):
-    return S.brand_purchases(load_star(spark, sf_dir))
+    return S.brand_purchases(stored_star(spark, sf_dir))
 
 
 @register("brand_sales", O.q(O.BRAND, "SELECT * FROM brand_sales"))
 def _brand_sales(spark, sf_dir):
-    return S.brand_sales(load_star(spark, sf_dir))
+    return S.brand_sales(stored_star(spark, sf_dir))
 
 
 @register("brand_summary", O.q(O.BRAND, "SELECT * FROM brand_summary"))
 def _brand_summary(spark, sf_dir):
-    return S.brand_summary(load_star(spark, sf_dir))
+    return S.brand_summary(stored_star(spark, sf_dir))
 
 
 @register("brand_summary_top", O.q(O.BRAND, """
@@ -106,7 +107,7 @@ ORDER BY EstimatedGrossProfit DESC NULLS LAST, TotalSalesRevenue DESC NULLS LAST
          VendorNumber, Brand, VendorName
 LIMIT 20"""))
 def _brand_summary_top(spark, sf_dir):
-    return S.brand_summary_top(S.brand_summary(load_star(spark, sf_dir), ordered=False))
+    return S.brand_summary_top(S.brand_summary(stored_star(spark, sf_dir), ordered=False))
 
 
 @register("top_vendors", O.q(O.SUMMARY_CLEAN, """
@@ -114,7 +115,7 @@ SELECT * FROM vendor_summary
 ORDER BY TotalPurchaseDollars DESC, VendorNumber, Brand, Description, PurchasePrice
 LIMIT 10"""))
 def _top_vendors(spark, sf_dir):
-    return S.top_vendors(S.vendor_summary(load_star(spark, sf_dir), ordered=False))
+    return S.top_vendors(S.vendor_summary(stored_star(spark, sf_dir), ordered=False))
 
 
 @register("vendor_slice", O.q(O.STAR, """
@@ -123,7 +124,7 @@ SELECT Brand, CAST(PurchasePrice AS DOUBLE) AS PurchasePrice,
 FROM purchases WHERE VendorNumber = 7
 GROUP BY Brand, PurchasePrice"""))
 def _vendor_slice(spark, sf_dir):
-    return S.vendor_slice(load_star(spark, sf_dir), 7)
+    return S.vendor_slice(stored_star(spark, sf_dir), 7)
 
 
 @register("vendor_brand_sums", O.q(O.STAR, """
@@ -131,7 +132,7 @@ SELECT VendorNo, Brand, CAST(SUM(SalesDollars) AS DOUBLE) AS SalesDollars,
        CAST(SUM(SalesPrice) AS DOUBLE) AS SalesPrice, CAST(SUM(SalesQuantity) AS BIGINT) AS SalesQuantity
 FROM sales GROUP BY VendorNo, Brand"""))
 def _vendor_brand_sums(spark, sf_dir):
-    return S.vendor_brand_sums(load_star(spark, sf_dir))
+    return S.vendor_brand_sums(stored_star(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ features
@@ -148,7 +149,9 @@ FLOAT_NOISE = {"feat_vendor_avg_margin", "feat_log_sales", "feat_log_purchases",
 
 
 def _summary(spark, sf_dir):
-    return S.vendor_summary(load_star(spark, sf_dir), ordered=False)
+    """The stored summary table, as downstream stages read it."""
+    return stage_table(spark, sf_dir, "vendor_summary",
+                       lambda: S.vendor_summary(stored_star(spark, sf_dir), ordered=False))
 
 
 def _feature_view(df, cols):
@@ -230,7 +233,7 @@ SELECT count(*) AS rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM purchases
        count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM purchases) d) AS duplicate_rows
 FROM purchases"""))
 def _dup_count(spark, sf_dir):
-    return DQ.duplicate_frame(load_star(spark, sf_dir).purchases)
+    return DQ.duplicate_frame(stored_star(spark, sf_dir).purchases)
 
 
 # ------------------------------------------------------------------ imputation / notebook table
@@ -257,15 +260,17 @@ def _r6sql(cols, names=None):
 
 
 def _eda(spark, sf_dir):
-    return S.eda_summary(load_star(spark, sf_dir), ordered=False)
+    return stage_table(spark, sf_dir, "eda_summary",
+                       lambda: S.eda_summary(stored_star(spark, sf_dir), ordered=False))
 
 
 def _eda_clean(spark, sf_dir):
-    return IM.eda_clean(_eda(spark, sf_dir))
+    """The notebook's stored table, read back by the analysis stage."""
+    return stage_table(spark, sf_dir, "eda_clean", lambda: IM.eda_clean(_eda(spark, sf_dir)))
 
 
 def _df_clean(spark, sf_dir):
-    return EX.iqr_filter(_eda_clean(spark, sf_dir))
+    return EX.iqr_filter(_eda_clean(spark, sf_dir), materialize_input=False)
 
 
 @register("impute_all", O.q(O.NOTEBOOK, f"SELECT {', '.join(EDA_KEY)}, ReferencePurchasePrice, Volume FROM prep"))
@@ -300,7 +305,7 @@ def _impute_price(spark, sf_dir):
 
 @register("eda_clean", O.q(O.NOTEBOOK, "SELECT " + _r6sql(O.EDA_CLEAN_COLS) + " FROM eda_clean"))
 def _eda_clean_q(spark, sf_dir):
-    return _r6(_eda_clean(spark, sf_dir))
+    return _r6(IM.eda_clean(_eda(spark, sf_dir)))
 
 
 def _typed_sql():
@@ -330,7 +335,7 @@ def _typed_sink(spark, sf_dir):
 SELECT COUNT(DISTINCT VendorNumber) AS vendors, COUNT(DISTINCT Brand) AS brands, COUNT(*) AS rows
 FROM brand_summary"""))
 def _distinct_counts(spark, sf_dir):
-    return EX.distinct_counts(S.brand_summary(load_star(spark, sf_dir), ordered=False))
+    return EX.distinct_counts(S.brand_summary(stored_star(spark, sf_dir), ordered=False))
 
 
 @register("distinct_vendors", O.q(O.EDA, "SELECT DISTINCT VendorName FROM eda_summary"))
@@ -371,8 +376,8 @@ SELECT (SELECT count(*) FROM eda_clean) AS original_rows, (SELECT count(*) FROM
        (SELECT count(*) FROM eda_clean) - (SELECT count(*) FROM df_clean) AS removed_rows,
        (1.0 - (SELECT count(*) FROM df_clean) / (SELECT count(*) FROM eda_clean)) * 100 AS removed_pct"""))
 def _outlier_stats(spark, sf_dir):
-    base = EX.materialize(_eda_clean(spark, sf_dir))
-    return EX.outlier_stats(base, EX.iqr_filter(base))
+    base = _eda_clean(spark, sf_dir)
+    return EX.outlier_stats(base, EX.iqr_filter(base, materialize_input=False))
 
 
 @register("clip_ratios", O.q(O.NOTEBOOK, f"""
@@ -595,7 +600,7 @@ def _sanitize_names(spark, sf_dir):
 SELECT Brand, Volume, {O.to_number('Volume')} AS VolumeNumber FROM purchase_prices"""))
 def _coerce_numeric(spark, sf_dir):
     from ..functions.semantics import to_number
-    pp = load_star(spark, sf_dir).purchase_prices
+    pp = stored_star(spark, sf_dir).purchase_prices
     return pp.select("Brand", "Volume", to_number("Volume").alias("VolumeNumber"))
 
 
@@ -622,7 +627,7 @@ def _infer_sql():
 
 @register("infer_types", _infer_sql())
 def _infer_types(spark, sf_dir):
-    return FS.infer_types(load_star(spark, sf_dir).purchases.select(*PURCHASE_COLS))
+    return FS.infer_types(stored_star(spark, sf_dir).purchases.select(*PURCHASE_COLS))
 
 
 CSV_SQL_COLS = ("InventoryId, CAST(Store AS INTEGER) AS Store, CAST(Brand AS INTEGER) AS Brand, Description, "
@@ -635,12 +640,12 @@ CSV_SQL_COLS = ("InventoryId, CAST(Store AS INTEGER) AS Store, CAST(Brand AS INT
 @register("load_csv", O.q(O.STAR, f"SELECT {CSV_SQL_COLS} FROM purchases"))
 def _load_csv(spark, sf_dir):
     path = scratch_path(spark, "csv/purchases")
-    FS.write_csv(load_star(spark, sf_dir).purchases, path)
+    FS.write_csv(stored_star(spark, sf_dir).purchases, path)
     return FS.load_csv(spark, path)
 
 
 def _land_star_csv(spark, sf_dir):
-    star = load_star(spark, sf_dir)
+    star = stored_star(spark, sf_dir)
     d = scratch_path(spark, "landing")
     FS.write_csv(star.purchases, f"{d}/purchases.csv")
     FS.write_csv(star.sales, f"{d}/sales.csv")
@@ -677,7 +682,7 @@ UNION ALL SELECT 'sales', count(*) FROM sales
 UNION ALL SELECT 'purchase_prices', count(*) FROM purchase_prices
 UNION ALL SELECT 'vendor_invoice', count(*) FROM vendor_invoice"""))
 def _table_counts(spark, sf_dir):
-    s = load_star(spark, sf_dir)
+    s = stored_star(spark, sf_dir)
     return FS.table_counts({"purchases": s.purchases, "sales": s.sales,
                             "purchase_prices": s.purchase_prices, "vendor_invoice": s.vendor_invoice})
 
@@ -736,7 +741,7 @@ SELECT VendorNumber, count(*) AS n, CAST(sum(Dollars) AS DOUBLE) AS dollars
 FROM purchases WHERE VendorNumber = 7 AND ReceivingDate >= DATE '1998-01-01' GROUP BY VendorNumber"""))
 def _sql_params(spark, sf_dir):
     view = f"purchases_{abs(hash(sf_dir)) % 10**8}"
-    load_star(spark, sf_dir).purchases.createOrReplaceTempView(view)
+    stored_star(spark, sf_dir).purchases.createOrReplaceTempView(view)
     return FS.query_to_df(spark, f"""
         SELECT VendorNumber, count(*) AS n, CAST(sum(Dollars) AS DOUBLE) AS dollars
         FROM {view} WHERE VendorNumber = :vendor AND ReceivingDate >= :since GROUP BY VendorNumber""",
@@ -753,7 +758,7 @@ def _recent_rows(spark, sf_dir):
 
 @register("sink_replace", O.q(O.SUMMARY_CLEAN, "SELECT * FROM vendor_summary"))
 def _sink_replace(spark, sf_dir):
-    df = S.vendor_summary(load_star(spark, sf_dir), ordered=False)
+    df = S.vendor_summary(stored_star(spark, sf_dir), ordered=False)
     path = TB.table_path(spark, "vendor_sales_summary")
     TB.write_table(df, path, "replace")
     TB.write_table(df, path, "replace")  # replacing again leaves one copy
@@ -763,7 +768,7 @@ def _sink_replace(spark, sf_dir):
 @register("sink_append", O.q(O.SUMMARY_RAW, """
 SELECT * FROM vendor_summary_raw UNION ALL SELECT * FROM vendor_summary_raw"""))
 def _sink_append(spark, sf_dir):
-    df = S.vendor_summary_raw(load_star(spark, sf_dir), ordered=False)
+    df = S.vendor_summary_raw(stored_star(spark, sf_dir), ordered=False)
     path = TB.table_path(spark, "vendor_summary_raw")
     TB.write_table(df, path, "append")
     TB.write_table(df, path, "append")
@@ -782,7 +787,7 @@ SELECT count(*) AS total_rows, count(*) - count_if(TRY_CAST(Volume AS DOUBLE) IS
        CAST(count(*) - count_if(TRY_CAST(Volume AS DOUBLE) IS NULL) AS DOUBLE) / count(*) * 100 AS success_rate
 FROM purchase_prices"""))
 def _load_with_rejects(spark, sf_dir):
-    pp = load_star(spark, sf_dir).purchase_prices
+    pp = stored_star(spark, sf_dir).purchase_prices
     path = scratch_path(spark, "csv/purchase_prices")
     FS.write_csv(pp, path)
     raw = FS.load_csv(spark, path, infer_schema=False)  # all text, as landed
@@ -794,7 +799,7 @@ SELECT count(*) AS total_rows, CAST(0 AS BIGINT) AS null_count,
        count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM purchases) d) AS duplicate_count
 FROM purchases"""))
 def _table_fingerprint(spark, sf_dir):
-    return TB.table_fingerprint(load_star(spark, sf_dir).purchases, with_hash=False)
+    return TB.table_fingerprint(stored_star(spark, sf_dir).purchases, with_hash=False)
 
 
 # ------------------------------------------------------------------ sync / streams
