@@ -811,6 +811,9 @@ WHERE rn = 1"""
 EV_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
+UPSERT_BUCKETS = 16
+
+
 def _drops(spark, sf_dir):
     """Two drops of the events table split at the midpoint of its time range."""
     ev = _events(spark, sf_dir)
@@ -838,8 +841,9 @@ def _sync_incremental(spark, sf_dir):
 def _sync_upsert(spark, sf_dir):
     first, _, ev = _drops(spark, sf_dir)
     target = TB.table_path(spark, "events_upsert")
-    SY.sync_upsert(first, target, ["user_id"], ["ts", "event_id"])
-    return SY.sync_upsert(ev, target, ["user_id"], ["ts", "event_id"]).select(*EV_COLS)
+    SY.sync_upsert(first, target, ["user_id"], ["ts", "event_id"], buckets=UPSERT_BUCKETS)
+    return SY.sync_upsert(ev, target, ["user_id"], ["ts", "event_id"],
+                          buckets=UPSERT_BUCKETS).select(*EV_COLS)
 
 
 @register("sync_status", """
@@ -867,10 +871,10 @@ def _stream_two_drops(spark, sf_dir, mode, second_full=False):
     schema = ev.schema
     first.write.mode("append").parquet(src)
     ST.run_stream(spark, src, schema, target, ckpt, mode=mode, ts_col="ts",
-                  key=["user_id"], order=["ts", "event_id"])
+                  key=["user_id"], order=["ts", "event_id"], buckets=UPSERT_BUCKETS)
     (ev if second_full else second).write.mode("append").parquet(src)
     ST.run_stream(spark, src, schema, target, ckpt, mode=mode, ts_col="ts",  # restart: same checkpoint
-                  key=["user_id"], order=["ts", "event_id"])
+                  key=["user_id"], order=["ts", "event_id"], buckets=UPSERT_BUCKETS)
     return ST.read_target(spark, target, EV_COLS)
 
 

@@ -86,3 +86,20 @@ def table_fingerprint(df: DataFrame, with_hash: bool = True) -> DataFrame:
     out = base.select("total_rows", F.coalesce("null_count", F.lit(0)).alias("null_count"),
                       (F.col("total_rows") - distinct).alias("duplicate_count"), "data_hash")
     return out if with_hash else out.drop("data_hash")
+
+
+def with_surrogate_id(df: DataFrame, name: str = "id") -> DataFrame:
+    """T4: a unique (not dense) row id, computed per partition, no shuffle."""
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
+def with_audit_timestamp(df: DataFrame, name: str = "_pipeline_updated_at") -> DataFrame:
+    """T5: load time stamp, one value per query."""
+    return df.withColumn(name, F.current_timestamp())
+
+
+def nan_to_null_all(df: DataFrame) -> DataFrame:
+    """NaN -> NULL in every floating column before a write."""
+    cols = {f.name: F.when(F.isnan(F.col(f"`{f.name}`")), F.lit(None)).otherwise(F.col(f"`{f.name}`"))
+            for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    return df.withColumns(cols) if cols else df

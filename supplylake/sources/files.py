@@ -261,3 +261,20 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
         c = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
         out = c if out is None else out.unionByName(c)
     return out
+
+
+# --------------------------------------------------------------- S13 / S15 / S16
+
+def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """Catalog listing as a DataFrame."""
+    return spark.sql(f"SHOW TABLES IN {database}" if database else "SHOW TABLES")
+
+
+def table_definition(df: DataFrame) -> str:
+    """The frame's schema as DDL text."""
+    return df.schema.simpleString()
+
+
+def column_types(df: DataFrame) -> list[tuple[str, str]]:
+    """S16."""
+    return df.dtypes

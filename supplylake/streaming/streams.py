@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .sync import path_exists, upsert_frame
+from .sync import path_exists, sync_upsert, upsert_frame
 
 
 def read_target(spark: SparkSession, target: str, columns: Sequence[str]) -> DataFrame:
@@ -48,10 +48,14 @@ def _incremental_batch(target: str, columns: Sequence[str], ts_col: str):
     return fn
 
 
-def _upsert_batch(target: str, columns: Sequence[str], key: Sequence[str], order: Sequence[str]):
+def _upsert_batch(target: str, columns: Sequence[str], key: Sequence[str], order: Sequence[str],
+                  buckets: int | None):
     def fn(batch: DataFrame, batch_id: int) -> None:
         from ..sinks.tables import staged_overwrite
         spark = batch.sparkSession
+        if buckets:
+            sync_upsert(batch.select(*columns), target, key, order, buckets)
+            return
         tgt = spark.read.parquet(target) if path_exists(spark, target) else None
         staged_overwrite(upsert_frame(tgt, batch.select(*columns), key, order), target)
     return fn
@@ -60,7 +64,8 @@ def _upsert_batch(target: str, columns: Sequence[str], key: Sequence[str], order
 def run_stream(spark: SparkSession, source_dir: str, schema: T.StructType, target: str,
                checkpoint: str, mode: str = "append", ts_col: str | None = None,
                key: Sequence[str] = (), order: Sequence[str] = (), fmt: str = "parquet",
-               once: bool = True, interval: str = "300 seconds", max_files: int | None = None):
+               once: bool = True, interval: str = "300 seconds", max_files: int | None = None,
+               buckets: int | None = None):
     """Start (and with ``once`` drain with ``availableNow``) one source stream."""
     columns = [f.name for f in schema.fields]
     reader = spark.readStream.schema(schema).format(fmt)
@@ -72,7 +77,7 @@ def run_stream(spark: SparkSession, source_dir: str, schema: T.StructType, targe
     elif mode == "incremental":
         fn = _incremental_batch(target, columns, ts_col)
     elif mode == "upsert":
-        fn = _upsert_batch(target, columns, key, order)
+        fn = _upsert_batch(target, columns, key, order, buckets)
     else:
         raise ValueError(f"unknown sync mode {mode!r}")
     w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)

@@ -113,17 +113,48 @@ def upsert_frame(target: DataFrame | None, source: DataFrame, key: Sequence[str]
     return kept.unionByName(src.select(*target.columns))
 
 
+BUCKET = "_bucket"
+
+
+def bucket_of(key: Sequence[str], buckets: int) -> F.Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(buckets)).cast("int")
+
+
 def sync_upsert(df: DataFrame, target: str, key: Sequence[str] | None,
-                order: Sequence[str]) -> DataFrame:
-    """K9: upsert on ``key``; without a key, plain append (with a warning)."""
+                order: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """K9: upsert on ``key``; without a key, plain append (with a warning).
+
+    With ``buckets`` the target is partitioned by ``pmod(xxhash64(key), B)``:
+    an upsert reads only the buckets its keys fall in (static partition
+    pruning on at most B bucket numbers), merges them through a staging
+    folder and replaces just those buckets (dynamic partition overwrite),
+    so the cost follows the size of the change, not of the target.
+    """
     from ..sinks.tables import staged_overwrite
     spark = df.sparkSession
     if not key:
         log.warning("upsert without a primary key: appending")
         df.write.mode("append").parquet(target)
         return spark.read.parquet(target)
-    tgt = spark.read.parquet(target) if path_exists(spark, target) else None
-    return staged_overwrite(upsert_frame(tgt, df, key, order), target)
+    if buckets is None:
+        tgt = spark.read.parquet(target) if path_exists(spark, target) else None
+        return staged_overwrite(upsert_frame(tgt, df, key, order), target)
+
+    src = latest_per_key(df, key, order).withColumn(BUCKET, bucket_of(key, buckets))
+    if not path_exists(spark, target):
+        src.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
+        return spark.read.parquet(target)
+    stage = scratch_path(spark, "upsert_src")
+    src.write.mode("overwrite").parquet(stage)  # the change set, deduped, read twice below
+    src = spark.read.parquet(stage)
+    touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())  # <= B ints
+    tgt = spark.read.parquet(target).where(F.col(BUCKET).isin(touched))
+    merged = tgt.join(src.select(*key), list(key), "left_anti").unionByName(src.select(*tgt.columns))
+    out = scratch_path(spark, "upsert_merged")
+    merged.write.mode("overwrite").partitionBy(BUCKET).parquet(out)
+    (spark.read.parquet(out).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET).parquet(target))
+    return spark.read.parquet(target)
 
 
 # --------------------------------------------------------------- dispatch / K12 / K14

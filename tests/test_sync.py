@@ -51,3 +51,46 @@ def test_stream_restart_exactly_once(spark):
     ST.run_stream(spark, src, df.schema, target, ckpt, mode="append")
     got = sorted(r["event_id"] for r in ST.read_target(spark, target, df.columns).collect())
     assert got == [1, 2, 3, 4]
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark):
+    target = scratch_path(spark, "t_bucket")
+    rows = [(i, f"2024-01-01 00:{i:02d}:00", i, "x", float(i), "{}") for i in range(40)]
+    SY.sync_upsert(frame(spark, rows), target, ["user_id"], ["ts", "event_id"], buckets=8)
+    before = {r["user_id"]: r["_bucket"] for r in spark.read.parquet(target).collect()}
+    upd = [(100, "2024-01-02 00:00:00", 3, "y", 9.0, "{}")]
+    out = SY.sync_upsert(frame(spark, upd), target, ["user_id"], ["ts", "event_id"], buckets=8)
+    got = {r["user_id"]: (r["event_id"], r["_bucket"]) for r in out.collect()}
+    assert len(got) == 40 and got[3][0] == 100
+    assert all(got[u][1] == b for u, b in before.items())
+
+
+def test_pipeline_isolates_failures(spark):
+    from supplylake.plans.jobs import SourceSpec, run_pipeline
+    src = scratch_path(spark, "p_src")
+    frame(spark, ROWS).write.parquet(src)
+    hist = scratch_path(spark, "p_hist")
+    specs = [SourceSpec("ok", "parquet", src, scratch_path(spark, "p_t1"), "upsert",
+                        primary_key=["user_id"], order_by=["ts", "event_id"]),
+             SourceSpec("broken", "parquet", src + "_missing", scratch_path(spark, "p_t2")),
+             SourceSpec("off", "parquet", src, scratch_path(spark, "p_t3"), enabled=False)]
+    recs = run_pipeline(spark, specs, hist)
+    assert [r["status"] for r in recs] == ["success", "failed"]
+    status = {r["source_name"]: r for r in SY.sync_status(spark.read.parquet(hist)).collect()}
+    assert status["ok"]["successful_syncs"] == 1 and status["broken"]["failed_syncs"] == 1
+
+
+def test_sinks_modes(spark):
+    import pytest
+    from supplylake.sinks import tables as TB
+    df = frame(spark, ROWS)
+    p = scratch_path(spark, "sink")
+    TB.write_table(df, p, "replace")
+    TB.write_table(df, p, "append")
+    assert spark.read.parquet(p).count() == 8
+    with pytest.raises(Exception):
+        TB.write_table(df, p, "fail")
+    out = TB.export_csv(df, scratch_path(spark, "csv"))
+    assert "vendor_sales_summary_" in out and spark.read.option("header", True).csv(out).count() == 4
+    ids = TB.with_surrogate_id(df).select("id").distinct().count()
+    assert ids == 4
