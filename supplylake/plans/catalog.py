@@ -892,3 +892,38 @@ def _stream_upsert(spark, sf_dir):
 def _stream_late(spark, sf_dir):
     """Second drop re-sends every event; rows at or below the mark are late and dropped."""
     return _stream_two_drops(spark, sf_dir, "incremental", second_full=True)
+
+
+# ------------------------------------------------------------------ more registered forms
+
+def _numeric_features_sql():
+    cols = [c for c in ALL_FEATURES if c not in ("feat_profit_tier", "feat_volume_category")]
+    inner = O.features_sql(*[v[2] for v in FEATURE_SETS.values()])
+    return f"SELECT {', '.join(cols)} FROM ({inner}) f"
+
+
+QUERIES.pop("numeric_features", None)
+
+
+@register("numeric_features", _numeric_features_sql())
+def _numeric_features_q(spark, sf_dir):
+    num = FE.numeric_features(FE.build_features(_summary(spark, sf_dir)))
+    return num.select(*[round_ieee(c, 6).alias(c) if c in FLOAT_NOISE else F.col(c) for c in num.columns])
+
+
+@register("dq_report_purchases", O.dq_checks_sql(
+    O.STAR, "purchases", PURCHASE_COLS, set(), DQ.VALIDATION_PROFILES["purchases"]))
+def _dq_report_purchases(spark, sf_dir):
+    p = stored_star(spark, sf_dir).purchases
+    return DQ.DataQualityValidator().check_frame(spark, p, "purchases").select("check", "passed")
+
+
+SALES_COLS = ["InventoryId", "Store", "Brand", "VendorNo", "SalesQuantity", "SalesPrice",
+              "SalesDollars", "SalesDate", "ExciseTax"]
+
+
+@register("dq_report_sales", O.dq_checks_sql(
+    O.STAR, "sales", SALES_COLS, set(), DQ.VALIDATION_PROFILES["sales"]))
+def _dq_report_sales(spark, sf_dir):
+    s = stored_star(spark, sf_dir).sales
+    return DQ.DataQualityValidator().check_frame(spark, s, "sales").select("check", "passed")
