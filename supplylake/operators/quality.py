@@ -6,7 +6,8 @@ The six check groups run as three Spark jobs instead of one scan per check:
    below/above counts and min/max, per-numeric-column n/mean/std;
 2. one aggregate counting |z| > threshold per numeric column, with the
    means and stds from job 1 as literals (a handful of scalars);
-3. one distinct count for full-row duplicates (exact; shuffles whole rows).
+3. one duplicate count: a row-hash pre-aggregate, then exact whole-row
+   grouping of the candidate rows only.
 
 Only these bounded scalars reach the driver.  Results come back as a report
 dict (the reference's shape) and as a DataFrame of check rows.
@@ -131,17 +132,30 @@ def null_profile(df: DataFrame) -> DataFrame:
                        "rows")
 
 
-def duplicate_count(df: DataFrame) -> int:
-    """Rows minus distinct rows (pandas ``duplicated``: first kept, nulls equal)."""
-    row = df.agg(F.count(F.lit(1)).alias("n")).first()
-    return int(row["n"]) - df.distinct().count()
+def duplicate_frame(df: DataFrame) -> DataFrame:
+    """One row (rows, distinct_rows, duplicate_rows), exact.
+
+    pandas ``duplicated``: first occurrence kept, NULLs equal.  Pass 1 shuffles
+    only (row hash, count) partial aggregates; rows whose hash occurs once
+    cannot be duplicates.  Only candidate rows (hash seen more than once) go
+    through the exact whole-row grouping, so a hash collision can only add a
+    candidate, never a wrong count.
+    """
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    hashed = df.withColumn("_h", F.xxhash64(*cols))
+    per_hash = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+    rows = per_hash.select(F.sum("_n")).scalar()
+    cand = per_hash.where(F.col("_n") > 1).select("_h")
+    exact = (hashed.join(cand, "_h", "left_semi").groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+             .select(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("dups")))
+    return exact.select(F.coalesce(rows, F.lit(0)).alias("rows"),
+                        (F.coalesce(rows, F.lit(0)) - F.col("dups")).alias("distinct_rows"),
+                        F.col("dups").alias("duplicate_rows"))
 
 
-def duplicate_frame(df: DataFrame) -> DataFrame:
-    """A13 as a DataFrame: one row (rows, distinct_rows, duplicate_rows)."""
-    g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
-    return g.agg(F.sum("_c").alias("rows"), F.count(F.lit(1)).alias("distinct_rows"),
-                 (F.sum("_c") - F.count(F.lit(1))).alias("duplicate_rows"))
+def duplicate_count(df: DataFrame) -> int:
+    """A13 as a number."""
+    return int(duplicate_frame(df).first()["duplicate_rows"])
 
 
 class DataQualityValidator:

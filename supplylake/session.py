@@ -39,6 +39,28 @@ def get_session(master: str | None = None, app: str = "supplylake",
     return spark
 
 
+def scale_conf(total_cores: int = 8000) -> dict:
+    """Settings this library is planned for on a large cluster (100 TB input).
+
+    Shuffle partitions start high and AQE coalesces them toward the advisory
+    size, so no stage is forced into a few huge tasks; skewed join partitions
+    are split; broadcast stays on a measured threshold.
+    """
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.shuffle.partitions": str(max(2 * total_cores, 200)),
+        "spark.sql.files.maxPartitionBytes": "512m",
+        "spark.sql.parquet.aggregatePushdown": "true",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session; set one only if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)

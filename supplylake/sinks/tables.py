@@ -82,9 +82,10 @@ def table_fingerprint(df: DataFrame, with_hash: bool = True) -> DataFrame:
     h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast(T.DecimalType(38, 0))
     base = df.agg(F.count(F.lit(1)).alias("total_rows"), F.sum(nulls).alias("null_count"),
                   F.sum(h).cast("string").alias("data_hash"))
-    distinct = df.distinct().select(F.count(F.lit(1))).scalar()
+    from ..operators.quality import duplicate_frame
+    dups = duplicate_frame(df).select("duplicate_rows").scalar()
     out = base.select("total_rows", F.coalesce("null_count", F.lit(0)).alias("null_count"),
-                      (F.col("total_rows") - distinct).alias("duplicate_count"), "data_hash")
+                      dups.alias("duplicate_count"), "data_hash")
     return out if with_hash else out.drop("data_hash")
 
 
