@@ -23,20 +23,9 @@ QUERIES: dict[str, Builder] = {}
 ORACLE: dict[str, str] = {}
 
 
-def _fast_build(fn: Builder) -> Builder:
-    """Skip PySpark's per-Column Python call-site capture while building the
-    plan (a runtime option; plans and results are unchanged)."""
-    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.python.sql.dataFrameDebugging.enabled", "false")
-        return fn(spark, sf_dir)
-    build.__name__ = getattr(fn, "__name__", "build")
-    build.__doc__ = fn.__doc__
-    return build
-
-
 def register(name: str, sql: str | None = None):
     def deco(fn: Builder) -> Builder:
-        QUERIES[name] = _fast_build(fn)
+        QUERIES[name] = fn
         if sql is not None:
             ORACLE[name] = sql
         return fn
