@@ -3,9 +3,9 @@
 Everything is computed as aggregates over the frame, reshaped into long
 ``(column, ...)`` form with ``stack``/``unpivot``.  Multi-column statistics
 are one wide aggregate (one scan), never one job per column.  Quantiles are
-Spark's exact ``percentile`` (linear interpolation, as pandas); they keep a
-value->count map per group, which suits summary-grain tables (one row per
-vendor x brand).  Pass ``approx=True`` for raw transaction scale.
+exact with linear interpolation (as pandas) and come from the distributed
+sort in ``quantiles`` -- no column or group is merged in a single task.
+``approx=True`` switches to ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from ..functions.semantics import (
     clip_keep_null, cut_right, nan_to_null, round_ieee,
 )
 from ..session import checkpoint_root
+from .quantiles import quantiles, quantiles_long
 
 # The notebook's outlier-removal columns (order matters: the
 # bounds of each are computed on the frame already filtered by the previous).
@@ -86,28 +87,37 @@ def min_check(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # ---------------------------------------------------------------- describe / quantiles
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
-    """Count, mean, std, min, 25/50/75 %, max per numeric column, one scan."""
+    """Count, mean, std, min, 25/50/75 %, max per numeric column: one
+    wide aggregate plus one distributed quantile sort over all columns."""
     cols = list(cols or numeric_columns(df))
     aggs = []
     for i, c in enumerate(cols):
         v = _v(c)
-        q = _quantiles(v, [0.25, 0.5, 0.75], approx)
         aggs += [F.count(v).alias(f"count_{i}"), F.avg(v).alias(f"mean_{i}"),
                  F.stddev_samp(v).alias(f"std_{i}"), F.min(v).alias(f"min_{i}"),
-                 q[0].alias(f"q25_{i}"), q[1].alias(f"q50_{i}"), q[2].alias(f"q75_{i}"),
                  F.max(v).alias(f"max_{i}")]
-    return _long(df.agg(*aggs), cols,
-                 ["count", "mean", "std", "min", "q25", "q50", "q75", "max"])
+    moments = _long(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
+    q = _column_quantiles(df, cols, [0.25, 0.5, 0.75], ["q25", "q50", "q75"], approx)
+    return (moments.join(q, "column", "left")
+            .select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"))
+
+
+def _column_quantiles(df: DataFrame, cols: Sequence[str], probs, names, approx: bool) -> DataFrame:
+    """(column, <names>) for every column: exact distributed sort, or
+    ``percentile_approx`` when ``approx``."""
+    if not approx:
+        return quantiles_long(df.select(*[_v(c).alias(c) for c in cols]), cols, probs, names).drop("n")
+    aggs = []
+    for i, c in enumerate(cols):
+        q = _quantiles(_v(c), probs, True)
+        aggs += [q[j].alias(f"{n}_{i}") for j, n in enumerate(names)]
+    return _long(df.agg(*aggs), cols, list(names))
 
 
 def iqr_bounds(df: DataFrame, cols: Sequence[str], factor: float = 3.0,
                approx: bool = False) -> DataFrame:
     """A16 + X1: Q1, Q3, IQR and the fences Q1 - f*IQR, Q3 + f*IQR per column."""
-    aggs = []
-    for i, c in enumerate(cols):
-        q = _quantiles(_v(c), [0.25, 0.75], approx)
-        aggs += [q[0].alias(f"q1_{i}"), q[1].alias(f"q3_{i}")]
-    long = _long(df.agg(*aggs), cols, ["q1", "q3"])
+    long = _column_quantiles(df, cols, [0.25, 0.75], ["q1", "q3"], approx)
     iqr = F.col("q3") - F.col("q1")
     return long.select("column", "q1", "q3", iqr.alias("iqr"),
                        (F.col("q1") - F.lit(float(factor)) * iqr).alias("lower"),
@@ -124,7 +134,11 @@ def materialize(df: DataFrame) -> DataFrame:
 def remove_outliers_iqr(df: DataFrame, column: str, factor: float = 3.0,
                         approx: bool = False) -> DataFrame:
     """X1 applied: keep rows with lower <= x <= upper (NULL rows drop)."""
-    q = df.select(_quantiles(_v(column), [0.25, 0.75], approx).alias("q")).first()["q"]
+    if approx:
+        q = df.select(_quantiles(_v(column), [0.25, 0.75], True).alias("q")).first()["q"]
+    else:
+        row = quantiles(df, _v(column), [0.25, 0.75], names=["q1", "q3"]).first()
+        q = None if row is None else (row["q1"], row["q3"])
     if q is None or q[0] is None:
         return df.where(F.lit(False))
     q1, q3 = float(q[0]), float(q[1])
@@ -185,12 +199,14 @@ def margin_tiers(df: DataFrame) -> DataFrame:
     """Per tier count(Brand), mean PurchasePrice, median Volume, mean
     ProfitMargin, mean StockTurnover, rounded 2; empty tiers listed with 0."""
     t = profit_tiers(df) if "MarginTier" not in df.columns else df
-    g = t.where(F.col("MarginTier").isNotNull()).groupBy("MarginTier").agg(
+    tt = t.where(F.col("MarginTier").isNotNull())
+    g = tt.groupBy("MarginTier").agg(
         F.count("Brand").alias("Brand"),
         F.avg(_v("PurchasePrice")).alias("PurchasePrice"),
-        F.median(_v("Volume")).alias("Volume"),
         F.avg(_v("ProfitMargin")).alias("ProfitMargin"),
         F.avg(_v("StockTurnover")).alias("StockTurnover"))
+    med = quantiles(tt, _v("Volume"), [0.5], ["MarginTier"], ["Volume"]).drop("n")
+    g = g.join(med, "MarginTier", "left")
     spark = df.sparkSession
     tiers = spark.createDataFrame([(i, lab) for i, lab in enumerate(MARGIN_TIER_LABELS)],
                                   "tier_order INT, MarginTier STRING")
@@ -233,9 +249,7 @@ def box_stats(df: DataFrame, cols: Sequence[str] | None = None, whisker: float =
     fences) and flier counts per column."""
     cols = list(cols or numeric_columns(df))
     long = _unpivot(df, cols).where(F.col("value").isNotNull())
-    q = long.groupBy("column").agg(_quantiles(F.col("value"), [0.25, 0.5, 0.75], approx).alias("q"))
-    q = q.select("column", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                 F.col("q")[2].alias("q3"))
+    q = _column_quantiles(df, cols, [0.25, 0.5, 0.75], ["q1", "median", "q3"], approx)
     q = q.withColumns({"lo_fence": F.col("q1") - whisker * (F.col("q3") - F.col("q1")),
                        "hi_fence": F.col("q3") + whisker * (F.col("q3") - F.col("q1"))})
     j = long.join(F.broadcast(q), "column")  # one row per column

@@ -1,8 +1,8 @@
 """Imputation and the notebook metric set.
 
 Row-wise ``apply`` fallbacks become one projection over joined medians:
-brand medians are a grouped exact ``median`` joined back on Brand, global
-medians are scalar subqueries.  No Python runs per row.
+brand medians are exact grouped quantiles joined back on Brand, global
+medians are scalar subqueries over the same operator.  No Python runs per row.
 
 Median semantics follow pandas: NULLs skipped, linear interpolation.
 ``Series.get(brand, default)`` returns a stored NaN, so a brand whose values
@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ..functions.semantics import (
     clip_keep_null, nan_to_null, round_ieee, safe_ratio, strip_ws, to_number,
 )
+from .quantiles import median_scalar, quantiles
 
 DEFAULT_VOLUME = 750.0
 DEFAULT_MARKUP = 1.5
@@ -36,10 +37,14 @@ def prepare(eda: DataFrame) -> DataFrame:
 
 
 def brand_medians(df: DataFrame) -> DataFrame:
-    """A10: per-brand exact medians of Volume and AvgSalesPrice (NULL brand dropped)."""
-    return (df.where(F.col("Brand").isNotNull()).groupBy("Brand")
-            .agg(F.median(nan_to_null("Volume")).alias("BrandVolumeMedian"),
-                 F.median(nan_to_null("AvgSalesPrice")).alias("BrandSalesPriceMedian")))
+    """A10: per-brand exact medians of Volume and AvgSalesPrice (NULL brand
+    dropped; a brand with no values keeps a NULL median).  Computed by the
+    distributed sort in ``quantiles`` so a hot brand is not one task."""
+    brands = df.where(F.col("Brand").isNotNull()).select("Brand").distinct()
+    vol = quantiles(df, nan_to_null("Volume"), [0.5], ["Brand"], ["BrandVolumeMedian"]).drop("n")
+    price = quantiles(df, nan_to_null("AvgSalesPrice"), [0.5], ["Brand"],
+                      ["BrandSalesPriceMedian"]).drop("n")
+    return brands.join(vol, "Brand", "left").join(price, "Brand", "left")
 
 
 def _valid_markup(df: DataFrame) -> DataFrame:
@@ -51,14 +56,12 @@ def _valid_markup(df: DataFrame) -> DataFrame:
 
 def brand_markup(df: DataFrame) -> DataFrame:
     """Median implied markup (avg price / reference price) per brand."""
-    return (_valid_markup(df).where(F.col("Brand").isNotNull()).groupBy("Brand")
-            .agg(F.median("ImpliedMarkup").alias("BrandMarkup")))
+    return quantiles(_valid_markup(df), "ImpliedMarkup", [0.5], ["Brand"], ["BrandMarkup"]).drop("n")
 
 
 def global_markup(df: DataFrame):
     """Global median markup as a scalar subquery; 1.5 when no valid row exists."""
-    return F.coalesce(_valid_markup(df).select(F.median("ImpliedMarkup")).scalar(),
-                      F.lit(DEFAULT_MARKUP))
+    return F.coalesce(median_scalar(_valid_markup(df), "ImpliedMarkup"), F.lit(DEFAULT_MARKUP))
 
 
 def impute(df: DataFrame) -> DataFrame:
@@ -69,8 +72,8 @@ def impute(df: DataFrame) -> DataFrame:
     the notebook.
     """
     med = brand_medians(df).withColumnRenamed("Brand", "_bkey")
-    global_vol = df.select(F.median(nan_to_null("Volume"))).scalar()
-    global_price = df.select(F.median(nan_to_null("AvgSalesPrice"))).scalar()
+    global_vol = median_scalar(df, nan_to_null("Volume"))
+    global_price = median_scalar(df, nan_to_null("AvgSalesPrice"))
     markup = global_markup(df)
     j = df.join(med, df.Brand == med._bkey, "left")
     vol = nan_to_null("Volume")
