@@ -16,6 +16,10 @@ The interpolation is Spark's ``percentile`` rule: position p = (n-1)q,
 ``(ceil-p)*lower + (p-floor)*upper`` (the lower value when both ranks hold
 equal values), so results equal the built-in exactly.  NULL and NaN values
 are skipped; rows with a NULL group key are dropped (pandas groupby).
+
+When the input is proven small (at most ``max_group_rows`` rows in total, so
+no group can be larger) the built-in ``percentile`` aggregate is used
+instead: same numbers, one aggregate instead of a sort and a join.
 """
 
 from __future__ import annotations
@@ -26,8 +30,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MAX_GROUP_ROWS = 1_000_000
+
+
 def quantiles(df: DataFrame, value, probs: Sequence[float], keys: Sequence[str] = (),
-              names: Sequence[str] | None = None) -> DataFrame:
+              names: Sequence[str] | None = None,
+              max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """One row per group: ``keys..., n, <name_i>`` for each probability."""
     keys = list(keys)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
@@ -39,7 +47,12 @@ def quantiles(df: DataFrame, value, probs: Sequence[float], keys: Sequence[str]
     cond = F.col("_v").isNotNull() & ~F.isnan("_v")
     for k in keys:
         cond = cond & F.col(k).isNotNull()
-    s = (base.where(cond).orderBy(*gk, "_v")
+    base = base.where(cond)
+    if base.limit(max_group_rows + 1).count() <= max_group_rows:
+        g = base.groupBy(*gk).agg(F.count(F.lit(1)).alias("n"),
+                                  F.percentile("_v", [float(p) for p in probs]).alias("_q"))
+        return g.select(*keys, "n", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    s = (base.orderBy(*gk, "_v")
          .withColumn("_id", F.monotonically_increasing_id())
          .withColumn("_pid", F.shiftright("_id", 33)))
     blocks = s.groupBy(*gk, "_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_id").alias("_min"))
@@ -69,14 +82,15 @@ def quantiles(df: DataFrame, value, probs: Sequence[float], keys: Sequence[str]
 
 
 def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   names: Sequence[str] | None = None) -> DataFrame:
+                   names: Sequence[str] | None = None,
+                   max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Quantiles of several columns in one sort: rows widened to
     (column, value), grouped by column."""
     long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
             .unpivot([], list(cols), "column", "value"))
-    return quantiles(long, "value", probs, ["column"], names)
+    return quantiles(long, "value", probs, ["column"], names, max_group_rows)
 
 
-def median_scalar(df: DataFrame, value):
+def median_scalar(df: DataFrame, value, max_group_rows: int = MAX_GROUP_ROWS):
     """A global exact median as a scalar-subquery Column."""
-    return quantiles(df, value, [0.5], names=["m"]).select("m").scalar()
+    return quantiles(df, value, [0.5], names=["m"], max_group_rows=max_group_rows).select("m").scalar()

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from supplylake.operators.quantiles import median_scalar, quantiles
 
 
-def test_grouped_and_global_match_percentile(spark):
+import pytest
+
+
+@pytest.mark.parametrize("bound", [0, 10**6])  # 0 forces the distributed sort path
+def test_grouped_and_global_match_percentile(spark, bound):
     random.seed(7)
     rows = []
     for _ in range(6000):
@@ -18,11 +22,11 @@ def test_grouped_and_global_match_percentile(spark):
     df = spark.createDataFrame(rows, "g STRING, v DOUBLE").repartition(12)
     ps = [0.1, 0.25, 0.5, 0.75, 0.99]
     names = [f"q{i}" for i in range(len(ps))]
-    got = {r["g"]: [r[n] for n in names] for r in quantiles(df, "v", ps, ["g"], names).collect()}
+    got = {r["g"]: [r[n] for n in names] for r in quantiles(df, "v", ps, ["g"], names, bound).collect()}
     want = {r["g"]: list(r["q"]) for r in df.where("g IS NOT NULL AND v IS NOT NULL")
             .groupBy("g").agg(F.percentile("v", ps).alias("q")).collect()}
     assert got == want
-    glob = quantiles(df, "v", ps, names=names).first()
+    glob = quantiles(df, "v", ps, names=names, max_group_rows=bound).first()
     assert [glob[n] for n in names] == list(df.agg(F.percentile("v", ps)).first()[0])
-    m = spark.range(1).select(median_scalar(df, "v").alias("m")).first()["m"]
+    m = spark.range(1).select(median_scalar(df, "v", bound).alias("m")).first()["m"]
     assert m == df.agg(F.median("v")).first()[0]
