@@ -725,9 +725,10 @@ def _json_envelope(spark, sf_dir):
                       F.col("user_id").cast("bigint"), "event_type", F.col("value").cast("double"), "props")
 
 
-@register("latest_file")
+@register("latest_file", "SELECT * FROM events WHERE event_type = (SELECT max(event_type) FROM events)")
 def _latest_file(spark, sf_dir):
-    """Event drops by type; the newest drop is read back (rows-only check)."""
+    """Event drops by type, written in type order; the newest file (ties:
+    greatest path) is read back -- the greatest event type."""
     ev = _events(spark, sf_dir)
     d = scratch_path(spark, "drops")
     types = sorted(r[0] for r in ev.select("event_type").distinct().collect())  # a handful of names
