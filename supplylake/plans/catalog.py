@@ -27,7 +27,7 @@ def register(name: str, sql: str | None = None):
     def deco(fn: Builder) -> Builder:
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = O.bigint_counts(sql)
         return fn
     return deco
 
