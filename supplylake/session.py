@@ -61,15 +61,22 @@ def scale_conf(total_cores: int = 8000) -> dict:
     }
 
 
+_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the session; set one only if unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared checkpoint folder the session names (``spark.checkpoint.dir``,
+    else the context's checkpoint folder).  Only when neither exists, as in
+    local tests, a private folder is created and registered."""
+    app = spark.sparkContext.applicationId
+    root = spark.conf.get("spark.checkpoint.dir", None) or _ROOTS.get(app)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="supplylake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(root)
+    _ROOTS[app] = root
     return root.rstrip("/")
 
 
