@@ -121,6 +121,29 @@ def start_streams(spark: SparkSession, specs: list[SourceSpec], schemas: dict,
     return qs
 
 
+def retry(max_attempts: int = 3, delay: float = 2.0, backoff: float = 2.0,
+          exceptions: tuple = (Exception,)):
+    """R7 for driver-side actions (external writes, catalog calls); task
+    failures inside a job are already retried by Spark."""
+    import functools
+    import time
+
+    def deco(fn):
+        @functools.wraps(fn)
+        def run(*a, **kw):
+            wait = delay
+            for attempt in range(1, max_attempts + 1):
+                try:
+                    return fn(*a, **kw)
+                except exceptions:
+                    if attempt == max_attempts:
+                        raise
+                    time.sleep(wait)
+                    wait *= backoff
+        return run
+    return deco
+
+
 def vendor_summary_job(spark: SparkSession, sf_dir: str, output: str = "db",
                        table_path: str | None = None, csv_dir: str | None = None,
                        dry_run: bool = False) -> DataFrame:

@@ -108,20 +108,51 @@ def normalise_null_tokens(df: DataFrame, tokens=NULL_TOKENS) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
+def numeric_text_columns(df: DataFrame) -> dict[str, str]:
+    """Text columns whose non-NULL values all parse as numbers, with the type
+    pandas would give them: ``bigint`` when every value is integral and none
+    is missing, else ``double``.  One aggregate over the text columns."""
+    from ..functions.semantics import to_number
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not texts:
+        return {}
+    aggs = []
+    for i, c in enumerate(texts):
+        col, num = F.col(f"`{c}`"), to_number(F.col(f"`{c}`"))
+        aggs += [F.count_if(col.isNotNull() & num.isNull()).alias(f"bad{i}"),
+                 F.count_if(col.isNotNull()).alias(f"n{i}"),
+                 F.count_if(col.isNull()).alias(f"null{i}"),
+                 F.count_if(num.isNotNull() & (num != F.floor(num))).alias(f"frac{i}")]
+    r = df.agg(*aggs).first()
+    out = {}
+    for i, c in enumerate(texts):
+        if r[f"n{i}"] > 0 and r[f"bad{i}"] == 0:
+            out[c] = "bigint" if r[f"null{i}"] == 0 and r[f"frac{i}"] == 0 else "double"
+    return out
+
+
 def load_csv(spark: SparkSession, path: str, encoding: str = "UTF-8",
              infer_schema: bool = True, schema: T.StructType | str | None = None,
-             null_tokens=NULL_TOKENS) -> DataFrame:
+             null_tokens=NULL_TOKENS, numeric_text: bool = True) -> DataFrame:
     """Header CSV with inferred (or given) schema and encoding.
 
     Surrounding whitespace in text is kept (pandas keeps it too); missing
-    tokens become NULL.  For very large inputs pass ``schema`` to skip the
-    inference pass.
+    tokens become NULL.  With inference, a text column whose remaining
+    values are all numbers (e.g. a numeric column holding 'NA') is cast to a
+    number, as pandas would type it.  For very large inputs pass ``schema``
+    to skip the inference passes.
     """
     r = (spark.read.option("header", True).option("encoding", encoding)
          .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
          .option("ignoreTrailingWhiteSpace", False))
     r = r.schema(schema) if schema is not None else r.option("inferSchema", infer_schema)
-    return normalise_null_tokens(r.csv(path), null_tokens)
+    df = normalise_null_tokens(r.csv(path), null_tokens)
+    if schema is None and infer_schema and numeric_text:
+        from ..functions.semantics import to_number
+        casts = numeric_text_columns(df)
+        if casts:
+            df = df.withColumns({c: to_number(F.col(f"`{c}`")).cast(t) for c, t in casts.items()})
+    return df
 
 
 def write_csv(df: DataFrame, path: str) -> str:

@@ -60,3 +60,34 @@ def test_watermark_dedupe(spark):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     assert sorted(r["event_id"] for r in spark.table(name).collect()) == [1, 2]
+
+
+def test_csv_numeric_text_and_tokens(spark):
+    p = scratch_path(spark, "csv_tokens")
+    rows = [("1", "2.5", " x "), ("NA", "3", "y"), ("3", "n/a", "")]
+    spark.createDataFrame(rows, "a STRING, b STRING, c STRING").coalesce(1).write.option("header", True).csv(p)
+    df = FS.load_csv(spark, p)
+    types = dict(df.dtypes)
+    assert types["a"] == "double" and types["b"] == "double" and types["c"] == "string"
+    got = sorted((r["a"] is None, r["b"]) for r in df.collect() if r["b"] is not None)
+    assert got == [(False, 2.5), (True, 3.0)]
+
+
+def test_retry_and_report(spark):
+    from supplylake.plans.jobs import retry
+    from supplylake.sinks import loading as LD
+    calls = []
+
+    @retry(max_attempts=3, delay=0.01)
+    def flaky():
+        calls.append(1)
+        if len(calls) < 3:
+            raise IOError("transient")
+        return "ok"
+    assert flaky() == "ok" and len(calls) == 3
+    res = spark.createDataFrame([("a.csv", "a", 3, 3, "success"), ("b.csv", "b", 0, 0, "failed")],
+                                "file STRING, table STRING, total_rows LONG, inserted_rows LONG, status STRING")
+    rep = LD.load_report(res).first()
+    assert (rep["total_files"], rep["successful"], rep["failed"], rep["total_rows_inserted"]) == (2, 1, 1, 3)
+    out = LD.write_report(LD.load_report(res), res, scratch_path(spark, "reports"))
+    assert spark.read.json(out + "/details").count() == 2
