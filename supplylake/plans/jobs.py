@@ -159,3 +159,36 @@ def vendor_summary_job(spark: SparkSession, sf_dir: str, output: str = "db",
     if output in ("csv", "both"):
         export_csv(df, csv_dir)
     return df
+
+
+def run_batch(spark: SparkSession, sf_dir: str, out_root: str) -> dict[str, str]:
+    """The reference's batch stages in order, each stage writing a table the
+    next one reads: summary -> quality report -> feature table; EDA summary
+    -> imputed notebook table -> outlier-filtered analysis outputs.
+    Returns stage name -> path."""
+    from ..operators import explore as EX
+    from ..operators import features as FE
+    from ..operators import impute as IM
+    from ..operators import quality as DQ
+    from .tables import stored_star
+
+    root = out_root.rstrip("/")
+    paths = {}
+
+    def save(name: str, df: DataFrame) -> DataFrame:
+        paths[name] = write_table(df, f"{root}/{name}", "replace")
+        return spark.read.parquet(paths[name])
+
+    star = stored_star(spark, sf_dir)
+    summary = save("vendor_sales_summary", S.vendor_summary(star, ordered=False))
+    save("data_quality_report", DQ.DataQualityValidator().check_frame(spark, summary))
+    save("ml_feature_store", FE.build_features(summary))
+    eda = save("eda_summary", S.eda_summary(star, ordered=False))
+    table = save("vendor_sales_summary_typed", IM.typed(IM.eda_clean(eda)))
+    clean = EX.log_prices(EX.iqr_filter(table, materialize_input=False))
+    clean = save("analysis_clean", EX.profit_tiers(EX.volume_categories(clean)))
+    save("analysis_describe", EX.describe(table))
+    save("analysis_margin_tiers", EX.margin_tiers(clean))
+    save("analysis_correlation", EX.corr_matrix(clean))
+    save("analysis_normality", EX.normality(clean))
+    return paths

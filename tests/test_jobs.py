@@ -91,3 +91,12 @@ def test_retry_and_report(spark):
     assert (rep["total_files"], rep["successful"], rep["failed"], rep["total_rows_inserted"]) == (2, 1, 1, 3)
     out = LD.write_report(LD.load_report(res), res, scratch_path(spark, "reports"))
     assert spark.read.json(out + "/details").count() == 2
+
+
+def test_run_batch(spark):
+    from supplylake.plans.jobs import run_batch
+    paths = run_batch(spark, SF_SMALL, scratch_path(spark, "batch"))
+    assert spark.read.parquet(paths["ml_feature_store"]).count() == \
+        spark.read.parquet(paths["vendor_sales_summary"]).count()
+    assert spark.read.parquet(paths["analysis_margin_tiers"]).count() == 3
+    assert spark.read.parquet(paths["data_quality_report"]).count() > 10
