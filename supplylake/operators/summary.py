@@ -46,12 +46,23 @@ def freight_summary(vendor_invoice: DataFrame, name: str = "FreightCost",
     return vi.groupBy("VendorNumber").agg(F.sum("Freight").alias(name))
 
 
-def purchase_summary(star: Star) -> DataFrame:
+def _names(collation: str | None):
+    """Text group keys, optionally under a collation (e.g. ``UTF8_LCASE``
+    merges case variants the way a case-insensitive database column does).
+    Default: binary comparison (SURVEY §8.16)."""
+    if collation is None:
+        return [F.col("VendorName"), F.col("Description")]
+    return [F.collate("VendorName", collation).alias("VendorName"),
+            F.collate("Description", collation).alias("Description")]
+
+
+def purchase_summary(star: Star, collation: str | None = None) -> DataFrame:
     """A2 + J1: purchases x price list on Brand only, grouped by 7 columns."""
     pp = bounded_broadcast(star.purchase_prices.select(
         "Brand", F.col("Price").alias("ActualPrice"), "Volume"))
+    name, desc = _names(collation)
     return (star.purchases.where(F.col("PurchasePrice") > 0)
-            .select("VendorNumber", "VendorName", "Brand", "Description",
+            .select("VendorNumber", name, "Brand", desc,
                     "PurchasePrice", "Quantity", "Dollars")
             .join(pp, "Brand")
             .groupBy("VendorNumber", "VendorName", "Brand", "Description",
@@ -86,9 +97,9 @@ MEASURES = [c for c in RAW_COLUMNS if c not in
             ("VendorNumber", "VendorName", "Brand", "Description", "Volume")]
 
 
-def vendor_summary_raw(star: Star, ordered: bool = True) -> DataFrame:
+def vendor_summary_raw(star: Star, ordered: bool = True, collation: str | None = None) -> DataFrame:
     """M0: the core 14-column summary (purchase x sales x freight)."""
-    ps = purchase_summary(star)
+    ps = purchase_summary(star, collation)
     ss = sales_summary(star.sales, "sum")
     fs = freight_summary(star.vendor_invoice)
     j = (ps.join(ss, (ps.VendorNumber == ss.VendorNo) & (ps.Brand == ss.Brand), "left")
@@ -125,9 +136,9 @@ def add_summary_metrics(df: DataFrame) -> DataFrame:
     })
 
 
-def vendor_summary(star: Star, ordered: bool = True) -> DataFrame:
+def vendor_summary(star: Star, ordered: bool = True, collation: str | None = None) -> DataFrame:
     """The flagship: cleaned core summary with derived metrics (20 columns)."""
-    return add_summary_metrics(clean_summary(vendor_summary_raw(star, ordered)))
+    return add_summary_metrics(clean_summary(vendor_summary_raw(star, ordered, collation)))
 
 
 # ---------------------------------------------------------------- vendor shares

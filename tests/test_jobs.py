@@ -100,3 +100,20 @@ def test_run_batch(spark):
         spark.read.parquet(paths["vendor_sales_summary"]).count()
     assert spark.read.parquet(paths["analysis_margin_tiers"]).count() == 3
     assert spark.read.parquet(paths["data_quality_report"]).count() > 10
+
+
+def test_case_insensitive_grouping_option(spark):
+    from decimal import Decimal
+
+    from supplylake.operators.summary import purchase_summary
+    from supplylake.sources.star import Star
+    p = spark.createDataFrame(
+        [(1, "Acme", 5, "Gin", Decimal("2.0000"), 3, Decimal("6.0000")),
+         (1, "ACME", 5, "gin", Decimal("2.0000"), 1, Decimal("2.0000"))],
+        "VendorNumber BIGINT, VendorName STRING, Brand BIGINT, Description STRING, "
+        "PurchasePrice DECIMAL(14,4), Quantity BIGINT, Dollars DECIMAL(14,4)")
+    pp = spark.createDataFrame([(5, Decimal("3.0000"), "750")], "Brand BIGINT, Price DECIMAL(14,4), Volume STRING")
+    star = Star(purchases=p, sales=None, purchase_prices=pp, vendor_invoice=None)
+    assert purchase_summary(star).count() == 2
+    rows = purchase_summary(star, "UTF8_LCASE").collect()
+    assert len(rows) == 1 and rows[0]["TotalPurchaseQuantity"] == 4
