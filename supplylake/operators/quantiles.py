@@ -29,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import rows_at_most
+
 
 MAX_GROUP_ROWS = 1_000_000
 
@@ -48,7 +50,7 @@ def quantiles(df: DataFrame, value, probs: Sequence[float], keys: Sequence[str]
     for k in keys:
         cond = cond & F.col(k).isNotNull()
     base = base.where(cond)
-    if base.limit(max_group_rows + 1).count() <= max_group_rows:
+    if rows_at_most(base, max_group_rows):
         g = base.groupBy(*gk).agg(F.count(F.lit(1)).alias("n"),
                                   F.percentile("_v", [float(p) for p in probs]).alias("_q"))
         return g.select(*keys, "n", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
