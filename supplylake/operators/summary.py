@@ -224,15 +224,23 @@ def brand_purchases(star: Star, since=DEFAULT_SINCE) -> DataFrame:
          .select("VendorNumber", "VendorName", "Brand", "Description", "Quantity",
                  "Dollars", "PONumber", "ReceivingDate")
          .join(pp, ["Brand", "VendorNumber"], "left"))
-    g = p.groupBy("VendorNumber", "VendorName", "Brand").agg(
-        F.min("Description").alias("MostCommonDescription"),
+    keys = ["VendorNumber", "VendorName", "Brand"]
+    # Numeric aggregates stay in a hash aggregate; ``min`` over text would
+    # force a sort-based aggregate over every purchase row, so the text
+    # minima are taken over the distinct (key, text) combinations instead.
+    nums = p.groupBy(*keys).agg(
         F.sum("Dollars").alias("_dollars"),
         F.sum("Quantity").alias("TotalPurchaseQty"),
         F.min("_ref_price").alias("_ref"),
-        F.min("Volume").alias("VolumeML"),
         F.count_distinct("PONumber").alias("DistinctPOs"),
         F.max("ReceivingDate").alias("LastReceiptDate"),
     )
+    texts = (p.select(*keys, "Description", "Volume").distinct()
+             .groupBy(*keys).agg(F.min("Description").alias("MostCommonDescription"),
+                                 F.min("Volume").alias("VolumeML")))
+    g = nums.join(texts, [nums[k].eqNullSafe(texts[k]) for k in keys]).select(
+        *[nums[k] for k in keys], "MostCommonDescription", "VolumeML", "_dollars",
+        "TotalPurchaseQty", "_ref", "DistinctPOs", "LastReceiptDate")
     qty = F.col("TotalPurchaseQty").cast("double")
     return g.select(
         "VendorNumber", "VendorName", "Brand", "MostCommonDescription",
