@@ -123,3 +123,19 @@ def test_audit_and_catalog_helpers(spark):
     assert FS.table_definition(df).startswith("struct<")
     nan = spark.createDataFrame([(float("nan"),)], "x DOUBLE")
     assert TB.nan_to_null_all(nan).first()[0] is None
+
+
+def test_continuous_trigger_picks_up_new_drops(spark):
+    src, target, ckpt = (scratch_path(spark, n) for n in ("c_src", "c_tgt", "c_ckpt"))
+    df = frame(spark, ROWS)
+    df.where("event_id <= 2").write.mode("append").parquet(src)
+    q = ST.run_stream(spark, src, df.schema, target, ckpt, mode="upsert",
+                      key=["user_id"], order=["ts", "event_id"], once=False, interval="1 second")
+    try:
+        q.processAllAvailable()
+        df.where("event_id > 2").write.mode("append").parquet(src)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r["user_id"]: r["event_id"] for r in ST.read_target(spark, target, df.columns).collect()}
+    assert got == {7: 4, 8: 3}
