@@ -40,14 +40,34 @@ def _incremental_batch(target: str, columns: Sequence[str], ts_col: str):
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch.select(*columns)
+        keep = F.lit(True)
         if path_exists(spark, target):
             prev = spark.read.parquet(target).where(F.col("batch_id") != batch_id)
             hwm = prev.select(F.max(ts_col)).scalar()
-            rows = rows.where(F.coalesce(F.col(ts_col) > hwm, hwm.isNull()))
-        rows.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+            keep = F.coalesce(F.col(ts_col) > hwm, hwm.isNull())
+        flagged = rows.withColumn("_keep", keep)
+        stage = f"{target}__stage/batch_id={batch_id}"
+        flagged.write.mode("overwrite").parquet(stage)  # decide once, then count and load
+        staged = spark.read.parquet(stage)
+        staged.where("_keep").drop("_keep").write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        late_log(spark, target, batch_id, staged)
     return fn
 
 
+def late_log(spark: SparkSession, target: str, batch_id: int, staged: DataFrame) -> None:
+    """R4 accounting: per micro-batch rows in / loaded / dropped as late
+    (overwritten per batch id, so replays do not double count)."""
+    stats = staged.agg(F.count(F.lit(1)).alias("rows_in"),
+                       F.count_if("_keep").alias("rows_loaded"),
+                       F.count_if(~F.col("_keep")).alias("rows_late"))
+    (stats.withColumn("batch_id", F.lit(batch_id)).withColumn("logged_at", F.current_timestamp())
+     .write.mode("overwrite").parquet(f"{target}__batches/batch={batch_id}"))
+
+
+def late_counts(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.parquet(f"{target}__batches")
+
+
 def _upsert_batch(target: str, columns: Sequence[str], key: Sequence[str], order: Sequence[str],
                   buckets: int | None):
     def fn(batch: DataFrame, batch_id: int) -> None:

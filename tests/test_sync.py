@@ -139,3 +139,15 @@ def test_continuous_trigger_picks_up_new_drops(spark):
         q.stop()
     got = {r["user_id"]: r["event_id"] for r in ST.read_target(spark, target, df.columns).collect()}
     assert got == {7: 4, 8: 3}
+
+
+def test_stream_counts_late_rows(spark):
+    src, target, ckpt = (scratch_path(spark, n) for n in ("l_src", "l_tgt", "l_ckpt"))
+    df = frame(spark, ROWS)
+    df.where("event_id <= 2").write.mode("append").parquet(src)
+    ST.run_stream(spark, src, df.schema, target, ckpt, mode="incremental", ts_col="ts")
+    df.write.mode("append").parquet(src)  # re-sends 1 and 2, adds 3 and 4
+    ST.run_stream(spark, src, df.schema, target, ckpt, mode="incremental", ts_col="ts")
+    tot = ST.late_counts(spark, target).agg(F.sum("rows_in"), F.sum("rows_loaded"), F.sum("rows_late")).first()
+    assert tuple(tot) == (6, 4, 2)
+    assert sorted(r["event_id"] for r in ST.read_target(spark, target, df.columns).collect()) == [1, 2, 3, 4]
