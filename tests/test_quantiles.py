@@ -30,3 +30,16 @@ def test_grouped_and_global_match_percentile(spark, bound):
     assert [glob[n] for n in names] == list(df.agg(F.percentile("v", ps)).first()[0])
     m = spark.range(1).select(median_scalar(df, "v", bound).alias("m")).first()["m"]
     assert m == df.agg(F.median("v")).first()[0]
+
+
+def test_distributed_path_on_test_tables(spark):
+    from tests.conftest import SF_SMALL
+    from supplylake.plans.tables import stored_star
+    sales = stored_star(spark, SF_SMALL).sales
+    ps = [0.25, 0.5, 0.9]
+    names = ["a", "b", "c"]
+    got = {r["VendorNo"]: [r[n] for n in names]
+           for r in quantiles(sales, "SalesPrice", ps, ["VendorNo"], names, max_group_rows=0).collect()}
+    want = {r["VendorNo"]: list(r["q"]) for r in sales.groupBy("VendorNo")
+            .agg(F.percentile(F.col("SalesPrice").cast("double"), ps).alias("q")).collect()}
+    assert got == want
