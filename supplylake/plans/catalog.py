@@ -195,11 +195,6 @@ def _features_all(spark, sf_dir):
     return _feature_view(FE.build_features(_summary(spark, sf_dir)), ALL_FEATURES)
 
 
-@register("numeric_features")
-def _numeric_features(spark, sf_dir):
-    return FE.numeric_features(FE.build_features(_summary(spark, sf_dir)))
-
-
 # ------------------------------------------------------------------ data quality
 
 @register("dq_nulls", O.dq_nulls_sql())
@@ -903,9 +898,6 @@ def _numeric_features_sql():
     return f"SELECT {', '.join(cols)} FROM ({inner}) f"
 
 
-QUERIES.pop("numeric_features", None)
-
-
 @register("numeric_features", _numeric_features_sql())
 def _numeric_features_q(spark, sf_dir):
     num = FE.numeric_features(FE.build_features(_summary(spark, sf_dir)))
