@@ -151,3 +151,19 @@ def test_stream_counts_late_rows(spark):
     tot = ST.late_counts(spark, target).agg(F.sum("rows_in"), F.sum("rows_loaded"), F.sum("rows_late")).first()
     assert tuple(tot) == (6, 4, 2)
     assert sorted(r["event_id"] for r in ST.read_target(spark, target, df.columns).collect()) == [1, 2, 3, 4]
+
+
+def test_start_streams_one_per_enabled_source(spark):
+    from supplylake.plans.jobs import SourceSpec, start_streams
+    df = frame(spark, ROWS)
+    a, b = scratch_path(spark, "ss_a"), scratch_path(spark, "ss_b")
+    df.write.parquet(a)
+    df.write.parquet(b)
+    ta, tb = scratch_path(spark, "ss_ta"), scratch_path(spark, "ss_tb")
+    specs = [SourceSpec("a", "parquet", a, ta, "upsert", primary_key=["user_id"], order_by=["ts", "event_id"]),
+             SourceSpec("b", "parquet", b, tb, "full"),
+             SourceSpec("c", "parquet", b, scratch_path(spark, "ss_tc"), enabled=False)]
+    qs = start_streams(spark, specs, {"a": df.schema, "b": df.schema}, scratch_path(spark, "ss_ck"), once=True)
+    assert len(qs) == 2
+    assert ST.read_target(spark, ta, df.columns).count() == 2
+    assert ST.read_target(spark, tb, df.columns).count() == 4
