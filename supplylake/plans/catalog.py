@@ -920,3 +920,47 @@ SALES_COLS = ["InventoryId", "Store", "Brand", "VendorNo", "SalesQuantity", "Sal
 def _dq_report_sales(spark, sf_dir):
     s = stored_star(spark, sf_dir).sales
     return DQ.DataQualityValidator().check_frame(spark, s, "sales").select("check", "passed")
+
+
+@register("csv_export", O.q(O.SUMMARY_CLEAN, "SELECT * FROM vendor_summary"))
+def _csv_export(spark, sf_dir):
+    """K5: export with a timestamped name, read back with the summary schema."""
+    df = _summary(spark, sf_dir)
+    path = TB.export_csv(df, scratch_path(spark, "exports"))
+    return spark.read.option("header", True).schema(df.schema).csv(path)
+
+
+@register("summary_job", O.q(O.SUMMARY_CLEAN, "SELECT * FROM vendor_summary"))
+def _summary_job(spark, sf_dir):
+    """K6: output switch 'both' (table + CSV); the table is read back."""
+    from .jobs import vendor_summary_job
+    path = TB.table_path(spark, "vendor_sales_summary_job")
+    vendor_summary_job(spark, sf_dir, output="both", table_path=path,
+                       csv_dir=scratch_path(spark, "job_exports"))
+    return spark.read.parquet(path)
+
+
+EVENTS_PROFILE = {
+    "events": {
+        "required_columns": ["event_id", "ts", "user_id", "event_type", "value"],
+        "numeric_columns": ["event_id", "user_id", "value"],
+        "non_nullable": ["event_id", "event_type"],
+        "unique_keys": ["event_id"],
+        "range_checks": {"value": {"min": 0, "max": 50}},
+        "null_threshold": 0.01,
+    }
+}
+
+
+def _dq_custom_sql():
+    base = O.dq_checks_sql([("ev", "SELECT * FROM events")], "ev", EV_COLS, {"value"},
+                           EVENTS_PROFILE["events"])
+    return base + ("\nUNION ALL\nSELECT 'unique_keys', count(*) = 0 FROM "
+                   "(SELECT event_id FROM ev GROUP BY event_id HAVING count(*) > 1) d")
+
+
+@register("dq_custom", _dq_custom_sql())
+def _dq_custom(spark, sf_dir):
+    """A user profile (with unique_keys) over the events table."""
+    v = DQ.DataQualityValidator(EVENTS_PROFILE)
+    return v.check_frame(spark, _events(spark, sf_dir), "events").select("check", "passed")
