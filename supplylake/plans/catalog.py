@@ -964,3 +964,33 @@ def _dq_custom(spark, sf_dir):
     """A user profile (with unique_keys) over the events table."""
     v = DQ.DataQualityValidator(EVENTS_PROFILE)
     return v.check_frame(spark, _events(spark, sf_dir), "events").select("check", "passed")
+
+
+@register("multi_source_sync", O.q(O.STAR, """
+SELECT 'events_parquet' AS source_name, CAST(1 AS BIGINT) AS total_syncs, CAST(1 AS BIGINT) AS successful_syncs,
+       CAST(0 AS BIGINT) AS failed_syncs, (SELECT count(*) FROM events) AS total_rows_processed
+UNION ALL SELECT 'events_json', 1, 1, 0, (SELECT count(*) FROM events)
+UNION ALL SELECT 'purchases_csv', 1, 1, 0, (SELECT count(*) FROM purchases)
+UNION ALL SELECT 'missing_drop', 1, 0, 1, 0"""))
+def _multi_source_sync(spark, sf_dir):
+    """R1 one pass + R2 + R5 + R6 + U3: sources of three formats synced with
+    their own modes; a disabled source is skipped, a missing one fails alone."""
+    from .jobs import SourceSpec, run_pipeline
+    ev = _events(spark, sf_dir)
+    land = scratch_path(spark, "landing_multi")
+    ev.write.parquet(f"{land}/events_parquet")
+    ev.write.option("timestampNTZFormat", FS.TS_MICROS).json(f"{land}/events_json")
+    FS.write_csv(stored_star(spark, sf_dir).purchases, f"{land}/purchases_csv")
+    tgt = scratch_path(spark, "targets_multi")
+    specs = [
+        SourceSpec("events_parquet", "parquet", f"{land}/events_parquet", f"{tgt}/events_a",
+                   "upsert", primary_key=["event_id"], order_by=["ts"]),
+        SourceSpec("events_json", "json", f"{land}/events_json", f"{tgt}/events_b",
+                   "incremental", timestamp_col="ts", options={"schema": EVENTS_DDL}),
+        SourceSpec("purchases_csv", "csv", f"{land}/purchases_csv", f"{tgt}/purchases", "full"),
+        SourceSpec("missing_drop", "parquet", f"{land}/not_there", f"{tgt}/never", "full"),
+        SourceSpec("switched_off", "parquet", f"{land}/events_parquet", f"{tgt}/off", enabled=False),
+    ]
+    hist = f"{tgt}/sync_history"
+    run_pipeline(spark, specs, hist)
+    return SY.sync_status(spark.read.parquet(hist)).drop("last_sync")
