@@ -89,6 +89,12 @@ def run_stream(spark: SparkSession, source_dir: str, schema: T.StructType, targe
     """Start (and with ``once`` drain with ``availableNow``) one source stream."""
     columns = [f.name for f in schema.fields]
     reader = spark.readStream.schema(schema).format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True).option("ignoreTrailingWhiteSpace", False) \
+                       .option("ignoreLeadingWhiteSpace", False)
+    if fmt in ("json", "csv"):
+        from ..sources.files import TS_MICROS
+        reader = reader.option("timestampNTZFormat", TS_MICROS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     stream = reader.load(source_dir)

@@ -167,3 +167,16 @@ def test_start_streams_one_per_enabled_source(spark):
     assert len(qs) == 2
     assert ST.read_target(spark, ta, df.columns).count() == 2
     assert ST.read_target(spark, tb, df.columns).count() == 4
+
+
+def test_stream_from_csv_and_json_drops(spark):
+    from supplylake.sources.files import TS_MICROS, write_csv
+    df = frame(spark, ROWS)
+    c_src, j_src = scratch_path(spark, "csv_src"), scratch_path(spark, "json_src")
+    write_csv(df, c_src)
+    df.write.option("timestampNTZFormat", TS_MICROS).json(j_src)
+    for fmt, src in (("csv", c_src), ("json", j_src)):
+        tgt = scratch_path(spark, f"{fmt}_tgt")
+        ST.run_stream(spark, src, df.schema, tgt, scratch_path(spark, f"{fmt}_ck"), mode="append", fmt=fmt)
+        got = ST.read_target(spark, tgt, df.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
