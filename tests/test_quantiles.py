@@ -43,3 +43,16 @@ def test_distributed_path_on_test_tables(spark):
     want = {r["VendorNo"]: list(r["q"]) for r in sales.groupBy("VendorNo")
             .agg(F.percentile(F.col("SalesPrice").cast("double"), ps).alias("q")).collect()}
     assert got == want
+
+
+def test_approx_paths_close_to_exact(spark):
+    from supplylake.operators import explore as EX
+    df = spark.range(0, 20000).selectExpr("CAST(id AS DOUBLE) AS x", "CAST(id % 97 AS DOUBLE) AS y")
+    exact = {r["column"]: r for r in EX.describe(df).collect()}
+    approx = {r["column"]: r for r in EX.describe(df, approx=True).collect()}
+    for c in ("x", "y"):
+        for q in ("q25", "q50", "q75"):
+            assert abs(exact[c][q] - approx[c][q]) <= 0.01 * (exact[c]["max"] - exact[c]["min"])
+    b = {r["column"]: r for r in EX.iqr_bounds(df, ["x"], approx=True).collect()}
+    assert b["x"]["q1"] < b["x"]["q3"]
+    assert EX.box_stats(df, ["x", "y"], approx=True).count() == 2
