@@ -10,12 +10,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.semantics import round_ieee
+from ..operators import explore as EX
+from ..operators import features as FE
+from ..operators import impute as IM
+from ..operators import quality as DQ
 from ..operators import summary as S
-from ..sources.star import load_star  # noqa: F401
-from .tables import stage_table, stored_star
+from ..session import scratch_path
+from ..sinks import loading as LD
+from ..sinks import tables as TB
+from ..sources import files as FS
+from ..sources.star import read_table
+from ..streaming import streams as ST
+from ..streaming import sync as SY
 from . import oracle as O
+from .tables import stage_table, stored_star
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -137,11 +149,6 @@ def _vendor_brand_sums(spark, sf_dir):
 
 # ------------------------------------------------------------------ features
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from ..functions.semantics import round_ieee  # noqa: E402
-from ..operators import features as FE  # noqa: E402
-from ..operators import quality as DQ  # noqa: E402
 
 KEY7 = ["VendorNumber", "VendorName", "Brand", "Description", "PurchasePrice", "ActualPrice", "Volume"]
 FLOAT_NOISE = {"feat_vendor_avg_margin", "feat_log_sales", "feat_log_purchases",
@@ -233,8 +240,6 @@ def _dup_count(spark, sf_dir):
 
 # ------------------------------------------------------------------ imputation / notebook table
 
-from ..operators import explore as EX  # noqa: E402
-from ..operators import impute as IM  # noqa: E402
 
 EDA_KEY = ["VendorNumber", "VendorName", "Brand", "Description", "PurchasePrice"]
 MEDIAN_NOISE = {"AvgSalesPrice", "AvgSalesPrice_imputed", "BrandSalesPriceMedian", "BrandMarkup",
@@ -568,13 +573,6 @@ def _profitable_rows(spark, sf_dir):
 
 # ------------------------------------------------------------------ sources / sinks
 
-from ..session import scratch_path  # noqa: E402
-from ..sinks import loading as LD  # noqa: E402
-from ..sinks import tables as TB  # noqa: E402
-from ..sources import files as FS  # noqa: E402
-from ..sources.star import read_table  # noqa: E402
-from ..streaming import streams as ST  # noqa: E402
-from ..streaming import sync as SY  # noqa: E402
 
 PURCHASE_COLS = ["InventoryId", "Store", "Brand", "Description", "Size", "VendorNumber", "VendorName",
                  "PONumber", "PODate", "ReceivingDate", "PurchasePrice", "Quantity", "Dollars"]
