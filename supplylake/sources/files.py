@@ -294,6 +294,11 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def table_samples(tables: dict[str, DataFrame], n: int = 5) -> dict[str, DataFrame]:
+    """The first ``n`` rows of each table (a preview; the limit is the point)."""
+    return {name: df.limit(n) for name, df in tables.items()}
+
+
 # --------------------------------------------------------------- S13 / S15 / S16
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:

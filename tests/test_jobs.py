@@ -117,3 +117,10 @@ def test_case_insensitive_grouping_option(spark):
     assert purchase_summary(star).count() == 2
     rows = purchase_summary(star, "UTF8_LCASE").collect()
     assert len(rows) == 1 and rows[0]["TotalPurchaseQuantity"] == 4
+
+
+def test_table_samples(spark):
+    from supplylake.plans.tables import stored_star
+    s = stored_star(spark, SF_SMALL)
+    samples = FS.table_samples({"purchases": s.purchases, "sales": s.sales})
+    assert {k: v.count() for k, v in samples.items()} == {"purchases": 5, "sales": 5}
