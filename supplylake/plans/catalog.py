@@ -27,7 +27,7 @@ from ..sources.star import read_table
 from ..streaming import streams as ST
 from ..streaming import sync as SY
 from . import oracle as O
-from .tables import stage_table, stored_star
+from .tables import landed, stage_table, stored_star
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -632,20 +632,23 @@ CSV_SQL_COLS = ("InventoryId, CAST(Store AS INTEGER) AS Store, CAST(Brand AS INT
 
 @register("load_csv", O.q(O.STAR, f"SELECT {CSV_SQL_COLS} FROM purchases"))
 def _load_csv(spark, sf_dir):
-    path = scratch_path(spark, "csv/purchases")
-    FS.write_csv(stored_star(spark, sf_dir).purchases, path)
+    path = landed(spark, sf_dir, "purchases_csv",
+                  lambda p: FS.write_csv(stored_star(spark, sf_dir).purchases, p))
     return FS.load_csv(spark, path)
 
 
 def _land_star_csv(spark, sf_dir):
-    star = stored_star(spark, sf_dir)
-    d = scratch_path(spark, "landing")
-    FS.write_csv(star.purchases, f"{d}/purchases.csv")
-    FS.write_csv(star.sales, f"{d}/sales.csv")
-    FS.write_csv(star.vendor_invoice, f"{d}/vendor-invoice.csv")
-    FS.write_csv(star.purchases.limit(0), f"{d}/empty.csv")
-    star.purchase_prices.write.parquet(f"{d}/purchase_prices.parquet")
-    return d
+    """A landing folder of CSV drops derived from the star tables, plus an
+    empty drop (exercises the 'skipped' rule) and a parquet file the glob
+    must not pick up.  Made once per session."""
+    def write(d):
+        star = stored_star(spark, sf_dir)
+        FS.write_csv(star.purchases, f"{d}/purchases.csv")
+        FS.write_csv(star.sales, f"{d}/sales.csv")
+        FS.write_csv(star.vendor_invoice, f"{d}/vendor-invoice.csv")
+        FS.write_csv(star.purchases.limit(0), f"{d}/empty.csv")  # an empty drop, by design
+        star.purchase_prices.write.parquet(f"{d}/purchase_prices.parquet")
+    return landed(spark, sf_dir, "star_csv", write)
 
 
 @register("load_directory", O.q(O.STAR, """
@@ -781,9 +784,8 @@ SELECT count(*) AS total_rows, count(*) - count_if(TRY_CAST(Volume AS DOUBLE) IS
        CAST(count(*) - count_if(TRY_CAST(Volume AS DOUBLE) IS NULL) AS DOUBLE) / count(*) * 100 AS success_rate
 FROM purchase_prices"""))
 def _load_with_rejects(spark, sf_dir):
-    pp = stored_star(spark, sf_dir).purchase_prices
-    path = scratch_path(spark, "csv/purchase_prices")
-    FS.write_csv(pp, path)
+    path = landed(spark, sf_dir, "purchase_prices_csv",
+                  lambda p: FS.write_csv(stored_star(spark, sf_dir).purchase_prices, p))
     raw = FS.load_csv(spark, path, infer_schema=False)  # all text, as landed
     return LD.load_stats(raw, LOAD_SCHEMA)
 
@@ -992,3 +994,12 @@ def _multi_source_sync(spark, sf_dir):
     hist = f"{tgt}/sync_history"
     run_pipeline(spark, specs, hist)
     return SY.sync_status(spark.read.parquet(hist)).drop("last_sync")
+
+
+def land_inputs(spark, sf_dir) -> None:
+    """Derive every landing folder the load queries read (once per session)."""
+    landed(spark, sf_dir, "purchases_csv",
+           lambda p: FS.write_csv(stored_star(spark, sf_dir).purchases, p))
+    landed(spark, sf_dir, "purchase_prices_csv",
+           lambda p: FS.write_csv(stored_star(spark, sf_dir).purchase_prices, p))
+    _land_star_csv(spark, sf_dir)

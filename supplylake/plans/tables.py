@@ -41,6 +41,19 @@ def stage_table(spark: SparkSession, sf_dir: str, stage: str,
     return spark.read.parquet(path)
 
 
+def landed(spark: SparkSession, sf_dir: str, name: str,
+           write: Callable[[str], None]) -> str:
+    """A landing folder (e.g. CSV files derived from the given tables) made
+    once per application and input folder; returns its path."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), f"landing:{name}")
+    path = _PATHS.get(key)
+    if path is None:
+        path = scratch_path(spark, f"landing/{name}")
+        write(path)
+        _PATHS[key] = path
+    return path
+
+
 def stored_star(spark: SparkSession, sf_dir: str) -> Star:
     """The four star tables, derived once from the given tables and stored.
     ``vendor_invoice`` is grouped from the stored purchases table, so the
