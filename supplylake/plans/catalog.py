@@ -977,10 +977,12 @@ def _multi_source_sync(spark, sf_dir):
     their own modes; a disabled source is skipped, a missing one fails alone."""
     from .jobs import SourceSpec, run_pipeline
     ev = _events(spark, sf_dir)
-    land = scratch_path(spark, "landing_multi")
-    ev.write.parquet(f"{land}/events_parquet")
-    ev.write.option("timestampNTZFormat", FS.TS_MICROS).json(f"{land}/events_json")
-    FS.write_csv(stored_star(spark, sf_dir).purchases, f"{land}/purchases_csv")
+
+    def write(land):
+        ev.write.parquet(f"{land}/events_parquet")
+        ev.write.option("timestampNTZFormat", FS.TS_MICROS).json(f"{land}/events_json")
+        FS.write_csv(stored_star(spark, sf_dir).purchases, f"{land}/purchases_csv")
+    land = landed(spark, sf_dir, "multi_source", write)
     tgt = scratch_path(spark, "targets_multi")
     specs = [
         SourceSpec("events_parquet", "parquet", f"{land}/events_parquet", f"{tgt}/events_a",
