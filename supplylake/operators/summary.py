@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.semantics import (
-    round_ieee, safe_ratio, strip_ws, to_number,
+    nan_to_null, round_ieee, safe_ratio, strip_ws, to_number,
 )
 from ..session import bounded_broadcast
 from ..sources.star import Star
@@ -116,7 +116,7 @@ def clean_summary(raw: DataFrame) -> DataFrame:
     cols = {"Volume": F.coalesce(to_number("Volume"), F.lit(0.0))}
     for c in MEASURES:
         if c in raw.columns:
-            cols[c] = F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+            cols[c] = F.coalesce(nan_to_null(F.col(c).cast("double")), F.lit(0.0))
     for c in ("VendorName", "Description"):
         if c in raw.columns:
             cols[c] = strip_ws(c)

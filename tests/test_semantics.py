@@ -36,3 +36,24 @@ def test_strip_and_round(spark):
 def test_nan_to_null(spark):
     df = spark.createDataFrame([(float("nan"),), (1.0,)], "x DOUBLE")
     assert [r[0] for r in df.select(SM.nan_to_null("x")).collect()] == [None, 1.0]
+
+
+def test_clean_summary_edge_matrix(spark):
+    """NULL / NaN / +-inf / -0.0 measures and dirty Volume text."""
+    from supplylake.operators.summary import add_summary_metrics, clean_summary
+    nan, inf = float("nan"), float("inf")
+    vols = [" 12 ", "1d", "abc", "nan", "1,000", None, "750"]
+    sales = [None, nan, inf, -0.0, 10.0, 5.0, 0.0]
+    rows = [(1, " \tV ", 7, "d  ", 1.0, 2.0, v, 1.0, 4.0, 2.0, sd, 1.0, 0.0, None)
+            for v, sd in zip(vols, sales)]
+    schema = ("VendorNumber BIGINT, VendorName STRING, Brand BIGINT, Description STRING, "
+              "PurchasePrice DOUBLE, ActualPrice DOUBLE, Volume STRING, TotalPurchaseQuantity DOUBLE, "
+              "TotalPurchaseDollars DOUBLE, TotalSalesQuantity DOUBLE, TotalSalesDollars DOUBLE, "
+              "TotalSalesPrice DOUBLE, TotalExciseTax DOUBLE, FreightCost DOUBLE")
+    out = add_summary_metrics(clean_summary(spark.createDataFrame(rows, schema))).collect()
+    assert [r["Volume"] for r in out] == [12.0, 0.0, 0.0, 0.0, 0.0, 0.0, 750.0]
+    assert [r["TotalSalesDollars"] for r in out][:2] == [0.0, 0.0]  # NULL and NaN -> 0
+    assert out[2]["TotalSalesDollars"] == inf  # pandas fillna keeps inf
+    assert all(r["FreightCost"] == 0.0 for r in out)
+    assert all(r["VendorName"] == "V" and r["Description"] == "d" for r in out)
+    assert out[0]["ProfitMargin"] == 0.0 and out[4]["ProfitMargin"] == (10.0 - 4.0) / 10.0 * 100
