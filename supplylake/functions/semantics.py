@@ -111,8 +111,21 @@ def bool_int(pred: Column) -> Column:
 
 
 def exact_sum(c, scale: int = 4) -> Column:
-    """Order-independent sum of a DOUBLE column holding ``scale`` decimals."""
-    return F.sum(col_(c).cast(T.DecimalType(38, scale))).cast("double")
+    """Order-independent sum of a DOUBLE column holding ``scale`` decimals.
+
+    Finite values are summed as DECIMAL (exact, engine-independent); as in
+    pandas, NaN is skipped, an infinity makes the sum infinite and both
+    signs make it NaN (a DECIMAL cast of those would raise under ANSI).
+    """
+    x = col_(c).cast("double")
+    finite = ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
+    dec = F.sum(F.when(finite, x).cast(T.DecimalType(38, scale))).cast("double")
+    pos = F.max((x == F.lit(float("inf"))).cast("int")) == 1
+    neg = F.max((x == F.lit(float("-inf"))).cast("int")) == 1
+    return (F.when(pos & neg, F.lit(float("nan")))
+            .when(pos, F.lit(float("inf")))
+            .when(neg, F.lit(float("-inf")))
+            .otherwise(dec))
 
 
 def is_numeric_type(dt: T.DataType) -> bool:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.semantics import (
-    bool_int, cut_right, lower_clip, nan_to_null, safe_ratio,
+    bool_int, cut_right, exact_sum, lower_clip, nan_to_null, safe_ratio,
 )
 
 REQUIRED = [
@@ -98,8 +98,7 @@ def vendor_stats(df: DataFrame) -> DataFrame:
     return (df.where(F.col("VendorNumber").isNotNull())
             .groupBy("VendorNumber")
             .agg(F.count_distinct("Brand").alias("feat_vendor_brand_count"),
-                 F.coalesce(F.sum(F.col("TotalSalesDollars").cast(T.DecimalType(38, 4))),
-                            F.lit(0).cast(T.DecimalType(38, 4))).cast("double")
+                 F.coalesce(exact_sum("TotalSalesDollars"), F.lit(0.0))
                   .alias("feat_vendor_total_revenue"),
                  F.avg(nan_to_null("ProfitMargin")).alias("feat_vendor_avg_margin"),
                  F.count(F.lit(1)).alias("_vendor_rows")))

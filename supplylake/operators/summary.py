@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.semantics import (
-    nan_to_null, round_ieee, safe_ratio, strip_ws, to_number,
+    exact_sum, nan_to_null, round_ieee, safe_ratio, strip_ws, to_number,
 )
 from ..session import bounded_broadcast
 from ..sources.star import Star
@@ -151,7 +151,10 @@ def vendor_share(df: DataFrame, value: str, total_name: str) -> DataFrame:
     hot vendor into one task; the aggregate reduces it map-side, and the
     join-back is a plain equi-join that AQE can broadcast or split.
     """
-    exact = F.sum(F.col(value).cast(T.DecimalType(38, 4))).cast(MONEY)
+    if isinstance(df.schema[value].dataType, T.DecimalType):  # already exact: no double round trip
+        exact = F.sum(F.col(value).cast(T.DecimalType(38, 4))).cast(MONEY)
+    else:
+        exact = exact_sum(value)
     tot = (df.groupBy("VendorNumber").agg(exact.alias(total_name))
            .withColumnRenamed("VendorNumber", "_vkey"))
     return (df.join(tot, df.VendorNumber.eqNullSafe(tot._vkey), "left")

@@ -57,3 +57,11 @@ def test_clean_summary_edge_matrix(spark):
     assert all(r["FreightCost"] == 0.0 for r in out)
     assert all(r["VendorName"] == "V" and r["Description"] == "d" for r in out)
     assert out[0]["ProfitMargin"] == 0.0 and out[4]["ProfitMargin"] == (10.0 - 4.0) / 10.0 * 100
+
+
+def test_exact_sum_non_finite(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(1, 0.1), (1, 0.2), (2, inf), (2, 1.0), (3, inf), (3, -inf),
+                                (4, nan), (4, 2.5), (5, None)], "g INT, x DOUBLE")
+    got = {r["g"]: r["s"] for r in df.groupBy("g").agg(SM.exact_sum("x").alias("s")).collect()}
+    assert got[1] == 0.3 and got[2] == inf and math.isnan(got[3]) and got[4] == 2.5 and got[5] is None
