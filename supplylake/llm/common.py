@@ -25,12 +25,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark removes a finished write's shuffle files at once while this is set.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back: cuts
-    lineage, and a lost executor cannot lose it."""
-    path = scratch_path(df.sparkSession, f"llm/{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    lineage, and a lost executor cannot lose it.  The shuffle files of the write
+    are not needed any more and go with it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"llm/{name}")
+    before = spark.conf.get(TIDY, None)
+    spark.conf.set(TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(TIDY)
+        else:
+            spark.conf.set(TIDY, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scan_tasks(df: DataFrame) -> int:

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .fingerprints import fingerprint_edits
 from .mixing import mix_sources
+from .ngram_join import ngram_components
 from .token_files import read_token_files, write_token_files
+from .toxicity import score_toxicity
 from .url_rules import Rule, judge_urls
 
 
@@ -16,6 +18,14 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -70,6 +80,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
+    "op2_toxicity": op2_toxicity,
     "op3_fingerprints": op3_fingerprints,
     "op4_token_files": op4_token_files,
     "op8_url_rules": op8_url_rules,
