@@ -71,6 +71,24 @@ def shard_column(points: np.ndarray, key: str):
     return shard(F.col(key))
 
 
+def dealt_evenly(df: DataFrame, column: str, n: int) -> DataFrame:
+    """``df`` with each value 0 to ``n - 1`` of ``column`` in a task of its own."""
+    keys = even_keys(df.sparkSession, n)
+
+    @F.pandas_udf(T.IntegerType())
+    def deal(values: pd.Series) -> pd.Series:
+        return pd.Series(keys[values.to_numpy()])
+    return df.withColumn("_deal", deal(column)).repartition(n, "_deal").drop("_deal")
+
+
+def even_keys(spark: SparkSession, n: int) -> np.ndarray:
+    """``n`` integers that hash partitioning into ``n`` parts deals to a part each."""
+    part = F.pmod(F.hash(F.col("id").cast("int")), F.lit(n))
+    rows = spark.range(32 * n).groupBy(part.alias("part")).agg(F.min("id").alias("id")).collect()
+    keys = {r.part: r.id for r in rows}
+    return np.array([keys.get(k, 32 * n + k) for k in range(n)], np.int32)
+
+
 def filled_text(column: pa.Array) -> pa.Array:
     """A string column with nulls as empty texts, offsets starting at zero."""
     if isinstance(column, pa.ChunkedArray):
@@ -143,5 +161,4 @@ def ordered_shards(df: DataFrame, points: np.ndarray, columns: list[str], order:
         extra = (rows.join(F.broadcast(starts), "doc_id", "left_semi")
                  .withColumn("shard", F.col("shard") - 1).withColumn("ahead", F.lit(True)))
         rows = rows.unionByName(extra)
-    return (rows.repartition(len(points) + 1, "shard")
-            .sortWithinPartitions("shard", "doc_id", *order))
+    return dealt_evenly(rows, "shard", len(points) + 1).sortWithinPartitions("shard", "doc_id", *order)

@@ -11,6 +11,7 @@ from .ngram_join import ngram_components
 from .token_files import read_token_files, write_token_files
 from .toxicity import score_toxicity
 from .url_rules import Rule, judge_urls
+from .warc import read_warc, write_warc
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -79,6 +80,26 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, index = write_warc(table(spark, sf_dir, "pages"))
+    return read_warc(folder, index).drop("html")
+
+
+OP10_SQL = """
+with payloads as (
+  select page_id, coalesce(html, '') as body, url from pages),
+digests as (
+  select page_id, octet_length(encode(body)) as payload_bytes, sha256(body) as payload_digest, url from payloads),
+firsts as (
+  select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) end as first_id
+  from digests)
+select page_id, payload_bytes, payload_digest,
+       case when first_id <> page_id then 'revisit' else 'response' end as record_type,
+       case when first_id <> page_id then first_id end as refers_to, url
+from firsts
+"""
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
@@ -86,8 +107,10 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op8_url_rules": op8_url_rules,
     "op9_mixing": op9_mixing,
+    "op10_warc": op10_warc,
 }
 
 ORACLE = {
     "op8_url_rules": OP8_SQL,
+    "op10_warc": OP10_SQL,
 }

@@ -1,11 +1,13 @@
 """Toxicity by the nearest labelled examples.
 
-Examples are a bounded sample of labelled rows.  Terms that occur more often in
-toxic examples span the space; a document's vector holds their TF-IDF weights,
-with document frequencies counted over all documents.  Its exact nearest examples
-by cosine come from an inverted index with block maxima, vote with their
-similarity as weight, and isotonic regression on the examples' own votes (each
-without itself) turns votes into probabilities.
+Examples are a bounded sample of labelled rows.  Terms (words, and beginnings of
+words) that occur more often in toxic examples span the space, together with one
+dimension for the rest of the text; a document's vector holds the terms' TF-IDF
+weights, with frequencies relative to the text's length and document frequencies
+counted over all documents.  Its exact nearest examples by cosine come from an
+inverted index with block maxima, vote with a weight that falls with their
+distance, and isotonic regression on the examples' own votes (each without
+itself) turns votes into probabilities.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +36,16 @@ EVIDENCE = 20.0
 NEIGHBOURS = 25
 #: Examples in a block of the index.
 BLOCK = 64
-#: Similarity with which the examples' overall rate joins each vote.
-PRIOR = 0.25
+#: Lengths of the beginnings of words that are terms besides whole words.
+STEMS = (4, 5, 6, 7)
+#: Weight of the rest of a text, where a term that makes up 1 % of it weighs its idf.
+REST = 5.0
+#: A neighbour's vote weighs ``1 / (NEAR + 1 - cosine)``.
+NEAR = 0.02
+#: Weight with which the examples' overall rate joins each vote.
+PRIOR = 1.0
+#: Words that a task remembers the terms of before it starts anew.
+REMEMBERED = 500_000
 THRESHOLD = 0.7
 TERM = re.compile(r"\w+")
 
@@ -63,8 +75,11 @@ def telling_terms(examples: DataFrame, most: int = TERMS, least: float = EVIDENC
     totals = examples.agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).first()
     if not totals.t or totals.t == totals.n:
         return []
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
-    counts = (examples.select("toxic", F.explode(words).alias("term")).groupBy("term")
+    words = examples.select("toxic", F.array_distinct(F.regexp_extract_all(
+        F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))).alias("words"))
+    stems = [F.array_distinct(F.transform(F.filter("words", lambda w, k=k: F.length(w) > k),
+                                          lambda w, k=k: F.concat(F.substring(w, 1, k), F.lit("*")))) for k in STEMS]
+    counts = (words.select("toxic", F.explode(F.concat("words", *stems)).alias("term")).groupBy("term")
               .agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 2"))
     rate = totals.t / totals.n
     a, b = F.col("a"), F.col("n") - F.col("a")
@@ -80,24 +95,43 @@ def telling_terms(examples: DataFrame, most: int = TERMS, least: float = EVIDENC
     return [r.term for r in best.collect()]
 
 
+class Terms(dict):
+    """The numbers of the terms that a word holds, kept as they are found."""
+
+    def __init__(self, terms: list[str]):
+        super().__init__()
+        self.number = {t: i for i, t in enumerate(terms)}
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        names = [word, *(word[:k] + "*" for k in STEMS if len(word) > k)]
+        got = tuple(self.number[n] for n in names if n in self.number)
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = got
+        return got
+
+
 def term_counts(rows: DataFrame, terms: list[str], columns: list[str]) -> DataFrame:
-    """``columns`` with ``terms`` (numbers, ascending) and ``counts`` of each whole text."""
-    number = {t: i for i, t in enumerate(terms)}
+    """``columns`` with ``words`` (their number), ``terms`` (numbers, ascending) and
+    ``counts`` of each whole text."""
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Terms(terms)
         for batch in text_slices(batches):
-            ids, counts = [], []
+            size, ids, counts = [], [], []
             for text in batch.column("text").to_pylist():
-                got = Counter(map(number.__getitem__, filter(number.__contains__, TERM.findall((text or "").lower()))))
+                words = TERM.findall((text or "").lower())
+                got = Counter(chain.from_iterable(map(known.__getitem__, words)))
                 order = sorted(got)
+                size.append(len(words))
                 ids.append(order)
                 counts.append([got[i] for i in order])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), pa.array(ids, pa.list_(pa.int32())),
-                 pa.array(counts, pa.list_(pa.int32()))], [*columns, "terms", "counts"])
+                [*(batch.column(c) for c in columns), pa.array(size, pa.int64()), pa.array(ids, pa.list_(pa.int32())),
+                 pa.array(counts, pa.list_(pa.int32()))], [*columns, "words", "terms", "counts"])
 
-    schema = ", ".join(f"{c} {kinds[c]}" for c in columns) + ", terms array<int>, counts array<int>"
+    schema = ", ".join(f"{c} {kinds[c]}" for c in columns) + ", words long, terms array<int>, counts array<int>"
     return rows.select(*columns, "text").mapInArrow(run, schema)
 
 
@@ -117,7 +151,7 @@ class Index:
     def of(cls, idf: np.ndarray, rows: list[Row], rate: float) -> "Index":
         """Examples that share their strongest term lie together, so that the maxima
         of a block are close to its weights."""
-        vectors = [(r, np.array(r.terms, np.int64), cls._unit(idf, r.terms, r.counts)) for r in rows if r.terms]
+        vectors = [(r, *cls.vector(idf, r)) for r in rows if r.terms]
         vectors.sort(key=lambda v: (int(v[1][np.argmax(v[2])]), v[0].example))
         blocks = -(-len(vectors) // BLOCK)
         terms = np.concatenate([v[1] for v in vectors]) if vectors else np.empty(0, np.int64)
@@ -125,29 +159,30 @@ class Index:
         row = np.repeat(np.arange(len(vectors)), [len(v[1]) for v in vectors])
         cell = terms * blocks + row // BLOCK
         order = np.argsort(cell, kind="stable")
-        begin = np.searchsorted(cell[order], np.arange(len(idf) * blocks + 1))
-        most = np.zeros(len(idf) * blocks)
+        begin = np.searchsorted(cell[order], np.arange((len(idf) + 1) * blocks + 1))
+        most = np.zeros((len(idf) + 1) * blocks)
         np.maximum.at(most, cell, weight)
         return cls(idf, np.array([v[0].example for v in vectors], np.int64), np.array([v[0].toxic for v in vectors], float),
-                   begin, (row % BLOCK)[order], weight[order], most.reshape(len(idf), blocks), rate)
+                   begin, (row % BLOCK)[order], weight[order], most.reshape(len(idf) + 1, blocks), rate)
 
     @staticmethod
-    def _unit(idf, terms, counts) -> np.ndarray:
-        v = (1 + np.log(np.asarray(counts, float))) * idf[np.asarray(terms, np.int64)]
-        return v / np.sqrt((v * v).sum())
-
-    def nearest(self, terms, counts, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the ``k`` most similar examples with a term in common,
-        ties by row; blocks whose bound cannot reach the k-th best are not read."""
-        terms = np.asarray(terms, np.int64)
+    def vector(idf: np.ndarray, row) -> tuple[np.ndarray, np.ndarray]:
+        """Terms of a row of ``term_counts``, the rest last, and their weights of norm 1."""
+        terms = np.append(np.asarray(row.terms, np.int64), len(idf))
+        v = np.append(100 * np.asarray(row.counts, float) / row.words * idf[terms[:-1]], REST)
+        return terms, v / np.sqrt((v * v).sum())
+
+    def nearest(self, row, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and cosines of the ``k`` most similar examples, ties by number;
+        blocks whose bound cannot reach the k-th best are not read."""
         blocks = self.most.shape[1]
-        if not len(terms) or not blocks:
-            return np.empty(0, np.int64), np.empty(0)
-        query = self._unit(self.idf, terms, counts)
-        bound = query @ self.most[terms]
         rows, best = np.empty(0, np.int64), np.empty(0)
+        if not blocks:
+            return rows, best
+        terms, query = self.vector(self.idf, row)
+        bound = query @ self.most[terms]
         for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best) == k and bound[b] < best[-1] - 1e-12):
+            if len(best) == k and bound[b] < best[-1] - 1e-12:
                 break
             got = np.zeros(BLOCK)
             for t, w in zip(terms, query):
@@ -165,7 +200,8 @@ class Index:
         return rows, best
 
     def vote(self, rows: np.ndarray, near: np.ndarray) -> float:
-        return float(((near * self.toxic[rows]).sum() + PRIOR * self.rate) / (near.sum() + PRIOR))
+        weight = 1 / (NEAR + np.maximum(0.0, 1 - near))
+        return float(((weight * self.toxic[rows]).sum() + PRIOR * self.rate) / (weight.sum() + PRIOR))
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -210,7 +246,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, most: int = EXAMPLES
     votes, truth = [], []
     for r in own:
         if r.terms:
-            votes.append(index.vote(*index.nearest(r.terms, r.counts, without=at[r.example])))
+            votes.append(index.vote(*index.nearest(r, without=at[r.example])))
             truth.append(r.toxic)
     starts, values = isotonic(np.array(votes), np.array(truth, float)) if votes else (np.zeros(1), np.full(1, total.rate))
     plain = [r.toxic for r in own if not r.terms]
@@ -221,13 +257,13 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, most: int = EXAMPLES
         index, starts, values, nothing, names = shared.value
         for batch in batches:
             score, near, words = [], [], []
-            for t, c in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist()):
-                if t:
-                    rows, similar = index.nearest(t, c)
+            for row in batch.select(["words", "terms", "counts"]).to_pylist():
+                if row["terms"]:
+                    rows, similar = index.nearest(SimpleNamespace(**row))
                     step = np.searchsorted(starts, index.vote(rows, similar), side="right") - 1
                     score.append(float(values[max(0, step)]))
                     near.append(index.example[rows[:3]].tolist())
-                    words.append([names[i] for i in t])
+                    words.append([names[i] for i in row["terms"]])
                 else:
                     score.append(float(nothing))
                     near.append([])

@@ -29,24 +29,24 @@ def test_block_max_search_is_exact():
     rng = np.random.default_rng(3)
     terms = 40
     idf = rng.random(terms) + 0.5
-    rows = []
-    for e in range(700):
+
+    def some(e):
         t = np.sort(rng.choice(terms, rng.integers(0, 6), replace=False))
-        rows.append(Row(example=e, toxic=int(rng.random() < 0.5), terms=t.tolist(), counts=rng.integers(1, 5, len(t)).tolist()))
+        return Row(example=e, toxic=int(rng.random() < 0.5), words=int(rng.integers(10, 90)), terms=t.tolist(),
+                   counts=rng.integers(1, 5, len(t)).tolist())
+
+    rows = [some(e) for e in range(700)]
     index = Index.of(idf, rows, 0.5)
-    by_id = {r.example: r for r in rows}
-    matrix = np.zeros((len(index.example), terms))
+    matrix = np.zeros((len(index.example), terms + 1))
     for i, e in enumerate(index.example):
-        matrix[i, by_id[e].terms] = index._unit(idf, by_id[e].terms, by_id[e].counts)
+        at, weight = index.vector(idf, rows[e])
+        matrix[i, at] = weight
     for _ in range(200):
-        t = np.sort(rng.choice(terms, rng.integers(1, 8), replace=False))
-        c = rng.integers(1, 4, len(t))
-        q = np.zeros(terms)
-        q[t] = index._unit(idf, t, c)
-        all_ = matrix @ q
-        rows_, near = index.nearest(t, c, 25)
-        want = np.sort(all_[all_ > 0])[::-1][:25]
-        assert np.allclose(near, want) and np.allclose(all_[rows_], near)
+        row = some(-1)
+        at, weight = index.vector(idf, row)
+        every = matrix[:, at] @ weight
+        found, near = index.nearest(row, 25)
+        assert np.allclose(near, np.sort(every)[::-1][:25]) and np.allclose(every[found], near)
 
 
 def test_isotonic_is_monotone():
