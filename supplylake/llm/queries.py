@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontamination import find_leaks
 from .fingerprints import fingerprint_edits
 from .mixing import mix_sources
 from .ngram_join import ngram_components
@@ -36,6 +37,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(shards)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 #: The rules of the URL query.
 RULES = [
     Rule("allow", "com", "/"),
@@ -105,6 +110,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_fingerprints": op3_fingerprints,
     "op4_token_files": op4_token_files,
+    "op7_decontamination": op7_decontamination,
     "op8_url_rules": op8_url_rules,
     "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
