@@ -9,6 +9,8 @@ from .decontamination import find_leaks
 from .fingerprints import fingerprint_edits
 from .mixing import mix_sources
 from .ngram_join import ngram_components
+from .preferences import format_preferences, sampled_pairs
+from .pseudonyms import pseudonymize
 from .token_files import read_token_files, write_token_files
 from .toxicity import score_toxicity
 from .url_rules import Rule, judge_urls
@@ -37,6 +39,19 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(shards)
 
 
+#: Key of the registered query; a real run passes a secret of its own.
+PSEUDONYM_KEY = b"documents of the public test tables"
+
+
+def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymize(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
+def op6_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = sampled_pairs(table(spark, sf_dir, "conversations"))
+    return format_preferences(pairs, tokenizer_path()).withColumnRenamed("pair_id", "conv_id")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -110,6 +125,8 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_fingerprints": op3_fingerprints,
     "op4_token_files": op4_token_files,
+    "op5_pseudonyms": op5_pseudonyms,
+    "op6_preferences": op6_preferences,
     "op7_decontamination": op7_decontamination,
     "op8_url_rules": op8_url_rules,
     "op9_mixing": op9_mixing,
