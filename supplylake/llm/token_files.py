@@ -14,6 +14,7 @@ import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import (NULL_ID, file_system, filled_text, ordered_shards, saved, scan_tasks,
+from .common import (NULL_ID, dealt_evenly, file_system, filled_text, ordered_shards, saved, scan_tasks,
                      split_points, text_bytes, text_slices, write_file)
 from .words import exact_letters, span_hashes
 
@@ -31,8 +32,8 @@ SKIPPABLE, SEEKABLE, CHECKED = 0x184D2A5E, 0x8F92EAB1, 0x80
 FRAME_IDS = 1 << 16
 LEVEL = 3
 END_ID = 2
-#: Pieces a task remembers before it starts anew.
-REMEMBERED = 2_000_000
+#: Pieces a worker remembers before it starts anew.
+REMEMBERED = 1_000_000
 
 
 # --- the file format ---------------------------------------------------------
@@ -137,16 +138,18 @@ class ShardReader:
 
 # --- encoding ----------------------------------------------------------------
 
+#: Bits of a byte's class: ASCII letter or digit; other visible ASCII; may start a
+#: white-space character.
+ALNUM, MARK, SPACE = 1, 2, 4
+
+
 @lru_cache(maxsize=1)
-def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes that are ASCII letters or digits; other visible ASCII; and those that
-    may start a white-space character."""
-    code = np.arange(256)
-    text = [chr(c) for c in code]
-    alnum = np.array([c < 128 and t.isalnum() for c, t in zip(code, text)])
-    mark = (code > 32) & (code < 127) & ~alnum
-    space = np.isin(code, [*range(9, 14), *range(28, 33), 0xC2, 0xE1, 0xE2, 0xE3])
-    return alnum, mark, space
+def _classes() -> np.ndarray:
+    out = np.zeros(256, np.uint8)
+    for code in range(33, 127):
+        out[code] = ALNUM if chr(code).isalnum() else MARK
+    out[[*range(9, 14), *range(28, 33), 0xC2, 0xE1, 0xE2, 0xE3]] = SPACE
+    return out
 
 
 def piece_cuts(data: np.ndarray, cut: np.ndarray) -> np.ndarray:
@@ -154,23 +157,24 @@ def piece_cuts(data: np.ndarray, cut: np.ndarray) -> np.ndarray:
     the pre-tokenizer's pattern always ends a token before a blank that a visible
     character follows, between a letter or digit and a mark, and around a line end
     between visible ASCII characters."""
-    alnum, mark, space = _classes()
     n = len(data)
     here = np.zeros(n + 1, bool)
     if n > 1:
-        a, b = data[:-1], data[1:]
-        here[:n - 1] |= (a == 32) & ~space[b]
-        here[1:n] |= alnum[a] & mark[b]
-        visible = alnum | mark
-        here[1:n - 1] |= visible[data[:-2]] & (data[1:-1] == 10) & visible[data[2:]]
-        here[2:n] |= visible[data[:-2]] & (data[1:-1] == 10) & visible[data[2:]]
+        kind = _classes()[data]
+        here[:n - 1] = (data[:-1] == 32) & (kind[1:] < SPACE)
+        here[1:n] |= (kind[:-1] == ALNUM) & (kind[1:] == MARK)
+        lines = np.flatnonzero(data[1:-1] == 10) + 1
+        visible = ALNUM | MARK
+        lines = lines[((kind[lines - 1] & visible) > 0) & ((kind[lines + 1] & visible) > 0)]
+        here[lines] = True
+        here[lines + 1] = True
     here[cut] = True
     return np.flatnonzero(here)
 
 
 class Encoder:
     """Ids of whole texts by a byte-level tokenizer file of the tokenizers library.
-    A piece is encoded once per task and then found by a 64-bit hash."""
+    A piece is encoded once and then found by a 64-bit hash."""
 
     def __init__(self, path: str):
         import os
@@ -178,42 +182,62 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.blank = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.blank[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
         self.letters = exact_letters()
-        self.known = np.empty(0, np.uint64)
-        self.begin = np.empty(0, np.int64)
-        self.size = np.empty(0, np.int64)
+        self._forget()
+
+    @classmethod
+    def of_worker(cls, path: str) -> "Encoder":
+        """One encoder for all tasks that a Python worker runs one after another."""
+        import tokenizers
+        kept = tokenizers.__dict__.setdefault("_encoders_of_worker", {})
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
+
+    def _forget(self) -> None:
+        self.place: dict[int, int] = {}
+        self.begin = np.zeros(1, np.int64)  # of each known piece in flat, and the end
         self.flat = np.empty(0, np.uint32)
 
-    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        got = self._encoded(pieces)
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        if len(self.known) > REMEMBERED:
-            self.known, self.begin, self.size = hashes[:0], self.begin[:0], self.size[:0]
-            self.flat = self.flat[:0]
-        begin = len(self.flat) + np.concatenate(([0], np.cumsum(size)[:-1]))
-        self.flat = np.concatenate([self.flat, *got])
-        known = np.concatenate([self.known, hashes])
-        order = np.argsort(known, kind="stable")
-        self.known = known[order]
-        self.begin = np.concatenate([self.begin, begin])[order]
-        self.size = np.concatenate([self.size, size])[order]
+    def _places(self, hashes: np.ndarray, piece) -> np.ndarray:
+        """The number of each distinct piece; ``piece(k)`` is the text of the k-th."""
+        keys = hashes.tolist()
+        if len(self.place) + len(keys) > REMEMBERED:
+            self._forget()
+        at = np.fromiter(map(self.place.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            got = self._encoded([piece(k) for k in new])
+            at[new] = len(self.place) + np.arange(len(new))
+            self.place.update(zip(hashes[new].tolist(), at[new].tolist()))
+            ends = self.begin[-1] + np.cumsum(np.fromiter(map(len, got), np.int64, len(got)))
+            self.begin = np.concatenate((self.begin, ends))
+            self.flat = np.concatenate([self.flat, *got])
+        return at
 
     def _encoded(self, pieces: list[str]) -> list[np.ndarray]:
-        """Pieces that start with a blank and end with a visible character may
-        follow each other in one text; they are encoded many at a time."""
+        """Pieces whose only white space is a blank at their start are encoded many
+        at a time: a token that starts with a blank starts the next of them."""
         out: list = [None] * len(pieces)
-        joined = [i for i, p in enumerate(pieces)
-                  if len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace()]
-        alone = sorted(set(range(len(pieces))) - set(joined))
-        for i, e in zip(alone, self.tokenizer.encode_batch([pieces[i] for i in alone], add_special_tokens=False)):
+        joined = [i for i, p in enumerate(pieces) if p[0] == " " and len(p) > 1 and len(p.split()) == 1
+                  and p[1:].strip() == p[1:]]
+        rest = np.ones(len(pieces), bool)
+        rest[joined] = False
+        alone = np.flatnonzero(rest).tolist()
+        batch = self.tokenizer.encode_batch_fast
+        for i, e in zip(alone, batch([pieces[i] for i in alone], add_special_tokens=False)):
             out[i] = np.array(e.ids, np.uint32)
-        groups = [joined[k:k + 512] for k in range(0, len(joined), 512)]
-        for group in groups:
-            e = self.tokenizer.encode("".join(pieces[i] for i in group), add_special_tokens=False)
+        groups = [joined[k:k + 256] for k in range(0, len(joined), 256)]
+        texts = ["".join([pieces[i] for i in g]) for g in groups]
+        for group, e in zip(groups, batch(texts, add_special_tokens=False)):
             ids = np.array(e.ids, np.uint32)
-            last = np.array(e.offsets, np.int64)[:, 1] - 1
-            ends = np.cumsum([len(pieces[i]) for i in group])
-            for i, part in zip(group, np.split(ids, np.searchsorted(last, ends[:-1], side="left"))):
+            starts = np.flatnonzero(self.blank[ids])
+            if len(starts) != len(group):
+                raise ValueError("a piece does not start with one blank token")
+            for i, part in zip(group, np.split(ids, starts[1:])):
                 out[i] = part
         return out
 
@@ -224,25 +248,16 @@ class Encoder:
         start, end = edge[:-1], edge[1:]
         if not len(start):
             return np.empty(0, np.uint32), np.zeros(len(cut), np.int64)
-        hashes = span_hashes(data, start, end, self.letters)
-        distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
-        place = np.searchsorted(self.known, distinct)
-        place[place == len(self.known)] = 0
-        new = np.ones(len(distinct), bool) if not len(self.known) else self.known[place] != distinct
-        if new.any():
-            if len(self.known) > REMEMBERED:
-                new[:] = True  # what was remembered is dropped with this batch
-            raw = data.tobytes()
-            pieces = [raw[start[i]:end[i]].decode() for i in at[new]]
-            self._learn(distinct[new], pieces)
-            place = np.searchsorted(self.known, distinct)
-        where = place[which]
-        size = self.size[where]
+        import pandas as pd
+        which, distinct = pd.factorize(span_hashes(data, start, end, self.letters))
+        first = np.empty(len(distinct), np.int64)
+        first[which[::-1]] = np.arange(len(which))[::-1]
+        raw = data.tobytes()
+        where = self._places(distinct, lambda k: raw[start[first[k]]:end[first[k]]].decode())[which]
+        size = self.begin[where + 1] - self.begin[where]
         total = np.cumsum(size)
-        first = np.repeat(self.begin[where] - (total - size), size)
-        ids = self.flat[first + np.arange(total[-1])]
-        offsets = np.concatenate(([0], total))[np.searchsorted(edge, cut)]
-        return ids, offsets
+        ids = self.flat[np.repeat(self.begin[where] - (total - size), size) + np.arange(total[-1])]
+        return ids, np.concatenate(([0], total))[np.searchsorted(edge, cut)]
 
 
 def write_token_files(documents: DataFrame, tokenizer: str, folder: str | None = None) -> tuple[str, DataFrame]:
@@ -268,7 +283,7 @@ def write_token_files(documents: DataFrame, tokenizer: str, folder: str | None =
                                                "documents": [count], "tokens": [tokens]})
 
         for batch in text_slices(batches):
-            encoder = encoder or Encoder(tokenizer)
+            encoder = encoder or Encoder.of_worker(tokenizer)
             ids, cut = encoder.encode(filled_text(batch.column("text")))
             for k, (shard, doc) in enumerate(zip(batch.column("shard").to_pylist(),
                                                  batch.column("doc_id").to_pylist())):
@@ -305,7 +320,7 @@ def read_token_files(shards: DataFrame) -> DataFrame:
                                                   pa.array(crc, pa.int64())],
                                                  ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return (placed.repartition(max(1, shards.count()), "shard")
+    return (dealt_evenly(placed, "shard", (shards.agg(F.max("shard")).first()[0] or 0) + 1)
             .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long"))
 
 
