@@ -157,3 +157,18 @@ def _with_rest(docs: DataFrame, taken: DataFrame, columns: list[str]) -> DataFra
     copies = F.col("certain") + F.when(F.col("at") <= F.coalesce("drawn", F.lit(0)), 1).otherwise(0)
     return each.select("doc_id", "source", "size", "source_size", "target", "row_key",
                        copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+
+
+def repeated_by_mix(documents: DataFrame, **options) -> DataFrame:
+    """The rows of ``documents``, each as often as ``mix_sources`` takes it, with all columns.
+    Documents without words take nothing and go.  Rows equal in id, source and text share
+    their copies evenly; any of them may get one that is left over."""
+    mix = mix_sources(documents, **options).filter("size > 0")
+    shared = saved(mix.groupBy("row_key").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+                   .filter("_copies > 0"), "mix-copies")
+    keyed = documents.withColumn("_key", F.xxhash64("doc_id", "source", "text"))
+    at = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))  # equal rows only
+    times = F.floor(F.col("_copies") / F.col("_rows")) + F.when(F.col("_at") <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
+    return (keyed.join(shared, keyed._key == shared.row_key).withColumn("_at", at)
+            .withColumn("_times", times.cast("int")).filter("_times > 0")
+            .withColumn("_time", F.explode(F.sequence(F.lit(1), "_times"))).select(*documents.columns))
