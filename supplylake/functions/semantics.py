@@ -98,11 +98,15 @@ def round_ieee(c, digits: int) -> Column:
     """Half-away-from-zero rounding by plain double arithmetic.
 
     Both Spark and the SQL oracle compute ``sign(x)*floor(|x|*10^d + 0.5)/10^d``
-    bit-identically, unlike the engines' own ``round`` on DOUBLE.
+    bit-identically, unlike the engines' own ``round`` on DOUBLE.  From
+    |x|*10^d = 2^53 on a double has no digits to round: such values, infinities
+    and NaN stay as they are (``floor`` would saturate at the BIGINT range).
     """
     c = col_(c).cast("double")
     p = float(10 ** digits)
-    return F.signum(c) * F.floor(F.abs(c) * F.lit(p) + F.lit(0.5)).cast("double") / F.lit(p)
+    scaled = F.abs(c) * F.lit(p)
+    rounded = F.signum(c) * F.floor(scaled + F.lit(0.5)).cast("double") / F.lit(p)
+    return F.when(F.isnan(c) | (scaled >= F.lit(float(2 ** 53))), c).otherwise(rounded)
 
 
 def bool_int(pred: Column) -> Column:

@@ -1,8 +1,8 @@
 """Imputation and the notebook metric set.
 
-Row-wise ``apply`` fallbacks become one projection over joined medians:
-brand medians are exact grouped quantiles joined back on Brand, global
-medians are scalar subqueries over the same operator.  No Python runs per row.
+Row-wise ``apply`` fallbacks become one projection over joined medians: all
+brand and global medians come from one distributed sort, the former joined
+back on Brand, the latter as scalar subqueries.  No Python runs per row.
 
 Median semantics follow pandas: NULLs skipped, linear interpolation.
 ``Series.get(brand, default)`` returns a stored NaN, so a brand whose values
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions.semantics import (
     clip_keep_null, nan_to_null, round_ieee, safe_ratio, strip_ws, to_number,
 )
-from .quantiles import median_scalar, quantiles
+from .quantiles import quantiles
 
 DEFAULT_VOLUME = 750.0
 DEFAULT_MARKUP = 1.5
@@ -36,58 +36,78 @@ def prepare(eda: DataFrame) -> DataFrame:
     })
 
 
-def brand_medians(df: DataFrame) -> DataFrame:
-    """A10: per-brand exact medians of Volume and AvgSalesPrice (NULL brand
-    dropped; a brand with no values keeps a NULL median).  Computed by the
-    distributed sort in ``quantiles`` so a hot brand is not one task."""
-    brands = df.where(F.col("Brand").isNotNull()).select("Brand").distinct()
-    vol = quantiles(df, nan_to_null("Volume"), [0.5], ["Brand"], ["BrandVolumeMedian"]).drop("n")
-    price = quantiles(df, nan_to_null("AvgSalesPrice"), [0.5], ["Brand"],
-                      ["BrandSalesPriceMedian"]).drop("n")
-    return brands.join(vol, "Brand", "left").join(price, "Brand", "left")
+MEASURES = ("volume", "price", "markup")
+
+
+def medians(df: DataFrame) -> DataFrame:
+    """Exact medians of Volume, AvgSalesPrice and implied markup
+    (average price / reference price, where both exist and the reference is
+    positive), for each brand and over all rows: ``measure, scope`` ("brand" or
+    "all"), ``Brand`` and ``median``, from one distributed sort."""
+    ref, avg = F.col("ReferencePurchasePrice"), nan_to_null("AvgSalesPrice")
+    values = {"volume": nan_to_null("Volume").cast("double"), "price": avg.cast("double"),
+              "markup": F.when(ref > 0, avg / ref).cast("double")}
+    each = F.array(*[F.struct(F.lit(m).alias("measure"), values[m].alias("value")) for m in MEASURES])
+    scopes = F.array(F.struct(F.lit("brand").alias("scope"), F.col("Brand").alias("key")),
+                     F.struct(F.lit("all").alias("scope"), F.lit(0).cast(df.schema["Brand"].dataType).alias("key")))
+    long = (df.select("Brand", F.inline(each)).where(F.col("value").isNotNull())
+            .select("measure", "value", F.inline(scopes)))
+    return (quantiles(long, "value", [0.5], ["measure", "scope", "key"], ["median"])
+            .select("measure", "scope", F.col("key").alias("Brand"), "median"))
+
 
+def _of_brand(found: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Per brand one column for each measure in ``names``."""
+    return found.where(F.col("scope") == "brand").groupBy("Brand").agg(
+        *[F.max(F.when(F.col("measure") == m, F.col("median"))).alias(c) for m, c in names.items()])
 
-def _valid_markup(df: DataFrame) -> DataFrame:
-    ref = F.col("ReferencePurchasePrice")
-    avg = nan_to_null("AvgSalesPrice")
-    return (df.where(avg.isNotNull() & ref.isNotNull() & (ref > 0))
-            .select("Brand", (avg / ref).alias("ImpliedMarkup")))
+
+def _of_all(found: DataFrame, measure: str):
+    """A global median as a scalar subquery."""
+    return found.where((F.col("scope") == "all") & (F.col("measure") == measure)).select("median").scalar()
+
+
+def brand_medians(df: DataFrame) -> DataFrame:
+    """A10: per-brand medians of Volume and AvgSalesPrice (NULL brand dropped; a
+    brand with no values keeps a NULL median)."""
+    brands = df.where(F.col("Brand").isNotNull()).select("Brand").distinct()
+    found = _of_brand(medians(df), {"volume": "BrandVolumeMedian", "price": "BrandSalesPriceMedian"})
+    return brands.join(found, "Brand", "left")
 
 
 def brand_markup(df: DataFrame) -> DataFrame:
-    """Median implied markup (avg price / reference price) per brand."""
-    return quantiles(_valid_markup(df), "ImpliedMarkup", [0.5], ["Brand"], ["BrandMarkup"]).drop("n")
+    """Median implied markup per brand that has one."""
+    return _of_brand(medians(df), {"markup": "BrandMarkup"}).where(F.col("BrandMarkup").isNotNull())
 
 
 def global_markup(df: DataFrame):
     """Global median markup as a scalar subquery; 1.5 when no valid row exists."""
-    return F.coalesce(median_scalar(_valid_markup(df), "ImpliedMarkup"), F.lit(DEFAULT_MARKUP))
+    return F.coalesce(_of_all(medians(df), "markup"), F.lit(DEFAULT_MARKUP))
 
 
-def impute(df: DataFrame) -> DataFrame:
+def impute(df: DataFrame, flags: bool = False) -> DataFrame:
     """I2 + I4: imputed Volume and AvgSalesPrice_imputed.
 
     Expects ``prepare``d input.  Adds ``AvgSalesPrice_imputed`` and replaces
     Volume; AvgSalesPrice itself is replaced by the imputed value later, as in
-    the notebook.
+    the notebook.  ``flags`` adds ``VolumeWasMissing`` and ``PriceWasMissing``
+    (P8).
     """
-    med = brand_medians(df).withColumnRenamed("Brand", "_bkey")
-    global_vol = median_scalar(df, nan_to_null("Volume"))
-    global_price = median_scalar(df, nan_to_null("AvgSalesPrice"))
-    markup = global_markup(df)
+    found = medians(df)
+    med = _of_brand(found, {"volume": "_volume", "price": "_price"}).withColumnRenamed("Brand", "_bkey")
+    markup = F.coalesce(_of_all(found, "markup"), F.lit(DEFAULT_MARKUP))
     j = df.join(med, df.Brand == med._bkey, "left")
-    vol = nan_to_null("Volume")
-    brand_known = F.col("_bkey").isNotNull()
-    volume = F.when(vol.isNotNull(), vol).when(brand_known, F.col("BrandVolumeMedian")) \
-              .otherwise(global_vol)
-    avg = nan_to_null("AvgSalesPrice")
-    ref = F.col("ReferencePurchasePrice")
+    vol, avg, ref = nan_to_null("Volume"), nan_to_null("AvgSalesPrice"), F.col("ReferencePurchasePrice")
+    volume = (F.when(vol.isNotNull(), vol).when(F.col("Brand").isNotNull(), F.col("_volume"))
+              .otherwise(_of_all(found, "volume")))
     price = (F.when(avg.isNotNull(), avg)
-             .when(F.col("BrandSalesPriceMedian").isNotNull(), F.col("BrandSalesPriceMedian"))
+             .when(F.col("_price").isNotNull(), F.col("_price"))
              .when(ref.isNotNull() & (ref > 0), round_ieee(ref * markup, 2))
-             .otherwise(global_price))
-    return (j.withColumns({"Volume": volume, "AvgSalesPrice_imputed": price})
-            .drop("_bkey", "BrandVolumeMedian", "BrandSalesPriceMedian"))
+             .otherwise(_of_all(found, "price")))
+    new = {"Volume": volume, "AvgSalesPrice_imputed": price}
+    if flags:
+        new |= {"VolumeWasMissing": vol.isNull(), "PriceWasMissing": avg.isNull()}
+    return j.withColumns(new).drop("_bkey", "_volume", "_price")
 
 
 def notebook_metrics(df: DataFrame) -> DataFrame:

@@ -2,24 +2,23 @@
 
 ``percentile``/``median`` merge one value->count map per group in one task,
 so a group holding a third of all rows (or a global quantile, which is one
-group) lands whole on one executor.  Here the work is a distributed sort:
-
-1. range-partitioned sort of (group, value) -- a hot group is split across
-   many sorted partitions;
-2. ``monotonically_increasing_id`` numbers rows inside each sorted partition
-   (partition index in the high bits);
+group) lands whole on one executor.  Here, at every size, the work is a
+distributed sort:
+
+1. rows collapse to (group, value, count), map-side first, so a hot value is
+   one row;
+2. these are range-partitioned by (group, value), which splits a hot group
+   over many partitions, and written once to the shared folder with the
+   number of their partition, so that both uses below see the same blocks;
 3. a small table of per-(group, partition) counts gives, by a running sum
-   over at most #partitions rows per group, each row's global rank;
-4. only rows at the ranks needed are kept and interpolated.
+   over at most #partitions rows per group, the rank at which a block starts;
+   ranks inside a block are a running count of the block alone;
+4. only values that hold a rank needed are kept and interpolated.
 
 The interpolation is Spark's ``percentile`` rule: position p = (n-1)q,
 ``(ceil-p)*lower + (p-floor)*upper`` (the lower value when both ranks hold
 equal values), so results equal the built-in exactly.  NULL and NaN values
 are skipped; rows with a NULL group key are dropped (pandas groupby).
-
-When the input is proven small (at most ``max_group_rows`` rows in total, so
-no group can be larger) the built-in ``percentile`` aggregate is used
-instead: same numbers, one aggregate instead of a sort and a join.
 """
 
 from __future__ import annotations
@@ -29,15 +28,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import rows_at_most
+from ..session import stored
 
 
-MAX_GROUP_ROWS = 1_000_000
+def sorted_blocks(base: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys..., _v, _c`` (value, count) in stored range partitions ``_pid``."""
+    counted = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    blocks = (counted.repartitionByRange(*[F.col(k) for k in keys], F.col("_v"))
+              .withColumn("_pid", F.spark_partition_id()))
+    return stored(blocks, "quantiles")
 
 
 def quantiles(df: DataFrame, value, probs: Sequence[float], keys: Sequence[str] = (),
-              names: Sequence[str] | None = None,
-              max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+              names: Sequence[str] | None = None) -> DataFrame:
     """One row per group: ``keys..., n, <name_i>`` for each probability."""
     keys = list(keys)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
@@ -49,31 +52,29 @@ def quantiles(df: DataFrame, value, probs: Sequence[float], keys: Sequence[str]
     cond = F.col("_v").isNotNull() & ~F.isnan("_v")
     for k in keys:
         cond = cond & F.col(k).isNotNull()
-    base = base.where(cond)
-    if rows_at_most(base, max_group_rows):
-        g = base.groupBy(*gk).agg(F.count(F.lit(1)).alias("n"),
-                                  F.percentile("_v", [float(p) for p in probs]).alias("_q"))
-        return g.select(*keys, "n", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    s = (base.orderBy(*gk, "_v")
-         .withColumn("_id", F.monotonically_increasing_id())
-         .withColumn("_pid", F.shiftright("_id", 33)))
-    blocks = s.groupBy(*gk, "_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_id").alias("_min"))
+    s = sorted_blocks(base.where(cond), gk)
     before = Window.partitionBy(*gk).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = s.groupBy(*gk, "_pid").agg(F.sum("_c").alias("_cnt"))
     blocks = (blocks.withColumn("_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
               .withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*gk))))
-    ranked = (s.join(blocks, [*gk, "_pid"])
-              .withColumn("_rank", F.col("_before") + F.col("_id") - F.col("_min")))
+    inside = Window.partitionBy(*gk, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (s.withColumn("_upto", F.sum("_c").over(inside)).join(blocks, [*gk, "_pid"])
+              .withColumn("_last", F.col("_before") + F.col("_upto") - 1)
+              .withColumn("_first", F.col("_before") + F.col("_upto") - F.col("_c")))
     pos = [(F.col("_n") - 1) * F.lit(float(p)) for p in probs]
+
+    def holds(rank):
+        return rank.between(F.col("_first"), F.col("_last"))
+
     want = F.lit(False)
     for p in pos:
-        want = want | (F.col("_rank") == F.floor(p)) | (F.col("_rank") == F.ceil(p))
-    picked = ranked.where(want)
+        want = want | holds(F.floor(p)) | holds(F.ceil(p))
     aggs = [F.first("_n").alias("n")]
     for i, p in enumerate(pos):
-        aggs += [F.max(F.when(F.col("_rank") == F.floor(p), F.col("_v"))).alias(f"_lo{i}"),
-                 F.max(F.when(F.col("_rank") == F.ceil(p), F.col("_v"))).alias(f"_hi{i}"),
+        aggs += [F.max(F.when(holds(F.floor(p)), F.col("_v"))).alias(f"_lo{i}"),
+                 F.max(F.when(holds(F.ceil(p)), F.col("_v"))).alias(f"_hi{i}"),
                  F.first(p).alias(f"_pos{i}")]
-    g = picked.groupBy(*gk).agg(*aggs)
+    g = ranked.where(want).groupBy(*gk).agg(*aggs)
     outs = []
     for i, name in enumerate(names):
         lo, hi, p = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_pos{i}")
@@ -84,15 +85,14 @@ def quantiles(df: DataFrame, value, probs: Sequence[float], keys: Sequence[str]
 
 
 def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   names: Sequence[str] | None = None,
-                   max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                   names: Sequence[str] | None = None) -> DataFrame:
     """Quantiles of several columns in one sort: rows widened to
     (column, value), grouped by column."""
     long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
             .unpivot([], list(cols), "column", "value"))
-    return quantiles(long, "value", probs, ["column"], names, max_group_rows)
+    return quantiles(long, "value", probs, ["column"], names)
 
 
-def median_scalar(df: DataFrame, value, max_group_rows: int = MAX_GROUP_ROWS):
+def median_scalar(df: DataFrame, value):
     """A global exact median as a scalar-subquery Column."""
-    return quantiles(df, value, [0.5], names=["m"], max_group_rows=max_group_rows).select("m").scalar()
+    return quantiles(df, value, [0.5], names=["m"]).select("m").scalar()

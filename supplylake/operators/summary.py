@@ -2,11 +2,12 @@
 (W1/W2) and the derived metrics M0-M15.
 
 Plan shape (checked with ``explain``): each transaction table is reduced by
-a partial+final hash aggregate *before* it meets anything else, the price
-list is broadcast behind a row-count proof, and vendor-level totals are an
-aggregate joined back on the vendor key instead of a window, so a vendor
+a partial+final hash aggregate *before* it meets anything else, the planner and
+adaptive execution choose each join from measured bytes, and vendor-level totals
+are an aggregate joined back on the vendor key instead of a window, so a vendor
 holding a third of all rows is reduced map-side instead of landing whole in
-one window task.
+one window task.  Where totals and rows come from the same aggregate it is stored
+once, so purchases are scanned once.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 from ..functions.semantics import (
     exact_sum, nan_to_null, round_ieee, safe_ratio, strip_ws, to_number,
 )
-from ..session import bounded_broadcast
+from ..session import stored
 from ..sources.star import Star
 
 # Defaults that stand in for the reference's 2024 floor and current date on
@@ -58,8 +59,7 @@ def _names(collation: str | None):
 
 def purchase_summary(star: Star, collation: str | None = None) -> DataFrame:
     """A2 + J1: purchases x price list on Brand only, grouped by 7 columns."""
-    pp = bounded_broadcast(star.purchase_prices.select(
-        "Brand", F.col("Price").alias("ActualPrice"), "Volume"))
+    pp = star.purchase_prices.select("Brand", F.col("Price").alias("ActualPrice"), "Volume")
     name, desc = _names(collation)
     return (star.purchases.where(F.col("PurchasePrice") > 0)
             .select("VendorNumber", name, "Brand", desc,
@@ -165,8 +165,8 @@ def vendor_share(df: DataFrame, value: str, total_name: str) -> DataFrame:
 
 def eda_purchase_summary(star: Star) -> DataFrame:
     """A2 + J2: left join on Brand + VendorNumber (the notebook's fix)."""
-    pp = bounded_broadcast(star.purchase_prices.select(
-        "Brand", "VendorNumber", F.col("PurchasePrice").alias("ReferencePurchasePrice"), "Volume"))
+    pp = star.purchase_prices.select(
+        "Brand", "VendorNumber", F.col("PurchasePrice").alias("ReferencePurchasePrice"), "Volume")
     return (star.purchases.where(F.col("PurchasePrice") > 0)
             .select("VendorNumber", "VendorName", "Brand", "Description",
                     "PurchasePrice", "Quantity", "Dollars")
@@ -188,7 +188,7 @@ EDA_COLUMNS = [
 
 def eda_summary(star: Star, ordered: bool = True) -> DataFrame:
     """M8: 15-column notebook summary with a freight-allocated profit proxy."""
-    ps = vendor_share(eda_purchase_summary(star), "TotalPurchaseDollars", "_vendor_cost")
+    ps = vendor_share(stored(eda_purchase_summary(star), "eda_purchases"), "TotalPurchaseDollars", "_vendor_cost")
     ss = sales_summary(star.sales, "avg")
     fs = freight_summary(star.vendor_invoice, "TotalFreightCost")
     j = (ps.join(ss, (ps.VendorNumber == ss.VendorNo) & (ps.Brand == ss.Brand), "left")
@@ -220,30 +220,24 @@ def eda_summary(star: Star, ordered: bool = True) -> DataFrame:
 
 def brand_purchases(star: Star, since=DEFAULT_SINCE) -> DataFrame:
     """A5: brand-level purchases since a date (any_value -> min for determinism)."""
-    pp = bounded_broadcast(star.purchase_prices.select(
-        "Brand", "VendorNumber", F.col("PurchasePrice").alias("_ref_price"), "Volume"))
+    pp = star.purchase_prices.select(
+        "Brand", "VendorNumber", F.col("PurchasePrice").alias("_ref_price"), "Volume")
     p = (star.purchases
          .where((F.col("PurchasePrice") > 0) & (F.col("ReceivingDate") >= F.lit(since)))
          .select("VendorNumber", "VendorName", "Brand", "Description", "Quantity",
                  "Dollars", "PONumber", "ReceivingDate")
          .join(pp, ["Brand", "VendorNumber"], "left"))
     keys = ["VendorNumber", "VendorName", "Brand"]
-    # Numeric aggregates stay in a hash aggregate; ``min`` over text would
-    # force a sort-based aggregate over every purchase row, so the text
-    # minima are taken over the distinct (key, text) combinations instead.
-    nums = p.groupBy(*keys).agg(
-        F.sum("Dollars").alias("_dollars"),
-        F.sum("Quantity").alias("TotalPurchaseQty"),
-        F.min("_ref_price").alias("_ref"),
-        F.count_distinct("PONumber").alias("DistinctPOs"),
-        F.max("ReceivingDate").alias("LastReceiptDate"),
-    )
-    texts = (p.select(*keys, "Description", "Volume").distinct()
-             .groupBy(*keys).agg(F.min("Description").alias("MostCommonDescription"),
-                                 F.min("Volume").alias("VolumeML")))
-    g = nums.join(texts, [nums[k].eqNullSafe(texts[k]) for k in keys]).select(
-        *[nums[k] for k in keys], "MostCommonDescription", "VolumeML", "_dollars",
-        "TotalPurchaseQty", "_ref", "DistinctPOs", "LastReceiptDate")
+    # Purchases are reduced once, by hashes, to a row for each order and text;
+    # sums, text minima and the distinct count all come from those.
+    parts = p.groupBy(*keys, "Description", "Volume", "PONumber").agg(
+        F.sum("Dollars").alias("_dollars"), F.sum("Quantity").alias("_quantity"),
+        F.min("_ref_price").alias("_ref"), F.max("ReceivingDate").alias("_received"))
+    g = parts.groupBy(*keys).agg(
+        F.sum("_dollars").alias("_dollars"), F.sum("_quantity").alias("TotalPurchaseQty"),
+        F.min("_ref").alias("_ref"), F.count_distinct("PONumber").alias("DistinctPOs"),
+        F.max("_received").alias("LastReceiptDate"),
+        F.min("Description").alias("MostCommonDescription"), F.min("Volume").alias("VolumeML"))
     qty = F.col("TotalPurchaseQty").cast("double")
     return g.select(
         "VendorNumber", "VendorName", "Brand", "MostCommonDescription",
@@ -290,7 +284,7 @@ BRAND_COLUMNS = [
 def brand_summary(star: Star, since=DEFAULT_SINCE, as_of=DEFAULT_AS_OF,
                   ordered: bool = True) -> DataFrame:
     """Brand summary with allocated freight, landed cost and margins."""
-    ps = vendor_share(brand_purchases(star, since), "TotalPurchaseCost", "_vendor_cost")
+    ps = vendor_share(stored(brand_purchases(star, since), "brand_purchases"), "TotalPurchaseCost", "_vendor_cost")
     ss = brand_sales(star, since).withColumnsRenamed(
         {"VendorNumber": "_sv", "Brand": "_sb", "TotalSalesQty": "_sqty",
          "TotalSalesRevenue": "_srev", "TotalExciseTax": "_stax"})

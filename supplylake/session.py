@@ -2,17 +2,18 @@
 
 Scratch data (staged writes, stream checkpoints, file drops) always lives
 under the cluster's shared ``spark.checkpoint.dir``.  A private folder is
-created only when the session names none, which is the case in local tests.
+created only when a local session (one JVM) names none, as in tests; on a
+cluster a missing setting is an error, since executors would not see it.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def get_session(master: str | None = None, app: str = "supplylake",
@@ -66,13 +67,16 @@ _ROOTS: dict[str, str] = {}
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the session names (``spark.checkpoint.dir``,
-    else the context's checkpoint folder).  Only when neither exists, as in
-    local tests, a private folder is created and registered."""
+    else the context's checkpoint folder).  Only when neither exists and the
+    master is local, as in tests, a private folder is created and registered."""
     app = spark.sparkContext.applicationId
     root = spark.conf.get("spark.checkpoint.dir", None) or _ROOTS.get(app)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
         root = tempfile.mkdtemp(prefix="supplylake-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
@@ -85,24 +89,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/supplylake/{name}-{uuid.uuid4().hex}"
 
 
-_PROOFS: dict[tuple, bool] = {}
-
-
-def rows_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Proof that ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1``).  Remembered per application by the plan's semantic
-    hash, so the same stored input is proved once."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    if key not in _PROOFS:
-        _PROOFS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _PROOFS[key]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    Larger inputs are returned unchanged, so the planner falls back to a
-    shuffle join (and AQE may still convert it at runtime from measured
-    shuffle sizes).
-    """
-    return F.broadcast(df) if rows_at_most(df, max_rows) else df
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared folder and read back: what several
+    branches of a plan need is computed once whatever Spark reuses, and a lost
+    executor cannot lose it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

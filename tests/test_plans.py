@@ -52,3 +52,35 @@ def test_hot_key_results(spark):
     assert latest == want
     plan = plan_text(latest_per_key(df, ["VendorNumber"], ["id"]))
     assert "partial_max_by" in plan  # reduced map-side before the shuffle
+
+
+@pytest.mark.parametrize("name", ["eda_summary", "brand_summary"])
+def test_purchases_are_scanned_once(spark, monkeypatch, name):
+    """One scan of purchases: in the aggregate that is stored, none afterwards."""
+    from supplylake.operators import summary as S
+    from supplylake.plans.tables import stored_star
+    star = stored_star(spark, SF_SMALL)
+    plans = []
+    plain = S.stored
+
+    def watched(df, label):
+        plans.append(plan_text(df))
+        return plain(df, label)
+
+    monkeypatch.setattr(S, "stored", watched)
+    plans.append(plan_text(getattr(S, name)(star)))
+    text = "".join(p.split("== Physical Plan ==")[1] for p in plans)
+    assert len(re.findall(r"Location: \S+ \[[^\]]*star_purchases-", text)) == 1
+
+
+def test_no_forced_broadcast_of_the_price_list(spark):
+    from supplylake.operators import summary as S
+    from supplylake.plans.tables import stored_star
+    star = stored_star(spark, SF_SMALL)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (S.purchase_summary(star), S.eda_purchase_summary(star), S.brand_purchases(star)):
+            assert "Broadcast" not in plan_text(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -10,8 +10,25 @@ from supplylake.operators.quantiles import median_scalar, quantiles
 import pytest
 
 
-@pytest.mark.parametrize("bound", [0, 10**6])  # 0 forces the distributed sort path
-def test_grouped_and_global_match_percentile(spark, bound):
+@pytest.fixture
+def conf(spark):
+    """Sets options for one test."""
+    before = {}
+
+    def put(key, value):
+        before.setdefault(key, spark.conf.get(key, None))
+        spark.conf.set(key, value)
+
+    yield put
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_grouped_and_global_match_percentile(spark, conf, adaptive, reuse):
+    conf("spark.sql.adaptive.enabled", adaptive)
+    conf("spark.sql.exchange.reuse", reuse)
     random.seed(7)
     rows = []
     for _ in range(6000):
@@ -22,13 +39,13 @@ def test_grouped_and_global_match_percentile(spark, bound):
     df = spark.createDataFrame(rows, "g STRING, v DOUBLE").repartition(12)
     ps = [0.1, 0.25, 0.5, 0.75, 0.99]
     names = [f"q{i}" for i in range(len(ps))]
-    got = {r["g"]: [r[n] for n in names] for r in quantiles(df, "v", ps, ["g"], names, bound).collect()}
+    got = {r["g"]: [r[n] for n in names] for r in quantiles(df, "v", ps, ["g"], names).collect()}
     want = {r["g"]: list(r["q"]) for r in df.where("g IS NOT NULL AND v IS NOT NULL")
             .groupBy("g").agg(F.percentile("v", ps).alias("q")).collect()}
     assert got == want
-    glob = quantiles(df, "v", ps, names=names, max_group_rows=bound).first()
+    glob = quantiles(df, "v", ps, names=names).first()
     assert [glob[n] for n in names] == list(df.agg(F.percentile("v", ps)).first()[0])
-    m = spark.range(1).select(median_scalar(df, "v", bound).alias("m")).first()["m"]
+    m = spark.range(1).select(median_scalar(df, "v").alias("m")).first()["m"]
     assert m == df.agg(F.median("v")).first()[0]
 
 
@@ -39,7 +56,7 @@ def test_distributed_path_on_test_tables(spark):
     ps = [0.25, 0.5, 0.9]
     names = ["a", "b", "c"]
     got = {r["VendorNo"]: [r[n] for n in names]
-           for r in quantiles(sales, "SalesPrice", ps, ["VendorNo"], names, max_group_rows=0).collect()}
+           for r in quantiles(sales, "SalesPrice", ps, ["VendorNo"], names).collect()}
     want = {r["VendorNo"]: list(r["q"]) for r in sales.groupBy("VendorNo")
             .agg(F.percentile(F.col("SalesPrice").cast("double"), ps).alias("q")).collect()}
     assert got == want
