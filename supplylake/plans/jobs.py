@@ -14,11 +14,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import summary as S
+from ..session import stored
 from ..sinks.tables import export_csv, write_table
 from ..sources import files as FS
-from ..sources.star import load_star
 from ..streaming import streams as ST
 from ..streaming import sync as SY
+from .tables import stored_star
 
 
 @dataclass
@@ -34,6 +35,9 @@ class SourceSpec:
     options: dict = field(default_factory=dict)
     enabled: bool = True
     schedule_seconds: int = 300
+    buckets: int | None = None     # of an upsert target
+    attempts: int = 3              # reads and writes of the source, with growing waits
+    retry_seconds: float = 2.0
 
 
 Reader = Callable[[SparkSession, SourceSpec], DataFrame]
@@ -82,48 +86,9 @@ def extract(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     return READERS[spec.type](spark, spec)
 
 
-def run_pipeline(spark: SparkSession, specs: list[SourceSpec], history: str) -> list[dict]:
-    """R1 (one pass) + R2 + R5 + R6: sync every enabled source once."""
-    out = []
-    for spec in specs:
-        if not spec.enabled:
-            continue
-        try:
-            df = extract(spark, spec)
-        except Exception as exc:  # extraction failures are recorded too
-            rec = {"source_name": spec.name, "table_name": spec.target.rsplit("/", 1)[-1],
-                   "rows_processed": 0, "rows_loaded": 0, "status": "failed",
-                   "error_message": str(exc)[:1000]}
-            import datetime as _dt
-            rec["sync_start"] = rec["sync_end"] = _dt.datetime.now()
-            SY.append_history(spark, history, [rec])
-            out.append(rec)
-            continue
-        out.append(SY.run_sync(spark, spec.name, df, spec.target, spec.sync_mode, history,
-                               spec.timestamp_col, spec.primary_key, spec.order_by))
-    return out
-
-
-def start_streams(spark: SparkSession, specs: list[SourceSpec], schemas: dict,
-                  checkpoint_root: str, once: bool = False) -> list:
-    """R1 continuous form: one file stream per enabled file source, each with
-    its own checkpoint and trigger interval."""
-    qs = []
-    for spec in specs:
-        if not spec.enabled or spec.type not in ("parquet", "json", "csv"):
-            continue
-        qs.append(ST.run_stream(
-            spark, spec.path, schemas[spec.name], spec.target,
-            f"{checkpoint_root.rstrip('/')}/{spec.name}",
-            mode={"full": "append", "incremental": "incremental", "upsert": "upsert"}[spec.sync_mode],
-            ts_col=spec.timestamp_col, key=spec.primary_key, order=spec.order_by,
-            fmt=spec.type, once=once, interval=f"{spec.schedule_seconds} seconds"))
-    return qs
-
-
 def retry(max_attempts: int = 3, delay: float = 2.0, backoff: float = 2.0,
           exceptions: tuple = (Exception,)):
-    """R7 for driver-side actions (external writes, catalog calls); task
+    """R7 for driver-side actions (external reads and writes, catalog calls); task
     failures inside a job are already retried by Spark."""
     import functools
     import time
@@ -144,6 +109,55 @@ def retry(max_attempts: int = 3, delay: float = 2.0, backoff: float = 2.0,
     return deco
 
 
+def run_pipeline(spark: SparkSession, specs: list[SourceSpec], history: str) -> list[dict]:
+    """R1 (one pass) + R2 + R5 + R6 + R7: sync every enabled source once; what fails
+    is tried again and then recorded, without stopping the others."""
+    import datetime as _dt
+    out = []
+    for spec in specs:
+        if not spec.enabled:
+            continue
+        again = retry(spec.attempts, spec.retry_seconds)
+        start = _dt.datetime.now()
+        try:
+            df = again(extract)(spark, spec)
+            out.append(again(_sync_once)(spark, spec, df))
+        except Exception as exc:
+            out.append({"source_name": spec.name, "table_name": spec.target.rsplit("/", 1)[-1],
+                        "rows_processed": 0, "rows_loaded": 0, "status": "failed", "error_message": str(exc),
+                        "sync_start": start, "sync_end": _dt.datetime.now()})
+        SY.append_history(spark, history, out[-1:])
+    return out
+
+
+def _sync_once(spark: SparkSession, spec: SourceSpec, df: DataFrame) -> dict:
+    rec = SY.run_sync(spark, spec.name, df, spec.target, spec.sync_mode, None,
+                      spec.timestamp_col, spec.primary_key, spec.order_by, spec.buckets)
+    if rec["status"] == "failed":
+        raise RuntimeError(rec["error_message"])
+    return rec
+
+
+STREAMED = ("parquet", "json", "csv")
+
+
+def start_streams(spark: SparkSession, specs: list[SourceSpec], schemas: dict,
+                  checkpoint_root: str, once: bool = False) -> list:
+    """R1 continuous form: one file stream per enabled source, each with its own
+    checkpoint and trigger interval.  A source type that has no stream is an error,
+    raised before any stream is started; ``run_pipeline`` on a timer serves those."""
+    on = [s for s in specs if s.enabled]
+    for spec in on:
+        if spec.type not in STREAMED:
+            raise ValueError(f"source {spec.name!r}: type {spec.type!r} cannot be streamed (only {', '.join(STREAMED)})")
+        if spec.sync_mode not in SY.SYNC_MODES:
+            raise ValueError(f"source {spec.name!r}: unknown sync mode {spec.sync_mode!r}")
+    return [retry(spec.attempts, spec.retry_seconds)(ST.run_stream)(
+        spark, spec.path, schemas[spec.name], spec.target, f"{checkpoint_root.rstrip('/')}/{spec.name}",
+        mode=spec.sync_mode, ts_col=spec.timestamp_col, key=spec.primary_key, order=spec.order_by,
+        fmt=spec.type, once=once, interval=f"{spec.schedule_seconds} seconds", buckets=spec.buckets) for spec in on]
+
+
 def vendor_summary_job(spark: SparkSession, sf_dir: str, output: str = "db",
                        table_path: str | None = None, csv_dir: str | None = None,
                        dry_run: bool = False) -> DataFrame:
@@ -151,9 +165,11 @@ def vendor_summary_job(spark: SparkSession, sf_dir: str, output: str = "db",
     writes nothing and returns the frame (``.show(10)`` to preview)."""
     if output not in ("db", "csv", "both"):
         raise ValueError("output must be db, csv or both")
-    df = S.vendor_summary(load_star(spark, sf_dir))
+    df = S.vendor_summary(stored_star(spark, sf_dir))
     if dry_run:
         return df
+    if output == "both":
+        df = stored(df, "summary_job")  # built once for both outputs
     if output in ("db", "both"):
         write_table(df, table_path, "replace")
     if output in ("csv", "both"):
@@ -170,7 +186,6 @@ def run_batch(spark: SparkSession, sf_dir: str, out_root: str) -> dict[str, str]
     from ..operators import features as FE
     from ..operators import impute as IM
     from ..operators import quality as DQ
-    from .tables import stored_star
 
     root = out_root.rstrip("/")
     paths = {}

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
+from ..sinks import folders
 from ..sources.star import (
     Star, purchase_prices, purchases, sales, supplier_count, vendor_invoice,
 )
@@ -22,19 +23,11 @@ from ..sources.star import (
 _PATHS: dict[tuple[str, str, str], str] = {}
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except Exception:
-        return False
-
-
 def stage_table(spark: SparkSession, sf_dir: str, stage: str,
                 build: Callable[[], DataFrame]) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), stage)
     path = _PATHS.get(key)
-    if path is None or not _exists(spark, path):
+    if path is None or not folders.exists(spark, path):
         path = scratch_path(spark, f"stage/{stage}")
         build().write.mode("overwrite").parquet(path)
         _PATHS[key] = path

@@ -1,5 +1,5 @@
-"""Sinks (K1-K6, K13): replace / append / fail-if-exists writes, staged
-overwrite, CSV export with a timestamped name, and a table fingerprint.
+"""Sinks (K1-K6, K13): replace / append / fail-if-exists writes, CSV export
+with a timestamped name, and a table fingerprint.
 
 Writes are distributed (one file per task); nothing passes through the
 driver.  Registered queries write below the shared checkpoint root and read
@@ -45,28 +45,15 @@ def write_replace(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def staged_overwrite(new: DataFrame, path: str) -> DataFrame:
-    """Overwrite a table that ``new`` may itself read from.
-
-    Spark cannot overwrite a path while reading it, so the result is first
-    written to a staging folder, then copied over the target from there.
-    The staging copy cuts the lineage to the old files.
-    """
-    spark = new.sparkSession
-    stage = scratch_path(spark, "stage")
-    new.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
-    staged.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def export_csv(df: DataFrame, output_dir: str, filename: str | None = None,
                prefix: str = "vendor_sales_summary") -> str:
     """K5: CSV with header under ``output_dir/<name>``; default name carries
-    a yyyyMMdd_HHmmss stamp.  Written as a folder of part files."""
+    a yyyyMMdd_HHmmss stamp.  Written as a folder of part files; quotes inside
+    text are doubled."""
     name = filename or f"{prefix}_{_dt.datetime.now().strftime('%Y%m%d_%H%M%S')}"
     path = f"{output_dir.rstrip('/')}/{name}"
-    df.write.mode("errorifexists").option("header", True).csv(path)
+    from ..sources.files import csv_writer
+    csv_writer(df.write.mode("errorifexists")).csv(path)
     return path
 
 

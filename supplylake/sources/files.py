@@ -133,7 +133,8 @@ def numeric_text_columns(df: DataFrame) -> dict[str, str]:
 
 def load_csv(spark: SparkSession, path: str, encoding: str = "UTF-8",
              infer_schema: bool = True, schema: T.StructType | str | None = None,
-             null_tokens=NULL_TOKENS, numeric_text: bool = True) -> DataFrame:
+             null_tokens=NULL_TOKENS, numeric_text: bool = True,
+             multi_line: bool = False) -> DataFrame:
     """Header CSV with inferred (or given) schema and encoding.
 
     Surrounding whitespace in text is kept (pandas keeps it too); missing
@@ -141,13 +142,18 @@ def load_csv(spark: SparkSession, path: str, encoding: str = "UTF-8",
     values are all numbers (e.g. a numeric column holding 'NA') is cast to a
     number, as pandas would type it.  For very large inputs pass ``schema``
     to skip the inference passes.
+
+    A line that does not fit the header is refused with an error;
+    ``csv_with_bad_lines`` sets such lines apart instead.  ``multi_line`` reads
+    quoted line ends; such files are not split among tasks.
     """
-    r = (spark.read.option("header", True).option("encoding", encoding)
-         .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
-         .option("ignoreTrailingWhiteSpace", False))
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", infer_schema)
-    df = normalise_null_tokens(r.csv(path), null_tokens)
-    if schema is None and infer_schema and numeric_text:
+    declared = schema is not None
+    r = csv_reader(spark.read.option("encoding", encoding).option("multiLine", multi_line))
+    if schema is None:
+        schema = r.option("inferSchema", infer_schema).csv(path).schema
+    df = r.option("mode", "FAILFAST").schema(schema).csv(path)
+    df = normalise_null_tokens(df, null_tokens)
+    if not declared and infer_schema and numeric_text:
         from ..functions.semantics import to_number
         casts = numeric_text_columns(df)
         if casts:
@@ -155,10 +161,34 @@ def load_csv(spark: SparkSession, path: str, encoding: str = "UTF-8",
     return df
 
 
+#: Holds a line that its reader could not parse.
+BAD_LINE = "_corrupt_record"
+
+
+def csv_with_bad_lines(spark: SparkSession, path: str, schema: T.StructType,
+                       encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
+    """All lines of a CSV as text columns of ``schema``'s names, with ``_corrupt_record``
+    on those whose number of cells is wrong; no line is lost."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]
+                        + [T.StructField(BAD_LINE, T.StringType())])
+    return csv_reader(spark.read.option("encoding", encoding).option("multiLine", multi_line)).option(
+        "mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE).schema(text).csv(path)
+
+
+def csv_reader(reader):
+    """Options of every CSV read: a header, kept blanks, quotes doubled inside quotes."""
+    return (reader.option("header", True).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+
+def csv_writer(writer):
+    """The same for every CSV write."""
+    return (writer.option("header", True).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+
 def write_csv(df: DataFrame, path: str) -> str:
-    (df.write.mode("overwrite").option("header", True)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .csv(path))
+    csv_writer(df.write.mode("overwrite")).csv(path)
     return path
 
 
@@ -204,19 +234,44 @@ def load_directory(spark: SparkSession, directory: str, pattern: str = "*.csv",
     return tables, res
 
 
+def glob_pattern(pattern: str) -> str:
+    """An anchored regular expression for a file-name glob (``*``, ``?``, ``[...]``)."""
+    out, i = "", 0
+    while i < len(pattern):
+        c = pattern[i]
+        close = pattern.find("]", i + 2) if c == "[" else -1
+        if c == "*":
+            out += "[^/]*"
+        elif c == "?":
+            out += "[^/]"
+        elif close > 0:
+            body = pattern[i + 1:close].replace("\\", "\\\\")
+            out += "[" + ("^" + body[1:] if body[0] == "!" else body) + "]"
+            i = close
+        else:
+            out += re.escape(c)
+        i += 1
+    return f"^{out}$"
+
+
 def latest_file(spark: SparkSession, directory: str, pattern: str = "*") -> str | None:
-    """The matching file with the greatest modification time (ties: the
-    greatest path), chosen by one aggregate over the listing."""
-    files = list_files(spark, directory).where(
-        F.regexp_extract("path", r"[^/]+$", 0).like(pattern.replace("*", "%").replace("?", "_")))
-    row = files.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("p")).first()
-    return row["p"] if row else None
+    """The entry directly below ``directory`` whose name matches the glob and that
+    was written last (ties: the greatest name), chosen by one aggregate over the
+    listing.  A folder of part files is one entry, as new as its newest file."""
+    base = directory.rstrip("/")
+    below = F.regexp_replace("path", r"^.*?" + re.escape(base.split("://")[-1]) + "/", "")
+    files = list_files(spark, directory).withColumn("entry", F.split(below, "/")[0])
+    row = (files.where(F.col("entry").rlike(glob_pattern(pattern)))
+           .agg(F.max_by("entry", F.struct("modificationTime", "entry")).alias("entry")).first())
+    return f"{base}/{row['entry']}" if row["entry"] is not None else None
 
 
 def read_latest(spark: SparkSession, directory: str, pattern: str = "*", fmt: str = "parquet") -> DataFrame:
     path = latest_file(spark, directory, pattern)
     if path is None:
         raise FileNotFoundError(f"no file matching {pattern!r} in {directory}")
+    if fmt == "csv":
+        return load_csv(spark, path)
     return spark.read.format(fmt).load(path)
 
 
@@ -225,41 +280,59 @@ def read_latest(spark: SparkSession, directory: str, pattern: str = "*", fmt: st
 TS_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 def scan_json(spark: SparkSession, path: str, multi_line: bool = False,
-              schema: T.StructType | str | None = None) -> DataFrame:
-    """JSON lines (or whole-document with ``multi_line``)."""
-    r = spark.read.option("multiLine", multi_line).option("timestampNTZFormat", TS_MICROS)
+              schema: T.StructType | str | None = None, bad_lines: str = "raise") -> DataFrame:
+    """JSON lines (or whole-document with ``multi_line``).  A line that is not a
+    JSON object (or array of them) is an error; with ``bad_lines="keep"`` it is
+    kept in ``_corrupt_record``."""
+    if bad_lines not in ("raise", "keep"):
+        raise ValueError("bad_lines must be raise or keep")
+    r = (spark.read.option("multiLine", multi_line).option("timestampNTZFormat", TS_MICROS)
+         .option("columnNameOfCorruptRecord", BAD_LINE))
     if schema is not None:
-        r = r.schema(schema)
-    return r.json(path)
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    elif bad_lines == "raise":
+        schema = r.option("mode", "FAILFAST").json(path).schema
+    else:
+        schema = r.option("mode", "PERMISSIVE").json(path).schema
+    if bad_lines == "raise":
+        return r.option("mode", "FAILFAST").schema(schema).json(path)
+    if BAD_LINE not in schema.names:
+        schema = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
+    return r.option("mode", "PERMISSIVE").schema(schema).json(path)
 
 
-def unwrap_envelope(raw: DataFrame) -> DataFrame:
-    """Payload records in any of the envelope forms -> rows.
+def unwrap_envelope(raw: DataFrame, bad_lines: str = "raise") -> DataFrame:
+    """Payload records in any of the envelope forms -> rows, in one pass.
 
     Top-level JSON arrays are already split into records by the reader.  A
     record with a ``data`` array yields its elements, else one with a
-    ``results`` array yields those, else the record itself is the row.
+    ``results`` array yields those, else the record itself is the row.  An
+    unreadable record raises an error, or with ``bad_lines="keep"`` becomes a row that
+    holds it in ``_corrupt_record``.
     """
-    cols = raw.columns
-    parts = []
-    if "data" in cols:
-        parts.append(raw.where(F.col("data").isNotNull()).select(F.inline("data")))
-    if "results" in cols:
-        cond = F.col("results").isNotNull()
-        if "data" in cols:
-            cond = cond & F.col("data").isNull()
-        parts.append(raw.where(cond).select(F.inline("results")))
-    plain = [c for c in cols if c not in ("data", "results", "_corrupt_record")]
-    cond = F.lit(True)
-    for c in ("data", "results"):
-        if c in cols:
-            cond = cond & F.col(c).isNull()
-    if plain:
-        parts.append(raw.where(cond).select(*plain))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    lists = [c for c in ("data", "results") if c in raw.columns]
+    plain = [c for c in raw.columns if c not in (*lists, BAD_LINE)]
+    kinds: dict[str, T.DataType] = {f.name: f.dataType for f in raw.schema.fields if f.name in plain}
+    for c in lists:
+        for f in raw.schema[c].dataType.elementType.fields:
+            kinds.setdefault(f.name, f.dataType)
+
+    def row(source, fields: list[str]) -> F.Column:
+        return F.struct(*[(source(n) if n in fields else F.lit(None)).cast(t).alias(n) for n, t in kinds.items()])
+
+    def element(c: str):
+        names = raw.schema[c].dataType.elementType.names
+        return lambda x: row(lambda n: x[n], names)
+
+    rows = F.array(row(lambda n: F.col(f"`{n}`"), plain))
+    for c in reversed(lists):
+        rows = F.when(F.col(c).isNotNull(), F.transform(c, element(c))).otherwise(rows)
+    if BAD_LINE not in raw.columns:
+        return raw.select(F.inline(rows))
+    if bad_lines == "raise":
+        ok = F.when(F.col(BAD_LINE).isNotNull(), F.raise_error(F.concat(F.lit("unexpected payload: "), F.col(BAD_LINE))).cast("boolean"))
+        return raw.where(F.coalesce(ok, F.lit(True))).select(F.inline(rows))
+    return raw.select(F.inline(rows), F.col(BAD_LINE))
 
 
 # --------------------------------------------------------------- S9 / S10 / S14
@@ -307,8 +380,8 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
 
 
 def table_definition(df: DataFrame) -> str:
-    """The frame's schema as DDL text."""
-    return df.schema.simpleString()
+    """The frame's columns as DDL text, as ``CREATE TABLE`` takes them."""
+    return df.sparkSession._jvm.org.apache.spark.sql.types.StructType.fromJson(df.schema.json()).toDDL()
 
 
 def column_types(df: DataFrame) -> list[tuple[str, str]]:

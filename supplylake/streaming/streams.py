@@ -5,9 +5,9 @@ A source folder receives file drops; ``readStream`` picks up new files,
 checkpoint (under the shared checkpoint root) remembers which files were
 processed, so a restart neither reprocesses nor skips a drop.
 
-Idempotence by ``batch_id``: appends go to a ``batch_id=<n>`` folder written
-in overwrite mode, so a replayed batch replaces its own output; upserts
-recompute the same result when replayed.
+Idempotence by ``batch_id``: appends put a ``batch_id=<n>`` folder in place by a
+rename, so a replayed batch replaces its own output; upserts and full
+replacements give the same result when replayed.
 """
 
 from __future__ import annotations
@@ -18,39 +18,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .sync import path_exists, sync_upsert, upsert_frame
+from ..session import scratch_path
+from ..sinks import folders
+from .sync import high_water_mark, sync_upsert, write_mark
 
 
 def read_target(spark: SparkSession, target: str, columns: Sequence[str]) -> DataFrame:
     return spark.read.parquet(target).select(*columns)
 
 
+BATCH_ID = "batch_id"
+
+
 def _append_batch(target: str, columns: Sequence[str]):
     def fn(batch: DataFrame, batch_id: int) -> None:
-        batch.select(*columns).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        folders.add_folder(batch.select(*columns), target, f"{BATCH_ID}={batch_id}")
+    return fn
+
+
+def _full_batch(target: str, columns: Sequence[str]):
+    """Each drop is a snapshot: the newest one in the batch replaces the target.  A drop
+    is the part files of one write, told by the write's id in their names, or else a
+    single file."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        write_id = F.regexp_extract("_name", r"^part-\d+-([0-9a-f-]{36})", 1)
+        drops = batch.withColumn("_drop", F.when(write_id != "", write_id).otherwise(F.col("_name")))
+        last = drops.groupBy("_drop").agg(F.max("_time").alias("_time")).agg(F.max_by("_drop", F.struct("_time", "_drop"))).first()[0]
+        if last is not None:
+            folders.replace(drops.where(F.col("_drop") == last).select(*columns), target)
     return fn
 
 
 def _incremental_batch(target: str, columns: Sequence[str], ts_col: str):
     """Strict high-water-mark rule per micro-batch (late rows are dropped).
 
-    The mark is max(ts) over batches other than this one, so a replay of the
-    same batch filters identically.
+    The mark comes from the stored marks of earlier batches, one row each, so
+    a replay of the same batch filters identically and the target is not read.
     """
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select(*columns)
-        keep = F.lit(True)
-        if path_exists(spark, target):
-            prev = spark.read.parquet(target).where(F.col("batch_id") != batch_id)
-            hwm = prev.select(F.max(ts_col)).scalar()
-            keep = F.coalesce(F.col(ts_col) > hwm, hwm.isNull())
-        flagged = rows.withColumn("_keep", keep)
-        stage = f"{target}__stage/batch_id={batch_id}"
-        flagged.write.mode("overwrite").parquet(stage)  # decide once, then count and load
+        hwm = high_water_mark(spark, target, BATCH_ID, before=batch_id)
+        keep = F.lit(True) if hwm is None else F.coalesce(F.col(ts_col) > hwm, hwm.isNull())
+        stage = scratch_path(spark, "stream_batch")
+        batch.select(*columns).withColumn("_keep", keep).write.parquet(stage)  # decide once, then count and load
         staged = spark.read.parquet(stage)
-        staged.where("_keep").drop("_keep").write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        rows = staged.where("_keep").drop("_keep")
         late_log(spark, target, batch_id, staged)
+        write_mark(rows, target, ts_col, batch_id)
+        folders.add_folder(rows, target, f"{BATCH_ID}={batch_id}")
+        folders.remove(spark, stage)
     return fn
 
 
@@ -71,13 +87,7 @@ def late_counts(spark: SparkSession, target: str) -> DataFrame:
 def _upsert_batch(target: str, columns: Sequence[str], key: Sequence[str], order: Sequence[str],
                   buckets: int | None):
     def fn(batch: DataFrame, batch_id: int) -> None:
-        from ..sinks.tables import staged_overwrite
-        spark = batch.sparkSession
-        if buckets:
-            sync_upsert(batch.select(*columns), target, key, order, buckets)
-            return
-        tgt = spark.read.parquet(target) if path_exists(spark, target) else None
-        staged_overwrite(upsert_frame(tgt, batch.select(*columns), key, order), target)
+        sync_upsert(batch.select(*columns), target, key, order, buckets)
     return fn
 
 
@@ -87,19 +97,24 @@ def run_stream(spark: SparkSession, source_dir: str, schema: T.StructType, targe
                once: bool = True, interval: str = "300 seconds", max_files: int | None = None,
                buckets: int | None = None):
     """Start (and with ``once`` drain with ``availableNow``) one source stream."""
+    from ..sources.files import TS_MICROS, csv_reader
     columns = [f.name for f in schema.fields]
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("ignoreTrailingWhiteSpace", False) \
-                       .option("ignoreLeadingWhiteSpace", False)
+        reader = csv_reader(reader)
     if fmt in ("json", "csv"):
-        from ..sources.files import TS_MICROS
         reader = reader.option("timestampNTZFormat", TS_MICROS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     stream = reader.load(source_dir)
+    if mode == "upsert" and key and not order:
+        raise ValueError("an upsert needs order columns that tell which row of a key is the last")
     if mode == "append":
         fn = _append_batch(target, columns)
+    elif mode == "full":
+        stream = stream.select("*", F.col("_metadata.file_name").alias("_name"),
+                               F.col("_metadata.file_modification_time").alias("_time"))
+        fn = _full_batch(target, columns)
     elif mode == "incremental":
         fn = _incremental_batch(target, columns, ts_col)
     elif mode == "upsert":

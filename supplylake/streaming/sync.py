@@ -1,15 +1,16 @@
 """Sync modes and bookkeeping.
 
-Targets are path tables (parquet) below shared storage.
+Targets are path tables (parquet) below shared storage; each belongs to one mode.
 
-* full: overwrite the target with the extract.
-* incremental: keep rows with ts strictly newer than the high-water mark;
-  the mark is ``max(ts)`` of rows actually loaded, persisted next to the
-  target (a restart neither reloads nor loses rows, SURVEY §8.17).
+* full: replace the target by the extract.
+* incremental: keep rows with ts strictly newer than the high-water mark.  Each
+  load adds one folder ``_batch=<n>`` by a rename; its mark (``max(ts)`` of rows
+  actually loaded) is written just before and counts only once the folder is
+  there, so a crash at any step neither loads rows twice nor loses them.
 * upsert: the last row per key wins (order columns decide), then
-  ``target anti-join source  UNION  source`` replaces the target through a
-  staging folder.  Dedupe is ``max_by`` per key -- a partial aggregate, so
-  a key holding a third of all rows is reduced map-side.
+  ``target anti-join source  UNION  source`` replaces the target, or the touched
+  buckets of it.  Keys are compared null-safely.  Dedupe is ``max_by`` per key --
+  a partial aggregate, so a key holding a third of all rows is reduced map-side.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
+from ..sinks import folders
 
 log = logging.getLogger(__name__)
 
@@ -38,35 +40,42 @@ HISTORY_SCHEMA = T.StructType([
 ])
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018  (resolves the listing only)
-        return True
-    except Exception:
-        return False
-
-
 # --------------------------------------------------------------- K7
 
 def sync_full(df: DataFrame, target: str) -> DataFrame:
-    """K7: replace the target with ``df`` (staged, so ``df`` may read the target)."""
-    from ..sinks.tables import staged_overwrite
-    return staged_overwrite(df, target)
+    """K7: replace the target with ``df`` (which may read the target)."""
+    return folders.replace(df, target)
 
 
 # --------------------------------------------------------------- K8 / R3
 
+BATCH = "_batch"
+
+
 def _state_path(target: str) -> str:
     return target.rstrip("/") + "__sync_state"
 
 
-def high_water_mark(spark: SparkSession, target: str):
-    """The persisted mark (max ts loaded so far) as a scalar-subquery Column,
-    or None before the first load.  It never passes through Python."""
-    p = _state_path(target)
-    if not path_exists(spark, p):
+def batches(spark: SparkSession, target: str, column: str = BATCH) -> list[int]:
+    """Numbers of the batch folders that are in place."""
+    return sorted(int(n.split("=", 1)[1]) for n in folders.names(spark, target) if n.startswith(f"{column}="))
+
+
+def write_mark(rows: DataFrame, target: str, ts_col: str, batch: int) -> None:
+    """The mark of a batch, written before its folder is put in place."""
+    mark = rows.agg(F.max(F.col(ts_col).cast("timestamp_ntz")).alias("hwm"))
+    (mark.withColumn("updated_at", F.current_timestamp())
+     .write.mode("overwrite").parquet(f"{_state_path(target)}/batch={batch}"))
+
+
+def high_water_mark(spark: SparkSession, target: str, column: str = BATCH, before: int | None = None):
+    """The greatest mark of the batches in place (but for numbers from ``before`` on)
+    as a scalar-subquery Column, or None without any.  Reads one row per batch."""
+    done = [n for n in batches(spark, target, column) if before is None or n < before]
+    if not done or not folders.exists(spark, _state_path(target)):
         return None
-    return spark.read.parquet(p).select(F.max("hwm")).scalar()
+    marks = spark.read.parquet(_state_path(target)).where(F.col("batch") <= done[-1])
+    return marks.select(F.max("hwm")).scalar()
 
 
 def incremental_rows(df: DataFrame, ts_col: str | None, hwm) -> DataFrame:
@@ -81,16 +90,14 @@ def incremental_rows(df: DataFrame, ts_col: str | None, hwm) -> DataFrame:
 def sync_incremental(df: DataFrame, target: str, ts_col: str | None) -> DataFrame:
     """K8: append rows newer than the mark; advance the mark to max(ts) loaded."""
     spark = df.sparkSession
-    hwm = high_water_mark(spark, target)
-    new = incremental_rows(df, ts_col, hwm)
+    batch = max(batches(spark, target), default=-1) + 1
     stage = scratch_path(spark, "incr")
-    new.write.mode("overwrite").parquet(stage)  # materialise once: count + append + mark
-    staged = spark.read.parquet(stage)
-    staged.write.mode("append").parquet(target)
+    incremental_rows(df, ts_col, high_water_mark(spark, target)).write.parquet(stage)
+    rows = spark.read.parquet(stage)  # decided once: mark and load see the same rows
     if ts_col is not None and ts_col in df.columns:
-        mark = staged.agg(F.max(F.col(ts_col).cast("timestamp_ntz")).alias("hwm"))
-        mark = mark.where(F.col("hwm").isNotNull())
-        mark.withColumn("updated_at", F.current_timestamp()).write.mode("append").parquet(_state_path(target))
+        write_mark(rows, target, ts_col, batch)
+    folders.add_folder(rows, target, f"{BATCH}={batch}")
+    folders.remove(spark, stage)
     return spark.read.parquet(target)
 
 
@@ -98,19 +105,27 @@ def sync_incremental(df: DataFrame, target: str, ts_col: str | None) -> DataFram
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Last row per key by ``order`` (ties: a stable winner from the full row)."""
+    if not order:
+        raise ValueError("an upsert needs order columns that tell which row of a key is the last")
     cols = df.columns
     rank = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in cols if c not in order])
     return (df.groupBy(*key).agg(F.max_by(F.struct(*cols), rank).alias("_r"))
             .select("_r.*"))
 
 
+def _without_keys(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` whose key, NULLs included, is not among ``source``'s."""
+    keys = source.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(key)])
+    same = [target[k].eqNullSafe(keys[f"_key_{i}"]) for i, k in enumerate(key)]
+    return target.join(keys, same, "left_anti")
+
+
 def upsert_frame(target: DataFrame | None, source: DataFrame, key: Sequence[str],
                  order: Sequence[str]) -> DataFrame:
     src = latest_per_key(source, key, order)
     if target is None:
         return src
-    kept = target.join(src.select(*key), list(key), "left_anti")
-    return kept.unionByName(src.select(*target.columns))
+    return _without_keys(target, src, key).unionByName(src.select(*target.columns))
 
 
 BUCKET = "_bucket"
@@ -126,35 +141,33 @@ def sync_upsert(df: DataFrame, target: str, key: Sequence[str] | None,
 
     With ``buckets`` the target is partitioned by ``pmod(xxhash64(key), B)``:
     an upsert reads only the buckets its keys fall in (static partition
-    pruning on at most B bucket numbers), merges them through a staging
-    folder and replaces just those buckets (dynamic partition overwrite),
-    so the cost follows the size of the change, not of the target.
+    pruning on at most B bucket numbers) and replaces just those, so the cost
+    follows the size of the change, not of the target.  Rows are dealt to
+    tasks by bucket before the write, and a large bucket is split.  Choose B so
+    that a bucket is about one task's work; it stays the table's.
     """
-    from ..sinks.tables import staged_overwrite
     spark = df.sparkSession
     if not key:
         log.warning("upsert without a primary key: appending")
-        df.write.mode("append").parquet(target)
+        folders.add_folder(df, target, f"{BATCH}={max(batches(spark, target), default=-1) + 1}")
         return spark.read.parquet(target)
     if buckets is None:
-        tgt = spark.read.parquet(target) if path_exists(spark, target) else None
-        return staged_overwrite(upsert_frame(tgt, df, key, order), target)
+        tgt = spark.read.parquet(target) if folders.table_exists(spark, target) else None
+        return folders.replace(upsert_frame(tgt, df, key, order), target)
 
+    parts = f"{BUCKET}="
     src = latest_per_key(df, key, order).withColumn(BUCKET, bucket_of(key, buckets))
-    if not path_exists(spark, target):
-        src.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
-        return spark.read.parquet(target)
+    if not folders.table_exists(spark, target, parts):
+        return folders.replace(src.hint("rebalance", BUCKET), target, BUCKET)
     stage = scratch_path(spark, "upsert_src")
-    src.write.mode("overwrite").parquet(stage)  # the change set, deduped, read twice below
+    src.write.parquet(stage)  # the change set, deduped, read twice below
     src = spark.read.parquet(stage)
     touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())  # <= B ints
     tgt = spark.read.parquet(target).where(F.col(BUCKET).isin(touched))
-    merged = tgt.join(src.select(*key), list(key), "left_anti").unionByName(src.select(*tgt.columns))
-    out = scratch_path(spark, "upsert_merged")
-    merged.write.mode("overwrite").partitionBy(BUCKET).parquet(out)
-    (spark.read.parquet(out).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(target))
-    return spark.read.parquet(target)
+    merged = _without_keys(tgt, src, key).unionByName(src.select(*tgt.columns))
+    out = folders.replace(merged.hint("rebalance", BUCKET), target, BUCKET, parts)
+    folders.remove(spark, stage)
+    return out
 
 
 # --------------------------------------------------------------- dispatch / K12 / K14
@@ -164,33 +177,38 @@ SYNC_MODES = ("full", "incremental", "upsert")
 
 def run_sync(spark: SparkSession, source_name: str, df: DataFrame, target: str, mode: str,
              history: str | None = None, ts_col: str | None = None,
-             key: Sequence[str] | None = None, order: Sequence[str] = ()) -> dict:
-    """R2 + R5: one sync with status; failures are recorded, not raised."""
+             key: Sequence[str] | None = None, order: Sequence[str] = (),
+             buckets: int | None = None) -> dict:
+    """R2 + R5: one sync with status; failures are recorded, not raised.  The
+    extract is read once, into the shared folder."""
     if mode not in SYNC_MODES:
         raise ValueError(f"unknown sync mode {mode!r}; expected one of {SYNC_MODES}")
+    if mode == "upsert" and key and not order:
+        raise ValueError("an upsert needs order columns that tell which row of a key is the last")
     start = _dt.datetime.now()
     rec = {"source_name": source_name, "table_name": target.rsplit("/", 1)[-1],
            "sync_start": start, "rows_processed": 0, "rows_loaded": 0,
            "status": "success", "error_message": None}
+    stage = scratch_path(spark, "extract")
     try:
-        n = df.count()
-        rec["rows_processed"] = n
+        df.write.parquet(stage)
+        rows = spark.read.parquet(stage)
+        n = rec["rows_processed"] = rows.count()
         if n == 0:
             rec["status"] = "empty"
+        elif mode == "full":
+            sync_full(rows, target)
+            rec["rows_loaded"] = n
+        elif mode == "incremental":
+            out = sync_incremental(rows, target, ts_col)
+            rec["rows_loaded"] = out.where(F.col(BATCH) == batches(spark, target)[-1]).count()
         else:
-            before = spark.read.parquet(target).count() if path_exists(spark, target) else 0
-            if mode == "full":
-                out = sync_full(df, target)
-                rec["rows_loaded"] = out.count()
-            elif mode == "incremental":
-                out = sync_incremental(df, target, ts_col)
-                rec["rows_loaded"] = out.count() - before
-            else:
-                out = sync_upsert(df, target, key, order)
-                rec["rows_loaded"] = n
+            sync_upsert(rows, target, key, order, buckets)
+            rec["rows_loaded"] = n
+        folders.remove(spark, stage)
     except Exception as exc:
         rec["status"] = "failed"
-        rec["error_message"] = str(exc)[:1000]
+        rec["error_message"] = str(exc)
     rec["sync_end"] = _dt.datetime.now()
     if history:
         append_history(spark, history, [rec])

@@ -72,7 +72,7 @@ def test_pipeline_isolates_failures(spark):
     hist = scratch_path(spark, "p_hist")
     specs = [SourceSpec("ok", "parquet", src, scratch_path(spark, "p_t1"), "upsert",
                         primary_key=["user_id"], order_by=["ts", "event_id"]),
-             SourceSpec("broken", "parquet", src + "_missing", scratch_path(spark, "p_t2")),
+             SourceSpec("broken", "parquet", src + "_missing", scratch_path(spark, "p_t2"), retry_seconds=0.01),
              SourceSpec("off", "parquet", src, scratch_path(spark, "p_t3"), enabled=False)]
     recs = run_pipeline(spark, specs, hist)
     assert [r["status"] for r in recs] == ["success", "failed"]
@@ -120,7 +120,7 @@ def test_audit_and_catalog_helpers(spark):
     assert "_pipeline_updated_at" in df.columns
     assert df.select("_pipeline_updated_at").distinct().count() == 1
     assert "tableName" in FS.list_tables(spark).columns
-    assert FS.table_definition(df).startswith("struct<")
+    assert FS.table_definition(df).startswith("event_id BIGINT")
     nan = spark.createDataFrame([(float("nan"),)], "x DOUBLE")
     assert TB.nan_to_null_all(nan).first()[0] is None
 
@@ -180,3 +180,102 @@ def test_stream_from_csv_and_json_drops(spark):
         ST.run_stream(spark, src, df.schema, tgt, scratch_path(spark, f"{fmt}_ck"), mode="append", fmt=fmt)
         got = ST.read_target(spark, tgt, df.columns)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_unreadable_file_raises_and_leaves_the_target(spark, tmp_path):
+    import pytest
+    rows = [(i, f"2024-01-01 00:{i:02d}:00", i, "x", float(i), "{}") for i in range(40)]
+    target = f"{tmp_path}/target"
+    SY.sync_upsert(frame(spark, rows), target, ["user_id"], ["ts"])
+    part = sorted((tmp_path / "target").glob("part-*"))[0]
+    good = part.read_bytes()
+    part.write_bytes(b"not parquet at all")
+    (tmp_path / "target" / f".{part.name}.crc").unlink(missing_ok=True)
+    change = [(100, "2024-01-02 00:00:00", 3, "y", 9.0, "{}")]
+    with pytest.raises(Exception):
+        SY.sync_upsert(frame(spark, change), target, ["user_id"], ["ts"])
+    part.write_bytes(good)
+    assert spark.read.parquet(target).count() == 40
+    out = SY.sync_upsert(frame(spark, change), target, ["user_id"], ["ts"])
+    assert out.count() == 40 and out.where("event_id = 100").count() == 1
+
+
+def test_null_keys_do_not_pile_up(spark):
+    import pytest
+    rows = [(1, "2024-01-01 00:00:00", None, "a", 1.0, "{}"), (2, "2024-01-01 00:01:00", 7, "b", 2.0, "{}")]
+    for buckets in (None, 4):
+        target = scratch_path(spark, "t_null")
+        for _ in range(3):
+            out = SY.sync_upsert(frame(spark, rows), target, ["user_id"], ["ts"], buckets)
+        assert sorted((r["event_id"], r["user_id"]) for r in out.collect()) == [(1, None), (2, 7)]
+    with pytest.raises(ValueError):
+        SY.sync_upsert(frame(spark, rows), scratch_path(spark, "t_order"), ["user_id"], [])
+    with pytest.raises(ValueError):
+        SY.run_sync(spark, "s", frame(spark, rows), scratch_path(spark, "t_order"), "upsert", key=["user_id"])
+
+
+def test_a_crash_between_steps_neither_loses_nor_repeats(spark, monkeypatch):
+    import pytest
+
+    from supplylake.sinks import folders
+    df = frame(spark, ROWS)
+
+    def crash(*a, **k):
+        raise IOError("crash")
+
+    # Incremental: the mark is written, the folder is not in place.
+    target = scratch_path(spark, "t_crash_incr")
+    SY.sync_incremental(df.where("event_id <= 2"), target, "ts")
+    with monkeypatch.context() as m:
+        m.setattr(folders, "add_folder", crash)
+        with pytest.raises(IOError):
+            SY.sync_incremental(df, target, "ts")
+    out = SY.sync_incremental(df, target, "ts")
+    assert sorted(r["event_id"] for r in out.collect()) == [1, 2, 3, 4]
+    # Full: the new table is whole, the renames were not done or half done.
+    for step in ("rename", "remove"):
+        target = scratch_path(spark, "t_crash_full")
+        SY.sync_full(df.where("event_id <= 2"), target)
+        with monkeypatch.context() as m:
+            m.setattr(folders, step, crash)
+            with pytest.raises(IOError):
+                SY.sync_full(df, target)
+        assert folders.table_exists(spark, target)
+        assert spark.read.parquet(target).count() == 4
+    # Buckets: one of them is in place, the others follow.
+    target = scratch_path(spark, "t_crash_bucket")
+    rows = [(i, f"2024-01-01 00:{i:02d}:00", i, "x", float(i), "{}") for i in range(40)]
+    SY.sync_upsert(frame(spark, rows), target, ["user_id"], ["ts"], buckets=4)
+    plain, calls = folders.rename, []
+
+    def third(*a):
+        calls.append(a)
+        return plain(*a) if len(calls) < 4 else crash()
+
+    change = [(100 + i, "2024-01-02 00:00:00", i, "y", 9.0, "{}") for i in range(40)]
+    with monkeypatch.context() as m:
+        m.setattr(folders, "rename", third)
+        with pytest.raises(IOError):
+            SY.sync_upsert(frame(spark, change), target, ["user_id"], ["ts"], buckets=4)
+    out = SY.sync_upsert(frame(spark, change[:1]), target, ["user_id"], ["ts"], buckets=4)
+    assert sorted(r["event_id"] for r in out.collect()) == list(range(100, 140))
+
+
+def test_full_stream_replaces(spark):
+    src, target, ckpt = (scratch_path(spark, n) for n in ("f_src", "f_tgt", "f_ckpt"))
+    df = frame(spark, ROWS)
+    df.where("event_id <= 2").repartition(2).write.mode("append").parquet(src)
+    ST.run_stream(spark, src, df.schema, target, ckpt, mode="full")
+    df.where("event_id <= 2").repartition(2).write.mode("append").parquet(src)
+    df.where("event_id > 1").repartition(3).write.mode("append").parquet(src)  # two drops at once: the last holds
+    ST.run_stream(spark, src, df.schema, target, ckpt, mode="full")
+    assert sorted(r["event_id"] for r in ST.read_target(spark, target, df.columns).collect()) == [2, 3, 4]
+
+
+def test_streams_refuse_types_they_cannot_serve(spark):
+    import pytest
+
+    from supplylake.plans.jobs import SourceSpec, start_streams
+    for kind in ("latest_file", "api_payload", "database"):
+        with pytest.raises(ValueError):
+            start_streams(spark, [SourceSpec("x", kind, "p", "t")], {}, "ck")
