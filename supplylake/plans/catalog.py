@@ -209,11 +209,6 @@ def _dq_nulls(spark, sf_dir):
     return DQ.null_profile(_summary(spark, sf_dir))
 
 
-@register("null_profile", O.dq_nulls_sql())
-def _null_profile(spark, sf_dir):
-    return DQ.null_profile(_summary(spark, sf_dir))
-
-
 @register("dq_ranges", O.dq_ranges_sql())
 def _dq_ranges(spark, sf_dir):
     return DQ.range_frame(_summary(spark, sf_dir), DQ.VALIDATION_PROFILES["vendor_summary"])
@@ -630,11 +625,24 @@ CSV_SQL_COLS = ("InventoryId, CAST(Store AS INTEGER) AS Store, CAST(Brand AS INT
                 "CAST(Dollars AS DOUBLE) AS Dollars")
 
 
-@register("load_csv", O.q(O.STAR, f"SELECT {CSV_SQL_COLS} FROM purchases"))
+#: Descriptions as landed: one in five holds a quote and a comma, one in seven a line end.
+QUOTED_SQL = ("CASE WHEN PONumber % 35 = 0 THEN 'a \"b\", c' || chr(10) || Description "
+              "WHEN PONumber % 5 = 0 THEN Description || ' \"Big\", 5L' "
+              "WHEN PONumber % 7 = 0 THEN Description || chr(10) || 'x' ELSE Description END")
+
+
+def _quoted(df):
+    po, d = F.col("PONumber"), F.col("Description")
+    text = (F.when(po % 35 == 0, F.concat(F.lit('a "b", c\n'), d)).when(po % 5 == 0, F.concat(d, F.lit(' "Big", 5L')))
+            .when(po % 7 == 0, F.concat(d, F.lit("\nx"))).otherwise(d))
+    return df.withColumn("Description", text)
+
+
+@register("load_csv", O.q(O.STAR, f"SELECT {CSV_SQL_COLS} FROM (SELECT * REPLACE ({QUOTED_SQL} AS Description) FROM purchases)"))
 def _load_csv(spark, sf_dir):
     path = landed(spark, sf_dir, "purchases_csv",
-                  lambda p: FS.write_csv(stored_star(spark, sf_dir).purchases, p))
-    return FS.load_csv(spark, path)
+                  lambda p: FS.write_csv(_quoted(stored_star(spark, sf_dir).purchases), p))
+    return FS.load_csv(spark, path, multi_line=True)
 
 
 def _land_star_csv(spark, sf_dir):
@@ -651,15 +659,27 @@ def _land_star_csv(spark, sf_dir):
     return landed(spark, sf_dir, "star_csv", write)
 
 
+def _loaded(spark, sf_dir):
+    """The landing folder loaded once per session: tables, results and folder."""
+    folder = landed(spark, sf_dir, "loaded", lambda p: FS.load_directory(
+        spark, _land_star_csv(spark, sf_dir), "*.csv", p)[1].write.parquet(f"{p}/_results"))
+    return spark.read.parquet(f"{folder}/_results"), folder
+
+
 @register("load_directory", O.q(O.STAR, """
-SELECT 'empty.csv' AS file, 'empty' AS "table", CAST(0 AS BIGINT) AS total_rows, CAST(0 AS BIGINT) AS inserted_rows, 'skipped' AS status
-UNION ALL SELECT 'purchases.csv', 'purchases', count(*), count(*), 'success' FROM purchases
-UNION ALL SELECT 'sales.csv', 'sales', count(*), count(*), 'success' FROM sales
-UNION ALL SELECT 'vendor-invoice.csv', 'vendor_invoice', count(*), count(*), 'success' FROM vendor_invoice"""))
+SELECT 'empty.csv' AS file, 'empty' AS "table", CAST(0 AS BIGINT) AS total_rows, CAST(0 AS BIGINT) AS inserted_rows,
+       CAST(0 AS BIGINT) AS failed_rows, 'skipped' AS status
+UNION ALL SELECT 'purchases.csv', 'purchases', count(*), count(*), 0, 'success' FROM purchases
+UNION ALL SELECT 'sales.csv', 'sales', count(*), count(*), 0, 'success' FROM sales
+UNION ALL SELECT 'vendor-invoice.csv', 'vendor_invoice', count(*), count(*), 0, 'success' FROM vendor_invoice"""))
 def _load_directory(spark, sf_dir):
-    d = _land_star_csv(spark, sf_dir)
-    _, res = FS.load_directory(spark, d, "*.csv")
-    return res.drop("error")
+    return _loaded(spark, sf_dir)[0].drop("error")
+
+
+@register("loaded_purchases", O.q(O.STAR, f"SELECT {CSV_SQL_COLS} FROM purchases"))
+def _loaded_purchases(spark, sf_dir):
+    """A table that the load wrote, read back."""
+    return spark.read.parquet(f"{_loaded(spark, sf_dir)[1]}/purchases")
 
 
 @register("load_report", O.q(O.STAR, """
@@ -667,9 +687,7 @@ SELECT CAST(4 AS BIGINT) AS total_files, CAST(3 AS BIGINT) AS successful, CAST(0
        (SELECT count(*) FROM purchases) + (SELECT count(*) FROM sales) + (SELECT count(*) FROM vendor_invoice) AS total_rows_processed,
        (SELECT count(*) FROM purchases) + (SELECT count(*) FROM sales) + (SELECT count(*) FROM vendor_invoice) AS total_rows_inserted"""))
 def _load_report(spark, sf_dir):
-    d = _land_star_csv(spark, sf_dir)
-    _, res = FS.load_directory(spark, d, "*.csv")
-    return LD.load_report(res)
+    return LD.load_report(_loaded(spark, sf_dir)[0])
 
 
 @register("table_counts", O.q(O.STAR, """
@@ -715,22 +733,38 @@ def _json_envelope(spark, sf_dir):
     singles = ev.withColumn("page", page).where((F.col("page") % 4) == 3).select(rec.alias("value"))
     path = scratch_path(spark, "json/payloads")
     lists.unionByName(singles).write.text(path)
-    raw = FS.scan_json(spark, path)
-    out = FS.unwrap_envelope(raw)
+    out = FS.unwrap_envelope(FS.scan_json(spark, path))
     return out.select(F.col("event_id").cast("bigint"), F.to_timestamp_ntz("ts").alias("ts"),
                       F.col("user_id").cast("bigint"), "event_type", F.col("value").cast("double"), "props")
 
 
+@register("json_bad_lines", """
+SELECT CASE WHEN event_id % 50 = 0 THEN NULL ELSE event_id END AS event_id, count(*) AS n FROM events GROUP BY ALL""")
+def _json_bad_lines(spark, sf_dir):
+    """Every fiftieth event lands as a broken line; those are kept and counted as such."""
+    ev = _events(spark, sf_dir)
+    whole = F.to_json(F.struct("event_id", "event_type"))
+    line = F.when(F.col("event_id") % 50 == 0, F.substring(whole, 1, 9)).otherwise(whole)
+    path = scratch_path(spark, "json/broken")
+    ev.select(line.alias("value")).write.text(path)
+    rows = FS.unwrap_envelope(FS.scan_json(spark, path, bad_lines="keep"), bad_lines="keep")
+    good = F.when(F.col(FS.BAD_LINE).isNull(), F.col("event_id").cast("bigint"))
+    return rows.groupBy(good.alias("event_id")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("latest_file", "SELECT * FROM events WHERE event_type = (SELECT max(event_type) FROM events)")
 def _latest_file(spark, sf_dir):
-    """Event drops by type, written in type order; the newest file (ties:
-    greatest path) is read back -- the greatest event type."""
+    """Event drops (folders of part files), the greatest event type written last; one
+    that only a loose pattern would match is newer still.  Two drops of other types
+    are older."""
     ev = _events(spark, sf_dir)
     d = scratch_path(spark, "drops")
-    types = sorted(r[0] for r in ev.select("event_type").distinct().collect())  # a handful of names
-    for t in types:
-        ev.where(F.col("event_type") == t).coalesce(1).write.parquet(f"{d}/{t}")
-    return FS.read_latest(spark, d, "*.parquet")
+    top, low = ev.select(F.max("event_type")).scalar(), ev.select(F.min("event_type")).scalar()
+    drops = [("events_low.parquet", F.col("event_type") == low), ("events_all.parquet", F.lit(True)),
+             ("events_top.parquet", F.col("event_type") == top), ("eventsXother.parquet", F.col("event_type") != top)]
+    for name, rows in drops:
+        ev.where(rows).write.parquet(f"{d}/{name}")
+    return FS.read_latest(spark, d, "events_*.parquet")
 
 
 @register("sql_params", O.q(O.STAR, """
@@ -778,16 +812,39 @@ LOAD_SCHEMA = T.StructType([
     T.StructField("VendorNumber", T.LongType()), T.StructField("PurchasePrice", T.DoubleType())])
 
 
-@register("load_with_rejects", O.q(O.STAR, """
-SELECT count(*) AS total_rows, count(*) - count_if(TRY_CAST(Volume AS DOUBLE) IS NULL) AS inserted_rows,
-       count_if(TRY_CAST(Volume AS DOUBLE) IS NULL) AS failed_rows,
-       CAST(count(*) - count_if(TRY_CAST(Volume AS DOUBLE) IS NULL) AS DOUBLE) / count(*) * 100 AS success_rate
+def _rejected(spark, sf_dir):
+    """Prices landed as text (some volumes are no numbers), loaded under a schema with
+    the rows that do not fit set apart; once per session."""
+    def load(p):
+        star = stored_star(spark, sf_dir)
+        FS.write_csv(star.purchase_prices, f"{p}/_landing")
+        LD.load_table(spark, f"{p}/_landing", f"{p}/good", f"{p}/bad", LOAD_SCHEMA)
+    folder = landed(spark, sf_dir, "with_rejects", load)
+    return spark.read.parquet(f"{folder}/good"), spark.read.parquet(f"{folder}/bad")
+
+
+NO_NUMBER = "TRY_CAST(Volume AS DOUBLE) IS NULL AND Volume IS NOT NULL AND trim(Volume) NOT IN ('', 'NA', 'N/A', 'nan', 'NULL')"
+
+
+@register("load_with_rejects", O.q(O.STAR, f"""
+SELECT count(*) AS total_rows, count(*) - count_if({NO_NUMBER}) AS inserted_rows, count_if({NO_NUMBER}) AS failed_rows,
+       CAST(count(*) - count_if({NO_NUMBER}) AS DOUBLE) / count(*) * 100 AS success_rate
 FROM purchase_prices"""))
 def _load_with_rejects(spark, sf_dir):
-    path = landed(spark, sf_dir, "purchase_prices_csv",
-                  lambda p: FS.write_csv(stored_star(spark, sf_dir).purchase_prices, p))
-    raw = FS.load_csv(spark, path, infer_schema=False)  # all text, as landed
-    return LD.load_stats(raw, LOAD_SCHEMA)
+    return LD.load_stats(*_rejected(spark, sf_dir))
+
+
+@register("loaded_rows", O.q(O.STAR, f"""
+SELECT Brand, CAST(Price AS DOUBLE) AS Price, TRY_CAST(Volume AS DOUBLE) AS Volume, VendorNumber
+FROM purchase_prices WHERE NOT ({NO_NUMBER})"""))
+def _loaded_rows(spark, sf_dir):
+    return _rejected(spark, sf_dir)[0].select("Brand", "Price", "Volume", "VendorNumber")
+
+
+@register("rejected_rows", O.q(O.STAR, f"""
+SELECT Brand, Volume FROM purchase_prices WHERE {NO_NUMBER}"""))
+def _rejected_rows(spark, sf_dir):
+    return _rejected(spark, sf_dir)[1].select(F.col("Brand").cast("bigint").alias("Brand"), "Volume")
 
 
 @register("table_fingerprint", O.q(O.STAR, """
@@ -859,7 +916,7 @@ def _sync_status(spark, sf_dir):
     return SY.sync_status(spark.read.parquet(hist)).drop("last_sync")
 
 
-def _stream_two_drops(spark, sf_dir, mode, second_full=False):
+def _two_drops_target(spark, sf_dir, mode, second_full=False):
     first, second, ev = _drops(spark, sf_dir)
     src = scratch_path(spark, "stream/src")
     target = scratch_path(spark, "stream/target")
@@ -871,7 +928,11 @@ def _stream_two_drops(spark, sf_dir, mode, second_full=False):
     (ev if second_full else second).write.mode("append").parquet(src)
     ST.run_stream(spark, src, schema, target, ckpt, mode=mode, ts_col="ts",  # restart: same checkpoint
                   key=["user_id"], order=["ts", "event_id"], buckets=UPSERT_BUCKETS)
-    return ST.read_target(spark, target, EV_COLS)
+    return target
+
+
+def _stream_two_drops(spark, sf_dir, mode, second_full=False):
+    return ST.read_target(spark, _two_drops_target(spark, sf_dir, mode, second_full), EV_COLS)
 
 
 @register("stream_append", "SELECT * FROM events")
@@ -890,6 +951,42 @@ def _stream_late(spark, sf_dir):
     return _stream_two_drops(spark, sf_dir, "incremental", second_full=True)
 
 
+@register("stream_late_counts", """
+WITH m AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS mid FROM events),
+     f AS (SELECT max(ts) AS hwm FROM events, m WHERE ts <= mid)
+SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS rows_in, count(*) AS rows_loaded, CAST(0 AS BIGINT) AS rows_late
+FROM events, m WHERE ts <= mid
+UNION ALL SELECT 1, count(*), count_if(ts > hwm), count_if(ts <= hwm) FROM events, f""")
+def _stream_late_counts(spark, sf_dir):
+    """Per micro-batch what came, what was loaded and what was late."""
+    target = _two_drops_target(spark, sf_dir, "incremental", second_full=True)
+    return ST.late_counts(spark, target).select(F.col("batch_id").cast("bigint").alias("batch_id"),
+                                                "rows_in", "rows_loaded", "rows_late")
+
+
+@register("stream_full", """
+SELECT * FROM events WHERE ts > (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events)""")
+def _stream_full(spark, sf_dir):
+    """R2: two snapshots; the second replaces the first."""
+    return _stream_two_drops(spark, sf_dir, "full")
+
+
+@register("round_wide", """
+WITH v AS (SELECT event_id, CASE event_id % 6 WHEN 0 THEN 2e13 WHEN 1 THEN 1e17 WHEN 2 THEN 'inf'::DOUBLE
+           WHEN 3 THEN '-inf'::DOUBLE WHEN 4 THEN 'nan'::DOUBLE ELSE value END AS x FROM events)
+SELECT event_id,
+       CASE WHEN isnan(x) OR abs(x) * 1000000.0 >= 9007199254740992.0 THEN x
+            ELSE sign(x) * floor(abs(x) * 1000000.0 + 0.5) / 1000000.0 END AS six,
+       CASE WHEN isnan(x) OR abs(x) * 100.0 >= 9007199254740992.0 THEN x
+            ELSE sign(x) * floor(abs(x) * 100.0 + 0.5) / 100.0 END AS two FROM v""")
+def _round_wide(spark, sf_dir):
+    """F4 over values that a BIGINT cannot hold, infinities and NaN."""
+    k = F.col("event_id") % 6
+    x = (F.when(k == 0, 2e13).when(k == 1, 1e17).when(k == 2, float("inf")).when(k == 3, float("-inf"))
+         .when(k == 4, float("nan")).otherwise(F.col("value")))
+    return _events(spark, sf_dir).select("event_id", round_ieee(x, 6).alias("six"), round_ieee(x, 2).alias("two"))
+
+
 # ------------------------------------------------------------------ more registered forms
 
 def _numeric_features_sql():
@@ -927,7 +1024,7 @@ def _csv_export(spark, sf_dir):
     """K5: export with a timestamped name, read back with the summary schema."""
     df = _summary(spark, sf_dir)
     path = TB.export_csv(df, scratch_path(spark, "exports"))
-    return spark.read.option("header", True).schema(df.schema).csv(path)
+    return FS.csv_reader(spark.read).schema(df.schema).csv(path)
 
 
 @register("summary_job", O.q(O.SUMMARY_CLEAN, "SELECT * FROM vendor_summary"))
@@ -1001,7 +1098,5 @@ def _multi_source_sync(spark, sf_dir):
 def land_inputs(spark, sf_dir) -> None:
     """Derive every landing folder the load queries read (once per session)."""
     landed(spark, sf_dir, "purchases_csv",
-           lambda p: FS.write_csv(stored_star(spark, sf_dir).purchases, p))
-    landed(spark, sf_dir, "purchase_prices_csv",
-           lambda p: FS.write_csv(stored_star(spark, sf_dir).purchase_prices, p))
+           lambda p: FS.write_csv(_quoted(stored_star(spark, sf_dir).purchases), p))
     _land_star_csv(spark, sf_dir)

@@ -10,18 +10,23 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.semantics import null_tokens_to_null
+from . import folders
+
 REJECT_FLAG = "_rejected"
 
 
-def split_rejects(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(accepted rows cast to ``schema``, rejected rows as they came in)."""
-    casts, bad = [], F.lit(False)
+def split_rejects(df: DataFrame, schema: T.StructType, also=None) -> tuple[DataFrame, DataFrame]:
+    """(accepted rows cast to ``schema``, rejected rows as they came in).  Missing-value
+    tokens are NULL; ``also`` is a condition that rejects a row whatever its cells."""
+    casts, bad = [], F.lit(False) if also is None else F.coalesce(also, F.lit(False))
     for f in schema.fields:
         src = F.col(f"`{f.name}`")
+        src = null_tokens_to_null(src) if isinstance(df.schema[f.name].dataType, T.StringType) else src
         v = src.try_cast(f.dataType)
         casts.append(v.alias(f.name))
         bad = bad | (src.isNotNull() & v.isNull())
@@ -31,19 +36,37 @@ def split_rejects(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataF
     return accepted, rejected
 
 
-def load_stats(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """K10 counts: total, inserted, failed, success_rate (%), one aggregate."""
-    bad = F.lit(False)
-    for f in schema.fields:
-        src = F.col(f"`{f.name}`")
-        bad = bad | (src.isNotNull() & src.try_cast(f.dataType).isNull())
-    agg = df.agg(F.count(F.lit(1)).alias("total_rows"), F.count_if(bad).alias("failed_rows"))
+def load_table(spark: SparkSession, source: str, target: str, rejects: str,
+               schema: T.StructType | None = None, multi_line: bool = False) -> tuple[int, int, int]:
+    """Write a CSV as a table and what does not fit it as ``rejects``; rows in all,
+    inserted and rejected, counted from what was written.  An entry without rows
+    writes nothing."""
+    from ..sources.files import BAD_LINE, csv_with_bad_lines, load_csv
+    if schema is None:
+        rows, bad = load_csv(spark, source, multi_line=multi_line), None
+    else:
+        lines = csv_with_bad_lines(spark, source, schema, multi_line=multi_line)
+        rows, bad = split_rejects(lines, schema, F.col(BAD_LINE).isNotNull())
+    rows.write.mode("overwrite").parquet(target)
+    inserted, failed = spark.read.parquet(target).count(), 0
+    if bad is not None:
+        bad.write.mode("overwrite").parquet(rejects)
+        failed = spark.read.parquet(rejects).count()
+    for path, n in ((target, inserted), (rejects, failed)):
+        if not n:
+            folders.remove(spark, path)
+    return inserted + failed, inserted, failed
+
+
+def load_stats(accepted: DataFrame, rejected: DataFrame) -> DataFrame:
+    """K10 counts: total, inserted, failed, success_rate (%)."""
+    good = accepted.agg(F.count(F.lit(1)).alias("inserted_rows"))
+    bad = rejected.agg(F.count(F.lit(1)).alias("failed_rows")).select("failed_rows").scalar()
+    agg = good.select("inserted_rows", bad.alias("failed_rows"))
+    total = F.col("inserted_rows") + F.col("failed_rows")
     return agg.select(
-        "total_rows", (F.col("total_rows") - F.col("failed_rows")).alias("inserted_rows"),
-        "failed_rows",
-        F.when(F.col("total_rows") > 0,
-               (F.col("total_rows") - F.col("failed_rows")) / F.col("total_rows") * 100)
-         .otherwise(F.lit(0.0)).alias("success_rate"))
+        total.alias("total_rows"), "inserted_rows", "failed_rows",
+        F.when(total > 0, F.col("inserted_rows") / total * 100).otherwise(F.lit(0.0)).alias("success_rate"))
 
 
 def load_report(results: DataFrame) -> DataFrame:

@@ -108,57 +108,66 @@ def normalise_null_tokens(df: DataFrame, tokens=NULL_TOKENS) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
-def numeric_text_columns(df: DataFrame) -> dict[str, str]:
-    """Text columns whose non-NULL values all parse as numbers, with the type
-    pandas would give them: ``bigint`` when every value is integral and none
-    is missing, else ``double``.  One aggregate over the text columns."""
+def text_types(df: DataFrame) -> dict[str, str]:
+    """The type of each text column by all its values, NULL apart, in one aggregate:
+    the first of int, bigint, double, date, timestamp and boolean that every value
+    has, else string.  A column of numbers in which some text stood for a missing
+    value (it is NULL here, as an empty cell is) becomes double, as pandas types it."""
     from ..functions.semantics import to_number
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    if not texts:
-        return {}
+    kinds = ("int", "bigint", "double", "date", "timestamp", "boolean")
     aggs = []
-    for i, c in enumerate(texts):
-        col, num = F.col(f"`{c}`"), to_number(F.col(f"`{c}`"))
-        aggs += [F.count_if(col.isNotNull() & num.isNull()).alias(f"bad{i}"),
-                 F.count_if(col.isNotNull()).alias(f"n{i}"),
-                 F.count_if(col.isNull()).alias(f"null{i}"),
-                 F.count_if(num.isNotNull() & (num != F.floor(num))).alias(f"frac{i}")]
+    for i, c in enumerate(df.columns):
+        x = F.col(f"`{c}`")
+        plain = x.rlike(r"^[+-]?\d+$")
+        fits = {
+            "int": plain & x.try_cast("int").isNotNull(), "bigint": plain & x.try_cast("bigint").isNotNull(),
+            "double": to_number(x).isNotNull(),
+            "date": x.rlike(r"^\d{4}-\d{2}-\d{2}$") & x.try_cast("date").isNotNull(),
+            "timestamp": x.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}") & x.try_cast("timestamp").isNotNull(),
+            "boolean": F.lower(x).isin("true", "false")}
+        aggs += [F.count(x).alias(f"n{i}"), *[F.count_if(fits[k]).alias(f"{k}{i}") for k in kinds]]
     r = df.agg(*aggs).first()
-    out = {}
-    for i, c in enumerate(texts):
-        if r[f"n{i}"] > 0 and r[f"bad{i}"] == 0:
-            out[c] = "bigint" if r[f"null{i}"] == 0 and r[f"frac{i}"] == 0 else "double"
-    return out
+    return {c: next((k for k in kinds if r[f"n{i}"] and r[f"{k}{i}"] == r[f"n{i}"]), "string")
+            for i, c in enumerate(df.columns)}
 
 
 def load_csv(spark: SparkSession, path: str, encoding: str = "UTF-8",
              infer_schema: bool = True, schema: T.StructType | str | None = None,
-             null_tokens=NULL_TOKENS, numeric_text: bool = True,
-             multi_line: bool = False) -> DataFrame:
+             null_tokens=NULL_TOKENS, multi_line: bool = False) -> DataFrame:
     """Header CSV with inferred (or given) schema and encoding.
 
     Surrounding whitespace in text is kept (pandas keeps it too); missing
-    tokens become NULL.  With inference, a text column whose remaining
-    values are all numbers (e.g. a numeric column holding 'NA') is cast to a
-    number, as pandas would type it.  For very large inputs pass ``schema``
-    to skip the inference passes.
+    tokens become NULL.  Types are inferred from all values in one pass; for very
+    large inputs pass ``schema`` to skip it.
 
     A line that does not fit the header is refused with an error;
     ``csv_with_bad_lines`` sets such lines apart instead.  ``multi_line`` reads
     quoted line ends; such files are not split among tasks.
     """
-    declared = schema is not None
-    r = csv_reader(spark.read.option("encoding", encoding).option("multiLine", multi_line))
-    if schema is None:
-        schema = r.option("inferSchema", infer_schema).csv(path).schema
-    df = r.option("mode", "FAILFAST").schema(schema).csv(path)
-    df = normalise_null_tokens(df, null_tokens)
-    if not declared and infer_schema and numeric_text:
-        from ..functions.semantics import to_number
-        casts = numeric_text_columns(df)
-        if casts:
-            df = df.withColumns({c: to_number(F.col(f"`{c}`")).cast(t) for c, t in casts.items()})
-    return df
+    from ..functions.semantics import to_number
+    r = csv_reader(spark.read.option("encoding", encoding).option("multiLine", multi_line)
+                   .option("columnPruning", False))
+    if schema is not None:
+        return normalise_null_tokens(r.option("mode", "FAILFAST").schema(schema).csv(path), null_tokens)
+    names = r.csv(path).columns
+    text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    raw = r.option("mode", "FAILFAST").schema(text).csv(path)
+    df = normalise_null_tokens(raw, null_tokens)
+    if not infer_schema or not names:
+        return df
+    types = text_types(df)
+    marked = missing_text(raw, [c for c in names if types[c] in ("int", "bigint")], null_tokens)
+    return df.select(*[(to_number(F.col(f"`{c}`")) if types[c] == "double" or c in marked
+                        else F.col(f"`{c}`").cast(types[c])).alias(c) for c in names])
+
+
+def missing_text(raw: DataFrame, columns: list[str], tokens=NULL_TOKENS) -> set[str]:
+    """Those of ``columns`` that hold a missing-value token other than an empty cell."""
+    if not columns:
+        return set()
+    words = [t for t in tokens if t]
+    r = raw.agg(*[F.max(strip_ws(F.col(f"`{c}`")).isin(words)).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    return {c for i, c in enumerate(columns) if r[f"m{i}"]}
 
 
 #: Holds a line that its reader could not parse.
@@ -211,27 +220,43 @@ def dataset_entries(spark: SparkSession, directory: str, pattern: str = "*") ->
     return sorted(e for e in entries if fnmatch.fnmatch(e, pattern))
 
 
-def load_directory(spark: SparkSession, directory: str, pattern: str = "*.csv",
-                   reader=load_csv) -> tuple[dict[str, DataFrame], DataFrame]:
-    """S2 + S3: one table per matching entry; returns the tables and a
-    per-entry result frame (file, table, total_rows, status)."""
-    tables, rows = {}, []
-    for e in dataset_entries(spark, directory, pattern):
-        path = f"{directory.rstrip('/')}/{e}"
-        name = sanitize_name(e)
+#: Entries of a landing folder that are loaded at a time.
+LOADED_TOGETHER = 4
+RESULT_DDL = ("file STRING, table STRING, total_rows LONG, inserted_rows LONG, failed_rows LONG, "
+              "status STRING, error STRING")
+
+
+def load_directory(spark: SparkSession, directory: str, pattern: str = "*.csv", target: str | None = None,
+                   schemas: dict[str, T.StructType] | None = None,
+                   multi_line: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
+    """S2 + S3 + K10: each matching entry is written as a table below ``target``; gives
+    the written tables and a per-entry result frame with counts of what was written.
+
+    With a schema in ``schemas`` (by table name) rows that do not fit it, and lines
+    that do not fit the header, go to ``<target>/_rejects/<table>``; without one types
+    are inferred from all values and nothing can be rejected but a bad line, which
+    fails the entry.  An entry that fails does not stop the others.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from ..session import scratch_path
+    from ..sinks.loading import load_table
+    base = directory.rstrip("/")
+    target = target or scratch_path(spark, "loaded")
+
+    def one(entry: str):
+        name = sanitize_name(entry)
         try:
-            df = reader(spark, path)
-            n = df.count()
-            if n == 0:
-                rows.append((e, name, 0, 0, "skipped", None))
-                continue
-            tables[name] = df
-            rows.append((e, name, n, n, "success", None))
+            total, inserted, failed = load_table(spark, f"{base}/{entry}", f"{target}/{name}",
+                                                 f"{target}/_rejects/{name}", (schemas or {}).get(name), multi_line)
+            return entry, name, total, inserted, failed, "success" if total else "skipped", None
         except Exception as exc:  # one bad file does not stop the others
-            rows.append((e, name, 0, 0, "failed", str(exc)[:500]))
-    res = spark.createDataFrame(
-        rows, "file STRING, table STRING, total_rows LONG, inserted_rows LONG, status STRING, error STRING")
-    return tables, res
+            return entry, name, 0, 0, 0, "failed", str(exc)
+
+    with ThreadPoolExecutor(LOADED_TOGETHER) as pool:
+        rows = list(pool.map(one, dataset_entries(spark, directory, pattern)))
+    tables = {r[1]: spark.read.parquet(f"{target}/{r[1]}") for r in rows if r[5] == "success"}
+    return tables, spark.createDataFrame(rows, RESULT_DDL)
 
 
 def glob_pattern(pattern: str) -> str:
