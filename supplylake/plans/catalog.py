@@ -70,23 +70,19 @@ def _freight_summary(spark, sf_dir):
 
 
 @register("purchase_summary", O.q(O.SUMMARY_RAW, """
-SELECT VendorNumber, VendorName, Brand, Description,
-       CAST(PurchasePrice AS DOUBLE) AS PurchasePrice, CAST(ActualPrice AS DOUBLE) AS ActualPrice, Volume,
-       CAST(TotalPurchaseQuantity AS BIGINT) AS TotalPurchaseQuantity,
-       CAST(TotalPurchaseDollars AS DOUBLE) AS TotalPurchaseDollars
-FROM PurchaseSummary"""))
+SELECT * EXCLUDE (units, spent) REPLACE (CAST(PurchasePrice AS DOUBLE) AS PurchasePrice, CAST(ActualPrice AS DOUBLE) AS ActualPrice),
+       CAST(units AS BIGINT) AS TotalPurchaseQuantity, CAST(spent AS DOUBLE) AS TotalPurchaseDollars
+FROM priced"""))
 def _purchase_summary(spark, sf_dir):
     ps = S.purchase_summary(stored_star(spark, sf_dir))
     return ps.withColumns({c: ps[c].cast("double") for c in
                            ("PurchasePrice", "ActualPrice", "TotalPurchaseDollars")})
 
 
-@register("sales_summary", O.q(O.SUMMARY_RAW, """
-SELECT VendorNo, Brand, CAST(TotalSalesQuantity AS BIGINT) AS TotalSalesQuantity,
-       CAST(TotalSalesDollars AS DOUBLE) AS TotalSalesDollars,
-       CAST(TotalSalesPrice AS DOUBLE) AS TotalSalesPrice,
-       CAST(TotalExciseTax AS DOUBLE) AS TotalExciseTax
-FROM SalesSummary"""))
+@register("sales_summary", O.q(O.SUMMARY_RAW, f"""
+SELECT k.VendorNo AS VendorNo, k.Brand AS Brand, CAST(units_out AS BIGINT) AS TotalSalesQuantity,
+       {O.doubles({'TotalSalesDollars': 'revenue', 'TotalSalesPrice': 'price_sum', 'TotalExciseTax': 'excise'})}
+FROM sold"""))
 def _sales_summary(spark, sf_dir):
     ss = S.sales_summary(stored_star(spark, sf_dir).sales, "sum")
     return ss.withColumns({c: ss[c].cast("double") for c in
