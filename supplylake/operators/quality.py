@@ -286,12 +286,28 @@ class DataQualityValidator:
             "results": results,
         }
 
-    def check_frame(self, spark: SparkSession, df: DataFrame, profile: str = "vendor_summary",
+    def check_frame(self, df: DataFrame, profile: str = "vendor_summary",
                     z_threshold: float = 3.0) -> DataFrame:
         """The report as a DataFrame of check rows (details as JSON text)."""
         rows = [(r["check"], r["passed"], json.dumps(r["details"], default=str), r["timestamp"])
                 for r in self.run_checks(df, profile, z_threshold)]
-        return spark.createDataFrame(rows, CHECK_SCHEMA)
+        return df.sparkSession.createDataFrame(rows, CHECK_SCHEMA)
+
+    def totals_frame(self, df: DataFrame, profile: str = "vendor_summary",
+                     z_threshold: float = 3.0) -> DataFrame:
+        """D8 as a one-row DataFrame: row and column counts, checks passed and failed,
+        and the pass rate in percent."""
+        report = self.validate(df, profile, z_threshold)
+        return df.sparkSession.createDataFrame(
+            [(report["profile"], report["row_count"], report["column_count"], report["total_checks"],
+              report["passed"], report["failed"], float(report["pass_rate"]))],
+            "profile STRING, row_count LONG, column_count LONG, total_checks LONG, passed LONG, failed LONG, pass_rate DOUBLE")
+
+
+def details_frame(checks: DataFrame, details: dict[str, str]) -> DataFrame:
+    """``check_frame`` rows with the named numbers of their details as columns."""
+    return checks.select("check", "passed", *[
+        F.get_json_object("details", f"$.{name}").cast(kind).alias(name) for name, kind in details.items()])
 
 
 def range_frame(df: DataFrame, profile: dict) -> DataFrame:
@@ -342,10 +358,10 @@ def outlier_frame(df: DataFrame, profile: dict, z_threshold: float = 3.0) -> Dat
         (F.col("outlier_count") < F.col("n") * 0.05).alias("passed"))
 
 
-def save_report(report: dict, path: str) -> str:
-    """The report as JSON text on the driver (a few hundred bytes)."""
-    with open(path, "w") as fh:
-        json.dump(report, fh, indent=2, default=str)
+def save_report(spark: SparkSession, report: dict, path: str) -> str:
+    """The report as JSON text in a file of the shared store (any Hadoop path)."""
+    from ..sinks.folders import write_text
+    write_text(spark, path, json.dumps(report, indent=2, default=str))
     return path
 
 

@@ -215,10 +215,23 @@ def _dq_outliers(spark, sf_dir):
     return DQ.outlier_frame(_summary(spark, sf_dir), DQ.VALIDATION_PROFILES["vendor_summary"])
 
 
-@register("dq_report", O.dq_report_sql())
+SUMMARY_COLS = ["VendorNumber", "VendorName", "Brand", "Description", "Volume", *O.MEASURES, "GrossProfit",
+                "ProfitMargin", "StockTurnover", "SalesToPurchaseRatio", "FreightToSalesRatio", "PriceMarkup"]
+SUMMARY_DOUBLES = set(SUMMARY_COLS) - {"VendorNumber", "VendorName", "Brand", "Description"}
+
+
+@register("dq_report", O.dq_details_sql(O.SUMMARY_CLEAN, "vendor_summary", SUMMARY_COLS, SUMMARY_DOUBLES,
+                                        DQ.VALIDATION_PROFILES["vendor_summary"]))
 def _dq_report(spark, sf_dir):
-    v = DQ.DataQualityValidator()
-    return v.check_frame(spark, _summary(spark, sf_dir)).select("check", "passed")
+    checks = DQ.DataQualityValidator().check_frame(_summary(spark, sf_dir))
+    return DQ.details_frame(checks, O.DQ_DETAILS)
+
+
+@register("dq_totals", O.dq_totals_sql(O.SUMMARY_CLEAN, "vendor_summary", SUMMARY_COLS, SUMMARY_DOUBLES,
+                                       DQ.VALIDATION_PROFILES["vendor_summary"], "vendor_summary"))
+def _dq_totals(spark, sf_dir):
+    """The report's totals and pass rate."""
+    return DQ.DataQualityValidator().totals_frame(_summary(spark, sf_dir))
 
 
 @register("dup_count", O.q(O.SUMMARY_CLEAN, """
@@ -843,12 +856,19 @@ def _rejected_rows(spark, sf_dir):
     return _rejected(spark, sf_dir)[1].select(F.col("Brand").cast("bigint").alias("Brand"), "Volume")
 
 
-@register("table_fingerprint", O.q(O.STAR, """
-SELECT count(*) AS total_rows, CAST(0 AS BIGINT) AS null_count,
-       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM purchases) d) AS duplicate_count
-FROM purchases"""))
+def _fingerprint_sql():
+    cells = ", ".join(f"COALESCE('=' || CAST({c} AS VARCHAR), '-')" for c in PURCHASE_COLS)
+    missing = " + ".join(f"count_if({c} IS NULL)" for c in PURCHASE_COLS)
+    return O.q(O.STAR, f"""
+SELECT count(*) AS total_rows, CAST({missing} AS BIGINT) AS null_count,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM purchases) d) AS duplicate_count,
+       CAST(sum(CAST('0x' || substr(md5(concat_ws(chr(31), {cells})), 1, 15) AS BIGINT)) AS VARCHAR) AS data_hash
+FROM purchases""")
+
+
+@register("table_fingerprint", _fingerprint_sql())
 def _table_fingerprint(spark, sf_dir):
-    return TB.table_fingerprint(stored_star(spark, sf_dir).purchases, with_hash=False)
+    return TB.table_fingerprint(stored_star(spark, sf_dir).purchases.select(*PURCHASE_COLS))
 
 
 # ------------------------------------------------------------------ sync / streams
@@ -997,22 +1017,22 @@ def _numeric_features_q(spark, sf_dir):
     return num.select(*[round_ieee(c, 6).alias(c) if c in FLOAT_NOISE else F.col(c) for c in num.columns])
 
 
-@register("dq_report_purchases", O.dq_checks_sql(
+@register("dq_report_purchases", O.dq_details_sql(
     O.STAR, "purchases", PURCHASE_COLS, set(), DQ.VALIDATION_PROFILES["purchases"]))
 def _dq_report_purchases(spark, sf_dir):
     p = stored_star(spark, sf_dir).purchases
-    return DQ.DataQualityValidator().check_frame(spark, p, "purchases").select("check", "passed")
+    return DQ.details_frame(DQ.DataQualityValidator().check_frame(p, "purchases"), O.DQ_DETAILS)
 
 
 SALES_COLS = ["InventoryId", "Store", "Brand", "VendorNo", "SalesQuantity", "SalesPrice",
               "SalesDollars", "SalesDate", "ExciseTax"]
 
 
-@register("dq_report_sales", O.dq_checks_sql(
+@register("dq_report_sales", O.dq_details_sql(
     O.STAR, "sales", SALES_COLS, set(), DQ.VALIDATION_PROFILES["sales"]))
 def _dq_report_sales(spark, sf_dir):
     s = stored_star(spark, sf_dir).sales
-    return DQ.DataQualityValidator().check_frame(spark, s, "sales").select("check", "passed")
+    return DQ.details_frame(DQ.DataQualityValidator().check_frame(s, "sales"), O.DQ_DETAILS)
 
 
 @register("csv_export", O.q(O.SUMMARY_CLEAN, "SELECT * FROM vendor_summary"))
@@ -1045,18 +1065,12 @@ EVENTS_PROFILE = {
 }
 
 
-def _dq_custom_sql():
-    base = O.dq_checks_sql([("ev", "SELECT * FROM events")], "ev", EV_COLS, {"value"},
-                           EVENTS_PROFILE["events"])
-    return base + ("\nUNION ALL\nSELECT 'unique_keys', count(*) = 0 FROM "
-                   "(SELECT event_id FROM ev GROUP BY event_id HAVING count(*) > 1) d")
-
-
-@register("dq_custom", _dq_custom_sql())
+@register("dq_custom", O.dq_details_sql([("ev", "SELECT * FROM events")], "ev", EV_COLS, {"value"},
+                                        EVENTS_PROFILE["events"]))
 def _dq_custom(spark, sf_dir):
     """A user profile (with unique_keys) over the events table."""
     v = DQ.DataQualityValidator(EVENTS_PROFILE)
-    return v.check_frame(spark, _events(spark, sf_dir), "events").select("check", "passed")
+    return DQ.details_frame(v.check_frame(_events(spark, sf_dir), "events"), O.DQ_DETAILS)
 
 
 @register("multi_source_sync", O.q(O.STAR, """

@@ -196,7 +196,7 @@ def run_batch(spark: SparkSession, sf_dir: str, out_root: str) -> dict[str, str]
 
     star = stored_star(spark, sf_dir)
     summary = save("vendor_sales_summary", S.vendor_summary(star, ordered=False))
-    save("data_quality_report", DQ.DataQualityValidator().check_frame(spark, summary))
+    save("data_quality_report", DQ.DataQualityValidator().check_frame(summary))
     save("ml_feature_store", FE.build_features(summary))
     eda = save("eda_summary", S.eda_summary(star, ordered=False))
     table = save("vendor_sales_summary_typed", IM.typed(IM.eda_clean(eda)))

@@ -98,3 +98,13 @@ def add_folder(df: DataFrame, target: str, name: str) -> None:
     stage = f"{target.rstrip('/')}{NEW}-{name.replace('=', '-')}"
     df.write.mode("overwrite").parquet(stage)
     _take_place(spark, stage, f"{target.rstrip('/')}/{name}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, replacing one of that name."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()

@@ -57,23 +57,26 @@ def export_csv(df: DataFrame, output_dir: str, filename: str | None = None,
     return path
 
 
-def table_fingerprint(df: DataFrame, with_hash: bool = True) -> DataFrame:
+def row_hash(columns: list[str]) -> F.Column:
+    """60 bits of the MD5 of a row's cells as text; NULL differs from any text."""
+    cells = [F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-")) for c in columns]
+    return F.conv(F.substring(F.md5(F.concat_ws("\x1f", *cells)), 1, 15), 16, 10).cast(T.DecimalType(38, 0))
+
+
+def table_fingerprint(df: DataFrame) -> DataFrame:
     """total_rows, null_count (NULL cells), duplicate_count and an
     order-free data hash, in two aggregates.
 
-    The hash sums ``xxhash64`` of every row as DECIMAL(38,0): duplicates add
-    up instead of cancelling (as XOR would), and a BIGINT sum would overflow
-    under ANSI.
+    The hash sums ``row_hash`` as DECIMAL(38,0): duplicates add up instead of
+    cancelling (as XOR would), and a BIGINT sum would overflow under ANSI.
     """
     nulls = sum((F.col(f"`{c}`").isNull().cast("long") for c in df.columns), F.lit(0).cast("long"))
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast(T.DecimalType(38, 0))
     base = df.agg(F.count(F.lit(1)).alias("total_rows"), F.sum(nulls).alias("null_count"),
-                  F.sum(h).cast("string").alias("data_hash"))
+                  F.sum(row_hash(df.columns)).cast("string").alias("data_hash"))
     from ..operators.quality import duplicate_frame
     dups = duplicate_frame(df).select("duplicate_rows").scalar()
-    out = base.select("total_rows", F.coalesce("null_count", F.lit(0)).alias("null_count"),
-                      dups.alias("duplicate_count"), "data_hash")
-    return out if with_hash else out.drop("data_hash")
+    return base.select("total_rows", F.coalesce("null_count", F.lit(0)).alias("null_count"),
+                       dups.alias("duplicate_count"), "data_hash")
 
 
 def with_surrogate_id(df: DataFrame, name: str = "id") -> DataFrame:

@@ -25,7 +25,7 @@ def test_summary_job_switch(spark):
 
 def test_report_save_and_text(spark, sample_df, tmp_path):
     rep = DQ.DataQualityValidator().validate(sample_df)
-    p = DQ.save_report(rep, str(tmp_path / "r.json"))
+    p = DQ.save_report(spark, rep, str(tmp_path / "r.json"))
     assert json.load(open(p))["total_checks"] == rep["total_checks"]
     assert "PASS" in DQ.summary_text(rep)
 
