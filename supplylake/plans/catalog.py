@@ -1110,3 +1110,9 @@ def land_inputs(spark, sf_dir) -> None:
     landed(spark, sf_dir, "purchases_csv",
            lambda p: FS.write_csv(_quoted(stored_star(spark, sf_dir).purchases), p))
     _land_star_csv(spark, sf_dir)
+
+
+def store_summaries(spark, sf_dir) -> None:
+    """Write the stage tables that the quality, feature and analysis queries read."""
+    for build in (_summary, _eda, _eda_clean):
+        build(spark, sf_dir)
