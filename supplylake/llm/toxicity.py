@@ -33,6 +33,8 @@ TERMS = 1024
 #: A term's least evidence: the signed log-likelihood ratio of its counts in toxic
 #: and other examples.
 EVIDENCE = 20.0
+#: How many times the odds of a toxic example a term must raise.
+ODDS = 4.0
 NEIGHBOURS = 25
 #: Examples in a block of the index.
 BLOCK = 64
@@ -70,8 +72,9 @@ def example_rows(documents: DataFrame, labels: DataFrame, most: int = EXAMPLES,
             .filter("mean <> 0.5").select("example", "text", (F.col("mean") > 0.5).cast("int").alias("toxic")))
 
 
-def telling_terms(examples: DataFrame, most: int = TERMS, least: float = EVIDENCE) -> list[str]:
-    """The terms that speak for toxicity most, by log-likelihood ratio."""
+def telling_terms(examples: DataFrame, most: int = TERMS, least: float = EVIDENCE, odds: float = ODDS) -> list[str]:
+    """The terms that speak for toxicity most, by log-likelihood ratio, among those
+    that raise its odds enough."""
     totals = examples.agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).first()
     if not totals.t or totals.t == totals.n:
         return []
@@ -90,7 +93,8 @@ def telling_terms(examples: DataFrame, most: int = TERMS, least: float = EVIDENC
 
     n, rest = F.col("n"), totals.n - F.col("n")
     ratio = 2 * (part(a, n * rate) + part(b, n * (1 - rate)) + part(other_a, rest * rate) + part(other_b, rest * (1 - rate)))
-    best = (counts.withColumn("ratio", ratio).filter((a > n * rate) & (F.col("ratio") >= least))
+    raised = a * (totals.n - totals.t) >= odds * b * totals.t
+    best = (counts.withColumn("ratio", ratio).filter(raised & (F.col("ratio") >= least))
             .orderBy(F.desc("ratio"), "term").limit(most))
     return [r.term for r in best.collect()]
 
@@ -137,10 +141,12 @@ def term_counts(rows: DataFrame, terms: list[str], columns: list[str]) -> DataFr
 
 @dataclass
 class Index:
-    """Postings of the examples by term and block, with each block's largest weight."""
+    """Postings of the examples by term, and each term's largest weight in each block
+    of examples.  The rest of the text is a term that every example has."""
     idf: np.ndarray
     example: np.ndarray
     toxic: np.ndarray
+    rest: np.ndarray
     begin: np.ndarray
     place: np.ndarray
     weight: np.ndarray
@@ -157,13 +163,13 @@ class Index:
         terms = np.concatenate([v[1] for v in vectors]) if vectors else np.empty(0, np.int64)
         weight = np.concatenate([v[2] for v in vectors]) if vectors else np.empty(0)
         row = np.repeat(np.arange(len(vectors)), [len(v[1]) for v in vectors])
-        cell = terms * blocks + row // BLOCK
-        order = np.argsort(cell, kind="stable")
-        begin = np.searchsorted(cell[order], np.arange((len(idf) + 1) * blocks + 1))
-        most = np.zeros((len(idf) + 1) * blocks)
-        np.maximum.at(most, cell, weight)
+        most = np.zeros((len(idf) + 1, blocks))
+        np.maximum.at(most, (terms, row // BLOCK), weight)
+        own = terms < len(idf)
+        order = np.argsort(terms[own], kind="stable")
+        begin = np.searchsorted(terms[own][order], np.arange(len(idf) + 1))
         return cls(idf, np.array([v[0].example for v in vectors], np.int64), np.array([v[0].toxic for v in vectors], float),
-                   begin, (row % BLOCK)[order], weight[order], most.reshape(len(idf) + 1, blocks), rate)
+                   weight[~own], begin, row[own][order], weight[own][order], most, rate)
 
     @staticmethod
     def vector(idf: np.ndarray, row) -> tuple[np.ndarray, np.ndarray]:
@@ -172,32 +178,39 @@ class Index:
         v = np.append(100 * np.asarray(row.counts, float) / row.words * idf[terms[:-1]], REST)
         return terms, v / np.sqrt((v * v).sum())
 
+    def _scored(self, blocks: np.ndarray, place: np.ndarray, part: np.ndarray, rest: float,
+                without: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the marked blocks and their cosines."""
+        on = blocks[place // BLOCK]
+        total = np.bincount(place[on], part[on], minlength=len(self.example)) + rest * self.rest
+        rows = np.flatnonzero(np.repeat(blocks, BLOCK)[:len(total)])
+        if without is not None:
+            rows = rows[rows != without]
+        return rows, total[rows]
+
     def nearest(self, row, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and cosines of the ``k`` most similar examples, ties by number;
-        blocks whose bound cannot reach the k-th best are not read."""
-        blocks = self.most.shape[1]
-        rows, best = np.empty(0, np.int64), np.empty(0)
-        if not blocks:
-            return rows, best
+        """Numbers and cosines of the ``k`` most similar examples and of those as similar as
+        the last of them, so that no order of examples decides.  The blocks of the highest bounds give a k-th best; only blocks whose bound
+        reaches it are scored besides."""
+        if not len(self.example):
+            return np.empty(0, np.int64), np.empty(0)
         terms, query = self.vector(self.idf, row)
+        lists = [(self.begin[t], self.begin[t + 1], w) for t, w in zip(terms[:-1], query)]
+        place = np.concatenate([self.place[:0], *(self.place[a:b] for a, b, _ in lists)])
+        part = np.concatenate([self.weight[:0], *(self.weight[a:b] * w for a, b, w in lists)])
         bound = query @ self.most[terms]
-        for b in np.argsort(-bound, kind="stable"):
-            if len(best) == k and bound[b] < best[-1] - 1e-12:
-                break
-            got = np.zeros(BLOCK)
-            for t, w in zip(terms, query):
-                cell = t * blocks + b
-                lo, hi = self.begin[cell], self.begin[cell + 1]
-                if hi > lo:
-                    got[self.place[lo:hi]] += w * self.weight[lo:hi]
-            hit = np.flatnonzero(got > 0)
-            here = hit + b * BLOCK
-            if without is not None:
-                hit, here = hit[here != without], here[here != without]
-            rows, best = np.concatenate((rows, here)), np.concatenate((best, got[hit]))
-            order = np.lexsort((rows, -best))[:k]
-            rows, best = rows[order], best[order]
-        return rows, best
+        first = -(-(k + 1) // BLOCK) + 1
+        blocks = np.zeros(len(bound), bool)
+        blocks[np.argsort(-bound, kind="stable")[:first]] = True
+        rows, near = self._scored(blocks, place, part, query[-1], without)
+        least = np.partition(near, len(near) - k)[len(near) - k] if len(near) >= k else -1.0
+        more = bound >= least - 1e-9
+        if (more & ~blocks).any():
+            rows, near = self._scored(blocks | more, place, part, query[-1], without)
+        least = np.partition(near, len(near) - k)[len(near) - k] if len(near) >= k else -1.0
+        kept = np.flatnonzero(near >= least - 1e-12)
+        order = kept[np.lexsort((rows[kept], -near[kept]))]
+        return rows[order], near[order]
 
     def vote(self, rows: np.ndarray, near: np.ndarray) -> float:
         weight = 1 / (NEAR + np.maximum(0.0, 1 - near))
