@@ -109,7 +109,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[cut[0]:cut[-1]], cut - cut[0]
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def text_slices(batches: Iterator[pa.RecordBatch], limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of about ``limit`` bytes of their ``text`` column
     (a longer single text is a piece of its own), which bounds a task's memory."""
     for batch in batches:

@@ -155,7 +155,7 @@ def fingerprint_edits(documents: DataFrame, bins: int = BINS, bits: int = BITS,
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-        for batch in text_slices(batches, 4 << 20):
+        for batch in text_slices(batches, 2 << 20):
             pairs = []
             sets = shingle_sets(batch.column("text"))
             for shard, doc, text, ahead, shingles in zip(

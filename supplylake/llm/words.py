@@ -16,7 +16,7 @@ from .common import text_bytes
 
 SHINGLE_WORDS = 5
 #: Words are hashed in stretches of about so many bytes, to bound memory.
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
