@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 from .common import text_slices
 
-Q = 10
-FRAGMENT = 80
+Q = 9
+FRAGMENT = 60
 #: Edits allowed in a fragment, as a share of its characters.
-EDITS = 0.075
+EDITS = 0.085
 #: Items of fewer characters cannot be told from common phrases and are not searched.
 LEAST = 25
 #: Characters of the benchmark in one block; each block is one pass over the documents.
@@ -67,15 +67,20 @@ def normalized(texts: list[str], border: int) -> tuple[np.ndarray, np.ndarray, n
 
 
 def grams(codes: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each ``Q`` characters in a row."""
-    g = codes.astype(np.uint64)
-    if len(g) < Q:
-        return g[:0]
+    """A 64-bit hash of each ``Q`` characters in a row, from hashes of powers of two."""
+    part, width, done, out, left = codes.astype(np.uint64), 1, 0, None, Q
+    if len(part) < Q:
+        return part[:0]
     with np.errstate(over="ignore"):
-        two = g[:-1] * _STEP + g[1:]
-        four = two[:-2] * _STEP ** np.uint64(2) + two[2:]
-        eight = four[:-4] * _STEP ** np.uint64(4) + four[4:]
-        return (eight[:-2] * _STEP ** np.uint64(2) + two[8:]) * np.uint64(0xBF58476D1CE4E5B9)
+        while left:
+            if left & 1:
+                out = part if out is None else part[:len(out) - width] * _STEP ** np.uint64(done) + out[width:]
+                done += width
+            left >>= 1
+            if left:
+                part = part[:-width] * _STEP ** np.uint64(width) + part[width:]
+                width *= 2
+        return out[:len(codes) - Q + 1] * np.uint64(0xBF58476D1CE4E5B9)
 
 
 class Fragments:
