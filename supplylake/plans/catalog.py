@@ -650,7 +650,7 @@ def _quoted(df):
 @register("load_csv", O.q(O.STAR, f"SELECT {CSV_SQL_COLS} FROM (SELECT * REPLACE ({QUOTED_SQL} AS Description) FROM purchases)"))
 def _load_csv(spark, sf_dir):
     path = landed(spark, sf_dir, "purchases_csv",
-                  lambda p: FS.write_csv(_quoted(stored_star(spark, sf_dir).purchases), p))
+                  lambda p: FS.write_csv(_quoted(stored_star(spark, sf_dir).purchases).repartition(8), p))
     return FS.load_csv(spark, path, multi_line=True)
 
 
@@ -1108,7 +1108,7 @@ def _multi_source_sync(spark, sf_dir):
 def land_inputs(spark, sf_dir) -> None:
     """Derive every landing folder the load queries read (once per session)."""
     landed(spark, sf_dir, "purchases_csv",
-           lambda p: FS.write_csv(_quoted(stored_star(spark, sf_dir).purchases), p))
+           lambda p: FS.write_csv(_quoted(stored_star(spark, sf_dir).purchases).repartition(8), p))
     _land_star_csv(spark, sf_dir)
 
 

@@ -115,20 +115,21 @@ def text_types(df: DataFrame) -> dict[str, str]:
     value (it is NULL here, as an empty cell is) becomes double, as pandas types it."""
     from ..functions.semantics import to_number
     kinds = ("int", "bigint", "double", "date", "timestamp", "boolean")
-    aggs = []
-    for i, c in enumerate(df.columns):
+    bit = {k: 1 << i for i, k in enumerate(kinds)}
+    whole = bit["bigint"] | bit["double"]
+    masks = []
+    for i, c in enumerate(df.columns):  # the kinds each value has, as bits
         x = F.col(f"`{c}`")
-        plain = x.rlike(r"^[+-]?\d+$")
-        fits = {
-            "int": plain & x.try_cast("int").isNotNull(), "bigint": plain & x.try_cast("bigint").isNotNull(),
-            "double": to_number(x).isNotNull(),
-            "date": x.rlike(r"^\d{4}-\d{2}-\d{2}$") & x.try_cast("date").isNotNull(),
-            "timestamp": x.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}") & x.try_cast("timestamp").isNotNull(),
-            "boolean": F.lower(x).isin("true", "false")}
-        aggs += [F.count(x).alias(f"n{i}"), *[F.count_if(fits[k]).alias(f"{k}{i}") for k in kinds]]
-    r = df.agg(*aggs).first()
-    return {c: next((k for k in kinds if r[f"n{i}"] and r[f"{k}{i}"] == r[f"n{i}"]), "string")
-            for i, c in enumerate(df.columns)}
+        mask = (F.when(x.rlike(r"^[+-]?\d+$"), F.when(x.try_cast("int").isNotNull(), bit["int"] | whole)
+                       .when(x.try_cast("bigint").isNotNull(), whole).otherwise(bit["double"]))
+                .when(x.rlike(r"^[+-]?\d*\.?\d+$"), bit["double"])
+                .when(x.rlike(r"^\d{4}-\d{2}-\d{2}$") & x.try_cast("date").isNotNull(), bit["date"])
+                .when(x.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}") & x.try_cast("timestamp").isNotNull(), bit["timestamp"])
+                .when(F.lower(x).isin("true", "false"), bit["boolean"])
+                .when(to_number(x).isNotNull(), bit["double"]).otherwise(0))
+        masks.append(F.bit_and(F.when(x.isNotNull(), mask)).alias(f"m{i}"))
+    r = df.agg(*masks).first()
+    return {c: next((k for k in kinds if (r[f"m{i}"] or 0) & bit[k]), "string") for i, c in enumerate(df.columns)}
 
 
 def load_csv(spark: SparkSession, path: str, encoding: str = "UTF-8",
