@@ -1,34 +1,35 @@
 """Toxicity by the nearest labelled examples.
 
-Examples are a bounded sample of labelled rows.  Terms (words, and beginnings of
-words) that occur more often in toxic examples span the space, together with one
-dimension for the rest of the text; a document's vector holds the terms' TF-IDF
-weights, with frequencies relative to the text's length and document frequencies
-counted over all documents.  Its exact nearest examples by cosine come from an
-inverted index with block maxima, vote with a weight that falls with their
-distance, and isotonic regression on the examples' own votes (each without
-itself) turns votes into probabilities.
+Examples are a bounded sample of labelled rows; all their words span the space.  A
+vector has three parts: the telling terms (words, and beginnings of words, that
+occur more often in toxic examples) with TF-IDF weights relative to the text's
+length, so that their density counts against one dimension of fixed weight; and
+the TF-IDF vector of all other words, at a fixed norm.  Document frequencies are
+counted over all documents.  The exact nearest examples by cosine come from the
+product with every example (a matrix for the most frequent terms, postings for
+the others), vote with a weight that falls with their distance, and isotonic
+regression on the examples' own votes (each without itself) turns votes into
+probabilities.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved, text_slices
 
 #: At most so many labelled rows are examples; more are thinned by a hash of their id.
 EXAMPLES = 12_000
-#: At most so many terms span the space, those of the strongest evidence.
+#: At most so many terms are telling, those of the strongest evidence.
 TERMS = 1024
 #: A term's least evidence: the signed log-likelihood ratio of its counts in toxic
 #: and other examples.
@@ -36,12 +37,16 @@ EVIDENCE = 20.0
 #: How many times the odds of a toxic example a term must raise.
 ODDS = 4.0
 NEIGHBOURS = 25
-#: Examples in a block of the index.
-BLOCK = 64
+#: The terms of most examples are multiplied as a matrix, so many of them.
+FREQUENT = 256
+#: Texts compared with the examples at a time.
+TOGETHER = 64
 #: Lengths of the beginnings of words that are terms besides whole words.
 STEMS = (4, 5, 6, 7)
 #: Weight of the rest of a text, where a term that makes up 1 % of it weighs its idf.
 REST = 5.0
+#: Norm of the TF-IDF vector of the words that are not telling.
+OTHERS = 5.0
 #: A neighbour's vote weighs ``1 / (NEAR + 1 - cosine)``.
 NEAR = 0.02
 #: Weight with which the examples' overall rate joins each vote.
@@ -99,8 +104,20 @@ def telling_terms(examples: DataFrame, most: int = TERMS, least: float = EVIDENC
     return [r.term for r in best.collect()]
 
 
+def other_words(examples: DataFrame, telling: list[str]) -> list[str]:
+    """Every word of the examples that is not a telling term."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            words = {w for t in batch.column("text").to_pylist() for w in TERM.findall((t or "").lower())}
+            yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string())], ["word"])
+
+    words = examples.select("text").mapInArrow(run, "word string").distinct().toArrow().column("word").to_pylist()
+    return sorted(set(words).difference(telling))
+
+
 class Terms(dict):
-    """The numbers of the terms that a word holds, kept as they are found."""
+    """The numbers of the terms that a word holds, kept as they are found; -1 besides
+    for a word that is no term itself."""
 
     def __init__(self, terms: list[str]):
         super().__init__()
@@ -109,6 +126,8 @@ class Terms(dict):
     def __missing__(self, word: str) -> tuple[int, ...]:
         names = [word, *(word[:k] + "*" for k in STEMS if len(word) > k)]
         got = tuple(self.number[n] for n in names if n in self.number)
+        if word not in self.number:
+            got += (-1,)
         if len(self) >= REMEMBERED:
             self.clear()
         self[word] = got
@@ -116,101 +135,155 @@ class Terms(dict):
 
 
 def term_counts(rows: DataFrame, terms: list[str], columns: list[str]) -> DataFrame:
-    """``columns`` with ``words`` (their number), ``terms`` (numbers, ascending) and
-    ``counts`` of each whole text."""
+    """``columns`` with ``words`` (their number), ``terms`` (numbers, ascending), ``counts``
+    and ``unknown`` (the squared counts of words that are no terms) of each whole text."""
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    shared = rows.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Terms(terms)
+        known = Terms(shared.value)
         for batch in text_slices(batches):
-            size, ids, counts = [], [], []
+            size, ids, counts, unknown = [], [], [], []
             for text in batch.column("text").to_pylist():
                 words = TERM.findall((text or "").lower())
-                got = Counter(chain.from_iterable(map(known.__getitem__, words)))
+                got, strange = defaultdict(int), 0
+                for word, times in Counter(words).items():
+                    for i in known[word]:
+                        if i < 0:
+                            strange += times * times
+                        else:
+                            got[i] += times
                 order = sorted(got)
                 size.append(len(words))
                 ids.append(order)
                 counts.append([got[i] for i in order])
+                unknown.append(strange)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in columns), pa.array(size, pa.int64()), pa.array(ids, pa.list_(pa.int32())),
-                 pa.array(counts, pa.list_(pa.int32()))], [*columns, "words", "terms", "counts"])
+                 pa.array(counts, pa.list_(pa.int32())), pa.array(unknown, pa.float64())],
+                [*columns, "words", "terms", "counts", "unknown"])
 
-    schema = ", ".join(f"{c} {kinds[c]}" for c in columns) + ", words long, terms array<int>, counts array<int>"
+    schema = (", ".join(f"{c} {kinds[c]}" for c in columns)
+              + ", words long, terms array<int>, counts array<int>, unknown double")
     return rows.select(*columns, "text").mapInArrow(run, schema)
 
 
+def document_frequencies(counted: DataFrame, terms: int) -> np.ndarray:
+    """In how many rows of ``term_counts`` each term occurs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(terms, np.int64)
+        for batch in batches:
+            df += np.bincount(batch.column("terms").flatten().to_numpy(zero_copy_only=False), minlength=terms)
+        found = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(df[found])], ["term", "df"])
+
+    got = counted.select("terms").mapInArrow(run, "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    df = np.zeros(terms, np.int64)
+    df[got.column("term").to_numpy()] = got.column("df").to_numpy()
+    return df
+
+
+def count_rows(table: pa.Table | pa.RecordBatch) -> Iterator[SimpleNamespace]:
+    """The rows of ``term_counts`` with their lists as arrays; other columns as they are."""
+    for batch in table.to_batches() if isinstance(table, pa.Table) else [table]:
+        lists = {c: (batch.column(c).flatten().to_numpy(zero_copy_only=False),
+                     np.concatenate(([0], np.cumsum(batch.column(c).value_lengths().to_numpy(zero_copy_only=False)))))
+                 for c in ("terms", "counts")}
+        plain = [c for c in batch.schema.names if c not in lists]
+        for k, values in enumerate(zip(*(batch.column(c).to_pylist() for c in plain))):
+            yield SimpleNamespace(**dict(zip(plain, values)),
+                                  **{c: flat[cut[k]:cut[k + 1]] for c, (flat, cut) in lists.items()})
+
+
 @dataclass
 class Index:
-    """Postings of the examples by term, and each term's largest weight in each block
-    of examples.  The rest of the text is a term that every example has."""
+    """The examples' weights: a matrix of the most frequent terms (``slot`` is a term's
+    row or -1) and postings of the others.  ``rest`` is every example's weight of the
+    fixed dimension.  Terms below ``telling`` are telling ones."""
     idf: np.ndarray
+    telling: int
+    unseen: float
     example: np.ndarray
     toxic: np.ndarray
     rest: np.ndarray
+    slot: np.ndarray
+    matrix: np.ndarray
     begin: np.ndarray
     place: np.ndarray
     weight: np.ndarray
-    most: np.ndarray
     rate: float
 
     @classmethod
-    def of(cls, idf: np.ndarray, rows: list[Row], rate: float) -> "Index":
-        """Examples that share their strongest term lie together, so that the maxima
-        of a block are close to its weights."""
-        vectors = [(r, *cls.vector(idf, r)) for r in rows if r.terms]
-        vectors.sort(key=lambda v: (int(v[1][np.argmax(v[2])]), v[0].example))
-        blocks = -(-len(vectors) // BLOCK)
-        terms = np.concatenate([v[1] for v in vectors]) if vectors else np.empty(0, np.int64)
-        weight = np.concatenate([v[2] for v in vectors]) if vectors else np.empty(0)
-        row = np.repeat(np.arange(len(vectors)), [len(v[1]) for v in vectors])
-        most = np.zeros((len(idf) + 1, blocks))
-        np.maximum.at(most, (terms, row // BLOCK), weight)
-        own = terms < len(idf)
-        order = np.argsort(terms[own], kind="stable")
-        begin = np.searchsorted(terms[own][order], np.arange(len(idf) + 1))
-        return cls(idf, np.array([v[0].example for v in vectors], np.int64), np.array([v[0].toxic for v in vectors], float),
-                   weight[~own], begin, row[own][order], weight[own][order], most, rate)
-
-    @staticmethod
-    def vector(idf: np.ndarray, row) -> tuple[np.ndarray, np.ndarray]:
-        """Terms of a row of ``term_counts``, the rest last, and their weights of norm 1."""
+    def of(cls, idf: np.ndarray, rows: Iterable, rate: float, telling: int | None = None, unseen: float = 0.0) -> "Index":
+        """``unseen`` is the idf of a word that is no term."""
+        telling = len(idf) if telling is None else telling
+        rows = [r for r in rows if r.words]
+        index = cls(idf, telling, unseen, np.array([r.example for r in rows], np.int64),
+                    np.array([r.toxic for r in rows], float), *[np.empty(0)] * 6, rate)
+        vectors = [index.vector(idf, r) for r in rows]
+        terms = np.concatenate([np.empty(0, np.int32), *(t[:-1].astype(np.int32) for t, _ in vectors)])
+        weight = np.concatenate([np.empty(0), *(w[:-1] for _, w in vectors)])
+        row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(t) - 1 for t, _ in vectors])
+        index.rest = np.array([w[-1] for _, w in vectors])
+        del vectors
+        often = np.argsort(-np.bincount(terms, minlength=len(idf)), kind="stable")[:FREQUENT]
+        index.slot = np.full(len(idf), -1)
+        index.slot[often] = np.arange(len(often))
+        slot = index.slot[terms]
+        index.matrix = np.zeros((len(often), len(rows)))
+        index.matrix[slot[slot >= 0], row[slot >= 0]] = weight[slot >= 0]
+        terms, row, weight = (x[slot < 0] for x in (terms, row, weight))
+        order = np.argsort(terms, kind="stable")
+        index.begin = np.searchsorted(terms[order], np.arange(len(idf) + 1))
+        index.place, index.weight = row[order], weight[order]
+        return index
+
+    def vector(self, idf: np.ndarray, row) -> tuple[np.ndarray, np.ndarray]:
+        """Terms of a row of ``term_counts``, the fixed dimension last, and their weights; the
+        norm is 1 with the words that are no terms."""
         terms = np.append(np.asarray(row.terms, np.int64), len(idf))
-        v = np.append(100 * np.asarray(row.counts, float) / row.words * idf[terms[:-1]], REST)
-        return terms, v / np.sqrt((v * v).sum())
-
-    def _scored(self, blocks: np.ndarray, place: np.ndarray, part: np.ndarray, rest: float,
-                without: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of the marked blocks and their cosines."""
-        on = blocks[place // BLOCK]
-        total = np.bincount(place[on], part[on], minlength=len(self.example)) + rest * self.rest
-        rows = np.flatnonzero(np.repeat(blocks, BLOCK)[:len(total)])
+        v = np.append(np.asarray(row.counts, float) * idf[terms[:-1]], REST)
+        told = int(np.searchsorted(terms, self.telling)) if self.telling < len(idf) else len(terms) - 1
+        v[:told] *= 100 / row.words
+        norm = np.sqrt((v[told:-1] ** 2).sum() + getattr(row, "unknown", 0.0) * self.unseen ** 2)
+        if norm:
+            v[told:-1] *= OTHERS / norm
+        return terms, v / np.sqrt((v[:told] ** 2).sum() + REST ** 2 + (OTHERS ** 2 if norm else 0.0))
+
+    def cosines(self, rows: list) -> np.ndarray:
+        """Of each row of ``term_counts`` with every example."""
+        query = np.zeros((len(rows), len(self.matrix)))
+        out = np.empty((len(rows), len(self.example)))
+        for k, row in enumerate(rows):
+            terms, weight = self.vector(self.idf, row)
+            slot = self.slot[terms[:-1]]
+            query[k, slot[slot >= 0]] = weight[:-1][slot >= 0]
+            some = terms[:-1][slot < 0]
+            size = self.begin[some + 1] - self.begin[some]
+            ends = np.cumsum(size)
+            at = np.repeat(self.begin[some] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+            out[k] = np.bincount(self.place[at], self.weight[at] * np.repeat(weight[:-1][slot < 0], size),
+                                 minlength=len(self.example)) + weight[-1] * self.rest
+        return out + query @ self.matrix
+
+    def best(self, near: np.ndarray, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and cosines of the ``k`` most similar examples and of those as similar as
+        the last of them, so that no order of examples decides."""
         if without is not None:
-            rows = rows[rows != without]
-        return rows, total[rows]
+            near = near.copy()
+            near[without] = -np.inf
+        least = max(np.partition(near, len(near) - k)[len(near) - k] if len(near) >= k else -1.0, -1.0)
+        kept = np.flatnonzero(near >= least - 1e-12)
+        order = kept[np.lexsort((kept, -near[kept]))]
+        return order, near[order]
 
     def nearest(self, row, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and cosines of the ``k`` most similar examples and of those as similar as
-        the last of them, so that no order of examples decides.  The blocks of the highest bounds give a k-th best; only blocks whose bound
-        reaches it are scored besides."""
-        if not len(self.example):
-            return np.empty(0, np.int64), np.empty(0)
-        terms, query = self.vector(self.idf, row)
-        lists = [(self.begin[t], self.begin[t + 1], w) for t, w in zip(terms[:-1], query)]
-        place = np.concatenate([self.place[:0], *(self.place[a:b] for a, b, _ in lists)])
-        part = np.concatenate([self.weight[:0], *(self.weight[a:b] * w for a, b, w in lists)])
-        bound = query @ self.most[terms]
-        first = -(-(k + 1) // BLOCK) + 1
-        blocks = np.zeros(len(bound), bool)
-        blocks[np.argsort(-bound, kind="stable")[:first]] = True
-        rows, near = self._scored(blocks, place, part, query[-1], without)
-        least = np.partition(near, len(near) - k)[len(near) - k] if len(near) >= k else -1.0
-        more = bound >= least - 1e-9
-        if (more & ~blocks).any():
-            rows, near = self._scored(blocks | more, place, part, query[-1], without)
-        least = np.partition(near, len(near) - k)[len(near) - k] if len(near) >= k else -1.0
-        kept = np.flatnonzero(near >= least - 1e-12)
-        order = kept[np.lexsort((rows[kept], -near[kept]))]
-        return rows[order], near[order]
+        return self.best(self.cosines([row])[0], k, without)
+
+    def each_nearest(self, rows: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of each row."""
+        for k in range(0, len(rows), TOGETHER):
+            yield from map(self.best, self.cosines(rows[k:k + TOGETHER]))
 
     def vote(self, rows: np.ndarray, near: np.ndarray) -> float:
         weight = 1 / (NEAR + np.maximum(0.0, 1 - near))
@@ -237,46 +310,48 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, most: int = EXAMPLES
     ``neighbours`` (ids of the three nearest examples) and ``words`` (terms found);
     ``row_key`` hashes the row's id and text.
 
-    A text without any term has no neighbours and the rate of toxic examples among
-    such; so have null and empty texts.  Repeated rows score alike, a null id is not
-    held out; labels that are null or in conflict teach nothing; without toxic and
-    other examples every score is the examples' plain rate (0 without examples); an
-    empty table gives no rows; other columns are never read.
+    A text without any word has no neighbours and the rate of toxic examples among
+    such; so have null and empty texts.  Words that no example holds weigh as words of
+    one document.  Repeated rows score alike, a null id is not held out; labels that
+    are null or in conflict teach nothing; without toxic and other examples every
+    score is the examples' plain rate (0 without examples); an empty table gives no
+    rows; other columns are never read.
     """
     examples = saved(example_rows(documents, labels, most), "toxic-examples")
     total = examples.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg("toxic"), F.lit(0.0)).alias("rate")).first()
-    terms = telling_terms(examples)
+    telling = telling_terms(examples)
+    both = 0 < total.rate < 1
+    terms = telling + (other_words(examples, telling) if both else [])
     counted = saved(term_counts(documents.select(
         "doc_id", "text", held_out().alias("held_out"), F.xxhash64("doc_id", "text").alias("row_key")),
         terms, ["doc_id", "held_out", "row_key"]), "toxic-counts")
-    df = {r.term: r.df for r in counted.select(F.explode("terms").alias("term")).groupBy("term")
-          .agg(F.count(F.lit(1)).alias("df")).collect()}
     n = counted.count()
-    idf = np.array([np.log((n + 1) / (df.get(i, 0) + 1)) + 1 for i in range(len(terms))])
-    own = term_counts(examples, terms, ["example", "toxic"]).orderBy("example").collect()
-    index = Index.of(idf, own, total.rate)
-    at = {int(e): i for i, e in enumerate(index.example)}
-    votes, truth = [], []
-    for r in own:
-        if r.terms:
-            votes.append(index.vote(*index.nearest(r, without=at[r.example])))
-            truth.append(r.toxic)
-    starts, values = isotonic(np.array(votes), np.array(truth, float)) if votes else (np.zeros(1), np.full(1, total.rate))
-    plain = [r.toxic for r in own if not r.terms]
-    nothing = (sum(plain) + total.rate) / (len(plain) + 1) if terms else total.rate
-    shared = documents.sparkSession.sparkContext.broadcast((index, starts, values, nothing, terms))
+    idf = np.log((n + 1) / (document_frequencies(counted, len(terms)) + 1)) + 1
+    own = list(count_rows(term_counts(examples, terms, ["example", "toxic"]).orderBy("example").toArrow()))
+    index = Index.of(idf, own if both else [], total.rate, len(telling), float(np.log((n + 1) / 2) + 1))
+    known = [r for r in own if r.words] if both else []
+    votes = []
+    for k in range(0, len(known), TOGETHER):
+        for i, near in enumerate(index.cosines(known[k:k + TOGETHER]), k):
+            votes.append(index.vote(*index.best(near, without=i)))
+    starts, values = isotonic(np.array(votes), index.toxic) if votes else (np.zeros(1), np.full(1, total.rate))
+    plain = [r.toxic for r in own if not r.words]
+    nothing = (sum(plain) + total.rate) / (len(plain) + 1) if both else total.rate
+    shared = documents.sparkSession.sparkContext.broadcast((index, starts, values, nothing, telling))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, starts, values, nothing, names = shared.value
         for batch in batches:
+            rows = list(count_rows(batch.select(["words", "terms", "counts", "unknown"])))
+            found = index.each_nearest([r for r in rows if r.words]) if len(index.example) else None
             score, near, words = [], [], []
-            for row in batch.select(["words", "terms", "counts"]).to_pylist():
-                if row["terms"]:
-                    rows, similar = index.nearest(SimpleNamespace(**row))
-                    step = np.searchsorted(starts, index.vote(rows, similar), side="right") - 1
+            for row in rows:
+                if row.words and found:
+                    examples, similar = next(found)
+                    step = np.searchsorted(starts, index.vote(examples, similar), side="right") - 1
                     score.append(float(values[max(0, step)]))
-                    near.append(index.example[rows[:3]].tolist())
-                    words.append([names[i] for i in row["terms"]])
+                    near.append(index.example[examples[:3]].tolist())
+                    words.append([names[i] for i in row.terms[row.terms < len(names)].tolist()])
                 else:
                     score.append(float(nothing))
                     near.append([])

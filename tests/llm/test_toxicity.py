@@ -84,3 +84,16 @@ def test_awkward_rows_and_no_labels(spark):
     got = score_toxicity(docs, some).collect()
     assert len(got) == docs.count() and all(0 <= r.score <= 1 for r in got)
     assert score_toxicity(empty(spark), some).count() == 0
+
+
+def test_texts_without_telling_terms_have_their_nearest_examples(spark):
+    rows, labels = corpus(spark)
+    learned = [i for i, _, toxic in labels if zlib.crc32(str(i).encode()) % 3 != 1 and not toxic]
+    copies = {5000 + i: i for i in learned[:20]}
+    fields = len(rows[0]) - 2
+    rows += [(c, rows[i][1].upper(), *[None] * fields) for c, i in copies.items()]
+    rows += [(9000, "...", *[None] * fields), (9001, "Zyx", *[None] * fields)]
+    known = spark.createDataFrame([(i, y) for i, y, _ in labels], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in score_toxicity(awkward(spark, rows), known).collect()}
+    assert all(got[c].neighbours[0] == i and len(got[c].neighbours) == 3 for c, i in copies.items())
+    assert got[9000].neighbours == [] and len(got[9001].neighbours) == 3
