@@ -1,12 +1,13 @@
 """Benchmark decontamination by the q-gram lemma and banded alignment.
 
 Texts are compared by letters and digits, lower-cased, with every run of other
-characters as one blank.  A benchmark item is cut into overlapping fragments.  A
-fragment of ``w`` characters that occurs in a document with at most ``e`` edits
-shares ``w - q + 1 - q * e`` of its q-grams with the document, all of them within
-``e`` diagonals of each other.  Shared q-grams are counted in diagonal bands that
-overlap by half, so that one band holds them all; bands that reach the bound are
-verified by an alignment of the fragment inside the band.
+characters as one blank.  Stretches of ``FRAGMENT`` characters of a benchmark item,
+with step 1 wherever they start, are its fragments.  A fragment of ``w`` characters that occurs in a
+document with at most ``e`` edits shares ``w - q + 1 - q * e`` of its q-grams with the
+document, all of them within ``e`` diagonals of each other.  Shared q-grams are
+counted in diagonal bands that overlap by half, so that one band holds them all; in
+each band a window slides over the item, and the fragments that reach the bound are
+verified by an alignment inside the band.
 """
 
 from __future__ import annotations
@@ -84,70 +85,88 @@ def grams(codes: np.ndarray) -> np.ndarray:
 
 
 class Fragments:
-    """The q-grams of a block of benchmark items."""
+    """The q-grams of a block of benchmark items; a fragment starts at every ``step``-th
+    character and at the last place."""
 
-    def __init__(self, items: list[Row]):
-        self.item, self.codes, first = [], [], []
+    def __init__(self, items: list[Row], step: int = 1):
+        self.step, self.item, codes = step, [], []
         for row in items:
-            codes = normalized([row.text or ""], 0)[0]
-            while len(codes) and codes[-1] == BLANK:
-                codes = codes[:-1]
-            if len(codes) < LEAST:
-                continue
-            width = min(FRAGMENT, len(codes))
-            for a in sorted({*range(0, len(codes) - width + 1, FRAGMENT // 2), len(codes) - width}):
+            own = normalized([row.text or ""], 0)[0]
+            while len(own) and own[-1] == BLANK:
+                own = own[:-1]
+            if len(own) >= LEAST:
                 self.item.append(row.item_id)
-                self.codes.append(codes[a:a + width])
-                first.append(a)
-        self.size = np.array([len(c) for c in self.codes], np.int64)
+                codes.append(own)
+        self.long = np.array([len(c) for c in codes], np.int64)
+        self.first = np.cumsum(self.long) - self.long
+        self.flat = np.concatenate(codes) if codes else np.empty(0, np.uint16)
+        self.size = np.minimum(self.long, FRAGMENT)
         self.edits = np.floor(self.size * EDITS).astype(np.int64)
         self.bound = np.maximum(1, self.size - Q + 1 - Q * self.edits)
-        every = [grams(c) for c in self.codes]
+        every = [grams(c) for c in codes]
         keys = np.concatenate(every) if every else np.empty(0, np.uint64)
         order = np.argsort(keys, kind="stable")
         self.key, start = np.unique(keys[order], return_index=True)
         self.begin = np.append(start, len(keys))
-        self.fragment = np.repeat(np.arange(len(every)), [len(e) for e in every])[order]
+        self.owner = np.repeat(np.arange(len(every)), [len(e) for e in every])[order]
         self.place = np.concatenate([np.arange(len(e)) for e in every])[order] if every else order
         self.seen = np.zeros(1 << TABLE_BITS, bool)
         self.seen[(self.key >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
 
-    def bands(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Fragment and lowest diagonal of each band that reaches its bound."""
+    def bands(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item and start of each fragment that reaches its bound in a band, and the band's
+        lowest diagonal."""
         g = grams(codes)
         at = np.flatnonzero(self.seen[(g >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
         if not len(at) or not len(self.key):
-            return at[:0], at[:0]
+            return at[:0], at[:0], at[:0]
         known = np.searchsorted(self.key, g[at])
         known[known == len(self.key)] = 0
         hit = self.key[known] == g[at]
         at, known = at[hit], known[hit]
         times = self.begin[known + 1] - self.begin[known]
         rows = np.repeat(self.begin[known] - (np.cumsum(times) - times), times) + np.arange(times.sum())
-        fragment = self.fragment[rows]
-        diagonal = np.repeat(at, times) - self.place[rows]
-        half = self.edits[fragment] + 1
-        # A shared q-gram of a document counts once for each place in the fragment.
-        band = diagonal // half
-        count = len(codes) + FRAGMENT + 2
-        key = np.concatenate([fragment * count + band + FRAGMENT, fragment * count + band + FRAGMENT - 1])
-        key, number = np.unique(key, return_counts=True)
-        fragment, band = key // count, key % count - FRAGMENT
-        good = number >= self.bound[fragment]
-        fragment, band = fragment[good], band[good]
-        return fragment, band * (self.edits[fragment] + 1)
-
-    def verified(self, codes: np.ndarray, fragment: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        item, place = self.owner[rows], self.place[rows]
+        reach = int(self.long.max()) + 1
+        count = len(codes) + reach + 2
+        band = (np.repeat(at, times) - place) // (self.edits[item] + 1)
+        key = item * count + band + reach
+        # A shared q-gram of a document counts once for each place in the item.
+        key, place = np.concatenate([key, key - 1]), np.concatenate([place, place])
+        distinct, which, number = np.unique(key, return_inverse=True, return_counts=True)
+        enough = (number >= self.bound[distinct // count])[which]
+        key, place = key[enough], place[enough]
+        order = np.lexsort((place, key))
+        key, place = key[order], place[order]
+        item = key // count
+        last = np.arange(len(key)) + self.bound[item] - 1
+        inside = last < len(key)
+        last[~inside] = 0
+        span = self.size[item] - Q
+        inside &= (key[last] == key) & (place[last] - place <= span)
+        key, item, low, high = (x[inside] for x in (key, item, place[last] - span, place))
+        low, high = np.maximum(low, 0), np.minimum(high, (self.long - self.size)[item])
+        again = np.flatnonzero(key[1:] == key[:-1]) + 1
+        low[again] = np.maximum(low[again], high[again - 1] + 1)  # both ascend within a band
+        times = np.maximum(high - low + 1, 0)
+        start = np.repeat(low - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        key, item = np.repeat(key, times), np.repeat(item, times)
+        good = (start % self.step == 0) | (start == (self.long - self.size)[item])
+        key, item, start = key[good], item[good], start[good]
+        return item, start, (key % count - reach) * (self.edits[item] + 1)
+
+    def verified(self, codes: np.ndarray, item: np.ndarray, start: np.ndarray,
+                 low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Fewest edits of each fragment against any stretch inside its band, and where
         the stretch ends; all bands advance together, a fragment character at a time."""
-        edits, end = np.empty(len(fragment), np.int64), np.empty(len(fragment), np.int64)
-        for size in np.unique(self.size[fragment]):
-            same = np.flatnonzero(self.size[fragment] == size)
+        edits, end = np.empty(len(item), np.int64), np.empty(len(item), np.int64)
+        for size in np.unique(self.size[item]):
+            same = np.flatnonzero(self.size[item] == size)
             for some in np.array_split(same, -(-len(same) // 4096)):
-                e = int(self.edits[fragment[some[0]]])
+                e = int(self.edits[item[some[0]]])
                 width = 2 * (e + 1) + 2 * e
-                pattern = np.stack([self.codes[f] for f in fragment[some]])
-                first = low[some] - e
+                pattern = self.flat[(self.first[item[some]] + start[some])[:, None] + np.arange(size)[None, :]]
+                first = low[some] + start[some] - e
                 place = first[:, None] + np.arange(size + width)[None, :]
                 text = np.where((place >= 0) & (place < len(codes)), codes[np.clip(place, 0, len(codes) - 1)], BORDER)
                 step = np.arange(width, dtype=np.int32)
@@ -165,27 +184,27 @@ class Fragments:
         """``text, item number, fragments, edits, start, end`` of each text and item with a
         fragment inside its edit budget; start and end are offsets in the text, the start
         right up to the edits."""
-        if not self.codes:
+        if not self.item:
             return []
         border = int(self.edits.max()) + 1
         codes, at, begin = normalized(texts, border)
-        fragment, low = self.bands(codes)
-        if not len(fragment):
+        item, first, low = self.bands(codes)
+        if not len(item):
             return []
-        edits, end = self.verified(codes, fragment, low)
-        good = edits <= self.edits[fragment]
-        found: dict[tuple, dict[int, tuple[int, int]]] = {}
-        for f, cost, stop in zip(fragment[good].tolist(), edits[good].tolist(), end[good].tolist()):
+        edits, end = self.verified(codes, item, first, low)
+        good = edits <= self.edits[item]
+        found: dict[tuple, dict[tuple, tuple[int, int, int]]] = {}
+        for k, a, cost, stop in zip(item[good].tolist(), first[good].tolist(), edits[good].tolist(), end[good].tolist()):
             text = int(np.searchsorted(begin, stop - 1, side="right")) - 1
-            start = max(stop - int(self.size[f]), int(begin[text]))
-            place = found.setdefault((text, self.item[f]), {})
-            place[f] = min(place.get(f, (cost, start, stop)), (cost, start, stop))
+            start = max(stop - int(self.size[k]), int(begin[text]))
+            place = found.setdefault((text, self.item[k]), {})
+            place[k, a] = min(place.get((k, a), (cost, start, stop)), (cost, start, stop))
         out = []
         size = np.array([len(t) + border for t in texts], np.int64)
         offset = np.cumsum(size) - size
-        for (text, item), place in found.items():
+        for (text, item_id), place in found.items():
             a, b = min(p[1] for p in place.values()), max(p[2] for p in place.values())
-            out.append((text, item, len(place), min(p[0] for p in place.values()),
+            out.append((text, item_id, len(place), min(p[0] for p in place.values()),
                         int(at[a] - offset[text]), int(at[b - 1] - offset[text]) + 1))
         return out
 
@@ -202,11 +221,14 @@ def benchmark_blocks(benchmark: DataFrame) -> Iterator[list[Row]]:
 LEAK_SCHEMA = "doc_id long, item_id long, fragments int, edits int, start long, end long"
 
 
-def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def find_leaks(documents: DataFrame, benchmark: DataFrame, step: int = FRAGMENT // 2) -> DataFrame:
     """A row for each row of ``documents`` and benchmark item of which a fragment occurs in
     it within the edit budget: ``doc_id, item_id, fragments`` (how many), ``edits`` (the
     fewest) and the hull ``start, end`` of the matches in the text.
 
+    Fragments start at every ``step``-th character of an item.  With 1, as the query and
+    the pipeline search, each passage of ``FRAGMENT`` characters within ``EDITS`` is found
+    wherever it starts; with more, one of ``FRAGMENT + step - 1`` characters is sure.
     Whole texts are searched where they lie, without a shuffle.  Null and empty texts
     and items hold nothing; repeated rows and items repeat; null ids stay null; an
     empty table on either side gives no rows; other columns are not read.
@@ -214,7 +236,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     out = spark.createDataFrame([], LEAK_SCHEMA)
     for items in benchmark_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(Fragments(items))
+        shared = spark.sparkContext.broadcast(Fragments(items, step))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in text_slices(batches, 4 << 20):
@@ -230,11 +252,12 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out
 
 
-def without_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``documents`` that hold no fragment of any item, with all columns."""
+def without_leaks(documents: DataFrame, benchmark: DataFrame, step: int = FRAGMENT // 2) -> DataFrame:
+    """The rows of ``documents`` that hold no fragment of any item, with all columns;
+    ``step`` as in ``find_leaks``."""
     spark = documents.sparkSession
     for items in benchmark_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(Fragments(items))
+        shared = spark.sparkContext.broadcast(Fragments(items, step))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in text_slices(batches, 4 << 20):

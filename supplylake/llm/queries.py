@@ -53,7 +53,7 @@ def op6_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), step=1)
 
 
 #: The rules of the URL query.

@@ -93,3 +93,33 @@ def test_a_leak_does_not_cross_documents():
     found = Fragments([Item])
     assert found.leaks([item[:39], item[39:78]]) == []
     assert len(found.leaks(["x " + item[:half] + item[half:], ""])) == 1
+
+
+def test_with_step_1_every_passage_of_a_fragment_is_found_wherever_it_starts(spark):
+    rng = random.Random(9)
+    item = plain(prose(77, 60))
+    texts = []
+    for start in range(0, len(item) - FRAGMENT + 1):
+        passage = item[start:start + FRAGMENT]
+        texts.append((2 * start, f"{prose(start, 5)} {passage}"))
+        texts.append((2 * start + 1, f"x {passage[:1]}{typos(rng, passage[1:-1], int(FRAGMENT * EDITS))}{passage[-1:]} {prose(start, 5)}"))
+    table = spark.createDataFrame([(1, item)], "item_id long, text string")
+    # Edits that leave blanks side by side cost one more where they become one.
+    within = {i for i, t in texts if nearest(item[i // 2:i // 2 + FRAGMENT], plain(t)) <= int(FRAGMENT * EDITS)}
+    got = {r.doc_id for r in find_leaks(frame(spark, texts), table, step=1).collect()}
+    assert within <= got and len(within) > 0.98 * len(texts)
+    assert without_leaks(frame(spark, texts), table, step=1).count() == len(texts) - len(got)
+
+
+def test_with_step_1_nothing_but_fragments_within_the_budget_is_found(spark):
+    rng = random.Random(15)
+    items = [(k, prose(730 + k, 20)) for k in range(3)]
+    texts = [(i, f"{prose(i, 6)} {typos(rng, items[i % 3][1][7 + i:90 + i], rng.randint(3, 14))}") for i in range(18)]
+    want = set()
+    for k, item in items:
+        item = plain(item)
+        parts = [item[a:a + FRAGMENT] for a in range(len(item) - FRAGMENT + 1)]
+        want |= {(i, k) for i, t in texts if any(nearest(p, plain(t)) <= int(FRAGMENT * EDITS) for p in parts)}
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in find_leaks(frame(spark, texts), table, step=1).collect()}
+    assert got == want and 0 < len(want) < len(texts)
