@@ -28,14 +28,23 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([/.])[0-9]{1,2}\1[0-9]{4})(?![0-9/-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{1,7})(?![0-9])",
+    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])(?:[0-9]{4}\2[0-9]{4}\2[0-9]{1,7}|[0-9]{6}\2[0-9]{4,5}))(?![0-9])",
     "phone": r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
-             r"|(?<![0-9.+-])\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,4}(?![0-9])|(?<![0-9.+-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])",
+             r"|(?<![0-9.+-])\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,4}(?![0-9])|(?<![0-9.+-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])"
+             r"|(?<![0-9.+-])\+[1-9][0-9]{7,14}(?![0-9])|(?<![0-9.+-])[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?![0-9-]|\.[0-9])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
 }
 FOUND = re.compile("|".join(f"(?P<{kind}>{re.sub(r'\\([12])', lambda m: f'(?P=s{m[1]})', p).replace('([/.])', '(?P<s1>[/.])').replace('([ -])', '(?P<s2>[ -])')})"
                             for kind, p in PATTERNS.items()))
 MAY_HOLD = re.compile("[0-9@]")
+#: Characters of an IBAN by its country.
+IBAN_SIZE = {country: size for size, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
+#: Country calling codes of one and of two digits; all others have three.
+CALLING = re.compile(r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})")
 
 
 class Feistel:
@@ -124,10 +133,12 @@ class Pseudonyms:
 
     def phone(self, text: str) -> str | None:
         country = re.match(r"\+[0-9]{1,3}(?=[ .(-])", text)
+        if not country and text[1:].isdigit():
+            country = CALLING.match(text)
         head = country.group() if country else ""
         rest = text[len(head):]
         digits = re.sub("[^0-9]", "", rest)
-        if not 7 <= len(digits) <= 12:
+        if not 7 <= len(digits) <= max(12, 16 - len(head)):
             return None
         return head + _spread(self._number(digits, "phone"), rest)
 
@@ -196,6 +207,13 @@ class Pseudonyms:
         name, _, host = text.partition("@")
         return f"{self._classes(name, 'email')}@{host}"
 
+    def _shortened(self, text: str) -> Iterator[str]:
+        """What of a match may be an IBAN: its country's length, the whole, and each
+        shorter part that ends before a blank."""
+        ends = [len(text), *(k for k in range(len(text) - 1, 0, -1) if text[k] == " ")]
+        size = IBAN_SIZE.get(text[:2])
+        yield from (text[:k] for k in sorted(ends, key=lambda k: k - text.count(" ", 0, k) != size))
+
     def replaced(self, text: str) -> tuple[str, list[tuple[int, int, str]]]:
         """The text with its values replaced, and where they were."""
         spans = []
@@ -205,15 +223,17 @@ class Pseudonyms:
         while match := FOUND.search(text, at):
             kind = next(k for k in PATTERNS if match[k] is not None)
             make: Callable[[str], str | None] = getattr(self, kind)
-            new = make(match.group())
+            found = match.group()
+            parts = self._shortened(found) if kind == "iban" else [found]
+            found, new = next(((part, got) for part in parts if (got := make(part)) is not None), (found, None))
             if new is None:
                 at = match.start() + 1
                 while at < match.end() and text[at - 1].isalnum() and text[at].isalnum():
                     at += 1
                 continue
             out += [text[done:match.start()], new]
-            spans.append((match.start(), match.end(), kind))
-            done = at = match.end()
+            done = at = match.start() + len(found)
+            spans.append((match.start(), done, kind))
         return "".join([*out, text[done:]]), spans
 
 
