@@ -46,7 +46,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    _, shards = write_token_files(docs, tokenizer_path())
+    _, shards = write_token_files(docs, tokenizer_path(), added=True)
     return read_token_files(shards)
 
 

@@ -35,7 +35,7 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, shards = write_token_files(table(spark, sf_dir, "documents"), tokenizer_path())
+    _, shards = write_token_files(table(spark, sf_dir, "documents"), tokenizer_path(), added=True)
     return read_token_files(shards)
 
 

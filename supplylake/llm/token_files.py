@@ -10,6 +10,7 @@ index, and then decompresses only the frames of the documents it wants.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -152,11 +153,24 @@ def _classes() -> np.ndarray:
     return out
 
 
-def piece_cuts(data: np.ndarray, cut: np.ndarray) -> np.ndarray:
+def literal_spans(raw: bytes, cut: np.ndarray, literals: re.Pattern) -> np.ndarray:
+    """Start and end of each literal that lies inside one text, leftmost first."""
+    spans, at = [], 0
+    while match := literals.search(raw, at):
+        a, b = match.span()
+        inside = np.searchsorted(cut, a, side="right") == np.searchsorted(cut, b, side="left")
+        if inside:
+            spans.append((a, b))
+        at = b if inside else a + 1
+    return np.array(spans, np.int64).reshape(-1, 2)
+
+
+def piece_cuts(data: np.ndarray, cut: np.ndarray, whole: np.ndarray | None = None) -> np.ndarray:
     """Where texts can be cut into pieces that encode independently of each other:
     the pre-tokenizer's pattern always ends a token before a blank that a visible
     character follows, between a letter or digit and a mark, and around a line end
-    between visible ASCII characters."""
+    between visible ASCII characters.  The spans of ``whole`` are a piece each, and the
+    text before one ends there."""
     n = len(data)
     here = np.zeros(n + 1, bool)
     if n > 1:
@@ -168,20 +182,37 @@ def piece_cuts(data: np.ndarray, cut: np.ndarray) -> np.ndarray:
         lines = lines[((kind[lines - 1] & visible) > 0) & ((kind[lines + 1] & visible) > 0)]
         here[lines] = True
         here[lines + 1] = True
+    if whole is not None:
+        ends = np.concatenate([cut[1:], whole[:, 0]])
+        ends = ends[ends > 0]
+        here[ends[data[ends - 1] == 32] - 1] = False  # no visible character of the same text follows
+        for a, b in whole.tolist():
+            here[a:b] = False
+        here[whole.ravel()] = True
     here[cut] = True
     return np.flatnonzero(here)
 
 
 class Encoder:
     """Ids of whole texts by a byte-level tokenizer file of the tokenizers library.
-    A piece is encoded once and then found by a 64-bit hash."""
+    A piece is encoded once and then found by a 64-bit hash.  With ``added`` a literal of
+    an added token (as ``<|endoftext|>``) is that token, as the file says; without, it is text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.literals, self.spaced = None, False
+        if added:
+            tokens = list(self.tokenizer.get_added_tokens_decoder().values())
+            if any(t.lstrip or t.rstrip or t.single_word for t in tokens):
+                raise ValueError(f"{path}: added tokens that depend on the text around them")
+            names = sorted((t.content.encode() for t in tokens), key=len, reverse=True)
+            self.literals = re.compile(b"|".join(map(re.escape, names))) if names else None
+            self.spaced = any(t.content.split() != [t.content] for t in tokens)
+        else:
+            self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
         self.blank = np.zeros(max(vocabulary.values()) + 1, bool)
         self.blank[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
@@ -189,13 +220,13 @@ class Encoder:
         self._forget()
 
     @classmethod
-    def of_worker(cls, path: str) -> "Encoder":
+    def of_worker(cls, path: str, added: bool = False) -> "Encoder":
         """One encoder for all tasks that a Python worker runs one after another."""
         import tokenizers
         kept = tokenizers.__dict__.setdefault("_encoders_of_worker", {})
-        if path not in kept:
-            kept[path] = cls(path)
-        return kept[path]
+        if (path, added) not in kept:
+            kept[path, added] = cls(path, added)
+        return kept[path, added]
 
     def _forget(self) -> None:
         self.place: dict[int, int] = {}
@@ -223,7 +254,7 @@ class Encoder:
         at a time: a token that starts with a blank starts the next of them."""
         out: list = [None] * len(pieces)
         joined = [i for i, p in enumerate(pieces) if p[0] == " " and len(p) > 1 and len(p.split()) == 1
-                  and p[1:].strip() == p[1:]]
+                  and p[1:].strip() == p[1:] and not self.spaced]
         rest = np.ones(len(pieces), bool)
         rest[joined] = False
         alone = np.flatnonzero(rest).tolist()
@@ -244,7 +275,8 @@ class Encoder:
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids end to end, and the offsets that cut them."""
         data, cut = text_bytes(column)
-        edge = piece_cuts(data, cut)
+        raw = data.tobytes()
+        edge = piece_cuts(data, cut, literal_spans(raw, cut, self.literals) if self.literals else None)
         start, end = edge[:-1], edge[1:]
         if not len(start):
             return np.empty(0, np.uint32), np.zeros(len(cut), np.int64)
@@ -252,7 +284,6 @@ class Encoder:
         which, distinct = pd.factorize(span_hashes(data, start, end, self.letters))
         first = np.empty(len(distinct), np.int64)
         first[which[::-1]] = np.arange(len(which))[::-1]
-        raw = data.tobytes()
         where = self._places(distinct, lambda k: raw[start[first[k]]:end[first[k]]].decode())[which]
         size = self.begin[where + 1] - self.begin[where]
         total = np.cumsum(size)
@@ -260,10 +291,13 @@ class Encoder:
         return ids, np.concatenate(([0], total))[np.searchsorted(edge, cut)]
 
 
-def write_token_files(documents: DataFrame, tokenizer: str, folder: str | None = None) -> tuple[str, DataFrame]:
+def write_token_files(documents: DataFrame, tokenizer: str, folder: str | None = None,
+                      added: bool = False) -> tuple[str, DataFrame]:
     """Encode every whole text, append the end id 2 and write the shards; gives the
     folder and ``shard, path, documents, tokens`` of what was written.
 
+    With ``added``, as the query and the pipeline call it, literals of added tokens are
+    these tokens (the tokenizer's default); without, they are encoded as text.
     Null and empty texts hold the end id alone; a null id is stored as the lowest
     64-bit number and comes first; rows that share an id are all written, in order of
     their texts; extra columns are not read; an empty table writes no file.  Texts
@@ -283,7 +317,7 @@ def write_token_files(documents: DataFrame, tokenizer: str, folder: str | None =
                                                "documents": [count], "tokens": [tokens]})
 
         for batch in text_slices(batches):
-            encoder = encoder or Encoder.of_worker(tokenizer)
+            encoder = encoder or Encoder.of_worker(tokenizer, added)
             ids, cut = encoder.encode(filled_text(batch.column("text")))
             for k, (shard, doc) in enumerate(zip(batch.column("shard").to_pylist(),
                                                  batch.column("doc_id").to_pylist())):

@@ -68,3 +68,19 @@ def test_reader_opens_only_the_frames_it_needs_and_sees_damage(tmp_path):
     path.write_bytes(bytes(bad))
     with pytest.raises(Exception):
         list(ShardReader(str(path)).documents())
+
+
+def test_literals_of_added_tokens_are_these_tokens(spark):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    untouched = Tokenizer.from_file(tokenizer_path())
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}", f"a  {end}  b", f" {end}", f"a\n{end}\nb", f"a \n {end}\n\n b", "a  ", "b", f"<|{end}|>",
+             "<|endof", "text|>", f"x{end}y", f"\u00a0{end}\u3000z", f"  {end}a", "c   ", f"{end} end", prose(1, 300)]
+    ids, cut = Encoder(tokenizer_path(), added=True).encode(pa.array(texts))
+    for k, t in enumerate(texts):
+        assert ids[cut[k]:cut[k + 1]].tolist() == untouched.encode(t, add_special_tokens=False).ids, t
+    assert ids[:4].tolist() == [64, 220, 50256, 275]
+    _, shards = write_token_files(awkward(spark), tokenizer_path(), added=True)
+    got = {r.doc_id: r.ids for r in read_documents(shards, [12]).collect()}
+    assert got[12] == untouched.encode("日本語 テキスト <|endoftext|> # 2", add_special_tokens=False).ids + [2]
