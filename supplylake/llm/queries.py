@@ -7,14 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontamination import find_leaks
 from .fingerprints import fingerprint_edits
+from .license_scan import scan_licenses
 from .mixing import mix_sources
 from .ngram_join import ngram_components
 from .preferences import format_preferences, sampled_pairs
 from .pseudonyms import pseudonymize
+from .spelling import ONE_IN, spelling_variants
 from .token_files import read_token_files, write_token_files
 from .toxicity import score_toxicity
 from .url_rules import Rule, judge_urls
 from .warc import read_warc, write_warc
+from .whitening import whiten_embeddings
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -120,6 +123,18 @@ from firsts
 """
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), one_in=ONE_IN)
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
@@ -131,6 +146,9 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
+    "op11_whitening": op11_whitening,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_license_scan": op13_license_scan,
 }
 
 ORACLE = {
