@@ -122,7 +122,8 @@ def global_moments(df: DataFrame, col: str):
 def statistical(df: DataFrame) -> DataFrame:
     gp = F.col("GrossProfit").cast("double")
     mean, std = global_moments(df, "ProfitMargin")
-    z = F.when(std > 0, (F.col("ProfitMargin") - mean) / std).otherwise(F.lit(0.0))
+    # an infinite margin makes the deviation NaN, which Spark orders above every number
+    z = F.when(nan_to_null(std) > 0, (F.col("ProfitMargin") - mean) / std).otherwise(F.lit(0.0))
     return df.withColumns({
         "feat_log_sales": F.log1p(lower_clip("TotalSalesDollars", 0.0)),
         "feat_log_purchases": F.log1p(lower_clip("TotalPurchaseDollars", 0.0)),

@@ -202,7 +202,7 @@ class DataQualityValidator:
                 if n >= 3 and s is not None and s != 0}
         if not live:
             return {}
-        aggs = [F.count_if(F.abs((_num(df, c) - F.lit(m)) / F.lit(s)) > F.lit(float(z))).alias(f"o_{i}")
+        aggs = [F.count_if(nan_to_null(F.abs((_num(df, c) - F.lit(m)) / F.lit(s))) > F.lit(float(z))).alias(f"o_{i}")
                 for i, (c, (m, s)) in enumerate(live.items())]
         r = df.agg(*aggs).first()
         return {c: int(r[f"o_{i}"]) for i, c in enumerate(live)}
@@ -346,7 +346,7 @@ def outlier_frame(df: DataFrame, profile: dict, z_threshold: float = 3.0) -> Dat
         m = df.select(F.avg(v)).scalar()
         s = df.select(F.stddev_samp(v)).scalar()
         aggs += [F.count(v).alias(f"n_{i}"), F.avg(v).alias(f"m_{i}"), F.stddev_samp(v).alias(f"s_{i}"),
-                 F.count_if(F.abs((v - m) / F.when(s != 0, s)) > F.lit(float(z_threshold))).alias(f"o_{i}")]
+                 F.count_if(nan_to_null(F.abs((v - m) / F.when(s != 0, s))) > F.lit(float(z_threshold))).alias(f"o_{i}")]
     wide = df.agg(*aggs)
     parts = ", ".join(f"'{c}', n_{i}, m_{i}, s_{i}, o_{i}" for i, c in enumerate(numeric))
     long = wide.selectExpr(f"stack({len(numeric)}, {parts}) AS (column, n, mean, std, outlier_count)")

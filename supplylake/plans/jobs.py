@@ -12,11 +12,14 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import summary as S
 from ..session import stored
+from ..sinks import folders
 from ..sinks.tables import export_csv, write_table
 from ..sources import files as FS
+from ..streaming import snapshots as SN
 from ..streaming import streams as ST
 from ..streaming import sync as SY
 from .tables import stored_star
@@ -28,7 +31,7 @@ class SourceSpec:
     type: str                      # key in READERS
     path: str                      # file/folder, or JDBC url
     target: str                    # target table path
-    sync_mode: str = "full"        # full | incremental | upsert
+    sync_mode: str = "full"        # full | incremental | upsert (streams of files: watermark too)
     timestamp_col: str | None = None
     primary_key: list[str] = field(default_factory=list)
     order_by: list[str] = field(default_factory=list)
@@ -138,24 +141,76 @@ def _sync_once(spark: SparkSession, spec: SourceSpec, df: DataFrame) -> dict:
     return rec
 
 
-STREAMED = ("parquet", "json", "csv")
+#: Types whose files are streamed as they arrive, and types that are polled.
+STREAMED = ("parquet", "json", "csv", "api_payload")
+POLLED = ("latest_file", "database")
+
+
+def _newest_matching(spark: SparkSession, spec: SourceSpec):
+    """A poll of a ``latest_file`` source: its newest entry, unless the target holds it."""
+    def look(poll: int):
+        found = FS.latest_entry(spark, spec.path, spec.options.get("pattern", "*"))
+        if found is None or (found.time, found.name) <= SN.taken(spark, spec.target):
+            return None
+        return FS.read_entry(spark, f"{spec.path.rstrip('/')}/{found.name}", spec.options.get("format", "parquet")), found.time, found.name
+    return look
+
+
+def _queried(spark: SparkSession, spec: SourceSpec):
+    """A poll of a ``database`` source; an incremental one asks for rows newer than the
+    mark only, as a literal that the database itself can apply."""
+    def look(poll: int):
+        rows = extract(spark, spec)
+        if spec.sync_mode == "incremental":
+            mark = SY.high_water_mark(spark, spec.target, ST.BATCH_ID, before=poll)
+            latest = None if mark is None else spark.range(1).select(mark.alias("m")).first().m
+            if latest is not None:
+                rows = rows.where(F.col(spec.timestamp_col) > F.lit(latest))
+        return rows, poll, "poll"
+    return look
+
+
+def _checked_stream(spark: SparkSession, spec: SourceSpec, schemas: dict) -> None:
+    name = f"source {spec.name!r}"
+    if spec.type not in (*STREAMED, *POLLED):
+        raise ValueError(f"{name}: type {spec.type!r} cannot be streamed (only {', '.join((*STREAMED, *POLLED))})")
+    if spec.sync_mode not in (*SY.SYNC_MODES, "watermark") or (spec.sync_mode == "watermark" and spec.type in POLLED):
+        raise ValueError(f"{name}: sync mode {spec.sync_mode!r} is unknown or not for this type")
+    if spec.type == "database":
+        if "query" not in spec.options:
+            raise ValueError(f"{name}: a database source needs a query")
+    elif not folders.exists(spark, spec.path):
+        raise ValueError(f"{name}: there is no folder {spec.path}")
+    if spec.type in STREAMED and spec.name not in schemas:
+        raise ValueError(f"{name}: files are streamed with a given schema")
 
 
 def start_streams(spark: SparkSession, specs: list[SourceSpec], schemas: dict,
                   checkpoint_root: str, once: bool = False) -> list:
-    """R1 continuous form: one file stream per enabled source, each with its own
-    checkpoint and trigger interval.  A source type that has no stream is an error,
-    raised before any stream is started; ``run_pipeline`` on a timer serves those."""
+    """R1 continuous form: one stream per enabled source, each with its own checkpoint and
+    trigger interval.  Files are streamed with ``schemas[name]`` (of ``api_payload``: the
+    schema of the payload records, which are unwrapped batch by batch); newest-file and
+    database sources are polled at each trigger.  What cannot be streamed is an error,
+    raised before any stream is started."""
     on = [s for s in specs if s.enabled]
     for spec in on:
-        if spec.type not in STREAMED:
-            raise ValueError(f"source {spec.name!r}: type {spec.type!r} cannot be streamed (only {', '.join(STREAMED)})")
-        if spec.sync_mode not in SY.SYNC_MODES:
-            raise ValueError(f"source {spec.name!r}: unknown sync mode {spec.sync_mode!r}")
-    return [retry(spec.attempts, spec.retry_seconds)(ST.run_stream)(
-        spark, spec.path, schemas[spec.name], spec.target, f"{checkpoint_root.rstrip('/')}/{spec.name}",
-        mode=spec.sync_mode, ts_col=spec.timestamp_col, key=spec.primary_key, order=spec.order_by,
-        fmt=spec.type, once=once, interval=f"{spec.schedule_seconds} seconds", buckets=spec.buckets) for spec in on]
+        _checked_stream(spark, spec, schemas)
+    started = []
+    for spec in on:
+        again = retry(spec.attempts, spec.retry_seconds)
+        checkpoint = f"{checkpoint_root.rstrip('/')}/{spec.name}"
+        same = dict(ts_col=spec.timestamp_col, key=spec.primary_key, order=spec.order_by, once=once,
+                    interval=f"{spec.schedule_seconds} seconds", buckets=spec.buckets)
+        if spec.type in POLLED:
+            look = _newest_matching(spark, spec) if spec.type == "latest_file" else _queried(spark, spec)
+            started.append(again(ST.run_polls)(spark, look, spec.target, checkpoint, spec.sync_mode, **same))
+            continue
+        payload = spec.type == "api_payload"
+        started.append(again(ST.run_stream)(
+            spark, spec.path, schemas[spec.name], spec.target, checkpoint, mode=spec.sync_mode,
+            fmt="json" if payload else spec.type, change=FS.unwrap_envelope if payload else None,
+            delay=spec.options.get("delay", "10 minutes"), **same))
+    return started
 
 
 def vendor_summary_job(spark: SparkSession, sf_dir: str, output: str = "db",

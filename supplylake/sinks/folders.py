@@ -9,11 +9,16 @@ never taken for "no table".
 
 from __future__ import annotations
 
+import math
+import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-NEW, OLD = "__new", "__old"
+NEW, OLD, MERGED = "__new", "__old", "__merged"
+#: The columns that tables of numbered folders are partitioned by.
+PARTITIONS = ("_batch", "batch_id", "_bucket")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -33,6 +38,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def modified(spark: SparkSession, path: str) -> int | None:
+    """When ``path`` was written, in milliseconds; None where it does not exist."""
+    fs, p = _fs(spark, path)
+    return fs.getFileStatus(p).getModificationTime() if fs.exists(p) else None
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p) and not fs.delete(p, True):
@@ -108,3 +119,67 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
+
+
+def write_whole(spark: SparkSession, path: str, text: str) -> None:
+    """A new small text file that is there in full or not at all."""
+    parent, name = path.rsplit("/", 1)
+    part = f"{parent}/.{name}-{uuid.uuid4().hex}"
+    write_text(spark, part, text)
+    rename(spark, part, path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    data = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(data, "UTF-8")
+    finally:
+        data.close()
+
+
+# ---------------------------------------------------------------- numbered folders
+
+#: So many folders of one size become one; a table of n loads keeps about FAN * log(n) folders.
+FAN = 32
+
+
+def numbers(spark: SparkSession, target: str, column: str) -> list[int]:
+    """Numbers of the folders ``column=<n>`` that are in place, ascending."""
+    finish_merges(spark, target, column)
+    return sorted(int(n.split("=", 1)[1]) for n in names(spark, target) if re.fullmatch(rf"{column}=\d+", n))
+
+
+def finish_merges(spark: SparkSession, target: str, column: str) -> None:
+    """Put merged folders that were written whole in the place of those they hold."""
+    parent, name = target.rstrip("/").rsplit("/", 1)
+    for found in names(spark, parent):
+        made = re.fullmatch(rf"{re.escape(name)}{MERGED}-{column}-(\d+)-(\d+)", found)
+        if not made or not exists(spark, f"{parent}/{found}/_SUCCESS"):
+            continue
+        low, high = int(made[1]), int(made[2])
+        for old in names(spark, target):
+            if re.fullmatch(rf"{column}=\d+", old) and low <= int(old.split("=")[1]) <= high:
+                hidden = f"{target}/.{old}{OLD}-{uuid.uuid4().hex}"
+                rename(spark, f"{target}/{old}", hidden)
+                remove(spark, hidden)
+        rename(spark, f"{parent}/{found}", f"{target}/{column}={high}")
+
+
+def merge_folders(spark: SparkSession, target: str, column: str, read: Callable[[list[str]], DataFrame],
+                  fan: int | None = None) -> None:
+    """Merge runs of ``fan`` folders of about equal numbers of loads into one, named by
+    its last; the newest folder, which a replay may replace, is left alone.  A load is
+    rewritten a logarithmic number of times.  A crash leaves the folders as they were
+    or a whole merged one that the next look at the table puts in place."""
+    fan = fan or FAN
+    target = target.rstrip("/")
+    while True:
+        older = numbers(spark, target, column)[:-1]
+        sizes = [int(math.log(n - before, fan) + 1e-9) for before, n in zip([-1, *older], older)]
+        run = older[-fan:]
+        if len(run) < fan or len(set(sizes[-fan:])) > 1:
+            return
+        stage = f"{target}{MERGED}-{column}-{run[0]}-{run[-1]}"
+        read([f"{target}/{column}={n}" for n in run]).drop(column).write.mode("overwrite").parquet(stage)
+        finish_merges(spark, target, column)

@@ -227,6 +227,16 @@ RESULT_DDL = ("file STRING, table STRING, total_rows LONG, inserted_rows LONG, f
               "status STRING, error STRING")
 
 
+def refuse_equal_names(entries: list[str]) -> None:
+    """T2 for tables: two entries that would become one table are an error."""
+    by_name: dict[str, list[str]] = {}
+    for e in entries:
+        by_name.setdefault(sanitize_name(e), []).append(e)
+    same = {n: es for n, es in by_name.items() if len(es) > 1}
+    if same:
+        raise ValueError(f"table names collide after sanitising: {same}")
+
+
 def load_directory(spark: SparkSession, directory: str, pattern: str = "*.csv", target: str | None = None,
                    schemas: dict[str, T.StructType] | None = None,
                    multi_line: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -254,8 +264,10 @@ def load_directory(spark: SparkSession, directory: str, pattern: str = "*.csv",
         except Exception as exc:  # one bad file does not stop the others
             return entry, name, 0, 0, 0, "failed", str(exc)
 
+    entries = dataset_entries(spark, directory, pattern)
+    refuse_equal_names(entries)
     with ThreadPoolExecutor(LOADED_TOGETHER) as pool:
-        rows = list(pool.map(one, dataset_entries(spark, directory, pattern)))
+        rows = list(pool.map(one, entries))
     tables = {r[1]: spark.read.parquet(f"{target}/{r[1]}") for r in rows if r[5] == "success"}
     return tables, spark.createDataFrame(rows, RESULT_DDL)
 
@@ -280,25 +292,36 @@ def glob_pattern(pattern: str) -> str:
     return f"^{out}$"
 
 
-def latest_file(spark: SparkSession, directory: str, pattern: str = "*") -> str | None:
-    """The entry directly below ``directory`` whose name matches the glob and that
-    was written last (ties: the greatest name), chosen by one aggregate over the
-    listing.  A folder of part files is one entry, as new as its newest file."""
+def latest_entry(spark: SparkSession, directory: str, pattern: str = "*"):
+    """``name`` and ``time`` (microseconds) of the entry directly below ``directory`` whose
+    name matches the glob and that was written last (ties: the greatest name), chosen by
+    one aggregate over the listing; None without any.  A folder of part files is one
+    entry, as new as its newest file."""
     base = directory.rstrip("/")
     below = F.regexp_replace("path", r"^.*?" + re.escape(base.split("://")[-1]) + "/", "")
     files = list_files(spark, directory).withColumn("entry", F.split(below, "/")[0])
-    row = (files.where(F.col("entry").rlike(glob_pattern(pattern)))
-           .agg(F.max_by("entry", F.struct("modificationTime", "entry")).alias("entry")).first())
-    return f"{base}/{row['entry']}" if row["entry"] is not None else None
+    rows = (files.where(F.col("entry").rlike(glob_pattern(pattern)))
+            .agg(F.max(F.struct(F.unix_micros("modificationTime").alias("time"), F.col("entry").alias("name"))).alias("e")))
+    return rows.first().e
+
+
+def latest_file(spark: SparkSession, directory: str, pattern: str = "*") -> str | None:
+    """The path of ``latest_entry``."""
+    found = latest_entry(spark, directory, pattern)
+    return f"{directory.rstrip('/')}/{found.name}" if found is not None else None
+
+
+def read_entry(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    if fmt == "csv":
+        return load_csv(spark, path)
+    return spark.read.format(fmt).load(path)
 
 
 def read_latest(spark: SparkSession, directory: str, pattern: str = "*", fmt: str = "parquet") -> DataFrame:
     path = latest_file(spark, directory, pattern)
     if path is None:
         raise FileNotFoundError(f"no file matching {pattern!r} in {directory}")
-    if fmt == "csv":
-        return load_csv(spark, path)
-    return spark.read.format(fmt).load(path)
+    return read_entry(spark, path, fmt)
 
 
 # --------------------------------------------------------------- S4 / S8

@@ -11,6 +11,9 @@ Targets are path tables (parquet) below shared storage; each belongs to one mode
   ``target anti-join source  UNION  source`` replaces the target, or the touched
   buckets of it.  Keys are compared null-safely.  Dedupe is ``max_by`` per key --
   a partial aggregate, so a key holding a third of all rows is reduced map-side.
+
+New columns and wider types of an extract become the target's (``sinks/schemas.py``);
+incompatible ones are refused.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from ..sinks import folders
+from ..sinks import folders, schemas
 
 log = logging.getLogger(__name__)
 
@@ -58,19 +61,29 @@ def _state_path(target: str) -> str:
 
 def batches(spark: SparkSession, target: str, column: str = BATCH) -> list[int]:
     """Numbers of the batch folders that are in place."""
-    return sorted(int(n.split("=", 1)[1]) for n in folders.names(spark, target) if n.startswith(f"{column}="))
+    return folders.numbers(spark, target, column)
 
 
-def write_mark(rows: DataFrame, target: str, ts_col: str, batch: int) -> None:
-    """The mark of a batch, written before its folder is put in place."""
-    mark = rows.agg(F.max(F.col(ts_col).cast("timestamp_ntz")).alias("hwm"))
+def write_mark(rows: DataFrame, target: str, ts_col: str, batch: int, column: str = BATCH) -> None:
+    """The mark of a batch and all before it, written before its folder is put in place;
+    marks that neither this batch nor a replay of it needs are removed."""
+    spark = rows.sparkSession
+    earlier = high_water_mark(spark, target, column, before=batch)
+    own = F.max(F.col(ts_col).cast("timestamp_ntz"))
+    mark = rows.agg((own if earlier is None else F.greatest(own, earlier)).alias("hwm"))
     (mark.withColumn("updated_at", F.current_timestamp())
      .write.mode("overwrite").parquet(f"{_state_path(target)}/batch={batch}"))
+    done = [n for n in batches(spark, target, column) if n < batch]
+    marks = sorted(int(n.split("=")[1]) for n in folders.names(spark, _state_path(target)) if n.startswith("batch="))
+    needed = max((m for m in marks if done and m <= done[-1]), default=None)
+    for m in marks:
+        if needed is not None and m < needed:
+            folders.remove(spark, f"{_state_path(target)}/batch={m}")
 
 
 def high_water_mark(spark: SparkSession, target: str, column: str = BATCH, before: int | None = None):
     """The greatest mark of the batches in place (but for numbers from ``before`` on)
-    as a scalar-subquery Column, or None without any.  Reads one row per batch."""
+    as a scalar-subquery Column, or None without any.  Reads the few marks kept."""
     done = [n for n in batches(spark, target, column) if before is None or n < before]
     if not done or not folders.exists(spark, _state_path(target)):
         return None
@@ -78,6 +91,15 @@ def high_water_mark(spark: SparkSession, target: str, column: str = BATCH, befor
     return marks.select(F.max("hwm")).scalar()
 
 
+def add_batch(df: DataFrame, target: str, batch: int, column: str = BATCH) -> None:
+    """Add ``df`` as the folder of a batch, in the target's columns, and merge folders
+    that have become many."""
+    spark = df.sparkSession
+    schema = schemas.evolve(spark, target, df.schema)
+    folders.add_folder(schemas.conform(df, schema), target, f"{column}={batch}")
+    folders.merge_folders(spark, target, column, lambda paths: schemas.read(spark, target, paths))
+
+
 def incremental_rows(df: DataFrame, ts_col: str | None, hwm) -> DataFrame:
     """R4 rule: strictly newer than the mark; first run or no ts column -> all.
     Rows with a NULL ts are loaded only while there is no mark."""
@@ -96,9 +118,9 @@ def sync_incremental(df: DataFrame, target: str, ts_col: str | None) -> DataFram
     rows = spark.read.parquet(stage)  # decided once: mark and load see the same rows
     if ts_col is not None and ts_col in df.columns:
         write_mark(rows, target, ts_col, batch)
-    folders.add_folder(rows, target, f"{BATCH}={batch}")
+    add_batch(rows, target, batch)
     folders.remove(spark, stage)
-    return spark.read.parquet(target)
+    return schemas.read(spark, target)
 
 
 # --------------------------------------------------------------- K9 / J7
@@ -149,25 +171,33 @@ def sync_upsert(df: DataFrame, target: str, key: Sequence[str] | None,
     spark = df.sparkSession
     if not key:
         log.warning("upsert without a primary key: appending")
-        folders.add_folder(df, target, f"{BATCH}={max(batches(spark, target), default=-1) + 1}")
-        return spark.read.parquet(target)
+        add_batch(df, target, max(batches(spark, target), default=-1) + 1)
+        return schemas.read(spark, target)
+    parts = None if buckets is None else f"{BUCKET}="
+    there = folders.table_exists(spark, target, parts)
+    held = schemas.stored(spark, target) if there and buckets else None
+    if held and any(schemas.merged(held, df.schema)[k].dataType != held[k].dataType for k in key):
+        raise ValueError("a key of another type would fall in other buckets; rewrite the table first")
+    schema = schemas.evolve(spark, target, df.schema)
+    df = schemas.conform(df, schema)
     if buckets is None:
-        tgt = spark.read.parquet(target) if folders.table_exists(spark, target) else None
-        return folders.replace(upsert_frame(tgt, df, key, order), target)
+        tgt = schemas.conform(schemas.read(spark, target), schema) if there else None
+        folders.replace(upsert_frame(tgt, df, key, order), target)
+        return schemas.read(spark, target)
 
-    parts = f"{BUCKET}="
     src = latest_per_key(df, key, order).withColumn(BUCKET, bucket_of(key, buckets))
-    if not folders.table_exists(spark, target, parts):
-        return folders.replace(src.hint("rebalance", BUCKET), target, BUCKET)
+    if not there:
+        folders.replace(src.hint("rebalance", BUCKET), target, BUCKET)
+        return schemas.read(spark, target)
     stage = scratch_path(spark, "upsert_src")
     src.write.parquet(stage)  # the change set, deduped, read twice below
     src = spark.read.parquet(stage)
     touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())  # <= B ints
-    tgt = spark.read.parquet(target).where(F.col(BUCKET).isin(touched))
+    tgt = schemas.read(spark, target).where(F.col(BUCKET).isin(touched))
     merged = _without_keys(tgt, src, key).unionByName(src.select(*tgt.columns))
-    out = folders.replace(merged.hint("rebalance", BUCKET), target, BUCKET, parts)
+    folders.replace(merged.hint("rebalance", BUCKET), target, BUCKET, parts)
     folders.remove(spark, stage)
-    return out
+    return schemas.read(spark, target)
 
 
 # --------------------------------------------------------------- dispatch / K12 / K14
@@ -215,10 +245,17 @@ def run_sync(spark: SparkSession, source_name: str, df: DataFrame, target: str,
     return rec
 
 
+#: Files of a history that become one.
+HISTORY_FILES = 100
+
+
 def append_history(spark: SparkSession, history: str, records: list[dict]) -> None:
-    """One row per sync run."""
+    """One row per sync run; a history has one writer at a time."""
     rows = [tuple(r.get(f.name) for f in HISTORY_SCHEMA.fields) for r in records]
+    folders.recover(spark, history)
     spark.createDataFrame(rows, HISTORY_SCHEMA).write.mode("append").parquet(history)
+    if sum(n.endswith(".parquet") for n in folders.names(spark, history)) > HISTORY_FILES:
+        folders.replace(spark.read.schema(HISTORY_SCHEMA).parquet(history).coalesce(1), history)
 
 
 def sync_status(history: DataFrame) -> DataFrame:
