@@ -99,6 +99,15 @@ def _py_round(x, nd):
     return x if math.isnan(x) else round(x, nd)
 
 
+def _plain(x):
+    """``x`` with infinite numbers and NaN as text, which JSON has no numbers for."""
+    if isinstance(x, dict):
+        return {k: _plain(v) for k, v in x.items()}
+    if isinstance(x, float) and not math.isfinite(x):
+        return "NaN" if math.isnan(x) else "Infinity" if x > 0 else "-Infinity"
+    return x
+
+
 def _num(df: DataFrame, c: str):
     """The value a check sees: numbers as-is (NaN -> NULL), text coerced."""
     dt = df.schema[c].dataType
@@ -207,6 +216,27 @@ class DataQualityValidator:
         r = df.agg(*aggs).first()
         return {c: int(r[f"o_{i}"]) for i, c in enumerate(live)}
 
+    # -- fences --------------------------------------------------------------
+    @staticmethod
+    def _iqr_counts(df: DataFrame, cfg: dict) -> dict:
+        """Values beyond the quartiles by ``iqr_factor`` (1.5) ranges, for the profile's
+        ``iqr_columns`` with at least 3 values: one quantile job for all of them, one count."""
+        from .explore import iqr_bounds
+        cols = [c for c in cfg.get("iqr_columns", []) if c in df.columns]
+        if not cols:
+            return {}
+        numbers = df.select(*[_num(df, c).alias(c) for c in cols])
+        fences = {r["column"]: r for r in iqr_bounds(numbers, cols, float(cfg.get("iqr_factor", 1.5))).collect()}
+        aggs = []
+        for i, c in enumerate(cols):
+            out = F.lit(False)
+            if c in fences and fences[c]["lower"] is not None:
+                out = (F.col(c) < F.lit(fences[c]["lower"])) | (F.col(c) > F.lit(fences[c]["upper"]))
+            aggs += [F.count(c).alias(f"n_{i}"), F.count_if(out).alias(f"o_{i}")]
+        r = numbers.agg(*aggs).first()
+        return {c: (r[f"n_{i}"], int(r[f"o_{i}"]), *[fences[c][k] for k in ("q1", "q3", "lower", "upper")])
+                for i, c in enumerate(cols) if r[f"n_{i}"] >= 3}
+
     def run_checks(self, df: DataFrame, profile: str = "vendor_summary",
                    z_threshold: float = 3.0) -> list[dict]:
         return self._run(df, profile, z_threshold)[0]
@@ -257,6 +287,11 @@ class DataQualityValidator:
                  "outlier_pct": round(k / n * 100, 2), "mean": round(float(m), 4),
                  "std": round(float(s), 4)})
 
+        for c, (n, far, q1, q3, low, high) in self._iqr_counts(df, cfg).items():
+            add(f"iqr_{c}", far < n * 0.05,
+                {"column": c, "factor": float(cfg.get("iqr_factor", 1.5)), "outlier_count": far,
+                 "outlier_pct": round(far / n * 100, 2), "q1": q1, "q3": q3, "lower": low, "upper": high})
+
         bad = [c for c in cfg.get("numeric_columns", [])
                if c in df.columns and not is_numeric_type(df.schema[c].dataType)]
         add("dtype_numeric", not bad,
@@ -289,7 +324,7 @@ class DataQualityValidator:
     def check_frame(self, df: DataFrame, profile: str = "vendor_summary",
                     z_threshold: float = 3.0) -> DataFrame:
         """The report as a DataFrame of check rows (details as JSON text)."""
-        rows = [(r["check"], r["passed"], json.dumps(r["details"], default=str), r["timestamp"])
+        rows = [(r["check"], r["passed"], json.dumps(_plain(r["details"]), default=str), r["timestamp"])
                 for r in self.run_checks(df, profile, z_threshold)]
         return df.sparkSession.createDataFrame(rows, CHECK_SCHEMA)
 
@@ -361,6 +396,7 @@ def outlier_frame(df: DataFrame, profile: dict, z_threshold: float = 3.0) -> Dat
 def save_report(spark: SparkSession, report: dict, path: str) -> str:
     """The report as JSON text in a file of the shared store (any Hadoop path)."""
     from ..sinks.folders import write_text
+    report = {**report, "results": [{**r, "details": _plain(r["details"])} for r in report["results"]]}
     write_text(spark, path, json.dumps(report, indent=2, default=str))
     return path
 

@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.semantics import round_ieee
+from ..operators import consistency as CO
 from ..operators import explore as EX
 from ..operators import features as FE
 from ..operators import impute as IM
 from ..operators import quality as DQ
 from ..operators import summary as S
-from ..session import scratch_path
+from ..session import scratch_path, stored
+from ..sinks import digests as DG
+from ..sinks import folders
 from ..sinks import loading as LD
 from ..sinks import tables as TB
 from ..sources import files as FS
@@ -856,13 +859,17 @@ def _rejected_rows(spark, sf_dir):
     return _rejected(spark, sf_dir)[1].select(F.col("Brand").cast("bigint").alias("Brand"), "Volume")
 
 
+def _cells_sql(columns):
+    return " || ".join(f"COALESCE(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
+
+
 def _fingerprint_sql():
-    cells = ", ".join(f"COALESCE('=' || CAST({c} AS VARCHAR), '-')" for c in PURCHASE_COLS)
+    cells = _cells_sql(PURCHASE_COLS)
     missing = " + ".join(f"count_if({c} IS NULL)" for c in PURCHASE_COLS)
     return O.q(O.STAR, f"""
 SELECT count(*) AS total_rows, CAST({missing} AS BIGINT) AS null_count,
        count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM purchases) d) AS duplicate_count,
-       CAST(sum(CAST('0x' || substr(md5(concat_ws(chr(31), {cells})), 1, 15) AS BIGINT)) AS VARCHAR) AS data_hash
+       CAST(sum(CAST('0x' || substr(md5({cells}), 1, 15) AS BIGINT)) AS VARCHAR) AS data_hash
 FROM purchases""")
 
 
@@ -871,6 +878,53 @@ def _table_fingerprint(spark, sf_dir):
     return TB.table_fingerprint(stored_star(spark, sf_dir).purchases.select(*PURCHASE_COLS))
 
 
+VERSIONS = """
+WITH a AS (SELECT event_id, user_id, event_type, props FROM events),
+b AS (SELECT event_id, user_id, CASE WHEN event_id % 1009 = 0 THEN event_type || '*' ELSE event_type END AS event_type, props
+      FROM events WHERE event_id % 1511 <> 0
+      UNION ALL SELECT -event_id, user_id, event_type, props FROM events WHERE event_id % 2003 = 1),
+"""
+
+
+def _versions(spark, sf_dir):
+    """Two versions of the events: the second has rows changed, removed and added."""
+    ev = _events(spark, sf_dir).select("event_id", "user_id", "event_type", "props")
+    k = F.col("event_id")
+    starred = F.when(k % 1009 == 0, F.concat("event_type", F.lit("*"))).otherwise(F.col("event_type"))
+    kept = ev.where(k % 1511 != 0).withColumn("event_type", starred)
+    return ev, kept.unionByName(ev.where(k % 2003 == 1).withColumn("event_id", -k))
+
+
+def _leaves_sql(table):
+    cells = _cells_sql(["event_id", "user_id", "event_type", "props"])
+    return f"""SELECT substr(md5({_cells_sql(['event_id'])}), 1, 3) AS leaf, count(*) AS n,
+    sum(CAST('0x' || substr(md5({cells}), 1, 15) AS HUGEINT)) AS d FROM {table} GROUP BY 1"""
+
+
+@register("changed_buckets", VERSIONS + f"""
+la AS ({_leaves_sql('a')}), lb AS ({_leaves_sql('b')}), digits(k) AS (VALUES (0), (1), (2), (3)),
+sa AS (SELECT k, substr(leaf, 1, k) AS bucket, sum(n) AS n, sum(d) AS d FROM la, digits GROUP BY 1, 2),
+sb AS (SELECT k, substr(leaf, 1, k) AS bucket, sum(n) AS n, sum(d) AS d FROM lb, digits GROUP BY 1, 2)
+SELECT CAST(k AS INTEGER) AS level, bucket, CAST(COALESCE(sa.n, 0) AS BIGINT) AS old_rows, CAST(COALESCE(sb.n, 0) AS BIGINT) AS new_rows
+FROM sa FULL JOIN sb USING (k, bucket) WHERE sa.d IS DISTINCT FROM sb.d""")
+def _changed_buckets(spark, sf_dir):
+    """The key buckets in which two versions of a table differ, level by level."""
+    old, new = (DG.digest_leaves(v, ["event_id"]) for v in _versions(spark, sf_dir))
+    return DG.changed_buckets(stored(old, "digests"), stored(new, "digests"))
+
+
+@register("changed_rows", VERSIONS + """
+ka AS (SELECT event_id, count(*) AS n, max(event_type) AS t FROM a GROUP BY 1),
+kb AS (SELECT event_id, count(*) AS n, max(event_type) AS t FROM b GROUP BY 1)
+SELECT CASE WHEN ka.n IS NULL THEN 'added' WHEN kb.n IS NULL THEN 'removed' ELSE 'changed' END AS change, event_id,
+       COALESCE(ka.n, 0) AS old_rows, COALESCE(kb.n, 0) AS new_rows
+FROM ka FULL JOIN kb USING (event_id) WHERE ka.n IS DISTINCT FROM kb.n OR ka.t IS DISTINCT FROM kb.t""")
+def _changed_rows(spark, sf_dir):
+    old, new = _versions(spark, sf_dir)
+    leaves = [stored(DG.digest_leaves(v, ["event_id"]), "digests") for v in (old, new)]
+    return DG.changed_rows(old, new, ["event_id"], DG.changed_buckets(*leaves))
+
+
 # ------------------------------------------------------------------ sync / streams
 
 LATEST_SQL = """
@@ -987,6 +1041,103 @@ def _stream_full(spark, sf_dir):
     return _stream_two_drops(spark, sf_dir, "full")
 
 
+@register("stream_snapshots", """
+SELECT * FROM events WHERE event_id % 3 <> 1""")
+def _stream_snapshots(spark, sf_dir):
+    """R2: three snapshots of several part files, looked at one file at a time: the first is
+    whole, the second replaces it, the third has no marker and replaces nothing."""
+    ev = _events(spark, sf_dir)
+    src, target, ckpt = (scratch_path(spark, f"stream/{n}") for n in ("src", "target", "checkpoint"))
+    for k, rows in enumerate((ev.where("event_id % 3 = 0"), ev.where("event_id % 3 <> 1"), ev.where("event_id % 5 = 0"))):
+        rows.repartition(4).write.mode("append").parquet(src)
+        if k == 2:
+            folders.remove(spark, f"{src}/_SUCCESS")
+        ST.run_stream(spark, src, ev.schema, target, ckpt, mode="full", max_files=1)
+    return ST.read_target(spark, target, EV_COLS)
+
+
+WATERMARK_SQL = """
+WITH sent AS (
+  SELECT *, event_id % 7 = 0 AS delayed FROM events),
+edges AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS mid FROM events),
+mark AS (SELECT max(ts) AS seen FROM sent, edges WHERE ts <= mid AND NOT delayed),
+second AS (SELECT sent.*, ts <= seen - INTERVAL 30 MINUTES AS late FROM sent, edges, mark
+           WHERE ts > mid OR delayed OR event_id % 10 = 0)
+SELECT event_id, ts, 'loaded' AS outcome FROM sent, edges WHERE ts <= mid AND NOT delayed
+UNION ALL SELECT event_id, ts, CASE WHEN late THEN 'late' WHEN ts > mid OR delayed THEN 'loaded' ELSE 'sent before' END
+FROM second, edges"""
+
+
+@register("stream_watermark", WATERMARK_SQL)
+def _stream_watermark(spark, sf_dir):
+    """The second drop brings rows in time, rows late within and beyond the delay,
+    and rows sent before."""
+    ev = _events(spark, sf_dir)
+    mid = ev.select(F.expr("min(ts) + (max(ts) - min(ts)) / 2")).scalar()
+    delayed = F.col("event_id") % 7 == 0
+    src, target, ckpt = (scratch_path(spark, f"stream/{n}") for n in ("src", "target", "checkpoint"))
+    for rows in (ev.where((F.col("ts") <= mid) & ~delayed), ev.where((F.col("ts") > mid) | delayed | (F.col("event_id") % 10 == 0))):
+        rows.write.mode("append").parquet(src)
+        ST.run_stream(spark, src, ev.schema, target, ckpt, mode="watermark", ts_col="ts", key=["event_id"], delay="30 minutes")
+    loaded = ST.read_target(spark, target, ["event_id", "ts"]).withColumn("outcome", F.lit("loaded"))
+    return loaded.unionByName(ST.set_aside(spark, target).select("event_id", "ts", F.col("reason").alias("outcome")))
+
+
+@register("stream_newest_file", "SELECT * FROM events")
+def _stream_newest_file(spark, sf_dir):
+    """A newest-file source polled as a stream over two drops and a restart."""
+    from .jobs import SourceSpec, start_streams
+    first, _, ev = _drops(spark, sf_dir)
+    src, target, ckpt = (scratch_path(spark, f"stream/{n}") for n in ("src", "target", "checkpoint"))
+    spec = SourceSpec("newest", "latest_file", src, target, "incremental", timestamp_col="ts", options={"pattern": "drop_*"})
+    for name, rows in (("drop_1", first), ("drop_2", ev)):
+        rows.write.parquet(f"{src}/{name}.parquet")
+        start_streams(spark, [spec], {}, ckpt, once=True)
+    return ST.read_target(spark, target, EV_COLS)
+
+
+@register("stream_payloads", LATEST_SQL)
+def _stream_payloads(spark, sf_dir):
+    """Payload pages streamed, unwrapped and upserted batch by batch, with a restart."""
+    from .jobs import SourceSpec, start_streams
+    first, second, ev = _drops(spark, sf_dir)
+    src, target, ckpt = (scratch_path(spark, f"stream/{n}") for n in ("src", "target", "checkpoint"))
+    item = F.struct(*EV_COLS)
+    schema = T.StructType([T.StructField("data", T.ArrayType(ev.select(item.alias("x")).schema["x"].dataType))])
+    spec = SourceSpec("pages", "api_payload", src, target, "upsert", primary_key=["user_id"], order_by=["ts", "event_id"])
+    for rows in (first, second):
+        pages = rows.groupBy(F.floor(F.col("event_id") / 100)).agg(F.collect_list(item).alias("data"))  # <= 100 rows a page
+        pages.select("data").write.mode("append").option("timestampNTZFormat", FS.TS_MICROS).json(src)
+        start_streams(spark, [spec], {"pages": schema}, ckpt, once=True)
+    return ST.read_target(spark, target, EV_COLS)
+
+
+@register("sync_new_columns", """
+SELECT event_id, ts, user_id, value, CASE WHEN ts > (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events) THEN props END AS props
+FROM events""")
+def _sync_new_columns(spark, sf_dir):
+    """A later extract brings a column and a wider type; neither is lost."""
+    first, _, ev = _drops(spark, sf_dir)
+    cols = ["event_id", "ts", "user_id", "value"]
+    target = TB.table_path(spark, "events_columns")
+    SY.sync_incremental(first.select("event_id", "ts", F.col("user_id").cast("int").alias("user_id"), "value"), target, "ts")
+    return SY.sync_incremental(ev.select(*cols, "props"), target, "ts").select(*cols, "props")
+
+
+@register("upsert_new_columns", """
+WITH t AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+SELECT event_id, ts, user_id, CASE WHEN ts > (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events) THEN props END AS props
+FROM t WHERE rn = 1""")
+def _upsert_new_columns(spark, sf_dir):
+    """K9: the rows that a wider change set touches get its new column, the others NULL."""
+    first, second, _ = _drops(spark, sf_dir)
+    cols = ["event_id", "ts", "user_id"]
+    target = TB.table_path(spark, "events_upsert_columns")
+    SY.sync_upsert(first.select(*cols), target, ["user_id"], ["ts", "event_id"], buckets=UPSERT_BUCKETS)
+    out = SY.sync_upsert(second.select(*cols, "props"), target, ["user_id"], ["ts", "event_id"], buckets=UPSERT_BUCKETS)
+    return out.select(*cols, "props")
+
+
 @register("round_wide", """
 WITH v AS (SELECT event_id, CASE event_id % 6 WHEN 0 THEN 2e13 WHEN 1 THEN 1e17 WHEN 2 THEN 'inf'::DOUBLE
            WHEN 3 THEN '-inf'::DOUBLE WHEN 4 THEN 'nan'::DOUBLE ELSE value END AS x FROM events)
@@ -1073,6 +1224,81 @@ def _dq_custom(spark, sf_dir):
     return DQ.details_frame(v.check_frame(_events(spark, sf_dir), "events"), O.DQ_DETAILS)
 
 
+IQR_PROFILE = {"events_iqr": {**EVENTS_PROFILE["events"], "iqr_columns": ["value", "user_id"], "iqr_factor": 1.0}}
+
+
+def _iqr_sql(c):
+    """Quartiles by linear interpolation between the neighbouring ranks."""
+    return f"""SELECT 'iqr_{c}' AS check, far < n * 0.05 AS passed, far AS outlier_count, {O.rnd('(far / n * 100)', 2)} AS outlier_pct,
+       {O.rnd('lo', 6)} AS lower, {O.rnd('hi', 6)} AS upper
+FROM (SELECT count({c}) AS n, count_if({c} < lo OR {c} > hi) AS far, any_value(lo) AS lo, any_value(hi) AS hi FROM events,
+      (SELECT q1 - (q3 - q1) AS lo, q3 + (q3 - q1) AS hi
+       FROM (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3 FROM events)))"""
+
+
+@register("dq_iqr", " UNION ALL ".join(_iqr_sql(c) for c in ("value", "user_id")))
+def _dq_iqr(spark, sf_dir):
+    """The fences of a profile's ``iqr_columns`` and the values beyond them."""
+    v = DQ.DataQualityValidator(IQR_PROFILE)
+    rows = DQ.details_frame(v.check_frame(_events(spark, sf_dir), "events_iqr").where("check LIKE 'iqr_%'"),
+                            {"outlier_count": "BIGINT", "outlier_pct": "DOUBLE", "lower": "DOUBLE", "upper": "DOUBLE"})
+    return rows.withColumns({c: round_ieee(c, 6) for c in ("lower", "upper")})
+
+
+def _reference_sql(ref):
+    keys = ", ".join(ref.keys)
+    none = " OR ".join(f"{k} IS NULL" for k in ref.keys)
+    same = " AND ".join(f"p.{p} = c.{k}" for k, p in zip(ref.keys, ref.parent_keys))
+    shown = " || '/' || ".join(f"CAST({k} AS VARCHAR)" for k in ref.keys)
+    return f"""SELECT '{ref.name}' AS check, failed = 0 AS passed, checked, without_key, failed, failed_keys,
+       CASE WHEN checked > 0 THEN failed * 100 / checked ELSE 0 END AS failed_pct, COALESCE(examples, '') AS examples
+FROM (SELECT count(*) AS checked, count_if({none}) AS without_key FROM {ref.child}),
+     (SELECT CAST(COALESCE(sum(n), 0) AS BIGINT) AS failed, count(*) AS failed_keys,
+             string_agg({shown}, ', ' ORDER BY place) FILTER (WHERE place <= 5) AS examples
+      FROM (SELECT {keys}, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, {keys}) AS place FROM {ref.child} c
+            WHERE NOT ({none}) AND NOT EXISTS (SELECT 1 FROM {ref.parent} p WHERE {same}) GROUP BY {keys}))"""
+
+
+def _balance_sql(b):
+    keys = ", ".join(b.keys)
+    sums = ", ".join(f"sum({m}) AS s{i}" for i, m in enumerate(b.measures))
+    differ = " OR ".join(f"l.s{i} IS DISTINCT FROM r.s{i}" for i in range(len(b.measures)))
+    shown = " || '/' || ".join(f"CAST({k} AS VARCHAR)" for k in b.keys)
+    return f"""SELECT '{b.name}' AS check, count_if(bad) = 0 AS passed, count(*) AS checked, CAST(0 AS BIGINT) AS without_key,
+       count_if(bad) AS failed, count_if(bad) AS failed_keys,
+       CASE WHEN count(*) > 0 THEN count_if(bad) * 100 / count(*) ELSE 0 END AS failed_pct,
+       COALESCE(string_agg({shown}, ', ' ORDER BY {keys}) FILTER (WHERE bad AND place <= 5), '') AS examples
+FROM (SELECT *, row_number() OVER (PARTITION BY bad ORDER BY {keys}) AS place
+      FROM (SELECT {keys}, l.a IS NULL OR r.a IS NULL OR {differ} AS bad
+            FROM (SELECT {keys}, {sums}, true AS a FROM {b.left} GROUP BY {keys}) l
+            FULL JOIN (SELECT {keys}, {sums}, true AS a FROM {b.right} GROUP BY {keys}) r USING ({keys})))"""
+
+
+@register("dq_cross_table", O.q(O.STAR, " UNION ALL ".join(
+    f"({_reference_sql(c) if isinstance(c, CO.Reference) else _balance_sql(c)})" for c in CO.PROCUREMENT_CHECKS)))
+def _dq_cross_table(spark, sf_dir):
+    """References between the procurement tables, and the invoices' sums."""
+    star = stored_star(spark, sf_dir)
+    tables = {t: getattr(star, t) for t in ("purchases", "sales", "purchase_prices", "vendor_invoice")}
+    return CO.cross_checks(tables, CO.PROCUREMENT_CHECKS)
+
+
+@register("dq_infinite", """
+SELECT 'value' AS "column", count(value) AS n, CAST('inf' AS DOUBLE) AS mean, CAST('nan' AS DOUBLE) AS std,
+       CAST(0 AS BIGINT) AS outlier_count, CAST(0 AS DOUBLE) AS outlier_pct, true AS passed FROM events""")
+def _dq_infinite(spark, sf_dir):
+    """D6 with an infinity: no deviation can be told, so nothing counts as an outlier."""
+    value = F.when(F.col("event_id") % 100 == 0, float("inf")).otherwise(F.col("value"))
+    return DQ.outlier_frame(_events(spark, sf_dir).withColumn("value", value), {"numeric_columns": ["value"]})
+
+
+@register("feat_infinite", O.features_sql(" CAST(0 AS DOUBLE) AS feat_zscore_profit_margin"))
+def _feat_infinite(spark, sf_dir):
+    """E22 with infinite margins: the deviation is unknown, so every z-score is 0."""
+    margin = F.when(F.col("VendorNumber") == 7, float("inf")).otherwise(F.col("ProfitMargin"))
+    return FE.statistical(_summary(spark, sf_dir).withColumn("ProfitMargin", margin)).select(*KEY7, "feat_zscore_profit_margin")
+
+
 @register("multi_source_sync", O.q(O.STAR, """
 SELECT 'events_parquet' AS source_name, CAST(1 AS BIGINT) AS total_syncs, CAST(1 AS BIGINT) AS successful_syncs,
        CAST(0 AS BIGINT) AS failed_syncs, (SELECT count(*) FROM events) AS total_rows_processed

@@ -57,10 +57,18 @@ def export_csv(df: DataFrame, output_dir: str, filename: str | None = None,
     return path
 
 
+def cells_text(columns: list[str]) -> F.Column:
+    """The cells as one text that only equal cells give: each is led by its length, and
+    NULL is a dash."""
+    def cell(c: str) -> F.Column:
+        text = F.col(f"`{c}`").cast("string")
+        return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+    return F.concat(*[cell(c) for c in columns])
+
+
 def row_hash(columns: list[str]) -> F.Column:
-    """60 bits of the MD5 of a row's cells as text; NULL differs from any text."""
-    cells = [F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-")) for c in columns]
-    return F.conv(F.substring(F.md5(F.concat_ws("\x1f", *cells)), 1, 15), 16, 10).cast(T.DecimalType(38, 0))
+    """60 bits of the MD5 of a row's cells."""
+    return F.conv(F.substring(F.md5(cells_text(columns)), 1, 15), 16, 10).cast(T.DecimalType(38, 0))
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
