@@ -3,8 +3,8 @@
 Everything is computed as aggregates over the frame, reshaped into long
 ``(column, ...)`` form with ``stack``/``unpivot``.  Multi-column statistics
 are one wide aggregate (one scan), never one job per column.  Quantiles are
-exact with linear interpolation (as pandas) and come from the distributed
-sort in ``quantiles`` -- no column or group is merged in a single task.
+exact with linear interpolation (as pandas); those of whole columns select from
+brackets, those of groups come from a distributed sort (``quantiles``).
 ``approx=True`` switches to ``percentile_approx``.
 """
 
@@ -20,7 +20,7 @@ from ..functions.semantics import (
     clip_keep_null, cut_right, nan_to_null, round_ieee,
 )
 from ..session import checkpoint_root
-from .quantiles import quantiles, quantiles_long
+from .quantiles import column_quantiles, quantiles, quantiles_long
 
 # The notebook's outlier-removal columns (order matters: the
 # bounds of each are computed on the frame already filtered by the previous).
@@ -103,8 +103,8 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = Fa
 
 
 def _column_quantiles(df: DataFrame, cols: Sequence[str], probs, names, approx: bool) -> DataFrame:
-    """(column, <names>) for every column: exact distributed sort, or
-    ``percentile_approx`` when ``approx``."""
+    """(column, <names>) for every column that has values: exact, by bracketed
+    selection, or ``percentile_approx`` when ``approx``."""
     if not approx:
         return quantiles_long(df.select(*[_v(c).alias(c) for c in cols]), cols, probs, names).drop("n")
     aggs = []
@@ -137,8 +137,8 @@ def remove_outliers_iqr(df: DataFrame, column: str, factor: float = 3.0,
     if approx:
         q = df.select(_quantiles(_v(column), [0.25, 0.75], True).alias("q")).first()["q"]
     else:
-        row = quantiles(df, _v(column), [0.25, 0.75], names=["q1", "q3"]).first()
-        q = None if row is None else (row["q1"], row["q3"])
+        found = column_quantiles(df.select(_v(column).alias("v")), ["v"], [0.25, 0.75])
+        q = found["v"][1] if found else None
     if q is None or q[0] is None:
         return df.where(F.lit(False))
     q1, q3 = float(q[0]), float(q[1])
@@ -263,71 +263,55 @@ def box_stats(df: DataFrame, cols: Sequence[str] | None = None, whisker: float =
 
 # ---------------------------------------------------------------- correlation
 
-def _pair_stats(cols: Sequence[str], shift: Sequence[float]):
-    """Per-partition pairwise-complete sufficient statistics, all k x k pairs
-    at once with matrix products (numpy inside the task).
-
-    For pair (a, b), over rows where both are present: n, sum a, sum b,
-    sum a^2, sum b^2, sum ab -- on values shifted by the column means, so
-    the later ``sxy - sx*sy/n`` does not cancel catastrophically.
-    """
-    import numpy as np
-    import pandas as pd
-
-    k = len(cols)
-    mu = np.asarray(shift, dtype=float)
-    names_a = np.repeat(np.asarray(cols, dtype=object), k)
-    names_b = np.tile(np.asarray(cols, dtype=object), k)
-
-    def fn(batches):
-        n = np.zeros((k, k)); sx = np.zeros((k, k)); sxx = np.zeros((k, k)); sxy = np.zeros((k, k))
-        seen = False
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            seen = True
-            x = pdf[list(cols)].to_numpy(dtype=float, na_value=np.nan) - mu
-            m = ~np.isnan(x)
-            z = np.where(m, x, 0.0)
-            mf = m.astype(float)
-            n += mf.T @ mf
-            sx += z.T @ mf
-            sxx += (z * z).T @ mf
-            sxy += z.T @ z
-        if seen:
-            yield pd.DataFrame({
-                "col_a": names_a, "col_b": names_b, "n": n.ravel().astype("int64"),
-                "sx": sx.ravel(), "sy": sx.T.ravel(), "sxx": sxx.ravel(), "syy": sxx.T.ravel(),
-                "sxy": sxy.ravel()})
-    return fn
-
-
-PAIR_SCHEMA = ("col_a string, col_b string, n long, sx double, sy double, "
-               "sxx double, syy double, sxy double")
-
-
 def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson r on pairwise-complete rows, long form (col_a, col_b, corr)
     for every ordered pair including the diagonal.
 
-    Two passes: column means (k scalars), then one ``mapInPandas`` emitting
-    k x k partial sums per partition, reduced by a partial+final aggregate
-    over at most k^2 keys.  A constant column gives NULL (pandas NaN), where
-    ``corr`` would raise DIVIDE_BY_ZERO under ANSI.
+    Two passes: means and numbers of values (2k scalars), then one aggregate of sums of
+    values shifted by the means, so that ``sxy - sx*sy/n`` does not cancel
+    catastrophically.  A pair's sums are over rows where both columns have values; sums
+    over a column that has all its values are shared by its pairs.  A constant column
+    gives NULL (pandas NaN), where ``corr`` would raise DIVIDE_BY_ZERO under ANSI.
     """
     cols = list(cols or numeric_columns(df))
     clean = df.select(*[_v(c).alias(c) for c in cols])
-    row = clean.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    shift = [row[f"m{i}"] if row[f"m{i}"] is not None else 0.0 for i in range(len(cols))]
-    parts = clean.mapInPandas(_pair_stats(cols, shift), PAIR_SCHEMA)
-    s = parts.groupBy("col_a", "col_b").agg(*[F.sum(c).alias(c) for c in
-                                              ("n", "sx", "sy", "sxx", "syy", "sxy")])
-    n = F.col("n").cast("double")
-    cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
-    vx = F.col("sxx") - F.col("sx") * F.col("sx") / n
-    vy = F.col("syy") - F.col("sy") * F.col("sy") / n
-    ok = (F.col("n") >= 2) & (vx > 0) & (vy > 0)
-    return s.select("col_a", "col_b", F.when(ok, cov / F.sqrt(vx * vy)).alias("corr"))
+    row = clean.agg(F.count(F.lit(1)).alias("rows"), *[a for i, c in enumerate(cols) for a in (
+        F.avg(c).alias(f"m{i}"), F.count(c).alias(f"n{i}"))]).first()
+    gaps = [row[f"n{i}"] < row["rows"] for i in range(len(cols))]
+    shifted = clean.select(*[(F.col(f"`{c}`") - F.lit(row[f"m{i}"] if row[f"m{i}"] is not None else 0.0)).alias(f"x{i}")
+                             for i, c in enumerate(cols)])
+    sums: dict[str, F.Column] = {}
+
+    def total(name: str, value) -> F.Column:
+        sums.setdefault(name, F.sum(value).alias(name))
+        return F.col(name)
+
+    def masked(i: int, j: int, power: int) -> F.Column:
+        """The sum of a power of column i where column j has a value."""
+        x = F.col(f"x{i}") * F.col(f"x{i}") if power == 2 else F.col(f"x{i}")
+        if gaps[j] and i != j:
+            return total(f"s{power}_{i}_{j}", F.when(F.col(f"x{j}").isNotNull(), x))
+        return total(f"s{power}_{i}", x)
+
+    def number(i: int, j: int) -> F.Column:
+        there = [k for k in sorted({i, j}) if gaps[k]]
+        present = F.lit(True)
+        for k in there:
+            present = present & F.col(f"x{k}").isNotNull()
+        return total("n" + "".join(f"_{k}" for k in there), F.when(present, 1.0))
+
+    pairs = []
+    for i in range(len(cols)):
+        for j in range(len(cols)):
+            a, b = min(i, j), max(i, j)
+            n, sx, sy = number(i, j), masked(i, j, 1), masked(j, i, 1)
+            vx, vy = (s2 - s1 * s1 / n for s2, s1 in ((masked(i, j, 2), sx), (masked(j, i, 2), sy)))
+            cov = total(f"p_{a}_{b}", F.col(f"x{a}") * F.col(f"x{b}")) - sx * sy / n
+            r = F.when((n >= 2) & (vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
+            pairs.append((cols[i], cols[j], nan_to_null(r)))
+    wide = shifted.agg(*sums.values())
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r.alias("corr"))
+                                          for a, b, r in pairs])))
 
 
 def corr_pairs(matrix: DataFrame, low: float = 0.95, high: float = 1.0) -> DataFrame:

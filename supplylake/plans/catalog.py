@@ -277,7 +277,8 @@ def _eda_clean(spark, sf_dir):
 
 
 def _df_clean(spark, sf_dir):
-    return EX.iqr_filter(_eda_clean(spark, sf_dir), materialize_input=False)
+    """The stored outlier-free table that the analysis steps read."""
+    return stage_table(spark, sf_dir, "df_clean", lambda: EX.iqr_filter(_eda_clean(spark, sf_dir), materialize_input=False))
 
 
 @register("impute_all", O.q(O.NOTEBOOK, f"SELECT {', '.join(EDA_KEY)}, ReferencePurchasePrice, Volume FROM prep"))
@@ -375,7 +376,7 @@ def _iqr_bounds(spark, sf_dir):
 
 @register("iqr_filter", O.q(O.CLEANED, "SELECT " + _r6sql(O.EDA_CLEAN_COLS) + " FROM df_clean"))
 def _iqr_filter(spark, sf_dir):
-    return _r6(_df_clean(spark, sf_dir))
+    return _r6(EX.iqr_filter(_eda_clean(spark, sf_dir), materialize_input=False))
 
 
 @register("outlier_stats", O.q(O.CLEANED, """

@@ -58,7 +58,8 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
         raise IOError(f"cannot rename {src} to {dst}")
 
 
-def _take_place(spark: SparkSession, new: str, target: str) -> None:
+def take_place(spark: SparkSession, new: str, target: str) -> None:
+    """Put the folder ``new`` in the place of ``target``."""
     if exists(spark, target):
         parent, name = target.rsplit("/", 1)
         old = f"{parent}/.{name}{OLD}-{uuid.uuid4().hex}"  # hidden from readers of the parent
@@ -78,11 +79,11 @@ def recover(spark: SparkSession, target: str, parts: str | None = None) -> None:
     if not exists(spark, f"{new}/_SUCCESS"):
         return
     if parts is None:
-        _take_place(spark, new, target)
+        take_place(spark, new, target)
         return
     for name in names(spark, new):
         if name.startswith(parts):
-            _take_place(spark, f"{new}/{name}", f"{target}/{name}")
+            take_place(spark, f"{new}/{name}", f"{target}/{name}")
     remove(spark, new)
 
 
@@ -108,7 +109,7 @@ def add_folder(df: DataFrame, target: str, name: str) -> None:
     spark = df.sparkSession
     stage = f"{target.rstrip('/')}{NEW}-{name.replace('=', '-')}"
     df.write.mode("overwrite").parquet(stage)
-    _take_place(spark, stage, f"{target.rstrip('/')}/{name}")
+    take_place(spark, stage, f"{target.rstrip('/')}/{name}")
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -138,6 +139,26 @@ def read_text(spark: SparkSession, path: str) -> str:
         data.close()
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a file, or of the first file in a folder that holds any."""
+    fs, p = _fs(spark, path)
+    if fs.getFileStatus(p).isDirectory():
+        visible = [n for n in names(spark, path) if n[0] not in "._"]
+        return next((line for line in (first_line(spark, f"{path}/{n}") for n in visible) if line is not None), None)
+    jvm = spark._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
+def uri(spark: SparkSession, path: str) -> str:
+    """``path`` as Spark's file metadata spells it, with special characters encoded."""
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toUri().toString()
+
+
 # ---------------------------------------------------------------- numbered folders
 
 #: So many folders of one size become one; a table of n loads keeps about FAN * log(n) folders.

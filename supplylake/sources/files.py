@@ -108,18 +108,23 @@ def normalise_null_tokens(df: DataFrame, tokens=NULL_TOKENS) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
-def text_types(df: DataFrame) -> dict[str, str]:
-    """The type of each text column by all its values, NULL apart, in one aggregate:
-    the first of int, bigint, double, date, timestamp and boolean that every value
-    has, else string.  A column of numbers in which some text stood for a missing
-    value (it is NULL here, as an empty cell is) becomes double, as pandas types it."""
+#: Kinds of values, in the order in which a column's type is chosen from them.
+KINDS = ("int", "bigint", "double", "date", "timestamp", "boolean")
+#: Bit of a column in which text stands for a missing value, as an empty cell does not.
+MARKED = 1 << len(KINDS)
+
+
+def kind_bits(columns: list[str], tokens=NULL_TOKENS) -> list[F.Column]:
+    """Aggregates over raw text cells: ``m<i>``, the bits of the kinds that every value of
+    column i has, and ``t<i>``, ``MARKED`` if some cell is a missing-value token."""
     from ..functions.semantics import to_number
-    kinds = ("int", "bigint", "double", "date", "timestamp", "boolean")
-    bit = {k: 1 << i for i, k in enumerate(kinds)}
+    bit = {k: 1 << i for i, k in enumerate(KINDS)}
     whole = bit["bigint"] | bit["double"]
-    masks = []
-    for i, c in enumerate(df.columns):  # the kinds each value has, as bits
-        x = F.col(f"`{c}`")
+    out = []
+    for i, c in enumerate(columns):
+        raw = F.col(f"`{c}`")
+        token = strip_ws(raw).isin(list(tokens))
+        x = F.when(~token, raw)
         mask = (F.when(x.rlike(r"^[+-]?\d+$"), F.when(x.try_cast("int").isNotNull(), bit["int"] | whole)
                        .when(x.try_cast("bigint").isNotNull(), whole).otherwise(bit["double"]))
                 .when(x.rlike(r"^[+-]?\d*\.?\d+$"), bit["double"])
@@ -127,9 +132,36 @@ def text_types(df: DataFrame) -> dict[str, str]:
                 .when(x.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}") & x.try_cast("timestamp").isNotNull(), bit["timestamp"])
                 .when(F.lower(x).isin("true", "false"), bit["boolean"])
                 .when(to_number(x).isNotNull(), bit["double"]).otherwise(0))
-        masks.append(F.bit_and(F.when(x.isNotNull(), mask)).alias(f"m{i}"))
-    r = df.agg(*masks).first()
-    return {c: next((k for k in kinds if (r[f"m{i}"] or 0) & bit[k]), "string") for i, c in enumerate(df.columns)}
+        out.append(F.bit_and(F.when(x.isNotNull(), mask)).alias(f"m{i}"))
+        out.append(F.max(F.when(token & (strip_ws(raw) != ""), MARKED).otherwise(0)).alias(f"t{i}"))
+    return out
+
+
+def chosen_types(columns: list[str], row) -> dict[str, str]:
+    """The type of each column by ``kind_bits``: the first of int, bigint, double, date,
+    timestamp and boolean that every value has, else string.  A column of whole numbers
+    in which some text stood for a missing value becomes double, as pandas types it."""
+    types = {}
+    for i, c in enumerate(columns):
+        bits = row[f"m{i}"] or 0
+        kind = next((k for j, k in enumerate(KINDS) if bits & (1 << j)), "string")
+        types[c] = "double" if kind in ("int", "bigint") and row[f"t{i}"] else kind
+    return types
+
+
+def text_types(df: DataFrame, tokens=NULL_TOKENS) -> dict[str, str]:
+    """The type of each text column by all its cells, in one aggregate."""
+    return chosen_types(df.columns, df.agg(*kind_bits(df.columns, tokens)).first())
+
+
+def typed_cells(columns: list[str], types: dict[str, str], tokens=NULL_TOKENS) -> list[F.Column]:
+    """Text cells as values of the chosen types; missing-value tokens are NULL."""
+    from ..functions.semantics import to_number
+    out = []
+    for c in columns:
+        x = F.when(~strip_ws(F.col(f"`{c}`")).isin(list(tokens)), F.col(f"`{c}`"))
+        out.append((to_number(x) if types[c] == "double" else x.cast(types[c])).alias(c))
+    return out
 
 
 def load_csv(spark: SparkSession, path: str, encoding: str = "UTF-8",
@@ -145,7 +177,6 @@ def load_csv(spark: SparkSession, path: str, encoding: str = "UTF-8",
     ``csv_with_bad_lines`` sets such lines apart instead.  ``multi_line`` reads
     quoted line ends; such files are not split among tasks.
     """
-    from ..functions.semantics import to_number
     r = csv_reader(spark.read.option("encoding", encoding).option("multiLine", multi_line)
                    .option("columnPruning", False))
     if schema is not None:
@@ -153,22 +184,9 @@ def load_csv(spark: SparkSession, path: str, encoding: str = "UTF-8",
     names = r.csv(path).columns
     text = T.StructType([T.StructField(c, T.StringType()) for c in names])
     raw = r.option("mode", "FAILFAST").schema(text).csv(path)
-    df = normalise_null_tokens(raw, null_tokens)
     if not infer_schema or not names:
-        return df
-    types = text_types(df)
-    marked = missing_text(raw, [c for c in names if types[c] in ("int", "bigint")], null_tokens)
-    return df.select(*[(to_number(F.col(f"`{c}`")) if types[c] == "double" or c in marked
-                        else F.col(f"`{c}`").cast(types[c])).alias(c) for c in names])
-
-
-def missing_text(raw: DataFrame, columns: list[str], tokens=NULL_TOKENS) -> set[str]:
-    """Those of ``columns`` that hold a missing-value token other than an empty cell."""
-    if not columns:
-        return set()
-    words = [t for t in tokens if t]
-    r = raw.agg(*[F.max(strip_ws(F.col(f"`{c}`")).isin(words)).alias(f"m{i}") for i, c in enumerate(columns)]).first()
-    return {c for i, c in enumerate(columns) if r[f"m{i}"]}
+        return normalise_null_tokens(raw, null_tokens)
+    return raw.select(*typed_cells(names, text_types(raw, null_tokens), null_tokens))
 
 
 #: Holds a line that its reader could not parse.
@@ -221,8 +239,6 @@ def dataset_entries(spark: SparkSession, directory: str, pattern: str = "*") ->
     return sorted(e for e in entries if fnmatch.fnmatch(e, pattern))
 
 
-#: Entries of a landing folder that are loaded at a time.
-LOADED_TOGETHER = 4
 RESULT_DDL = ("file STRING, table STRING, total_rows LONG, inserted_rows LONG, failed_rows LONG, "
               "status STRING, error STRING")
 
@@ -244,31 +260,18 @@ def load_directory(spark: SparkSession, directory: str, pattern: str = "*.csv",
     the written tables and a per-entry result frame with counts of what was written.
 
     With a schema in ``schemas`` (by table name) rows that do not fit it, and lines
-    that do not fit the header, go to ``<target>/_rejects/<table>``; without one types
-    are inferred from all values and nothing can be rejected but a bad line, which
-    fails the entry.  An entry that fails does not stop the others.
+    that do not fit the header, go to ``<target>/_rejects/<table>`` with the reason;
+    without one types are inferred from all values and nothing can be rejected but a bad
+    line, which fails the entry.  An entry that fails does not stop the others.  Entries
+    with equal headers are loaded by the same few jobs, however many they are.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
     from ..session import scratch_path
-    from ..sinks.loading import load_table
-    base = directory.rstrip("/")
+    from ..sinks.loading import load_entries
     target = target or scratch_path(spark, "loaded")
-
-    def one(entry: str):
-        name = sanitize_name(entry)
-        try:
-            total, inserted, failed = load_table(spark, f"{base}/{entry}", f"{target}/{name}",
-                                                 f"{target}/_rejects/{name}", (schemas or {}).get(name), multi_line)
-            return entry, name, total, inserted, failed, "success" if total else "skipped", None
-        except Exception as exc:  # one bad file does not stop the others
-            return entry, name, 0, 0, 0, "failed", str(exc)
-
     entries = dataset_entries(spark, directory, pattern)
     refuse_equal_names(entries)
-    with ThreadPoolExecutor(LOADED_TOGETHER) as pool:
-        rows = list(pool.map(one, entries))
-    tables = {r[1]: spark.read.parquet(f"{target}/{r[1]}") for r in rows if r[5] == "success"}
+    rows = load_entries(spark, directory.rstrip("/"), {e: sanitize_name(e) for e in entries}, target, schemas or {}, multi_line)
+    tables = {r[1]: spark.read.parquet(f"{target}/{r[1]}") for r in rows if r[3]}
     return tables, spark.createDataFrame(rows, RESULT_DDL)
 
 

@@ -73,3 +73,54 @@ def test_approx_paths_close_to_exact(spark):
     b = {r["column"]: r for r in EX.iqr_bounds(df, ["x"], approx=True).collect()}
     assert b["x"]["q1"] < b["x"]["q3"]
     assert EX.box_stats(df, ["x", "y"], approx=True).count() == 2
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 1999, 2001, 9000])
+def test_columns_by_brackets_equal_percentile(spark, n):
+    from supplylake.operators.quantiles import column_quantiles
+    random.seed(n)
+    rows = [(random.gauss(0, 1), float(random.choice([1, 1, 1, 2, 5])), None if i % 3 else random.random(), float("nan") if i % 2 else 1.5, None)
+            for i in range(n)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(5)
+    ps = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    cols = ["a", "b", "c", "d", "e"]
+    clean = df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in cols])
+    want = clean.agg(*[a for c in cols for a in (F.percentile(c, ps).alias(c), F.count(c).alias(f"n_{c}"))]).first()
+    got = column_quantiles(df, cols, ps)
+    assert got == {c: (want[f"n_{c}"], list(want[c])) for c in cols if want[f"n_{c}"]}
+
+
+def test_brackets_sort_a_small_share_of_the_rows(spark, monkeypatch):
+    from supplylake.operators import quantiles as Q
+    sorted_rows = []
+    plain = Q.sorted_blocks
+    monkeypatch.setattr(Q, "sorted_blocks", lambda base, *a, **k: (sorted_rows.append(base.count()), plain(base, *a, **k))[1])
+    df = spark.range(100_000).select(F.hash("id").cast("double").alias("x"))
+    assert Q.column_quantiles(df, ["x"], [0.5])["x"][1] == [df.agg(F.median("x")).first()[0]]
+    assert len(sorted_rows) == 1 and sorted_rows[0] < 2500
+
+
+def test_correlation_over_complete_pairs_without_python(spark):
+    import numpy as np
+    import pandas as pd
+
+    from supplylake.operators.explore import corr_matrix
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((500, 5)) + 1e6
+    x[:, 1] += x[:, 0] * 3
+    x[rng.random((500, 5)) < 0.2] = np.nan
+    x[:, 3] = 7.0
+    x[:, 0] = np.arange(500)
+    pdf = pd.DataFrame(x, columns=list("abcde"))
+    pdf["f"] = np.nan
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in pdf.to_numpy()],
+                               "a double, b double, c double, d double, e double, f double")
+    out = corr_matrix(df, list("abcdef"))
+    plan = out._jdf.queryExecution().toString()
+    assert "Python" not in plan and "MapIn" not in plan
+    want = pdf.corr()
+    got = {(r.col_a, r.col_b): r["corr"] for r in out.collect()}
+    assert len(got) == 36
+    for (a, b), r in got.items():
+        w = want.loc[a, b]
+        assert (r is None) == bool(np.isnan(w)) and (r is None or abs(r - w) < 1e-9), (a, b, r, w)

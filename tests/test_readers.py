@@ -112,3 +112,42 @@ def test_a_cluster_needs_a_shared_folder():
     session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: d))
     with pytest.raises(ValueError):
         checkpoint_root(session)
+
+
+def test_a_thousand_files_are_a_few_jobs(spark, tmp_path):
+    """Files with equal headers and types are loaded together; odd ones alone."""
+    land = tmp_path / "in"
+    land.mkdir()
+    for k in range(60):
+        body = {0: "1,x\n2,y", 1: "1.5,x", 2: "NA,z\n4,q", 3: "", 4: "5,a,b", 5: "2024-01-01,é +1"}[k % 6]
+        (land / f"t {k:02d}+ü.csv").write_text(f"a,b\n{body}\n" if body else "a,b\n")
+    (land / "other.csv").write_text('c,"d e"\n1,2\n')
+    (land / "twice.csv").write_text("x,x\n1,2\n")
+    (land / "nothing.csv").write_text("")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    schemas = {FS.sanitize_name(f"t {k:02d}+ü.csv"): schema for k in range(30)}
+    tracker, group = spark.sparkContext.statusTracker(), "many files"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        tables, res = FS.load_directory(spark, str(land), "*.csv", f"{tmp_path}/out", schemas)
+        rows = {r.file: r for r in res.collect()}
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+    assert len(tracker.getJobIdsForGroup(group)) < 60
+    want = {0: (2, 2, 0), 1: (1, 0, 1), 2: (2, 2, 0), 3: (0, 0, 0), 4: (1, 0, 1), 5: (1, 0, 1)}
+    for k in range(30):
+        r = rows[f"t {k:02d}+ü.csv"]
+        assert (r.total_rows, r.inserted_rows, r.failed_rows) == want[k % 6], k
+        assert r.status == ("skipped" if k % 6 == 3 else "success")
+    types = {0: "int", 1: "double", 2: "double", 5: "date"}
+    for k in range(30, 60):
+        r = rows[f"t {k:02d}+ü.csv"]
+        assert r.status == {3: "skipped", 4: "failed"}.get(k % 6, "success")
+        if k % 6 in types:
+            assert dict(tables[r.table].dtypes) == {"a": types[k % 6], "b": "string"}
+    assert "1 lines do not fit" in rows["t 34+ü.csv"].error
+    reasons = {k: spark.read.parquet(f"{tmp_path}/out/_rejects/{FS.sanitize_name(f't {k:02d}+ü.csv')}").first()[LD.REASON] for k in (1, 4, 5)}
+    assert reasons == {1: "a is no int", 4: "the line does not fit the header", 5: "a is no int"}
+    assert sorted(map(tuple, tables["t_02__"].collect()), key=str) == [(4, "q"), (None, "z")]
+    assert tables["other"].columns == ["c", "d e"] and "nothing.csv" not in rows  # Spark lists no file of 0 bytes
+    assert rows["twice.csv"].total_rows == 1 and set(tables) == {r.table for r in rows.values() if r.inserted_rows}
