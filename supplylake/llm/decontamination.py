@@ -7,7 +7,10 @@ document with at most ``e`` edits shares ``w - q + 1 - q * e`` of its q-grams wi
 document, all of them within ``e`` diagonals of each other.  Shared q-grams are
 counted in diagonal bands that overlap by half, so that one band holds them all; in
 each band a window slides over the item, and the fragments that reach the bound are
-verified by an alignment inside the band.
+verified by an alignment inside the band, all of a batch at a time.
+
+Items of fewer than ``LEAST`` characters have no edit budget: they are found where they
+stand whole and unchanged between other words.
 """
 
 from __future__ import annotations
@@ -26,10 +29,14 @@ Q = 9
 FRAGMENT = 60
 #: Edits allowed in a fragment, as a share of its characters.
 EDITS = 0.085
-#: Items of fewer characters cannot be told from common phrases and are not searched.
+#: Items of fewer characters are found only as they are.
 LEAST = 25
 #: Characters of the benchmark in one block; each block is one pass over the documents.
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 4 << 20
+#: Shared q-grams looked at together; a text that repeats an item's q-grams is taken in stretches.
+PAIRS = 1 << 21
+#: Fragments aligned together.
+ALIGNED = 4096
 BLANK, BORDER = 32, 1
 TABLE_BITS = 22
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -90,19 +97,25 @@ class Fragments:
 
     def __init__(self, items: list[Row], step: int = 1):
         self.step, self.item, codes = step, [], []
+        self.short: dict[int, list[tuple[int, np.ndarray]]] = {}
         for row in items:
             own = normalized([row.text or ""], 0)[0]
             while len(own) and own[-1] == BLANK:
                 own = own[:-1]
+            while len(own) and own[0] == BLANK:
+                own = own[1:]
             if len(own) >= LEAST:
                 self.item.append(row.item_id)
                 codes.append(own)
+            elif len(own):
+                self.short.setdefault(min(len(own), Q), []).append((row.item_id, own))
         self.long = np.array([len(c) for c in codes], np.int64)
         self.first = np.cumsum(self.long) - self.long
         self.flat = np.concatenate(codes) if codes else np.empty(0, np.uint16)
         self.size = np.minimum(self.long, FRAGMENT)
-        self.edits = np.floor(self.size * EDITS).astype(np.int64)
-        self.bound = np.maximum(1, self.size - Q + 1 - Q * self.edits)
+        # the lemma's bound has to be 1 at least, so 25 and 26 characters have one edit, not two
+        self.edits = np.minimum(np.floor(self.size * EDITS).astype(np.int64), (self.size - Q) // Q)
+        self.bound = self.size - Q + 1 - Q * self.edits
         every = [grams(c) for c in codes]
         keys = np.concatenate(every) if every else np.empty(0, np.uint64)
         order = np.argsort(keys, kind="stable")
@@ -113,22 +126,49 @@ class Fragments:
         self.seen = np.zeros(1 << TABLE_BITS, bool)
         self.seen[(self.key >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
 
-    def bands(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Item and start of each fragment that reaches its bound in a band, and the band's
-        lowest diagonal."""
+    def shared(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the text has a q-gram of an item, and which of them."""
         g = grams(codes)
         at = np.flatnonzero(self.seen[(g >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
         if not len(at) or not len(self.key):
-            return at[:0], at[:0], at[:0]
+            return at[:0], at[:0]
         known = np.searchsorted(self.key, g[at])
         known[known == len(self.key)] = 0
         hit = self.key[known] == g[at]
-        at, known = at[hit], known[hit]
+        return at[hit], known[hit]
+
+    def bands(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item and start of each fragment that reaches its bound in a band, and the band's
+        lowest diagonal.  A text with more shared q-grams than ``PAIRS`` is looked at in
+        stretches that overlap by the longest passage a fragment can match."""
+        at, known = self.shared(codes)
         times = self.begin[known + 1] - self.begin[known]
+        upto = np.cumsum(times)
+        if not len(at):
+            return at, at, at
+        reach, parts, a = FRAGMENT + 2 * int(self.edits.max()) + 2, [], 0
+        while a < len(at):
+            b = max(int(np.searchsorted(upto, (upto[a - 1] if a else 0) + PAIRS, side="right")), a + 1)
+            # a stretch has to hold more than the overlap, or the next would not move on
+            b = max(b, int(np.searchsorted(at, at[a] + 2 * reach, side="right")))
+            parts.append(self._bands(len(codes), at[a:b], known[a:b], times[a:b]))
+            if b >= len(at):
+                break
+            a = int(np.searchsorted(at, at[b] - reach))
+        if len(parts) == 1:
+            return parts[0]
+        item, start, low = (np.concatenate(p) for p in zip(*parts))
+        order = np.lexsort((low, start, item))
+        item, start, low = item[order], start[order], low[order]
+        new = np.ones(len(item), bool)
+        new[1:] = (item[1:] != item[:-1]) | (start[1:] != start[:-1]) | (low[1:] != low[:-1])
+        return item[new], start[new], low[new]
+
+    def _bands(self, size: int, at: np.ndarray, known: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         rows = np.repeat(self.begin[known] - (np.cumsum(times) - times), times) + np.arange(times.sum())
         item, place = self.owner[rows], self.place[rows]
         reach = int(self.long.max()) + 1
-        count = len(codes) + reach + 2
+        count = size + reach + 2
         band = (np.repeat(at, times) - place) // (self.edits[item] + 1)
         key = item * count + band + reach
         # A shared q-gram of a document counts once for each place in the item.
@@ -158,47 +198,74 @@ class Fragments:
     def verified(self, codes: np.ndarray, item: np.ndarray, start: np.ndarray,
                  low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Fewest edits of each fragment against any stretch inside its band, and where
-        the stretch ends; all bands advance together, a fragment character at a time."""
+        the stretch ends; all bands advance together, a fragment character at a time.  A row
+        of the arrays is a diagonal, so every step is a few sweeps over small numbers."""
         edits, end = np.empty(len(item), np.int64), np.empty(len(item), np.int64)
         for size in np.unique(self.size[item]):
             same = np.flatnonzero(self.size[item] == size)
-            for some in np.array_split(same, -(-len(same) // 4096)):
+            for some in np.array_split(same, -(-len(same) // ALIGNED)):
                 e = int(self.edits[item[some[0]]])
                 width = 2 * (e + 1) + 2 * e
-                pattern = self.flat[(self.first[item[some]] + start[some])[:, None] + np.arange(size)[None, :]]
+                pattern = self.flat[(self.first[item[some]] + start[some])[None, :] + np.arange(size)[:, None]]
                 first = low[some] + start[some] - e
-                place = first[:, None] + np.arange(size + width)[None, :]
-                text = np.where((place >= 0) & (place < len(codes)), codes[np.clip(place, 0, len(codes) - 1)], BORDER)
-                step = np.arange(width, dtype=np.int32)
-                cost = np.zeros((len(some), width), np.int32)
+                place = first[None, :] + np.arange(size + width)[:, None]
+                text = codes[np.clip(place, 0, len(codes) - 1)]
+                text[(place < 0) | (place >= len(codes))] = BORDER
+                cost = np.zeros((width, len(some)), np.int8)
                 for i in range(size):
-                    turn = cost + (text[:, i:i + width] != pattern[:, i:i + 1])
-                    turn[:, :-1] = np.minimum(turn[:, :-1], cost[:, 1:] + 1)
-                    cost = np.minimum.accumulate(turn - step, axis=1) + step
-                best = np.argmin(cost, axis=1)
-                edits[some] = cost[np.arange(len(some)), best]
+                    turn = cost + (text[i:i + width] != pattern[i])
+                    np.minimum(turn[:-1], cost[1:] + np.int8(1), out=turn[:-1])
+                    far = 1
+                    while far < width:  # characters of the text left out, 1, 2, 4, ... at a time
+                        np.minimum(turn[far:], turn[:-far] + np.int8(far), out=turn[far:])
+                        far *= 2
+                    cost = turn
+                best = np.argmin(cost, axis=0)
+                edits[some] = cost[best, np.arange(len(some))]
                 end[some] = first + best + size
         return edits, end
 
+    def whole(self, codes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Item, start and end of each short item that stands in the texts as it is."""
+        border = codes <= BLANK
+        for width, items in self.short.items():
+            if len(codes) < width:
+                continue
+            head = np.lib.stride_tricks.sliding_window_view(codes, width)
+            # items that begin alike are looked for together
+            by_head: dict[bytes, list] = {}
+            for item_id, own in items:
+                by_head.setdefault(own[:width].tobytes(), []).append((item_id, own))
+            for first in {own[0] for _, own in items}:
+                at = np.flatnonzero((codes[:len(head)] == first) & np.append(True, border[:-1])[:len(head)])
+                for p in at.tolist():
+                    for item_id, own in by_head.get(head[p].tobytes(), ()):
+                        stop = p + len(own)
+                        if stop <= len(codes) and (codes[p:stop] == own).all() and (stop == len(codes) or border[stop]):
+                            yield item_id, p, stop
+
     def leaks(self, texts: list[str]) -> list[tuple[int, int, int, int, int, int]]:
         """``text, item number, fragments, edits, start, end`` of each text and item with a
         fragment inside its edit budget; start and end are offsets in the text, the start
         right up to the edits."""
-        if not self.item:
+        if not self.item and not self.short:
             return []
-        border = int(self.edits.max()) + 1
+        border = int(self.edits.max(initial=0)) + 1
         codes, at, begin = normalized(texts, border)
-        item, first, low = self.bands(codes)
-        if not len(item):
-            return []
-        edits, end = self.verified(codes, item, first, low)
-        good = edits <= self.edits[item]
         found: dict[tuple, dict[tuple, tuple[int, int, int]]] = {}
-        for k, a, cost, stop in zip(item[good].tolist(), first[good].tolist(), edits[good].tolist(), end[good].tolist()):
-            text = int(np.searchsorted(begin, stop - 1, side="right")) - 1
-            start = max(stop - int(self.size[k]), int(begin[text]))
-            place = found.setdefault((text, self.item[k]), {})
-            place[k, a] = min(place.get((k, a), (cost, start, stop)), (cost, start, stop))
+        item, first, low = self.bands(codes)
+        if len(item):
+            edits, end = self.verified(codes, item, first, low)
+            good = edits <= self.edits[item]
+            item, first, edits, end = item[good], first[good], edits[good], end[good]
+            text = np.searchsorted(begin, end - 1, side="right") - 1
+            for t, k, a, cost, stop in zip(text.tolist(), item.tolist(), first.tolist(), edits.tolist(), end.tolist()):
+                start = max(stop - int(self.size[k]), int(begin[t]))
+                place = found.setdefault((t, self.item[k]), {})
+                place[k, a] = min(place.get((k, a), (cost, start, stop)), (cost, start, stop))
+        for item_id, start, stop in self.whole(codes):
+            t = int(np.searchsorted(begin, start, side="right")) - 1
+            found.setdefault((t, item_id), {})[-1, start] = (0, start, stop)
         out = []
         size = np.array([len(t) + border for t in texts], np.int64)
         offset = np.cumsum(size) - size
@@ -229,6 +296,9 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, step: int = FRAGMENT
     Fragments start at every ``step``-th character of an item.  With 1, as the query and
     the pipeline search, each passage of ``FRAGMENT`` characters within ``EDITS`` is found
     wherever it starts; with more, one of ``FRAGMENT + step - 1`` characters is sure.
+    Shorter passages of a longer item are not looked for; items shorter than that are one
+    fragment, and those under ``LEAST`` characters are found unchanged between other words
+    (each place counts as a fragment).
     Whole texts are searched where they lie, without a shuffle.  Null and empty texts
     and items hold nothing; repeated rows and items repeat; null ids stay null; an
     empty table on either side gives no rows; other columns are not read.

@@ -123,3 +123,58 @@ def test_with_step_1_nothing_but_fragments_within_the_budget_is_found(spark):
     table = spark.createDataFrame(items, "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in find_leaks(frame(spark, texts), table, step=1).collect()}
     assert got == want and 0 < len(want) < len(texts)
+
+
+def rows(items):
+    return [type("Item", (), {"item_id": k, "text": t}) for k, t in items]
+
+
+def test_short_items_are_found_as_they_are():
+    items = rows([(1, "Who wrote Hamlet in 1600?"), (2, "2 + 2"), (3, "日本"), (4, "who wrote what"), (5, "!!"), (6, "who wrote Hamlet")])
+    texts = ["So: who wrote HAMLET, in 1600", "who wrote Hamlets in 1600", "a 2 (2) b", "22", "日本 x", "日本人", "who wrote", "", "q who wrote what?",
+             "who wrote", "what"]
+    got = {(f[0], f[1]) for f in Fragments(items).leaks(texts)}
+    assert got == {(0, 1), (0, 6), (2, 2), (4, 3), (8, 4)}
+    places = {(f[0], f[1]): f[2:] for f in Fragments(items).leaks(texts)}
+    assert places[0, 6] == (1, 0, 4, 20) and places[2, 2] == (1, 0, 2, 6)
+    assert Fragments(rows([(1, None), (2, "...")])).leaks(texts) == []
+
+
+def test_items_just_above_the_least_miss_nothing_within_their_budget():
+    rng = random.Random(6)
+    for size in range(LEAST, 31):
+        item = plain(prose(40 + size, 12))[:size].strip()
+        item += "x" * (size - len(item))
+        found = Fragments(rows([(1, item)]), 1)
+        budget = int(found.edits[0])
+        assert found.bound[0] >= 1 and budget <= int(size * EDITS)
+        texts = [f"{prose(i, 4)} {typos(rng, item, rng.randint(0, 3))} {prose(i + 50, 4)}" for i in range(60)]
+        got = {f[0] for f in found.leaks(texts)}
+        assert got == {i for i, t in enumerate(texts) if nearest(item, plain(t)) <= budget}, size
+
+
+def test_a_repeated_word_costs_bounded_memory(monkeypatch):
+    """Every q-gram of the text is at hundreds of places of the item."""
+    import tracemalloc
+
+    from supplylake.llm import decontamination as D
+    texts = ["begin " + "word " * 800 + "end", "word " * 9, prose(3, 50)]
+    items = rows([(1, "word " * 60), (2, prose(9, 30))])
+    whole = Fragments(items, 30).leaks(texts)
+    monkeypatch.setattr(D, "PAIRS", 4000)
+    tracemalloc.start()
+    got = Fragments(items, 30).leaks(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(got) == sorted(whole) and {(f[0], f[1]) for f in got} == {(0, 1)}
+    assert peak < 150e6
+
+
+def test_stretches_find_what_the_whole_text_does(monkeypatch):
+    from supplylake.llm import decontamination as D
+    rng = random.Random(3)
+    items = [(k, prose(800 + k, 30)) for k in range(4)]
+    texts = [" ".join([prose(i, 10)] + [typos(rng, rng.choice(items)[1][5:90], rng.randint(0, 4)) for _ in range(12)]) for i in range(6)]
+    want = Fragments(rows(items), 1).leaks(texts)
+    monkeypatch.setattr(D, "PAIRS", 100)
+    assert sorted(Fragments(rows(items), 1).leaks(texts)) == sorted(want) and len(want) > 10
