@@ -2,9 +2,10 @@
 
 Archives hold one gzip member per record; equal payloads are stored once and
 revisited.  The index sorts captures by reversed-host URL keys into compressed
-blocks; each index file ends with a sparse directory of its blocks.  A lookup
+blocks; each index file ends with a sparse directory of its blocks.  A look-up
 binary-searches the files' first keys, then one file's directory, then one block,
-and reads the records' byte ranges.
+and reads the records' byte ranges.  Many urls are looked up as a join with the index:
+their keys are dealt to the files that may hold them and searched there in order.
 """
 
 from __future__ import annotations
@@ -13,9 +14,10 @@ import json
 import struct
 import uuid
 import zlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from hashlib import sha256
+from itertools import groupby, islice
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -215,10 +217,59 @@ class Bytes:
         return [json.loads(x) for x in zlib.decompress(self.read(entry[1], entry[2])).decode().split("\n")]
 
 
-def read_warc(folder: str, index: DataFrame) -> DataFrame:
-    """Every record, found through the index and read by its byte range: ``page_id,
+def searched(file: Bytes, keys: Iterable[str]) -> Iterator[list]:
+    """The lines of one index file with any of the ascending distinct ``keys``: each is
+    looked for in the directory and then in the blocks from there on; the block at hand
+    is kept for the next key."""
+    directory = file.directory()
+    firsts = [e[0] for e in directory]
+    held, lines, names = -1, [], []
+    for key in keys:
+        for number in range(max(0, bisect_left(firsts, key) - 1), len(directory)):
+            if firsts[number] > key:
+                break
+            if number != held:
+                held, lines = number, file.block(directory[number])
+                names = [line[0] for line in lines]
+            yield from lines[bisect_left(names, key):bisect_right(names, key)]
+
+
+def places_of(index: DataFrame, urls: DataFrame) -> DataFrame:
+    """``archive, begin, size`` of every capture of the distinct keys of ``urls`` (column
+    ``url``).  The files' first keys (a row a file) travel with the tasks; a key goes to
+    each file whose range holds it, so the captures of a hot key are read by many tasks."""
+    files = sorted((r.first_key, r.number, r.path) for r in index.collect())
+    firsts, paths = [f[0] for f in files], [f[2] for f in files]
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([url_key(u) for u in batch.column("url").to_pylist()], pa.string())], ["key"])
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(f, k) for k in batch.column("key").to_pylist()
+                    for f in range(max(0, bisect_left(firsts, k) - 1), bisect_right(firsts, k))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.string())],
+                                             ["file", "key"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(b.column("file").to_pylist(), b.column("key").to_pylist()))
+        for number, group in groupby(rows, key=lambda r: r[0]):
+            found = searched(Bytes(paths[number]), (k for _, k in group))
+            while part := list(islice(found, BLOCK_LINES)):
+                yield pa.RecordBatch.from_arrays([pa.array([x[2] for x in part], pa.int32()), pa.array([x[3] for x in part], pa.int64()),
+                                                  pa.array([x[4] for x in part], pa.int64())], ["archive", "begin", "size"])
+
+    asked = urls.select("url").mapInArrow(keys, "key string").distinct().mapInArrow(dealt, "file int, key string")
+    return (dealt_evenly(asked, "file", max(1, len(files))).sortWithinPartitions("file", "key")
+            .mapInArrow(search, "archive int, begin long, size long"))
+
+
+def read_warc(folder: str, index: DataFrame, urls: DataFrame | None = None) -> DataFrame:
+    """Records found through the index and read by their byte ranges: ``page_id,
     payload_bytes, payload_digest, record_type, refers_to, url, html`` (null in a
-    revisit)."""
+    revisit).  With ``urls`` (column ``url``; null has the key of an empty one) those of
+    their keys, found by binary search, else every record."""
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column("path").to_pylist():
@@ -244,7 +295,8 @@ def read_warc(folder: str, index: DataFrame) -> DataFrame:
 
     kinds = {"int64": "long", "string": "string"}
     files = index.select("number", "path").repartition("number")
-    found = files.select("path").mapInArrow(entries, "archive int, begin long, size long")
+    found = (files.select("path").mapInArrow(entries, "archive int, begin long, size long") if urls is None
+             else places_of(index, urls))
     archives = (saved(found, "warc-entries") if index.limit(1).count() else found)
     last = archives.agg(F.max("archive")).first()[0]
     return (dealt_evenly(archives, "archive", (last or 0) + 1).sortWithinPartitions("archive", "begin")

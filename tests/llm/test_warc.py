@@ -43,6 +43,23 @@ def test_round_trip(spark, tmp_path, monkeypatch):
     assert all(r.html is None for r in got if r.record_type == "revisit")
 
 
+def test_records_found_by_binary_search(spark, tmp_path, monkeypatch):
+    """Keys spread over blocks and files, a hot key in several of them, absent keys."""
+    monkeypatch.setattr(warc, "BLOCK_LINES", 4)
+    hot = [(1000 + i, "http://hot.example.com/", prose(i, 8)) for i in range(60)]
+    table = pages(spark).unionByName(spark.createDataFrame([(*r, "clash", 1) for r in hot], pages(spark).schema)).repartition(5)
+    folder, index = write_warc(table, f"file://{tmp_path}/w")
+    assert index.count() > 1
+    every = sorted([tuple(r)[:5] for r in read_warc(folder, index).collect()], key=str)
+    assert sorted([tuple(r)[:5] for r in read_warc(folder, index, table.select("url")).collect()], key=str) == every
+    some = ["http://hot.example.com/", "http://h3.example.org/p10", "http://none.org/", None, "zzz", "http://a.example.com/x#frag"]
+    keys = {url_key(u) for u in some}
+    got = read_warc(folder, index, spark.createDataFrame([(u,) for u in some * 2], "url string")).collect()
+    want = [r.page_id for r in table.collect() if url_key(r.url) in keys]
+    assert sorted((r.page_id for r in got), key=str) == sorted(want, key=str)
+    assert read_warc(folder, index, table.select("url").limit(0)).count() == 0
+
+
 def test_lookup_by_url(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "BLOCK_LINES", 3)
     table = pages(spark)
@@ -62,4 +79,5 @@ def test_lookup_by_url(spark, tmp_path, monkeypatch):
 def test_empty_table_and_keys(spark):
     folder, index = write_warc(pages(spark).limit(0))
     assert read_warc(folder, index).count() == 0
+    assert read_warc(folder, index, pages(spark).select("url")).count() == 0
     assert url_key("http://www.Example.com:80/A?b#c") == "com:80,example,www)/A?b" and url_key(None) == ")/"
