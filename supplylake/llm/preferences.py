@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, ordered_shards, scan_tasks, split_points
+from .common import NULL_ID, ordered_shards, saved, scan_tasks, split_points
 from .token_files import Encoder
 
 #: Label of tokens that do not count in training.
@@ -161,3 +161,58 @@ def sampled_pairs(turns: DataFrame) -> DataFrame:
             yield rows_of([(last, reply)])
 
     return rows.mapInArrow(run, f"pair_id long, chosen {TURNS}, rejected {TURNS}")
+
+
+#: Turns of a conversation that one row holds, by their numbers.
+WINDOW = 1024
+
+
+def _bits(value, width: int):
+    return F.pmod(F.xxhash64(value) if isinstance(value, str) else value, F.lit(1 << width))
+
+
+def whole_pairs(turns: DataFrame, window: int = WINDOW) -> DataFrame:
+    """A pair for each conversation: ``chosen`` is the whole conversation, ``rejected`` the
+    next one in an order in which conversations with equal first, and then equal second,
+    turns lie together (after the last: the first); so common beginnings of any length
+    occur.  No conversation and no turn is left out.
+
+    A conversation whose turn numbers reach ``window`` is paired in windows of so many
+    numbers, a row each, so that a hot ``conv_id`` is many rows; a null ``conv_id`` is one
+    conversation, a null turn number is in the first window.  Repeated turns stay; a single
+    conversation is paired with itself; an empty table gives no pairs; columns besides
+    ``conv_id, turn, role, text`` are not read.
+    """
+    turn = F.struct(F.col("turn").cast("long").alias("turn"), "role", "text")
+    part = F.coalesce(F.floor(F.col("turn") / window), F.lit(0))
+    convs = turns.groupBy("conv_id", part.alias("part")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    said = [F.xxhash64(F.get("turns", F.lit(k))["role"], F.get("turns", F.lit(k))["text"]) for k in (0, 1)]
+    key = (_bits(said[0], 22) * (1 << 41) + _bits(said[1], 20) * (1 << 21) + _bits(F.xxhash64("conv_id", "part"), 21)).cast("long")
+    convs = saved(convs.select(key.alias("doc_id"), "conv_id", "part", "turns"), "conversations")
+    points = split_points(convs, "doc_id", scan_tasks(convs))
+    order = ["conv_id", "part"]
+    rows = ordered_shards(convs, points, ["doc_id", *order, "turns"], [F.asc_nulls_first(c) for c in order], look_ahead=True)
+    start = convs.orderBy("doc_id", *[F.asc_nulls_first(c) for c in order]).limit(1).collect()
+    turned = pa.list_(pa.struct([("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())]))
+    schema = pa.schema([("pair_id", pa.int64()), ("chosen", turned), ("rejected", turned)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+
+        def pair(row: dict, other: list) -> dict:
+            return {"pair_id": row["conv_id"], "chosen": row["turns"], "rejected": other}
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, TOGETHER):
+                found = []
+                for row in batch.slice(at, TOGETHER).to_pylist():
+                    if last is not None and last["shard"] == row["shard"]:
+                        found.append(pair(last, row["turns"]))
+                        last = None
+                    if not row["ahead"]:
+                        last = row
+                yield pa.RecordBatch.from_pylist(found, schema)
+        if last is not None:  # only the last shard has nothing ahead
+            yield pa.RecordBatch.from_pylist([pair(last, [t.asDict() for t in start[0].turns])], schema)
+
+    return rows.mapInArrow(run, f"pair_id long, chosen {TURNS}, rejected {TURNS}")

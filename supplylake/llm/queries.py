@@ -10,7 +10,7 @@ from .fingerprints import fingerprint_edits
 from .license_scan import scan_licenses
 from .mixing import mix_sources
 from .ngram_join import ngram_components
-from .preferences import format_preferences, sampled_pairs
+from .preferences import format_preferences, whole_pairs
 from .pseudonyms import pseudonymize
 from .spelling import ONE_IN, spelling_variants
 from .token_files import read_token_files, write_token_files
@@ -51,7 +51,7 @@ def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = sampled_pairs(table(spark, sf_dir, "conversations"))
+    pairs = whole_pairs(table(spark, sf_dir, "conversations"))
     return format_preferences(pairs, tokenizer_path()).withColumnRenamed("pair_id", "conv_id")
 
 
@@ -104,8 +104,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, index = write_warc(table(spark, sf_dir, "pages"))
-    return read_warc(folder, index).drop("html")
+    pages = table(spark, sf_dir, "pages")
+    folder, index = write_warc(pages)
+    return read_warc(folder, index, pages.select("url")).drop("html")
 
 
 OP10_SQL = """

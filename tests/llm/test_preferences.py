@@ -1,4 +1,4 @@
-from supplylake.llm.preferences import MASKED, PAIR_SCHEMA, TURNS, format_preferences, sampled_pairs, split_pair
+from supplylake.llm.preferences import MASKED, PAIR_SCHEMA, TURNS, format_preferences, sampled_pairs, split_pair, whole_pairs
 from supplylake.llm.queries import tokenizer_path
 
 from .test_token_files import plain
@@ -75,3 +75,33 @@ def test_sampled_pairs(spark):
 def test_head_of_the_assistant_ends_the_prompt():
     prompt, a, b = split_pair([("user", "x"), ("assistant", "y")], [("user", "x"), ("assistant", "z")])
     assert prompt[-1] == ("<|assistant|>\n", False) and a == [("y<|end|>\n", True)] and b == [("z<|end|>\n", True)]
+
+
+def test_whole_conversations_are_paired_by_their_beginnings(spark):
+    rows = []
+    for c in range(120):  # 3 first turns, 2 second turns under each, then own ones
+        said = [f"hello {c % 3}", f"yes {c % 6}", f"well {c % 12}", f"only {c}"]
+        rows += [(c, k, "user" if k % 2 == 0 else "assistant", t) for k, t in enumerate(said[:1 + c % 4])]
+    rows += [(None, None, None, None), (None, 3, "user", ""), (500, 0, "system", "alone"), (7, 1, "assistant", "yes 1")]
+    rows += [(600, k, "user", f"{k}") for k in range(25)]
+    table = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, turns string").repartition(6)
+    got = whole_pairs(table, window=10).collect()
+    held = sorted(((r.pair_id, *(tuple(t) for t in r.chosen)) for r in got), key=str)
+    want = {}
+    for c, n, r, t in rows:
+        want.setdefault((c, (n or 0) // 10), []).append((n, r, t))
+    assert held == sorted(((c, *sorted(ts, key=lambda t: (t[0] is not None, t[0], t[1] or "", t[2] or ""))) for (c, _), ts in want.items()), key=str)
+    # Each is rejected once, and neighbours share their beginnings wherever others have them.
+    assert sorted((tuple(map(tuple, r.rejected)) for r in got), key=str) == sorted((tuple(map(tuple, r.chosen)) for r in got), key=str)
+    depth = [sum(1 for _ in iter_common(r.chosen, r.rejected)) for r in got]
+    assert {0, 1, 2} <= set(depth) and sum(d >= 1 for d in depth) > 110 and sum(d >= 2 for d in depth) > 60
+    one = whole_pairs(table.filter("conv_id = 500")).collect()
+    assert len(one) == 1 and one[0].chosen == one[0].rejected
+    assert whole_pairs(table.limit(0)).count() == 0
+
+
+def iter_common(a, b):
+    for x, y in zip(a, b):
+        if (x.role, x.text) != (y.role, y.text):
+            return
+        yield x
