@@ -2,16 +2,24 @@
 
 Numbers and dates are found by pattern, validated, and replaced by another valid
 value of the same format.  The permutation depends on the key and the kind only,
-so equal values have equal pseudonyms in all documents, however they are spaced,
-and the holder of the key can invert them.
+so equal values have equal pseudonyms in all documents, however they are spaced or
+written, and the holder of the key can invert them.
+
+A day has one pseudonym in all notations.  So that each notation is read back as it was
+written, the pseudonym keeps what decides the reading (``day_class``): whether the day is
+below 10, up to 12 or above, whether the month is May, another before October or a later
+one, and whether a year of two digits can mean it.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from bisect import bisect_left
 from datetime import date
+from functools import lru_cache
 from hashlib import blake2b
+from ipaddress import IPv6Address
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,21 +30,33 @@ ROUNDS = 8
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+MONTHS = ("January February March April May June July August September October November December").split()
+MONTH = "(?:" + "|".join([*MONTHS, *(m[:3] for m in MONTHS)]) + ")"
+#: Years that two digits mean.
+SHORT_YEARS = range(1969, 2069)
+
 #: What may be personal, in the order in which it is tried at a place.
 PATTERNS = {
     "email": r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([/.])[0-9]{1,2}\1[0-9]{4})(?![0-9/-])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "iban": r"(?<![A-Za-z0-9])(?:[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+            r"|[a-z]{2}[0-9]{2}(?: ?[a-z0-9]{4}){2,7}(?: ?[a-z0-9]{1,3})?)(?![A-Za-z0-9])",
+    "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{1,2}([/.])[0-9]{1,2}\1[0-9]{4}"
+            r"|[0-9]{1,2}/[0-9]{1,2}/[0-9]{2})(?![0-9/-])"
+            rf"|(?<![0-9A-Za-z.,/-])(?:[0-9]{{1,2}} {MONTH} [0-9]{{4}}|{MONTH} [0-9]{{1,2}}, [0-9]{{4}})(?![0-9])",
+    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])|(?<![0-9.+-])(?<![0-9] )[0-9]{3} [0-9]{2} [0-9]{4}(?![0-9-]| [0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])(?:[0-9]{4}\2[0-9]{4}\2[0-9]{1,7}|[0-9]{6}\2[0-9]{4,5}))(?![0-9])",
     "phone": r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
              r"|(?<![0-9.+-])\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,4}(?![0-9])|(?<![0-9.+-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])"
-             r"|(?<![0-9.+-])\+[1-9][0-9]{7,14}(?![0-9])|(?<![0-9.+-])[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?![0-9-]|\.[0-9])",
+             r"|(?<![0-9.+-])\+[1-9][0-9]{7,14}(?![0-9])|(?<![0-9.+-])[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?![0-9-]|\.[0-9])"
+             r"|(?<![0-9.+-])\+[0-9]{1,3} \(0\)[0-9]{1,4}(?: [0-9]{2,4}){1,3}(?![0-9])"
+             r"|(?<![0-9.+-])1-[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])"
+             r"|(?<![0-9.+-])(?<![0-9] )(?:0[0-9]{2,4} [0-9]{3,4} [0-9]{3,4}|[0-9]{3} [0-9]{3} [0-9]{4})(?![0-9-]| [0-9])",
+    "ipv6": r"(?<![0-9A-Za-z:])(?=[0-9a-f:]*:[0-9a-f:]*:)[0-9a-f:]{2,39}(?![0-9A-Za-z:])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
 }
 FOUND = re.compile("|".join(f"(?P<{kind}>{re.sub(r'\\([12])', lambda m: f'(?P=s{m[1]})', p).replace('([/.])', '(?P<s1>[/.])').replace('([ -])', '(?P<s2>[ -])')})"
                             for kind, p in PATTERNS.items()))
-MAY_HOLD = re.compile("[0-9@]")
+MAY_HOLD = re.compile("[0-9@]|::")
 #: Characters of an IBAN by its country.
 IBAN_SIZE = {country: size for size, countries in {
     15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
@@ -47,6 +67,20 @@ IBAN_SIZE = {country: size for size, countries in {
 CALLING = re.compile(r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})")
 
 
+def day_class(day: date) -> tuple[int, int, bool]:
+    """What the pseudonym of a day keeps, so that any notation of it reads back."""
+    return (0 if day.day < 10 else 1 if day.day <= 12 else 2, 1 if day.month == 5 else 2 if day.month >= 10 else 0,
+            day.year in SHORT_YEARS)
+
+
+@lru_cache(maxsize=1)
+def days_by_class() -> dict[tuple, list[int]]:
+    out: dict[tuple, list[int]] = {}
+    for number in range(FIRST_DAY, LAST_DAY + 1):
+        out.setdefault(day_class(date.fromordinal(number)), []).append(number)
+    return out
+
+
 class Feistel:
     """A keyed permutation of ``range(size)`` for any size."""
 
@@ -132,7 +166,7 @@ class Pseudonyms:
         return _spread(body + str(luhn(body)), text)
 
     def phone(self, text: str) -> str | None:
-        country = re.match(r"\+[0-9]{1,3}(?=[ .(-])", text)
+        country = re.match(r"\+[0-9]{1,3} \(0\)|\+[0-9]{1,3}(?=[ .(-])|1(?=-)|0(?=[0-9]{2,4} )(?![0-9]{2} [0-9]{3} [0-9]{4}$)", text)
         if not country and text[1:].isdigit():
             country = CALLING.match(text)
         head = country.group() if country else ""
@@ -146,14 +180,14 @@ class Pseudonyms:
         def place(a, g, s):  # areas 1 to 899 without 666, groups 1 to 99, serials 1 to 9999
             return ((a - 1 - (a > 666)) * 99 + g - 1) * 9999 + s - 1
 
-        area, group, serial = map(int, text.split("-"))
+        area, group, serial = map(int, re.split("[- ]", text))
         if not (0 < area < 900 and area != 666 and group and serial):
             return None
         value = self.permutation.permuted(place(area, group, serial), 898 * 99 * 9999, "ssn", self.back)
         value, serial = divmod(value, 9999)
         area, group = divmod(value, 99)
         area += 1 + (area >= 665)
-        return f"{area:03d}-{group + 1:02d}-{serial + 1:04d}"
+        return _spread(f"{area:03d}{group + 1:02d}{serial + 1:04d}", text)
 
     def ip(self, text: str) -> str | None:
         parts = [int(p) for p in text.split(".")]
@@ -162,46 +196,75 @@ class Pseudonyms:
         value = self.permutation.permuted(int.from_bytes(bytes(parts), "big"), 1 << 32, "ip", self.back)
         return ".".join(map(str, value.to_bytes(4, "big")))
 
+    def ipv6(self, text: str) -> str | None:
+        try:
+            value = IPv6Address(text)
+        except ValueError:
+            return None
+        # only the usual short form can be restored; "a::b" is rather a name in a program
+        if str(value) != text or not re.search("[0-9]", text) or not re.search("[0-9a-f]{3}", text):
+            return None
+        return str(IPv6Address(self.permutation.permuted(int(value), 1 << 128, "ipv6", self.back)))
+
     def date(self, text: str) -> str | None:
-        numbers = [int(n) for n in re.split("[-/.]", text)]
-        iso = "-" in text
-        orders = [(0, 1, 2)] if iso else [(2, 1, 0), (2, 0, 1)]
+        name = re.search("[A-Za-z]+", text)
+        if name:
+            numbers = [int(n) for n in re.findall("[0-9]+", text)]
+            return self._day(numbers[1], [m[:3] for m in MONTHS].index(name[0][:3]) + 1, numbers[0], text)
+        parts = re.split("[-/.]", text)
+        numbers = [int(n) for n in parts]
+        year_first = len(parts[0]) == 4
+        if not year_first and len(parts[2]) == 2:
+            numbers[2] += 100 * (numbers[2] < SHORT_YEARS[0] % 100) + 1900
+        orders = [(0, 1, 2)] if year_first else [(2, 1, 0), (2, 0, 1)]
         for order in orders:  # day first where both readings are dates
-            try:
-                day = date(*(numbers[k] for k in order)).toordinal()
-            except ValueError:
-                continue
-            if not FIRST_DAY <= day <= LAST_DAY:
-                return None
-            return self._date(day, order, text, iso)
+            new = self._day(*(numbers[k] for k in order), text, order)
+            if new is not None:
+                return new
         return None
 
-    def _date(self, day: int, order: tuple, text: str, iso: bool) -> str:
-        size = LAST_DAY - FIRST_DAY + 1
-        value = day - FIRST_DAY
-        mark = "-" if iso else ("/" if "/" in text else ".")
-        wide = iso or all(len(n) == 2 for n in text.split(mark)[:2])
-        narrow = not iso and not wide
-        while True:  # walk on until the value has a form that is read the same way
-            value = self.permutation.permuted(value, size, "date" if iso else f"date {order}{wide}", self.back)
-            new = date.fromordinal(value + FIRST_DAY)
-            if iso:
-                return new.isoformat()
-            if order == (2, 0, 1) and new.day <= 12:
-                continue
-            if narrow and new.day > 9 and new.month > 9:
-                continue
-            parts = [str(new.day), str(new.month)] if order == (2, 1, 0) else [str(new.month), str(new.day)]
-            return mark.join([*(p.zfill(2) if wide else p for p in parts), str(new.year)])
+    def _day(self, year: int, month: int, day: int, text: str, order: tuple = ()) -> str | None:
+        """The pseudonym of a day in the notation of ``text``."""
+        try:
+            given = date(year, month, day)
+        except ValueError:
+            return None
+        if not FIRST_DAY <= given.toordinal() <= LAST_DAY:
+            return None
+        kind = day_class(given)
+        days = days_by_class()[kind]
+        at = self.permutation.permuted(bisect_left(days, given.toordinal()), len(days), f"date {kind}", self.back)
+        new = date.fromordinal(days[at])
+        if not order:
+            month_name = next(re.finditer("[A-Za-z]+", text))[0]
+            long = month_name in MONTHS
+            parts = [str(new.day), MONTHS[new.month - 1] if long else MONTHS[new.month - 1][:3], str(new.year)]
+            if len(re.search("[0-9]+", text)[0]) == 2:
+                parts[0] = parts[0].zfill(2)
+            return f"{parts[0]} {parts[1]} {parts[2]}" if text[0].isdigit() else f"{parts[1]} {parts[0]}, {parts[2]}"
+        mark = re.search("[-/.]", text)[0]
+        given_parts = text.split(mark)
+        wide = all(len(n) >= 2 for n in given_parts)
+        fields = [0, 0, 0]
+        for place, value in zip(order, (new.year, new.month, new.day)):
+            fields[place] = value
+        out = []
+        for place, value in enumerate(fields):
+            if place == order[0]:
+                out.append(str(value) if len(given_parts[place]) == 4 else f"{value % 100:02d}")
+            else:
+                out.append(f"{value:02d}" if wide else str(value))
+        return mark.join(out)
 
     def iban(self, text: str) -> str | None:
-        plain = text.replace(" ", "")
+        plain = text.replace(" ", "").upper()
         country, check, rest = plain[:2], plain[2:4], plain[4:]
         if not 11 <= len(rest) <= 30 or iban_check(country, rest) != check:
             return None
         rest = self._classes(rest, f"iban {country}")
         new = iter(country + iban_check(country, rest) + rest)
-        return "".join(c if c == " " else next(new) for c in text)
+        out = "".join(c if c == " " else next(new) for c in text)
+        return out.lower() if text[0].islower() else out
 
     def email(self, text: str) -> str | None:
         name, _, host = text.partition("@")
@@ -211,7 +274,7 @@ class Pseudonyms:
         """What of a match may be an IBAN: its country's length, the whole, and each
         shorter part that ends before a blank."""
         ends = [len(text), *(k for k in range(len(text) - 1, 0, -1) if text[k] == " ")]
-        size = IBAN_SIZE.get(text[:2])
+        size = IBAN_SIZE.get(text[:2].upper())
         yield from (text[:k] for k in sorted(ends, key=lambda k: k - text.count(" ", 0, k) != size))
 
     def replaced(self, text: str) -> tuple[str, list[tuple[int, int, str]]]:
@@ -240,10 +303,17 @@ class Pseudonyms:
 def pseudonymize(documents: DataFrame, key: bytes, back: bool = False) -> DataFrame:
     """Per row of ``documents``: ``doc_id``, ``text`` with pseudonyms, ``found`` (how many) and
     ``spans`` (start and end in the given text, and kind: email, iban, date, ssn, card,
-    phone, ip).  ``back`` inverts with the same key.
+    phone, ip, ipv6).  ``back`` inverts with the same key.
+
+    Found are e-mail names; IBANs in capitals or small letters; dates as ``2024-01-05``,
+    ``2024/01/05``, ``05/01/2024``, ``5.1.2024``, ``01/05/24`` and with English month names;
+    numbers of cards and social security (with dashes or blanks); phone numbers with a
+    country code, in groups of 3-3-4, or of a leading 0 and two more groups; IPv4 and IPv6
+    (in its usual short form).  Other notations, such as two-digit years with dots, phone
+    numbers without a break and names of other languages' months, are not.
 
     Numbers that fail their check (Luhn, mod 97, calendar, ranges) stay as they are.
-    A null text stays null with nothing found; empty texts and null ids stay; repeated
+    Very long texts are read whole.  A null text stays null with nothing found; empty texts and null ids stay; repeated
     rows repeat; an empty table gives no rows; other columns are not read.
     """
     names = Pseudonyms(key, back)

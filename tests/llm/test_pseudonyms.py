@@ -111,3 +111,53 @@ def test_values_before_capitals_digits_and_punctuation():
     digits = lambda s: re.sub("[^0-9]", "", there.replaced(s)[0])
     assert digits("+1 202 555 0123") == digits("+12025550123")
     assert there.replaced("555.123.4567.8 1.555.123.4567")[1] == []
+
+
+def test_a_day_has_one_pseudonym_in_all_notations():
+    there, back = Pseudonyms(KEY), Pseudonyms(KEY, back=True)
+    rng = random.Random(4)
+    days = [date(rng.randint(1900, 2099), rng.randint(1, 12), rng.randint(1, 28)) for _ in range(300)]
+    names = "January February March April May June July August September October November December".split()
+    for d in [*days, date(2000, 2, 29), date(2024, 12, 31), date(1969, 1, 1), date(2068, 12, 31), date(2024, 5, 5)]:
+        name = names[d.month - 1]
+        forms = [f"{d:%Y-%m-%d}", f"{d:%Y/%m/%d}", f"{d:%d/%m/%Y}", f"{d:%d.%m.%Y}", f"{d.day}/{d.month}/{d.year}", f"{d.day} {name} {d.year}",
+                 f"{name} {d.day}, {d.year}", f"{d.day:02d} {name[:3]} {d.year}", f"{name[:3]} {d.day}, {d.year}"]
+        readings = [lambda t: date.fromisoformat(t), lambda t: date.fromisoformat(t.replace("/", "-")),
+                    *[lambda t: date(*map(int, reversed(re.split("[/.]", t))))] * 3,
+                    *[lambda t: date(int(t[-4:]), [m[:3] for m in names].index(re.search("[A-Za-z]{3}", t)[0]) + 1, int(re.search("[0-9]+", t)[0]))] * 4]
+        if d.day > 12:
+            forms.append(f"{d:%m/%d/%Y}")
+            readings.append(lambda t: date(int(t[6:]), int(t[:2]), int(t[3:5])))
+        if 1969 <= d.year <= 2068:
+            forms.append(f"{d:%d/%m/%y}")
+            readings.append(lambda t: date(1900 + int(t[6:]) + 100 * (int(t[6:]) < 69), int(t[3:5]), int(t[:2])))
+        seen = set()
+        for form, read in zip(forms, readings):
+            text = f"on {form}, then"
+            new, spans = there.replaced(text)
+            assert [(text[a:b], k) for a, b, k in spans] == [(form, "date")], text
+            assert back.replaced(new)[0] == text, (text, new, back.replaced(new)[0])
+            seen.add(read(new[3:-6]))
+        assert len(seen) == 1, (d, seen)
+
+
+def test_more_notations_of_numbers():
+    there, back = Pseudonyms(KEY), Pseudonyms(KEY, back=True)
+    values = {"555 123 4567": "phone", "1-800-555-0199": "phone", "020 7946 0958": "phone", "+44 (0)20 7946 0958": "phone",
+              "123 45 6789": "ssn", "2001:db8::ff00:42:8329": "ipv6", "fe80::1": "ipv6"}
+    bban = "370400440532013000"
+    values[f"de{iban_check('DE', bban)}{bban}"] = "iban"
+    for value, kind in values.items():
+        for after in ("", ", or", " and", ")"):
+            text = f"Call {value}{after}"
+            new, spans = there.replaced(text)
+            assert [(text[a:b], k) for a, b, k in spans] == [(value, kind)], (text, spans)
+            assert new != text and back.replaced(new)[0] == text, (text, new)
+    digits = lambda s: re.sub("[^0-9]", "", there.replaced(s)[0])
+    assert digits("555 123 4567") == digits("(555) 123-4567") == digits("1-555-123-4567")[1:]
+    assert digits("123 45 6789") == digits("123-45-6789")
+    plain = f"DE{iban_check('DE', bban)}{bban}"
+    assert there.replaced(plain.lower())[0].upper() == there.replaced(plain)[0]
+    for text in ("at 10:30:15 today", "std::vector<int>", "a::b", "1 555 123 4567 9", "12/31/24/7", "May 32, 2024", "31 June 2024", "30/02/24",
+                 "5 Mai 2024", "ratio 3:4:5", "::", "year 1899-01-01"):
+        assert there.replaced(text) == (text, []), (text, there.replaced(text))
