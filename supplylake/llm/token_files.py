@@ -13,18 +13,19 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import (NULL_ID, dealt_evenly, file_system, filled_text, ordered_shards, saved, scan_tasks,
-                     split_points, text_bytes, text_slices, write_file)
+from .common import NULL_ID, dealt_evenly, file_system, filled_text, saved, scan_tasks, text_bytes, text_slices
+from .warc import ArchiveWriter
 from .words import exact_letters, span_hashes
 
 #: Fixed values of the seekable zstandard format.
@@ -33,6 +34,8 @@ SKIPPABLE, SEEKABLE, CHECKED = 0x184D2A5E, 0x8F92EAB1, 0x80
 FRAME_IDS = 1 << 16
 LEVEL = 3
 END_ID = 2
+#: Characters of a text by which rows of one id are ordered.
+HEAD = 32
 #: Pieces a worker remembers before it starts anew.
 REMEMBERED = 1_000_000
 
@@ -40,12 +43,14 @@ REMEMBERED = 1_000_000
 # --- the file format ---------------------------------------------------------
 
 class ShardWriter:
-    """Collects one shard; ``document`` in order, then ``bytes``."""
+    """Writes one shard: ``document`` in order, then ``finish``.  A frame goes to ``write``
+    as soon as it is closed; without ``write`` all are kept for ``bytes``."""
 
-    def __init__(self):
+    def __init__(self, write: Callable[[bytes], object] | None = None):
         import zstandard
         self.zip = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True)
-        self.frames: list[bytes] = []
+        self.kept: list[bytes] = []
+        self.write = write or self.kept.append
         self.table: list[tuple[int, int, int]] = []
         self.ids: list[np.ndarray] = []
         self.held = 0
@@ -54,7 +59,7 @@ class ShardWriter:
     def _frame(self, raw: bytes) -> None:
         import xxhash
         packed = self.zip.compress(raw)
-        self.frames.append(packed)
+        self.write(packed)
         self.table.append((len(packed), len(raw), xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF))
 
     def _flush(self) -> None:
@@ -65,18 +70,22 @@ class ShardWriter:
     def document(self, doc_id: int, ids: np.ndarray) -> None:
         if self.held and self.held + len(ids) > FRAME_IDS:
             self._flush()
-        self.index.append((doc_id, len(self.frames), len(ids)))
+        self.index.append((doc_id, len(self.table), len(ids)))
         self.ids.append(ids)
         self.held += len(ids)
 
-    def bytes(self) -> bytes:
+    def finish(self) -> None:
         self._flush()
         columns = np.array(self.index, np.int64).reshape(-1, 3)
         self._frame(b"".join([columns[:, 0].astype("<i8").tobytes(), columns[:, 1].astype("<u4").tobytes(),
                               columns[:, 2].astype("<u4").tobytes()]))
         table = b"".join(struct.pack("<III", *x) for x in self.table)
         footer = struct.pack("<IBI", len(self.table), CHECKED, SEEKABLE)
-        return b"".join([*self.frames, struct.pack("<II", SKIPPABLE, len(table) + len(footer)), table, footer])
+        self.write(b"".join([struct.pack("<II", SKIPPABLE, len(table) + len(footer)), table, footer]))
+
+    def bytes(self) -> bytes:
+        self.finish()
+        return b"".join(self.kept)
 
 
 class ShardReader:
@@ -300,38 +309,38 @@ def write_token_files(documents: DataFrame, tokenizer: str, folder: str | None =
     these tokens (the tokenizer's default); without, they are encoded as text.
     Null and empty texts hold the end id alone; a null id is stored as the lowest
     64-bit number and comes first; rows that share an id are all written, in order of
-    their texts; extra columns are not read; an empty table writes no file.  Texts
-    are dealt by ranges of ids once; a shard is one task's, however often it runs.
+    the first ``HEAD`` characters of their texts, then of a hash; rows equal in both may
+    lie in several shards, so however many share an id they are many tasks' work.  Very
+    long texts have frames of their own; extra columns are not read; an empty table
+    writes no file.  Texts are dealt once, by ranges; a shard is one task's, however
+    often it runs, and its frames go to the file as they are closed.
     """
-    docs = documents.select("doc_id", "text")
-    folder = folder or scratch_path(docs.sparkSession, "llm/tokens")
-    points = split_points(docs, "doc_id", 2 * scan_tasks(docs))
+    text = F.coalesce("text", F.lit(""))
+    folder = folder or scratch_path(documents.sparkSession, "llm/tokens")
+    order = ["doc_id", "head", "mark", "row"]
+    rows = (documents.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text", F.substring(text, 1, HEAD).alias("head"),
+                             F.xxhash64(text).alias("mark"), F.monotonically_increasing_id().alias("row"))
+            .repartitionByRange(2 * scan_tasks(documents), *order).sortWithinPartitions(*order).select("doc_id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, writer, now, count, tokens = None, None, None, 0, 0
-
-        def close():
-            path = f"{folder}/shard-{now:08d}.tok.zst"
-            write_file(path, writer.bytes())
-            return pa.RecordBatch.from_pydict({"shard": pa.array([now], pa.int32()), "path": [path],
-                                               "documents": [count], "tokens": [tokens]})
-
+        number, file = TaskContext.get().partitionId(), None
+        path = f"{folder}/shard-{number:08d}.tok.zst"
+        count = tokens = 0
         for batch in text_slices(batches):
-            encoder = encoder or Encoder.of_worker(tokenizer, added)
+            if file is None:
+                encoder, file = Encoder.of_worker(tokenizer, added), ArchiveWriter(path)
+                writer = ShardWriter(file.add)
             ids, cut = encoder.encode(filled_text(batch.column("text")))
-            for k, (shard, doc) in enumerate(zip(batch.column("shard").to_pylist(),
-                                                 batch.column("doc_id").to_pylist())):
-                if shard != now:
-                    if writer:
-                        yield close()
-                    writer, now, count, tokens = ShardWriter(), shard, 0, 0
+            for k, doc in enumerate(batch.column("doc_id").to_pylist()):
                 own = np.append(ids[cut[k]:cut[k + 1]], np.uint32(END_ID))
                 writer.document(doc, own)
                 count, tokens = count + 1, tokens + len(own)
-        if writer:
-            yield close()
+        if file is not None:
+            writer.finish()
+            file.close()
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([number], pa.int32()), "path": [path],
+                                              "documents": [count], "tokens": [tokens]})
 
-    rows = ordered_shards(docs, points, ["doc_id", "text"], [F.coalesce("text", F.lit(""))])
     return folder, saved(rows.mapInArrow(run, "shard int, path string, documents long, tokens long"), "token-shards")
 
 

@@ -84,3 +84,29 @@ def test_literals_of_added_tokens_are_these_tokens(spark):
     _, shards = write_token_files(awkward(spark), tokenizer_path(), added=True)
     got = {r.doc_id: r.ids for r in read_documents(shards, [12]).collect()}
     assert got[12] == untouched.encode("日本語 テキスト <|endoftext|> # 2", add_special_tokens=False).ids + [2]
+
+
+def test_rows_of_one_id_are_dealt_to_several_shards(spark):
+    """A third of the rows with null ids and equal texts, and many of one id."""
+    from collections import Counter
+    rows = [(None, "same text again")] * 400 + [(7, f"text {k % 5}") for k in range(400)] + [(k, f"own {k}") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    _, shards = write_token_files(docs, tokenizer_path())
+    assert max(r.documents for r in shards.collect()) < 300
+    got = sorted(map(tuple, read_token_files(shards).collect()), key=lambda r: r[1])
+    sizes = Counter((d, zlib.crc32(np.array(plain(t) + [2], "<u4").tobytes())) for d, t in rows)
+    assert Counter((d, crc) for d, _, _, crc in got) == sizes
+    assert [d is None for d, *_ in got] == sorted((d is None for d, _ in rows), reverse=True)
+    assert [d for d, *_ in got if d is not None] == sorted(d for d, _ in rows if d is not None)
+    assert all(b[1] == a[1] + a[2] for a, b in zip(got, got[1:]))
+    assert len({crc for d, _, _, crc in got if d == 7}) == 6
+
+
+def test_frames_leave_the_writer_as_they_close():
+    out = []
+    writer = ShardWriter(out.append)
+    for d in range(4):
+        writer.document(d, np.arange(50_000, dtype=np.uint32))
+        assert writer.held <= 50_000 and len(out) == d
+    writer.finish()
+    assert not writer.kept and len(out) == 6
