@@ -83,7 +83,7 @@ def _purchase_summary(spark, sf_dir):
 
 
 @register("sales_summary", O.q(O.SUMMARY_RAW, f"""
-SELECT k.VendorNo AS VendorNo, k.Brand AS Brand, CAST(units_out AS BIGINT) AS TotalSalesQuantity,
+SELECT VendorNo, Brand, CAST(units_out AS BIGINT) AS TotalSalesQuantity,
        {O.doubles({'TotalSalesDollars': 'revenue', 'TotalSalesPrice': 'price_sum', 'TotalExciseTax': 'excise'})}
 FROM sold"""))
 def _sales_summary(spark, sf_dir):

@@ -18,29 +18,33 @@ from ..functions.semantics import NULL_TOKENS, strip_ws
 
 # --------------------------------------------------------------- T1 / T2
 
+# What a name may not hold, and how it may not begin.
+NOT_IN_NAME, NOT_FIRST = "[^a-zA-Z0-9_]", "^[0-9]"
+
+
 def sanitize_name(name: str) -> str:
     """File stem -> lower-case identifier (non [A-Za-z0-9_] -> '_',
     a leading digit -> '_')."""
     stem = name.rsplit("/", 1)[-1]
     stem = stem.rsplit(".", 1)[0] if "." in stem else stem
-    s = re.sub(r"[^a-zA-Z0-9_]", "_", stem)
-    s = re.sub(r"^[0-9]", "_", s)
+    s = re.sub(NOT_IN_NAME, "_", stem)
+    s = re.sub(NOT_FIRST, "_", s)
     return s.lower()
 
 
 def sanitize_name_col(c) -> F.Column:
     """T1 as a column expression (for catalogs of names held in a table)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.lower(F.regexp_replace(F.regexp_replace(c, "[^a-zA-Z0-9_]", "_"), "^[0-9]", "_"))
+    return F.lower(F.regexp_replace(F.regexp_replace(c, NOT_IN_NAME, "_"), NOT_FIRST, "_"))
 
 
 def sanitize_columns(df: DataFrame, lower: bool = False) -> DataFrame:
     """Rename columns to identifiers; raise on collisions."""
     new = []
     for c in df.columns:
-        s = re.sub(r"[^a-zA-Z0-9_]", "_", str(c))
+        s = re.sub(NOT_IN_NAME, "_", str(c))
         if lower:
-            s = re.sub(r"^[0-9]", "_", s).lower()
+            s = re.sub(NOT_FIRST, "_", s).lower()
         new.append(s)
     if len(set(new)) != len(new):
         raise ValueError(f"column names collide after sanitising: {new}")
@@ -49,6 +53,11 @@ def sanitize_columns(df: DataFrame, lower: bool = False) -> DataFrame:
 
 # --------------------------------------------------------------- T3
 
+# The longest VARCHAR of an empty column and the longest of any; the SQL
+# names of types are those below.
+SHORT_TEXT, LONG_TEXT = 255, 65535
+
+
 def sql_type(dt: T.DataType, max_len: int | None = None) -> str:
     """Target SQL type for a Spark type (string width from the data)."""
     if isinstance(dt, (T.ByteType, T.ShortType)):
@@ -67,9 +76,9 @@ def sql_type(dt: T.DataType, max_len: int | None = None) -> str:
         return "DATE"
     if isinstance(dt, T.BooleanType):
         return "BOOLEAN"
-    if max_len and max_len <= 255:
+    if max_len and max_len <= SHORT_TEXT:
         return f"VARCHAR({max_len})"
-    if max_len and max_len <= 65535:
+    if max_len and max_len <= LONG_TEXT:
         return "TEXT"
     return "LONGTEXT"
 
@@ -90,7 +99,7 @@ def infer_types(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         if f.name in lens:
             m = lens[f.name]
-            width = min(m * 2, 65535) if m else 255
+            width = min(m * 2, LONG_TEXT) if m else SHORT_TEXT
             rows.append((f.name, f.dataType.simpleString(), m, sql_type(f.dataType, width)))
         else:
             rows.append((f.name, f.dataType.simpleString(), None, sql_type(f.dataType)))

@@ -7,7 +7,8 @@ import pytest
 from tests.conftest import SF_SMALL
 
 FAST = ["vendor_summary", "eda_summary", "brand_summary", "features_all", "dq_report",
-        "iqr_filter", "corr_pairs", "impute_price", "load_csv", "sync_upsert", "stream_append"]
+        "iqr_filter", "corr_pairs", "impute_price", "load_csv", "sync_upsert", "stream_append",
+        "stream_snapshots", "stream_watermark", "dq_cross_table", "changed_rows", "upsert_new_columns"]
 
 
 def _names() -> list[str]:
