@@ -1,34 +1,40 @@
 """Toxicity by the nearest labelled examples.
 
-Examples are a bounded sample of labelled rows; all their words span the space.  A
-vector has three parts: the telling terms (words, and beginnings of words, that
-occur more often in toxic examples) with TF-IDF weights relative to the text's
-length, so that their density counts against one dimension of fixed weight; and
-the TF-IDF vector of all other words, at a fixed norm.  Document frequencies are
-counted over all documents.  The exact nearest examples by cosine come from the
-product with every example (a matrix for the most frequent terms, postings for
-the others), vote with a weight that falls with their distance, and isotonic
-regression on the examples' own votes (each without itself) turns votes into
-probabilities.
+Examples are a bounded sample of labelled rows; all their words span the space.  A vector
+is TF-IDF with a weight for each of three kinds of terms: the telling terms (words, and
+beginnings of words, that occur more often in toxic examples) count relative to the text's
+length, so that their density stands against one dimension of fixed weight, and all other
+words keep their TF-IDF weights at a fixed norm, to which words that no example holds
+contribute as well.  Document frequencies are counted over all documents.
+
+The exact nearest examples by cosine come from an inverted index whose examples lie in
+blocks of similar ones.  Postings of the rarer terms are added up; for the most frequent
+terms, whose postings are dense, the greatest weight in each block bounds what a block can
+still add, and blocks that cannot reach the neighbours found so far are never opened.
+Neighbours vote with a weight that falls with their distance, and isotonic regression on
+the examples' own votes (each without itself) turns votes into probabilities.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections import Counter, defaultdict
+from array import array
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
-from types import SimpleNamespace
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, text_slices
+from .common import list_array, saved, text_slices
 
 #: At most so many labelled rows are examples; more are thinned by a hash of their id.
 EXAMPLES = 12_000
+#: Longer texts (in bytes) are no examples; they are scored like all others.
+LONGEST = 200_000
 #: At most so many terms are telling, those of the strongest evidence.
 TERMS = 1024
 #: A term's least evidence: the signed log-likelihood ratio of its counts in toxic
@@ -37,10 +43,13 @@ EVIDENCE = 20.0
 #: How many times the odds of a toxic example a term must raise.
 ODDS = 4.0
 NEIGHBOURS = 25
-#: The terms of most examples are multiplied as a matrix, so many of them.
+#: The terms of most examples, whose weights are kept dense and bounded by blocks.
 FREQUENT = 256
+#: Examples in a block, and blocks opened first to find how near neighbours are.
+BLOCK = 64
+FIRST = 4
 #: Texts compared with the examples at a time.
-TOGETHER = 64
+TOGETHER = 128
 #: Lengths of the beginnings of words that are terms besides whole words.
 STEMS = (4, 5, 6, 7)
 #: Weight of the rest of a text, where a term that makes up 1 % of it weighs its idf.
@@ -51,8 +60,10 @@ OTHERS = 5.0
 NEAR = 0.02
 #: Weight with which the examples' overall rate joins each vote.
 PRIOR = 1.0
-#: Words that a task remembers the terms of before it starts anew.
-REMEMBERED = 500_000
+#: Words that a task remembers the terms of before it starts anew, and bytes of text
+#: whose words are counted at a time.
+REMEMBERED = 200_000
+SLICE = 1 << 20
 THRESHOLD = 0.7
 TERM = re.compile(r"\w+")
 
@@ -71,7 +82,8 @@ def example_rows(documents: DataFrame, labels: DataFrame, most: int = EXAMPLES,
     place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
     chosen = (known.withColumn("place", place).filter(F.col("place") < F.lit(share))
               .orderBy("place", "doc_id").limit(most).select("doc_id", (F.col("mean") > 0.5).cast("int").alias("toxic")))
-    found = (documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = (documents.filter(F.octet_length(F.coalesce("text", F.lit(""))) <= LONGEST).select("doc_id", "text")
+             .join(F.broadcast(chosen), "doc_id")
              .groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.max("toxic").alias("toxic")))
     return (found.groupBy("text").agg(F.min("doc_id").alias("example"), F.avg("toxic").alias("mean"))
             .filter("mean <> 0.5").select("example", "text", (F.col("mean") > 0.5).cast("int").alias("toxic")))
@@ -115,23 +127,76 @@ def other_words(examples: DataFrame, telling: list[str]) -> list[str]:
     return sorted(set(words).difference(telling))
 
 
-class Terms(dict):
-    """The numbers of the terms that a word holds, kept as they are found; -1 besides
-    for a word that is no term itself."""
+class Numbered(dict):
+    """Words numbered as they are found, and the terms that each holds: its own and those of
+    its beginnings.  A word that is no term itself is ``strange``."""
 
     def __init__(self, terms: list[str]):
         super().__init__()
-        self.number = {t: i for i, t in enumerate(terms)}
+        self.term = {t: i for i, t in enumerate(terms)}
+        self.begin, self.terms, self.strange = array("q", [0]), array("q"), array("b")
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        names = [word, *(word[:k] + "*" for k in STEMS if len(word) > k)]
-        got = tuple(self.number[n] for n in names if n in self.number)
-        if word not in self.number:
-            got += (-1,)
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = got
-        return got
+    def __missing__(self, word: str) -> int:
+        own = self.term.get(word)
+        if own is not None:
+            self.terms.append(own)
+        self.terms.extend(self.term[n] for k in STEMS if len(word) > k and (n := word[:k] + "*") in self.term)
+        self.begin.append(len(self.terms))
+        self.strange.append(own is None)
+        self[word] = number = len(self)
+        return number
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Views; they have to be gone when the next word is numbered."""
+        return np.frombuffer(self.begin, np.int64), np.frombuffer(self.terms, np.int64), np.frombuffer(self.strange, bool)
+
+
+@dataclass
+class Counts:
+    """Rows of ``term_counts`` end to end: row i holds ``terms[cut[i]:cut[i + 1]]``."""
+    words: np.ndarray
+    unknown: np.ndarray
+    cut: np.ndarray
+    terms: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch | pa.Table) -> "Counts":
+        terms, counts = (batch.column(c).combine_chunks() if isinstance(batch, pa.Table) else batch.column(c) for c in ("terms", "counts"))
+        sizes = terms.value_lengths().to_numpy(zero_copy_only=False)
+        return cls(batch.column("words").to_numpy(), batch.column("unknown").to_numpy(), np.concatenate(([0], np.cumsum(sizes))),
+                   terms.flatten().to_numpy(zero_copy_only=False), counts.flatten().to_numpy(zero_copy_only=False))
+
+    @classmethod
+    def listed(cls, rows: list) -> "Counts":
+        flat = [np.concatenate([np.empty(0, np.int64), *(np.asarray(getattr(r, c), np.int64) for r in rows)]) for c in ("terms", "counts")]
+        return cls(np.array([r.words for r in rows], np.int64), np.array([getattr(r, "unknown", 0.0) for r in rows], float),
+                   np.concatenate(([0], np.cumsum([len(r.terms) for r in rows], dtype=np.int64))).astype(np.int64), *flat)
+
+    def rows(self, at: np.ndarray) -> "Counts":
+        sizes = (self.cut[1:] - self.cut[:-1])[at]
+        ends = np.cumsum(sizes)
+        flat = np.repeat(self.cut[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return Counts(self.words[at], self.unknown[at], np.concatenate(([0], ends)), self.terms[flat], self.counts[flat])
+
+
+def count_terms(texts: list, numbered: Numbered) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For whole texts: their numbers of words, the squared counts of strange words, how
+    many terms each holds, and the terms (ascending in a text) and their counts."""
+    found = [TERM.findall((t or "").lower()) for t in texts]
+    size = np.array([len(w) for w in found], np.int64)
+    word = np.fromiter((n for words in found for n in map(numbered.__getitem__, words)), np.int64, int(size.sum()))
+    begin, terms, strange = numbered.arrays()
+    span, top = max(1, len(strange)), max(1, len(numbered.term))
+    pairs, times = np.unique(np.repeat(np.arange(len(texts)), size) * span + word, return_counts=True)
+    text, word = pairs // span, pairs % span
+    unknown = np.bincount(text, np.where(strange[word] if len(word) else False, times.astype(float) ** 2, 0.0), minlength=len(texts))
+    each = begin[word + 1] - begin[word]
+    ends = np.cumsum(each)
+    at = np.repeat(begin[word] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)
+    held, place = np.unique(np.repeat(text, each) * top + terms[at], return_inverse=True)
+    counts = np.bincount(place, np.repeat(times, each), minlength=len(held)).astype(np.int64)
+    return size, unknown, np.bincount(held // top, minlength=len(texts)), held % top, counts
 
 
 def term_counts(rows: DataFrame, terms: list[str], columns: list[str]) -> DataFrame:
@@ -141,26 +206,14 @@ def term_counts(rows: DataFrame, terms: list[str], columns: list[str]) -> DataFr
     shared = rows.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Terms(shared.value)
-        for batch in text_slices(batches):
-            size, ids, counts, unknown = [], [], [], []
-            for text in batch.column("text").to_pylist():
-                words = TERM.findall((text or "").lower())
-                got, strange = defaultdict(int), 0
-                for word, times in Counter(words).items():
-                    for i in known[word]:
-                        if i < 0:
-                            strange += times * times
-                        else:
-                            got[i] += times
-                order = sorted(got)
-                size.append(len(words))
-                ids.append(order)
-                counts.append([got[i] for i in order])
-                unknown.append(strange)
+        numbered = Numbered(shared.value)
+        for batch in text_slices(batches, SLICE):
+            if len(numbered) > REMEMBERED:
+                numbered = Numbered(shared.value)
+            size, unknown, held, ids, counts = count_terms(batch.column("text").to_pylist(), numbered)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), pa.array(size, pa.int64()), pa.array(ids, pa.list_(pa.int32())),
-                 pa.array(counts, pa.list_(pa.int32())), pa.array(unknown, pa.float64())],
+                [*(batch.column(c) for c in columns), pa.array(size), list_array(ids.astype(np.int32), held),
+                 list_array(counts.astype(np.int32), held), pa.array(unknown)],
                 [*columns, "words", "terms", "counts", "unknown"])
 
     schema = (", ".join(f"{c} {kinds[c]}" for c in columns)
@@ -169,7 +222,7 @@ def term_counts(rows: DataFrame, terms: list[str], columns: list[str]) -> DataFr
 
 
 def document_frequencies(counted: DataFrame, terms: int) -> np.ndarray:
-    """In how many rows of ``term_counts`` each term occurs."""
+    """In how many rows of ``term_counts`` each term occurs, summed up in tasks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.zeros(terms, np.int64)
         for batch in batches:
@@ -183,113 +236,190 @@ def document_frequencies(counted: DataFrame, terms: int) -> np.ndarray:
     return df
 
 
-def count_rows(table: pa.Table | pa.RecordBatch) -> Iterator[SimpleNamespace]:
-    """The rows of ``term_counts`` with their lists as arrays; other columns as they are."""
-    for batch in table.to_batches() if isinstance(table, pa.Table) else [table]:
-        lists = {c: (batch.column(c).flatten().to_numpy(zero_copy_only=False),
-                     np.concatenate(([0], np.cumsum(batch.column(c).value_lengths().to_numpy(zero_copy_only=False)))))
-                 for c in ("terms", "counts")}
-        plain = [c for c in batch.schema.names if c not in lists]
-        for k, values in enumerate(zip(*(batch.column(c).to_pylist() for c in plain))):
-            yield SimpleNamespace(**dict(zip(plain, values)),
-                                  **{c: flat[cut[k]:cut[k + 1]] for c, (flat, cut) in lists.items()})
+def block_order(vectors: np.ndarray) -> np.ndarray:
+    """An order of the rows in which similar ones lie together: by the nearest of a few
+    centres, found in some rounds, and by nearness to it."""
+    centres = vectors[np.linspace(0, len(vectors) - 1, max(1, len(vectors) // (4 * BLOCK))).astype(int)]
+    for _ in range(6):
+        near = vectors @ centres.T
+        own = near.argmax(axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, own, vectors)
+        size = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(size > 0, sums / np.where(size > 0, size, 1), centres)
+    near = vectors @ centres.T
+    own = near.argmax(axis=1)
+    return np.lexsort((-near[np.arange(len(vectors)), own], own))
 
 
 @dataclass
 class Index:
-    """The examples' weights: a matrix of the most frequent terms (``slot`` is a term's
-    row or -1) and postings of the others.  ``rest`` is every example's weight of the
-    fixed dimension.  Terms below ``telling`` are telling ones."""
+    """The examples' weights, in the order of their blocks: ``matrix`` and the block maxima
+    ``most`` of the fixed dimension and the most frequent terms (``slot`` is a term's row or
+    -1), and postings of the others.  Terms below ``telling`` are telling ones, ``unseen``
+    is the idf of a word that is no term."""
     idf: np.ndarray
     telling: int
     unseen: float
-    example: np.ndarray
-    toxic: np.ndarray
-    rest: np.ndarray
-    slot: np.ndarray
-    matrix: np.ndarray
-    begin: np.ndarray
-    place: np.ndarray
-    weight: np.ndarray
     rate: float
+    example: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    toxic: np.ndarray = field(default_factory=lambda: np.empty(0))
+    slot: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    matrix: np.ndarray = field(default_factory=lambda: np.empty((1, 0)))
+    most: np.ndarray = field(default_factory=lambda: np.empty((1, 0)))
+    begin: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    place: np.ndarray = field(default_factory=lambda: np.empty(0, np.int32))
+    weight: np.ndarray = field(default_factory=lambda: np.empty(0))
+    opened: int = 0
 
     @classmethod
     def of(cls, idf: np.ndarray, rows: Iterable, rate: float, telling: int | None = None, unseen: float = 0.0) -> "Index":
-        """``unseen`` is the idf of a word that is no term."""
-        telling = len(idf) if telling is None else telling
-        rows = [r for r in rows if r.words]
-        index = cls(idf, telling, unseen, np.array([r.example for r in rows], np.int64),
-                    np.array([r.toxic for r in rows], float), *[np.empty(0)] * 6, rate)
-        vectors = [index.vector(idf, r) for r in rows]
-        terms = np.concatenate([np.empty(0, np.int32), *(t[:-1].astype(np.int32) for t, _ in vectors)])
-        weight = np.concatenate([np.empty(0), *(w[:-1] for _, w in vectors)])
-        row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(t) - 1 for t, _ in vectors])
-        index.rest = np.array([w[-1] for _, w in vectors])
-        del vectors
-        often = np.argsort(-np.bincount(terms, minlength=len(idf)), kind="stable")[:FREQUENT]
+        """From rows with ``example, toxic, words, terms, counts`` (and ``unknown``)."""
+        rows = list(rows)
+        return cls.build(idf, np.array([r.example for r in rows], np.int64), np.array([r.toxic for r in rows], float),
+                         Counts.listed(rows), rate, telling, unseen)
+
+    @classmethod
+    def build(cls, idf: np.ndarray, example: np.ndarray, toxic: np.ndarray, counts: Counts, rate: float,
+              telling: int | None = None, unseen: float = 0.0) -> "Index":
+        index = cls(idf, len(idf) if telling is None else telling, unseen, rate)
+        kept = np.flatnonzero(counts.words > 0)
+        counts, n = counts.rows(kept), len(kept)
+        weight, rest = index.weights(counts)
+        row = np.repeat(np.arange(n), np.diff(counts.cut))
+        often = np.argsort(-np.bincount(counts.terms, minlength=len(idf)), kind="stable")[:FREQUENT]
         index.slot = np.full(len(idf), -1)
-        index.slot[often] = np.arange(len(often))
-        slot = index.slot[terms]
-        index.matrix = np.zeros((len(often), len(rows)))
-        index.matrix[slot[slot >= 0], row[slot >= 0]] = weight[slot >= 0]
-        terms, row, weight = (x[slot < 0] for x in (terms, row, weight))
-        order = np.argsort(terms, kind="stable")
-        index.begin = np.searchsorted(terms[order], np.arange(len(idf) + 1))
-        index.place, index.weight = row[order], weight[order]
+        index.slot[often] = np.arange(1, len(often) + 1)
+        slot = index.slot[counts.terms]
+        wide = -(-n // BLOCK) * BLOCK
+        dense = np.zeros((1 + len(often), wide))
+        dense[0, :n] = rest
+        dense[slot[slot >= 0], row[slot >= 0]] = weight[slot >= 0]
+        order = np.concatenate([block_order(dense[:, :n].T), np.arange(n, wide)]) if n else np.empty(0, np.int64)
+        index.matrix = np.ascontiguousarray(dense[:, order])
+        index.most = index.matrix.reshape(len(dense), -1, BLOCK).max(axis=2) if n else np.empty((len(dense), 0))
+        index.example, index.toxic = example[kept][order[:n]], toxic[kept][order[:n]]
+        put = np.empty(wide, np.int64)
+        put[order] = np.arange(wide)
+        rare = slot < 0
+        terms, place, weight = counts.terms[rare], put[row[rare]], weight[rare]
+        by_term = np.argsort(terms, kind="stable")
+        index.begin = np.searchsorted(terms[by_term], np.arange(len(idf) + 1))
+        index.place, index.weight = place[by_term].astype(np.int32), weight[by_term]
+        return index
+
+    def packed(self) -> bytes:
+        """What travels to tasks: weights of single precision, compressed; workers need no
+        copy of this package."""
+        import zstandard
+        small = replace(self, matrix=self.matrix.astype(np.float32), weight=self.weight.astype(np.float32), most=self.most[:, :0])
+        return zstandard.ZstdCompressor(level=3).compress(cloudpickle.dumps(small))
+
+    @staticmethod
+    def unpacked(data: bytes) -> "Index":
+        import zstandard
+        index = pickle.loads(zstandard.ZstdDecompressor().decompress(data))
+        index.matrix, index.weight = index.matrix.astype(float), index.weight.astype(float)
+        index.most = index.matrix.reshape(len(index.matrix), -1, BLOCK).max(axis=2) if index.matrix.size else index.most
         return index
 
+    def weights(self, counts: Counts) -> tuple[np.ndarray, np.ndarray]:
+        """Every row's weights of its terms and of the fixed dimension; a row's norm is 1
+        with the words that are no terms."""
+        n = len(counts.words)
+        row = np.repeat(np.arange(n), np.diff(counts.cut))
+        v = counts.counts * self.idf[counts.terms]
+        told = counts.terms < self.telling
+        v = np.where(told, v * 100 / np.maximum(counts.words, 1)[row], v)
+        norm = np.sqrt(np.bincount(row, np.where(told, 0.0, v ** 2), minlength=n) + counts.unknown * self.unseen ** 2)
+        v = np.where(told, v, v * (OTHERS / np.where(norm > 0, norm, 1.0))[row])
+        whole = np.sqrt(np.bincount(row, np.where(told, v ** 2, 0.0), minlength=n) + REST ** 2 + np.where(norm > 0, OTHERS ** 2, 0.0))
+        return v / whole[row], REST / whole
+
     def vector(self, idf: np.ndarray, row) -> tuple[np.ndarray, np.ndarray]:
-        """Terms of a row of ``term_counts``, the fixed dimension last, and their weights; the
-        norm is 1 with the words that are no terms."""
-        terms = np.append(np.asarray(row.terms, np.int64), len(idf))
-        v = np.append(np.asarray(row.counts, float) * idf[terms[:-1]], REST)
-        told = int(np.searchsorted(terms, self.telling)) if self.telling < len(idf) else len(terms) - 1
-        v[:told] *= 100 / row.words
-        norm = np.sqrt((v[told:-1] ** 2).sum() + getattr(row, "unknown", 0.0) * self.unseen ** 2)
-        if norm:
-            v[told:-1] *= OTHERS / norm
-        return terms, v / np.sqrt((v[:told] ** 2).sum() + REST ** 2 + (OTHERS ** 2 if norm else 0.0))
-
-    def cosines(self, rows: list) -> np.ndarray:
-        """Of each row of ``term_counts`` with every example."""
-        query = np.zeros((len(rows), len(self.matrix)))
-        out = np.empty((len(rows), len(self.example)))
-        for k, row in enumerate(rows):
-            terms, weight = self.vector(self.idf, row)
-            slot = self.slot[terms[:-1]]
-            query[k, slot[slot >= 0]] = weight[:-1][slot >= 0]
-            some = terms[:-1][slot < 0]
-            size = self.begin[some + 1] - self.begin[some]
-            ends = np.cumsum(size)
-            at = np.repeat(self.begin[some] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
-            out[k] = np.bincount(self.place[at], self.weight[at] * np.repeat(weight[:-1][slot < 0], size),
-                                 minlength=len(self.example)) + weight[-1] * self.rest
-        return out + query @ self.matrix
-
-    def best(self, near: np.ndarray, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and cosines of the ``k`` most similar examples and of those as similar as
-        the last of them, so that no order of examples decides."""
-        if without is not None:
-            near = near.copy()
-            near[without] = -np.inf
-        least = max(np.partition(near, len(near) - k)[len(near) - k] if len(near) >= k else -1.0, -1.0)
-        kept = np.flatnonzero(near >= least - 1e-12)
-        order = kept[np.lexsort((kept, -near[kept]))]
-        return order, near[order]
+        """Terms of one row, the fixed dimension last, and their weights."""
+        weight, rest = self.weights(Counts.listed([row]))
+        return np.append(np.asarray(row.terms, np.int64), len(idf)), np.append(weight, rest)
+
+    def search(self, counts: Counts, k: int = NEIGHBOURS, without: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each row the numbers and cosines of its ``k`` nearest examples and of those as
+        near as the last of them, so that no order of examples decides; ``without`` are the
+        numbers of examples to leave out, one a row."""
+        for at in range(0, len(counts.words), TOGETHER):
+            part = counts.rows(np.arange(at, min(at + TOGETHER, len(counts.words))))
+            yield from self._together(part, k, None if without is None else without[at:at + TOGETHER])
+
+    def _together(self, counts: Counts, k: int, without: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        m, n, wide = len(counts.words), len(self.example), self.matrix.shape[1]
+        weight, rest = self.weights(counts)
+        row, slot = np.repeat(np.arange(m), np.diff(counts.cut)), self.slot[counts.terms]
+        query = np.zeros((m, len(self.matrix)))
+        query[:, 0] = rest
+        query[row[slot >= 0], slot[slot >= 0]] = weight[slot >= 0]
+        score = np.empty((m, wide))
+        begin, end = self.begin[counts.terms], self.begin[counts.terms + 1]
+        used = np.flatnonzero((slot < 0) & (end > begin))
+        cut = np.searchsorted(used, counts.cut)
+        begin, end, times = begin[used], end[used], weight[used]
+        for i in range(m):  # the postings of a text's rarer terms, end to end
+            own = slice(cut[i], cut[i + 1])
+            parts = [slice(a, b) for a, b in zip(begin[own].tolist(), end[own].tolist())]
+            if parts:
+                each = np.repeat(times[own], end[own] - begin[own])
+                each *= np.concatenate([self.weight[p] for p in parts])
+                score[i] = np.bincount(np.concatenate([self.place[p] for p in parts]), each, minlength=wide)
+            else:
+                score[i] = 0.0
+        bound = score.reshape(m, -1, BLOCK).max(axis=2) + query @ self.most + 1e-9
+        near, opened = np.full((m, wide), -np.inf), np.zeros(bound.shape, bool)
+
+        def open_blocks(wanted: np.ndarray) -> None:
+            for b in np.flatnonzero(wanted.any(axis=0)).tolist():
+                rows, part = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, min((b + 1) * BLOCK, n))
+                near[rows, part] = score[rows, part] + query[rows] @ self.matrix[:, part]
+            opened[wanted] = True
+            self.opened += int(wanted.sum())
+            if without is not None:
+                near[np.arange(m), without] = -np.inf
+
+        first = np.argpartition(-bound, min(FIRST, bound.shape[1]) - 1, axis=1)[:, :FIRST]
+        wanted = np.zeros_like(opened)
+        np.put_along_axis(wanted, first, True, axis=1)
+        open_blocks(wanted)
+        # a block can hold a neighbour only if it can reach the k-th best of the first blocks
+        some = np.take_along_axis(near.reshape(m, -1, BLOCK), first[:, :, None], axis=1).reshape(m, -1)
+        least = np.partition(some, some.shape[1] - k, axis=1)[:, some.shape[1] - k] if some.shape[1] >= k else np.full(m, -np.inf)
+        open_blocks(~opened & (bound >= least[:, None]))
+        for each, limit in zip(near, np.maximum(least, -1.0)):
+            kept = np.flatnonzero(each >= limit - 1e-12)
+            if len(kept) > k:
+                found = each[kept]
+                kept = kept[found >= np.partition(found, len(found) - k)[len(found) - k] - 1e-12]
+            order = kept[np.lexsort((kept, -each[kept]))]
+            yield order, each[order]
 
     def nearest(self, row, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        return self.best(self.cosines([row])[0], k, without)
-
-    def each_nearest(self, rows: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """``nearest`` of each row."""
-        for k in range(0, len(rows), TOGETHER):
-            yield from map(self.best, self.cosines(rows[k:k + TOGETHER]))
+        return next(self.search(Counts.listed([row]), k, None if without is None else np.array([without])))
 
     def vote(self, rows: np.ndarray, near: np.ndarray) -> float:
         weight = 1 / (NEAR + np.maximum(0.0, 1 - near))
         return float(((weight * self.toxic[rows]).sum() + PRIOR * self.rate) / (weight.sum() + PRIOR))
 
 
+def own_votes(examples: DataFrame, shared) -> DataFrame:
+    """``toxic, vote`` of each example that has words, from the others."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Index.unpacked(shared.value)
+        number = {e: i for i, e in enumerate(index.example.tolist())}
+        for batch in batches:
+            known = np.flatnonzero(batch.column("words").to_numpy() > 0)
+            own = np.array([number[e] for e in batch.column("example").take(pa.array(known)).to_pylist()], np.int64)
+            votes = [index.vote(*found) for found in index.search(Counts.of(batch).rows(known), without=own)]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic").take(pa.array(known)), pa.array(votes, pa.float64())], ["toxic", "vote"])
+
+    return examples.mapInArrow(run, "toxic int, vote double")
+
+
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The non-decreasing step function nearest to ``y``: its steps' starts and values.
     A step's value counts one half of each label besides its own."""
@@ -311,7 +441,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, most: int = EXAMPLES
     ``row_key`` hashes the row's id and text.
 
     A text without any word has no neighbours and the rate of toxic examples among
-    such; so have null and empty texts.  Words that no example holds weigh as words of
+    such; so have null and empty texts; very long texts are read whole.  Words that no example holds weigh as words of
     one document.  Repeated rows score alike, a null id is not held out; labels that
     are null or in conflict teach nothing; without toxic and other examples every
     score is the examples' plain rate (0 without examples); an empty table gives no
@@ -327,40 +457,37 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, most: int = EXAMPLES
         terms, ["doc_id", "held_out", "row_key"]), "toxic-counts")
     n = counted.count()
     idf = np.log((n + 1) / (document_frequencies(counted, len(terms)) + 1)) + 1
-    own = list(count_rows(term_counts(examples, terms, ["example", "toxic"]).orderBy("example").toArrow()))
-    index = Index.of(idf, own if both else [], total.rate, len(telling), float(np.log((n + 1) / 2) + 1))
-    known = [r for r in own if r.words] if both else []
-    votes = []
-    for k in range(0, len(known), TOGETHER):
-        for i, near in enumerate(index.cosines(known[k:k + TOGETHER]), k):
-            votes.append(index.vote(*index.best(near, without=i)))
-    starts, values = isotonic(np.array(votes), index.toxic) if votes else (np.zeros(1), np.full(1, total.rate))
-    plain = [r.toxic for r in own if not r.words]
-    nothing = (sum(plain) + total.rate) / (len(plain) + 1) if both else total.rate
-    shared = documents.sparkSession.sparkContext.broadcast((index, starts, values, nothing, telling))
+    known = saved(term_counts(examples, terms, ["example", "toxic"]), "toxic-example-counts")
+    own = known.orderBy("example").toArrow()
+    toxic = own.column("toxic").to_numpy()
+    index = Index.build(idf, own.column("example").to_numpy(), toxic.astype(float), Counts.of(own), total.rate, len(telling),
+                        float(np.log((n + 1) / 2) + 1)) if both else Index(idf, 0, 0.0, total.rate)
+    spark = documents.sparkSession
+    shared = spark.sparkContext.broadcast(index.packed())
+    votes = own_votes(known, shared).toArrow() if len(index.example) else None
+    starts, values = isotonic(votes.column("vote").to_numpy(), votes.column("toxic").to_numpy()) if votes else (np.zeros(1), np.full(1, total.rate))
+    plain = toxic[own.column("words").to_numpy() == 0]
+    nothing = (plain.sum() + total.rate) / (len(plain) + 1) if both else total.rate
+    names = pa.array([*telling, None], pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, starts, values, nothing, names = shared.value
+        index = Index.unpacked(shared.value)
         for batch in batches:
-            rows = list(count_rows(batch.select(["words", "terms", "counts", "unknown"])))
-            found = index.each_nearest([r for r in rows if r.words]) if len(index.example) else None
-            score, near, words = [], [], []
-            for row in rows:
-                if row.words and found:
-                    examples, similar = next(found)
-                    step = np.searchsorted(starts, index.vote(examples, similar), side="right") - 1
-                    score.append(float(values[max(0, step)]))
-                    near.append(index.example[examples[:3]].tolist())
-                    words.append([names[i] for i in row.terms[row.terms < len(names)].tolist()])
-                else:
-                    score.append(float(nothing))
-                    near.append([])
-                    words.append([])
+            counts = Counts.of(batch)
+            score, near = np.full(batch.num_rows, float(nothing)), [[]] * batch.num_rows
+            known = np.flatnonzero(counts.words > 0) if len(index.example) else np.empty(0, np.int64)
+            for i, (found, similar) in zip(known.tolist(), index.search(counts.rows(known))):
+                step = np.searchsorted(starts, index.vote(found, similar), side="right") - 1
+                score[i] = values[max(0, step)]
+                near[i] = index.example[found[:3]].tolist()
+            told = counts.terms < len(names) - 1
+            row = np.repeat(np.arange(batch.num_rows), np.diff(counts.cut))
+            words = pa.ListArray.from_arrays(
+                pa.array(np.concatenate(([0], np.cumsum(np.bincount(row[told], minlength=batch.num_rows)))).astype(np.int32)),
+                names.take(pa.array(counts.terms[told])))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(score, pa.float64()),
-                 pa.array([int(s >= threshold) for s in score], pa.int32()),
-                 pa.array(near, pa.list_(pa.int64())), pa.array(words, pa.list_(pa.string())),
-                 batch.column("row_key")],
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= threshold).astype(np.int32)),
+                 pa.array(near, pa.list_(pa.int64())), words, batch.column("row_key")],
                 ["doc_id", "held_out", "score", "predicted", "neighbours", "words", "row_key"])
 
     return counted.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, "

@@ -97,3 +97,56 @@ def test_texts_without_telling_terms_have_their_nearest_examples(spark):
     got = {r.doc_id: r for r in score_toxicity(awkward(spark, rows), known).collect()}
     assert all(got[c].neighbours[0] == i and len(got[c].neighbours) == 3 for c, i in copies.items())
     assert got[9000].neighbours == [] and len(got[9001].neighbours) == 3
+
+
+def test_whole_vectors_against_brute_force(monkeypatch):
+    """Texts with telling terms, other words and words that no example holds, against
+    every example's dense vector; most blocks of unlike examples stay closed."""
+    from collections import Counter
+
+    from supplylake.llm import toxicity as T
+    monkeypatch.setattr(T, "FREQUENT", 30)
+    monkeypatch.setattr(T, "BLOCK", 16)
+    rng = random.Random(12)
+    tongues = [[f"{c}{prose(k, 1)}{k}" for k in range(120)] for c in "abcd"]
+
+    def text():
+        words = rng.choices(rng.choice(tongues), k=rng.randint(0, 60)) + rng.choices(["vileness", "scum"], k=rng.choice([0, 0, 0, 2]))
+        return " ".join(words + [f"unseen{rng.randint(0, 9)}"] * rng.randint(0, 2))
+    examples = [text() for _ in range(900)]
+    telling = ["vileness", "scum", "vile*"]
+    vocabulary = sorted({w for t in examples[:700] for w in T.TERM.findall(t)} - set(telling))
+    terms = telling + vocabulary
+    idf = np.array([rng.uniform(1, 6) for _ in terms])
+    unseen = 7.0
+
+    def counted(texts):
+        size, unknown, held, ids, counts = T.count_terms(texts, T.Numbered(terms))
+        return T.Counts(size, unknown, np.concatenate(([0], np.cumsum(held))), ids, counts)
+
+    def dense(t):
+        words = Counter(T.TERM.findall(t.lower()))
+        total, v, rest = sum(words.values()), np.zeros(len(terms) + 1), 0.0
+        for w, n in words.items():
+            for i, name in enumerate(terms):
+                if name == w or name.endswith("*") and len(w) >= len(name) and w.startswith(name[:-1]):
+                    v[i] += n * idf[i]
+            rest += 0 if w in terms else (n * unseen) ** 2
+        v[:3] *= 100 / max(total, 1)
+        norm = np.sqrt((v[3:] ** 2).sum() + rest)
+        v[3:] *= T.OTHERS / norm if norm else 0
+        v[-1] = T.REST
+        return v / np.sqrt((v[:3] ** 2).sum() + T.REST ** 2 + (T.OTHERS ** 2 if norm else 0))
+
+    index = T.Index.build(idf, np.arange(900), np.zeros(900), counted(examples), 0.1, 3, unseen)
+    matrix = np.array([dense(examples[e]) for e in index.example])
+    assert len(index.example) == sum(bool(t) for t in examples)
+    queries = [t for t in (text() for _ in range(300)) if t]
+    for t, (found, near) in zip(queries, index.search(counted(queries), 25)):
+        every = matrix @ dense(t)
+        best = np.sort(every)[::-1]
+        assert np.allclose(near[:25], best[:25]) and np.allclose(every[found], near)
+    assert index.opened < 0.6 * len(queries) * index.most.shape[1]
+    own = np.arange(50)
+    for i, (found, near) in zip(own, index.search(counted([examples[e] for e in index.example[:50]]), 25, own)):
+        assert i not in found[np.isfinite(near)]
