@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
+from ..sinks import folders
 
 #: Whitespace of the word rule ``[^\x20\x09-\x0D]+``.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -47,6 +48,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Remove the files of a ``saved`` table that nothing will read any more."""
+    files = df.inputFiles()
+    if files:
+        folders.remove(df.sparkSession, files[0].rsplit("/", 1)[0])
+
+
 def scan_tasks(df: DataFrame) -> int:
     """Tasks that Spark plans for reading ``df``: grows with the input's bytes."""
     return max(1, df.rdd.getNumPartitions())

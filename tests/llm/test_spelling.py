@@ -86,7 +86,7 @@ def test_letters_ends_and_repeats(spark):
 
 
 def test_very_long_words_cost_few_levels(spark):
-    assert len(cut_lengths(100_000)) < 50 and cut_lengths(30)[-1] == 30 and cut_lengths(3) == [0, 1, 2, 3]
+    assert len(cut_lengths(100_000)) < 50 and cut_lengths(30)[-2:] == [24, 36] and cut_lengths(7) == [0, 1, 2, 3, 4, 6, 8]
     rng = random.Random(4)
     base = "".join(rng.choice("abcdefgh") for _ in range(900))
     words = [base, base[:-1], base[1:], base[:450] + base[451:], base[:25] + "z" + base[25:], base + "q", base[:300] + "z" + base[301:],
