@@ -284,35 +284,42 @@ class Index:
               telling: int | None = None, unseen: float = 0.0) -> "Index":
         index = cls(idf, len(idf) if telling is None else telling, unseen, rate)
         kept = np.flatnonzero(counts.words > 0)
-        counts, n = counts.rows(kept), len(kept)
-        weight, rest = index.weights(counts)
-        row = np.repeat(np.arange(n), np.diff(counts.cut))
+        if len(kept) < len(counts.words):
+            counts = counts.rows(kept)
+        n = len(kept)
+        # in single precision and a thousand rows at a time: the driver holds this once
+        weight, rest = np.empty(len(counts.terms), np.float32), np.empty(n)
+        for a in range(0, n, 1000):
+            b = min(a + 1000, n)
+            weight[counts.cut[a]:counts.cut[b]], rest[a:b] = index.weights(counts.rows(np.arange(a, b)))
+        row = np.repeat(np.arange(n, dtype=np.int32), np.diff(counts.cut))
         often = np.argsort(-np.bincount(counts.terms, minlength=len(idf)), kind="stable")[:FREQUENT]
-        index.slot = np.full(len(idf), -1)
+        index.slot = np.full(len(idf), -1, np.int32)
         index.slot[often] = np.arange(1, len(often) + 1)
         slot = index.slot[counts.terms]
         wide = -(-n // BLOCK) * BLOCK
-        dense = np.zeros((1 + len(often), wide))
+        dense = np.zeros((1 + len(often), wide), np.float32)
         dense[0, :n] = rest
         dense[slot[slot >= 0], row[slot >= 0]] = weight[slot >= 0]
         order = np.concatenate([block_order(dense[:, :n].T), np.arange(n, wide)]) if n else np.empty(0, np.int64)
         index.matrix = np.ascontiguousarray(dense[:, order])
         index.most = index.matrix.reshape(len(dense), -1, BLOCK).max(axis=2) if n else np.empty((len(dense), 0))
         index.example, index.toxic = example[kept][order[:n]], toxic[kept][order[:n]]
-        put = np.empty(wide, np.int64)
+        put = np.empty(wide, np.int32)
         put[order] = np.arange(wide)
         rare = slot < 0
         terms, place, weight = counts.terms[rare], put[row[rare]], weight[rare]
+        del row, slot, rare, dense
         by_term = np.argsort(terms, kind="stable")
         index.begin = np.searchsorted(terms[by_term], np.arange(len(idf) + 1))
-        index.place, index.weight = place[by_term].astype(np.int32), weight[by_term]
+        index.place, index.weight = place[by_term], weight[by_term]
         return index
 
     def packed(self) -> bytes:
         """What travels to tasks: weights of single precision, compressed; workers need no
         copy of this package."""
         import zstandard
-        small = replace(self, matrix=self.matrix.astype(np.float32), weight=self.weight.astype(np.float32), most=self.most[:, :0])
+        small = replace(self, most=self.most[:, :0])
         return zstandard.ZstdCompressor(level=3).compress(cloudpickle.dumps(small))
 
     @staticmethod
@@ -463,10 +470,11 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, most: int = EXAMPLES
     index = Index.build(idf, own.column("example").to_numpy(), toxic.astype(float), Counts.of(own), total.rate, len(telling),
                         float(np.log((n + 1) / 2) + 1)) if both else Index(idf, 0, 0.0, total.rate)
     spark = documents.sparkSession
+    size, plain = len(index.example), toxic[own.column("words").to_numpy() == 0]
     shared = spark.sparkContext.broadcast(index.packed())
-    votes = own_votes(known, shared).toArrow() if len(index.example) else None
+    del index, own
+    votes = own_votes(known, shared).toArrow() if size else None
     starts, values = isotonic(votes.column("vote").to_numpy(), votes.column("toxic").to_numpy()) if votes else (np.zeros(1), np.full(1, total.rate))
-    plain = toxic[own.column("words").to_numpy() == 0]
     nothing = (plain.sum() + total.rate) / (len(plain) + 1) if both else total.rate
     names = pa.array([*telling, None], pa.string())
 
