@@ -37,7 +37,7 @@ END_ID = 2
 #: Characters of a text by which rows of one id are ordered.
 HEAD = 32
 #: Pieces a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 
 # --- the file format ---------------------------------------------------------
