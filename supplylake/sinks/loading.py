@@ -156,24 +156,33 @@ def _load_group(spark: SparkSession, base: str, entries: dict[str, str], target:
     top = F.regexp_replace(F.lit(folders.uri(spark, base)), *one_slash)
     uri = F.when(folder == top, path).otherwise(folder)  # an entry is a file, or a folder of files
     stage = scratch_path(spark, "landing_text")
-    (lines.withColumn("_uri", uri).join(F.broadcast(numbers), "_uri").drop("_uri")  # the driver's own list of entries
-     .write.partitionBy(ENTRY).parquet(stage))
+    lines = lines.withColumn("_uri", uri).join(F.broadcast(numbers), "_uri").drop("_uri")  # the driver's own list of entries
+    if len(entries) == 1:  # nothing to deal out, so nothing to sort
+        lines.drop(ENTRY).write.parquet(f"{stage}/{ENTRY}=0")
+    else:
+        lines.write.partitionBy(ENTRY).parquet(stage)
     kinds = T.StructType([*text.fields, T.StructField(BAD_LINE, T.StringType()), T.StructField(ENTRY, T.IntegerType())])
     staged = spark.read.schema(kinds).parquet(stage)
     bad = F.col(BAD_LINE).isNotNull() if schema is None else faults(staged, schema).isNotNull()
-    aggs = [F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad"), F.min(BAD_LINE).alias("line")]
-    stats = staged.groupBy(ENTRY).agg(*aggs, *(kind_bits(list(names)) if schema is None else [])).collect()  # one row an entry
+    # sums and bits alone: a text among them would make Spark sort all rows by entry
+    stats = staged.groupBy(ENTRY).agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad")).collect()  # one row an entry
     by_number = {r[ENTRY]: r for r in stats}
+    kinds_of, example = {}, {}
+    if schema is None:
+        for r in kind_bits(staged, list(names), keys=[ENTRY]).collect():  # one row a column of an entry
+            kinds_of.setdefault(r[ENTRY], []).append(r)
+        if any(r["bad"] for r in stats):
+            example = {r[ENTRY]: r["line"] for r in staged.where(bad).groupBy(ENTRY).agg(F.min(BAD_LINE).alias("line")).collect()}
     results, writes = [], {}
     for i, (entry, name) in enumerate(entries.items()):
         r = by_number.get(i)
         if r is None:
             results.append((entry, name, 0, 0, 0, "skipped", None))
         elif schema is None and r["bad"]:
-            results.append((entry, name, 0, 0, 0, "failed", f"{r['bad']} lines do not fit the header, such as {r['line']!r}"))
+            results.append((entry, name, 0, 0, 0, "failed", f"{r['bad']} lines do not fit the header, such as {example[i]!r}"))
         else:
             results.append((entry, name, r["rows"], r["rows"] - r["bad"], r["bad"], "success", None))
-            types = tuple(chosen_types(list(names), r).items()) if schema is None else ()
+            types = tuple(chosen_types(list(names), kinds_of.get(i, ())).items()) if schema is None else ()
             writes.setdefault(types, []).append(i)
     titles = list(entries.values())
     for types, members in writes.items():
@@ -182,7 +191,7 @@ def _load_group(spark: SparkSession, base: str, entries: dict[str, str], target:
             good = rows.select(*typed_cells(list(names), dict(types)), ENTRY)
         else:
             good = rows.where(~bad).select(*cast_cells(rows, schema), ENTRY)
-        _put_entries(spark, good, {i: f"{target}/{titles[i]}" for i in members})
+        _put_entries(spark, good, {i: f"{target}/{titles[i]}" for i in members if by_number[i]["rows"] > by_number[i]["bad"]})
         rejected = [i for i in members if by_number[i]["bad"]]
         for i in set(members) - set(rejected):
             folders.remove(spark, f"{target}/_rejects/{titles[i]}")  # of an earlier load
@@ -196,7 +205,13 @@ def _load_group(spark: SparkSession, base: str, entries: dict[str, str], target:
 def _put_entries(spark: SparkSession, rows: DataFrame, places: dict[int, str]) -> None:
     """Write the rows of all entries at once, then put each entry's folder in its place."""
     stage = scratch_path(spark, "landing_typed")
-    rows.write.partitionBy(ENTRY).parquet(stage)
+    if not places:
+        return
+    if len(places) == 1:
+        only = next(iter(places))
+        rows.where(F.col(ENTRY) == only).drop(ENTRY).write.parquet(f"{stage}/{ENTRY}={only}")
+    else:
+        rows.write.partitionBy(ENTRY).parquet(stage)
     there = set(folders.names(spark, stage))
     for i, place in places.items():
         if f"{ENTRY}={i}" in there:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import fnmatch
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,44 +124,54 @@ KINDS = ("int", "bigint", "double", "date", "timestamp", "boolean")
 MARKED = 1 << len(KINDS)
 
 
-def kind_bits(columns: list[str], tokens=NULL_TOKENS) -> list[F.Column]:
-    """Aggregates over raw text cells: ``m<i>``, the bits of the kinds that every value of
-    column i has, and ``t<i>``, ``MARKED`` if some cell is a missing-value token."""
+#: What every text holds that casts to a double (a superset of those): a sign, a digit, point,
+#: "inf" or "nan", and the letters of exponents, hex digits and "infinity" after it.
+LIKE_NUMBER = r"^[\x00-\x20]*[+-]?([0-9.]|[iI][nN][fF]|[nN][aA][nN])[0-9a-fA-FxXpPiInNtTyY+.-]*[\x00-\x20]*$"
+
+
+def kind_bits(df: DataFrame, columns: list[str], tokens=NULL_TOKENS, keys: Sequence[str] = ()) -> DataFrame:
+    """``keys..., i, m, t`` of raw text cells: ``m``, the bits of the kinds that every value of
+    column i has, and ``t``, ``MARKED`` if some cell is a missing-value token.
+
+    Each cell becomes a row first, so that one small expression, compiled once, reads all
+    columns; one for each column makes a method too long for the JVM to compile.  Text that
+    cannot be a number is never cast to one: a cast that fails costs an exception."""
     from ..functions.semantics import to_number
     bit = {k: 1 << i for i, k in enumerate(KINDS)}
     whole = bit["bigint"] | bit["double"]
-    out = []
-    for i, c in enumerate(columns):
-        raw = F.col(f"`{c}`")
-        token = strip_ws(raw).isin(list(tokens))
-        x = F.when(~token, raw)
-        mask = (F.when(x.rlike(r"^[+-]?\d+$"), F.when(x.try_cast("int").isNotNull(), bit["int"] | whole)
-                       .when(x.try_cast("bigint").isNotNull(), whole).otherwise(bit["double"]))
-                .when(x.rlike(r"^[+-]?\d*\.?\d+$"), bit["double"])
-                .when(x.rlike(r"^\d{4}-\d{2}-\d{2}$") & x.try_cast("date").isNotNull(), bit["date"])
-                .when(x.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}") & x.try_cast("timestamp").isNotNull(), bit["timestamp"])
-                .when(F.lower(x).isin("true", "false"), bit["boolean"])
-                .when(to_number(x).isNotNull(), bit["double"]).otherwise(0))
-        out.append(F.bit_and(F.when(x.isNotNull(), mask)).alias(f"m{i}"))
-        out.append(F.max(F.when(token & (strip_ws(raw) != ""), MARKED).otherwise(0)).alias(f"t{i}"))
-    return out
-
-
-def chosen_types(columns: list[str], row) -> dict[str, str]:
-    """The type of each column by ``kind_bits``: the first of int, bigint, double, date,
-    timestamp and boolean that every value has, else string.  A column of whole numbers
+    cells = (df.select(*keys, F.posexplode(F.array(*[F.col(f"`{c}`") for c in columns])).alias("i", "raw"))
+             .withColumn("_bare", strip_ws("raw")))
+    token = F.col("_bare").isin(list(tokens))
+    cells = cells.select(*keys, "i", F.when(~token, F.col("raw")).alias("x"),
+                         (token & (F.col("_bare") != "")).alias("marked"))
+    x = F.col("x")
+    mask = (F.when(x.rlike(r"^[+-]?\d+$"), F.when(x.try_cast("int").isNotNull(), bit["int"] | whole)
+                   .when(x.try_cast("bigint").isNotNull(), whole).otherwise(bit["double"]))
+            .when(x.rlike(r"^[+-]?\d*\.?\d+$"), bit["double"])
+            .when(x.rlike(r"^\d{4}-\d{2}-\d{2}$") & x.try_cast("date").isNotNull(), bit["date"])
+            .when(x.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}") & x.try_cast("timestamp").isNotNull(), bit["timestamp"])
+            .when(F.lower(x).isin("true", "false"), bit["boolean"])
+            .when(strip_ws(x).rlike(LIKE_NUMBER) & to_number(x).isNotNull(), bit["double"]).otherwise(0))
+    return cells.groupBy(*keys, "i").agg(F.bit_and(F.when(x.isNotNull(), mask)).alias("m"),
+                                         F.max(F.when(F.col("marked"), MARKED).otherwise(0)).alias("t"))
+
+
+def chosen_types(columns: list[str], rows) -> dict[str, str]:
+    """The type of each column by the rows of ``kind_bits``: the first of int, bigint, double,
+    date, timestamp and boolean that every value has, else string.  A column of whole numbers
     in which some text stood for a missing value becomes double, as pandas types it."""
+    found = {r["i"]: r for r in rows}
     types = {}
     for i, c in enumerate(columns):
-        bits = row[f"m{i}"] or 0
+        bits, marked = (found[i]["m"] or 0, found[i]["t"]) if i in found else (0, 0)
         kind = next((k for j, k in enumerate(KINDS) if bits & (1 << j)), "string")
-        types[c] = "double" if kind in ("int", "bigint") and row[f"t{i}"] else kind
+        types[c] = "double" if kind in ("int", "bigint") and marked else kind
     return types
 
 
 def text_types(df: DataFrame, tokens=NULL_TOKENS) -> dict[str, str]:
     """The type of each text column by all its cells, in one aggregate."""
-    return chosen_types(df.columns, df.agg(*kind_bits(df.columns, tokens)).first())
+    return chosen_types(df.columns, kind_bits(df, df.columns, tokens).collect())  # one row a column
 
 
 def typed_cells(columns: list[str], types: dict[str, str], tokens=NULL_TOKENS) -> list[F.Column]:
@@ -224,8 +235,9 @@ def csv_writer(writer):
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 
-def write_csv(df: DataFrame, path: str) -> str:
-    csv_writer(df.write.mode("overwrite")).csv(path)
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 0) -> str:
+    """``rows_per_file`` bounds the files, for readers that do not split one (``multi_line``)."""
+    csv_writer(df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)).csv(path)
     return path
 
 

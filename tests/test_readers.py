@@ -151,3 +151,54 @@ def test_a_thousand_files_are_a_few_jobs(spark, tmp_path):
     assert sorted(map(tuple, tables["t_02__"].collect()), key=str) == [(4, "q"), (None, "z")]
     assert tables["other"].columns == ["c", "d e"] and "nothing.csv" not in rows  # Spark lists no file of 0 bytes
     assert rows["twice.csv"].total_rows == 1 and set(tables) == {r.table for r in rows.values() if r.inserted_rows}
+
+
+def test_types_are_found_without_sorting_rows_or_wide_expressions(spark, monkeypatch):
+    """One expression reads the cells of all columns, and rows are not sorted by entry."""
+    plans = []
+    plain = FS.kind_bits
+
+    def watched(*args, **kw):
+        out = plain(*args, **kw)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(FS, "kind_bits", watched)
+    folder = scratch_path(spark, "many_columns")
+    for name in ("a", "b"):
+        put(spark, f"{folder}/{name}.csv", [",".join(f"c{i}" for i in range(30)), ",".join(map(str, range(30)))])
+    tables, _ = FS.load_directory(spark, folder, "*.csv", scratch_path(spark, "many_columns_out"))
+    assert set(dict(tables["a"].dtypes).values()) == {"int"}
+    assert len(plans) == 1
+    assert "SortAggregate" not in plans[0] and "Sort [" not in plans[0]
+    assert plans[0].count("RLIKE") < 30
+
+
+@pytest.mark.parametrize("text,kind", [
+    ("1e3", "double"), ("-.5", "double"), ("5.", "double"), (" 7 ", "double"), ("inf", "double"), ("-Infinity", "double"),
+    ("0x1p3", "double"), ("1d", "string"), ("2F", "string"), ("1_1", "string"), ("12 l", "string"), ("12e", "string"),
+    ("infinite", "string"), ("nano", "string"), ("3000000000", "bigint"), ("99999999999999999999", "double"), ("2020-13-01", "string")])
+def test_kinds_of_odd_texts(spark, text, kind):
+    df = spark.createDataFrame([(text, "x"), (None, "y"), ("  ", "z")], "v STRING, w STRING")
+    assert FS.text_types(df) == {"v": kind, "w": "string"}
+
+
+def test_files_of_bounded_size(spark):
+    df = spark.range(95).selectExpr("id", "concat('a', char(10), id) AS t").coalesce(1)
+    path = FS.write_csv(df, scratch_path(spark, "bounded"), rows_per_file=10)
+    assert FS.list_files(spark, path).where("length > 0").count() == 10
+    assert FS.load_csv(spark, path, multi_line=True).count() == 95
+
+
+def test_entries_of_one_header_or_several_without_good_rows(spark):
+    """A single entry is written without dealing its rows out; rejects alone leave no table."""
+    schema = T.StructType([T.StructField("a", T.IntegerType())])
+    for names in (("one",), ("one", "two")):
+        folder, target = scratch_path(spark, "dealt"), scratch_path(spark, "dealt_out")
+        for n in names:
+            put(spark, f"{folder}/{n}.csv", ["a", "x"])
+        tables, res = FS.load_directory(spark, folder, "*.csv", target, {n: schema for n in names})
+        assert tables == {}
+        assert [(r.total_rows, r.inserted_rows, r.failed_rows) for r in res.collect()] == [(1, 0, 1)] * len(names)
+        for n in names:
+            assert [r.a for r in spark.read.parquet(f"{target}/_rejects/{n}").collect()] == ["x"]
