@@ -84,3 +84,52 @@ def test_no_forced_broadcast_of_the_price_list(spark):
             assert "Broadcast" not in plan_text(df)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def exchanged(df):
+    """The columns that each shuffle of a plan carries."""
+    return re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan_text(df))
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_line_items_are_shuffled_without_texts(spark, no_broadcast):
+    from supplylake.sources.star import purchases
+    carried = exchanged(purchases(spark, SF_SMALL, 10))
+    lines = [c for c in carried if "l_quantity" in c]
+    assert len(lines) == 2 and not any(t in c for c in lines for t in ("p_name", "s_name"))
+
+
+@pytest.mark.parametrize("name", ["purchase_summary", "eda_purchase_summary"])
+def test_purchases_are_summed_before_they_meet_the_prices(spark, no_broadcast, name):
+    from supplylake.operators import summary as S
+    from supplylake.plans.tables import stored_star
+    carried = exchanged(getattr(S, name)(stored_star(spark, SF_SMALL)))
+    assert carried and not any(re.search(r"\bQuantity#", c) for c in carried)
+
+
+def test_sums_of_a_brand_listed_twice(spark):
+    """A brand's purchases count once for each of its prices, and equal prices add up."""
+    from supplylake.operators import summary as S
+    from supplylake.sources.star import Star
+    bought = spark.createDataFrame(
+        [(1, "V", 7, "d", "2.0", 3, "6.0"), (1, "V", 7, "d", "2.0", 4, "8.0"), (None, None, 7, None, "2.0", None, None),
+         (2, "W", None, "e", "1.0", 1, "1.0"), (1, "V", 7, "d", "0.0", 9, "9.0")],
+        "VendorNumber bigint, VendorName string, Brand bigint, Description string, PurchasePrice string, Quantity bigint, Dollars string")
+    bought = bought.withColumns({c: bought[c].cast("decimal(14,4)") for c in ("PurchasePrice", "Dollars")})
+    prices = spark.createDataFrame([(7, 1, 5.0, "750", 4.0), (7, 1, 5.0, "750", 4.0), (7, 1, 6.0, "x", 3.0)],
+                                   "Brand bigint, VendorNumber bigint, Price double, Volume string, PurchasePrice double")
+    star = Star(purchases=bought, sales=None, purchase_prices=prices, vendor_invoice=None)
+    found = S.purchase_summary(star)
+    assert dict(found.dtypes)["TotalPurchaseDollars"] == "decimal(24,4)"
+    rows = [(r.VendorNumber, r.ActualPrice, r.TotalPurchaseQuantity, None if r.TotalPurchaseDollars is None else float(r.TotalPurchaseDollars))
+            for r in found.collect()]
+    assert sorted(rows, key=str) == sorted([(1, 5.0, 14, 28.0), (1, 6.0, 7, 14.0), (None, 5.0, None, None), (None, 6.0, None, None)], key=str)
+    eda = [(r.VendorNumber, r.ReferencePurchasePrice, r.TotalPurchaseQuantity) for r in S.eda_purchase_summary(star).collect()]
+    assert sorted(eda, key=str) == sorted([(1, 4.0, 14), (1, 3.0, 7), (None, None, None), (2, None, 1)], key=str)
