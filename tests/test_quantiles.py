@@ -124,3 +124,19 @@ def test_correlation_over_complete_pairs_without_python(spark):
     for (a, b), r in got.items():
         w = want.loc[a, b]
         assert (r is None) == bool(np.isnan(w)) and (r is None or abs(r - w) < 1e-9), (a, b, r, w)
+
+
+def test_brackets_of_many_columns_are_one_expression(spark, monkeypatch):
+    from supplylake.operators import quantiles as Q
+    plans, plain = [], Q.stored
+
+    def watched(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(df, label)
+
+    monkeypatch.setattr(Q, "stored", watched)
+    df = spark.range(101).selectExpr(*[f"IF(id % {i + 2} = 0, NULL, CAST(id * {i + 1} AS DOUBLE)) AS v{i}" for i in range(12)], "CAST(NULL AS DOUBLE) AS none")
+    got = Q.column_quantiles(df, df.columns, [0.25, 0.5, 0.75])
+    row = df.selectExpr(*[f"percentile(v{i}, array(0.25, 0.5, 0.75)) AS v{i}" for i in range(12)]).first()
+    assert {c: q for c, (_, q) in got.items()} == {c: row[c] for c in row.asDict()}
+    assert plans[0].count("CASE WHEN") + plans[0].count("if (") < 30
