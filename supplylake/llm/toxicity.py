@@ -20,8 +20,10 @@ from __future__ import annotations
 import pickle
 import re
 from array import array
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field, replace
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +52,13 @@ BLOCK = 64
 FIRST = 4
 #: Texts compared with the examples at a time.
 TOGETHER = 128
-#: Lengths of the beginnings of words that are terms besides whole words.
+#: Postings of so many examples or more are copied as they lie; the shorter ones of several
+#: texts, about ``GATHERED`` entries, are gathered at once.
+LONG = 128
+GATHERED = 1 << 18
+#: An example's place among the blocks and a term's weight in it, held as one 64-bit number.
+POSTING = np.dtype([("place", np.int32), ("weight", np.float32)])
+#: Lengths of the beginnings of words that are terms besides whole words, shortest first.
 STEMS = (4, 5, 6, 7)
 #: Weight of the rest of a text, where a term that makes up 1 % of it weighs its idf.
 REST = 5.0
@@ -60,12 +68,14 @@ OTHERS = 5.0
 NEAR = 0.02
 #: Weight with which the examples' overall rate joins each vote.
 PRIOR = 1.0
-#: Words that a task remembers the terms of before it starts anew, and bytes of text
-#: whose words are counted at a time.
+#: Words that are no terms but begin like some that a task remembers the terms of before it
+#: starts anew, and bytes of text whose words are counted at a time.
 REMEMBERED = 200_000
 SLICE = 1 << 20
 THRESHOLD = 0.7
 TERM = re.compile(r"\w+")
+#: What ``TERM`` and lower case make of each byte of a text of ASCII: a space parts words.
+PARTED = bytes(ord(c.lower()) if TERM.match(c) and c.isascii() else 32 for c in map(chr, range(256)))
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -128,22 +138,36 @@ def other_words(examples: DataFrame, telling: list[str]) -> list[str]:
 
 
 class Numbered(dict):
-    """Words numbered as they are found, and the terms that each holds: its own and those of
-    its beginnings.  A word that is no term itself is ``strange``."""
+    """The terms and their numbers, and the terms that each word holds: its own and those of
+    its beginnings.  A word that is no term itself is ``strange``: it is numbered when it is
+    found if it holds terms, and any other has the one number after the terms' own."""
 
     def __init__(self, terms: list[str]):
-        super().__init__()
-        self.term = {t: i for i, t in enumerate(terms)}
-        self.begin, self.terms, self.strange = array("q", [0]), array("q"), array("b")
+        super().__init__(zip(terms, range(len(terms))))
+        self.count = len(terms)
+        self.stems = {t[:-1]: i for i, t in enumerate(terms) if t.endswith("*")}
+        self.heads = {t[:STEMS[0]] for t in self.stems}
+        more = [(i, held) for i, t in enumerate(terms) if t[:STEMS[0]] in self.heads and (held := self.begun(t))]
+        each = np.append(np.ones(self.count, np.int64), 0)
+        each[[i for i, _ in more]] += np.array([len(held) for _, held in more], np.int64)
+        begin = np.concatenate(([0], np.cumsum(each)))
+        own = np.empty(begin[-1], np.int64)
+        own[begin[:self.count]] = np.arange(self.count)
+        for i, held in more:
+            own[begin[i] + 1:begin[i + 1]] = held
+        self.begin, self.terms = array("q", begin.tobytes()), array("q", own.tobytes())
+        self.strange = array("b", bytes(self.count) + b"\1")
+
+    def begun(self, word: str) -> list[int]:
+        return [self.stems[n] for k in STEMS if len(word) > k and (n := word[:k]) in self.stems]
 
     def __missing__(self, word: str) -> int:
-        own = self.term.get(word)
-        if own is not None:
-            self.terms.append(own)
-        self.terms.extend(self.term[n] for k in STEMS if len(word) > k and (n := word[:k] + "*") in self.term)
+        if word[:STEMS[0]] not in self.heads or not (held := self.begun(word)):
+            return self.count
+        self.terms.extend(held)
         self.begin.append(len(self.terms))
-        self.strange.append(own is None)
-        self[word] = number = len(self)
+        self.strange.append(True)
+        self[word] = number = len(self.strange) - 1
         return number
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -180,22 +204,32 @@ class Counts:
         return Counts(self.words[at], self.unknown[at], np.concatenate(([0], ends)), self.terms[flat], self.counts[flat])
 
 
+def words_of(text: str | None) -> list[str]:
+    """``TERM`` of the lower-cased text."""
+    text = text or ""
+    return text.encode().translate(PARTED).decode().split() if text.isascii() else TERM.findall(text.lower())
+
+
 def count_terms(texts: list, numbered: Numbered) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For whole texts: their numbers of words, the squared counts of strange words, how
     many terms each holds, and the terms (ascending in a text) and their counts."""
-    found = [TERM.findall((t or "").lower()) for t in texts]
-    size = np.array([len(w) for w in found], np.int64)
-    word = np.fromiter((n for words in found for n in map(numbered.__getitem__, words)), np.int64, int(size.sum()))
+    found = [Counter(words_of(t)) for t in texts]
+    text = np.repeat(np.arange(len(texts)), [len(words) for words in found])
+    word = np.fromiter(map(numbered.__getitem__, chain.from_iterable(found)), np.int64, len(text))
+    times = np.fromiter(chain.from_iterable(words.values() for words in found), np.int64, len(text))
     begin, terms, strange = numbered.arrays()
-    span, top = max(1, len(strange)), max(1, len(numbered.term))
-    pairs, times = np.unique(np.repeat(np.arange(len(texts)), size) * span + word, return_counts=True)
-    text, word = pairs // span, pairs % span
-    unknown = np.bincount(text, np.where(strange[word] if len(word) else False, times.astype(float) ** 2, 0.0), minlength=len(texts))
+    top = max(1, numbered.count)
+    size = np.bincount(text, times, minlength=len(texts)).astype(np.int64)
+    unknown = np.bincount(text, np.where(strange[word], times.astype(float) ** 2, 0.0), minlength=len(texts))
     each = begin[word + 1] - begin[word]
     ends = np.cumsum(each)
     at = np.repeat(begin[word] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)
-    held, place = np.unique(np.repeat(text, each) * top + terms[at], return_inverse=True)
-    counts = np.bincount(place, np.repeat(times, each), minlength=len(held)).astype(np.int64)
+    pairs, times = np.repeat(text, each) * top + terms[at], np.repeat(times, each)
+    order = np.argsort(pairs)
+    pairs = pairs[order]
+    first = np.flatnonzero(np.diff(pairs, prepend=-1))
+    counts = np.add.reduceat(times[order], first) if len(first) else times
+    held = pairs[first]
     return size, unknown, np.bincount(held // top, minlength=len(texts)), held % top, counts
 
 
@@ -208,7 +242,7 @@ def term_counts(rows: DataFrame, terms: list[str], columns: list[str]) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbered = Numbered(shared.value)
         for batch in text_slices(batches, SLICE):
-            if len(numbered) > REMEMBERED:
+            if len(numbered) > numbered.count + REMEMBERED:
                 numbered = Numbered(shared.value)
             size, unknown, held, ids, counts = count_terms(batch.column("text").to_pylist(), numbered)
             yield pa.RecordBatch.from_arrays(
@@ -256,7 +290,7 @@ def block_order(vectors: np.ndarray) -> np.ndarray:
 class Index:
     """The examples' weights, in the order of their blocks: ``matrix`` and the block maxima
     ``most`` of the fixed dimension and the most frequent terms (``slot`` is a term's row or
-    -1), and postings of the others.  Terms below ``telling`` are telling ones, ``unseen``
+    -1), and postings of the others (``POSTING``, a term's from ``begin``).  Terms below ``telling`` are telling ones, ``unseen``
     is the idf of a word that is no term."""
     idf: np.ndarray
     telling: int
@@ -268,8 +302,7 @@ class Index:
     matrix: np.ndarray = field(default_factory=lambda: np.empty((1, 0)))
     most: np.ndarray = field(default_factory=lambda: np.empty((1, 0)))
     begin: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
-    place: np.ndarray = field(default_factory=lambda: np.empty(0, np.int32))
-    weight: np.ndarray = field(default_factory=lambda: np.empty(0))
+    post: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     opened: int = 0
 
     @classmethod
@@ -310,9 +343,11 @@ class Index:
         rare = slot < 0
         terms, place, weight = counts.terms[rare], put[row[rare]], weight[rare]
         del row, slot, rare, dense
-        by_term = np.argsort(terms, kind="stable")
+        by_term = np.lexsort((place, terms))
         index.begin = np.searchsorted(terms[by_term], np.arange(len(idf) + 1))
-        index.place, index.weight = place[by_term], weight[by_term]
+        post = np.empty(len(terms), POSTING)
+        post["place"], post["weight"] = place[by_term], weight[by_term]
+        index.post = post.view(np.int64)
         return index
 
     def packed(self) -> bytes:
@@ -326,7 +361,7 @@ class Index:
     def unpacked(data: bytes) -> "Index":
         import zstandard
         index = pickle.loads(zstandard.ZstdDecompressor().decompress(data))
-        index.matrix, index.weight = index.matrix.astype(float), index.weight.astype(float)
+        index.matrix = index.matrix.astype(float)
         index.most = index.matrix.reshape(len(index.matrix), -1, BLOCK).max(axis=2) if index.matrix.size else index.most
         return index
 
@@ -356,6 +391,39 @@ class Index:
             part = counts.rows(np.arange(at, min(at + TOGETHER, len(counts.words))))
             yield from self._together(part, k, None if without is None else without[at:at + TOGETHER])
 
+    def _rarer(self, counts: Counts, weight: np.ndarray) -> np.ndarray:
+        """What the rarer terms add up to, a row of all examples for each text."""
+        m, wide = len(counts.words), self.matrix.shape[1]
+        begin = self.begin[counts.terms]
+        size = self.begin[counts.terms + 1] - begin
+        score = np.empty((m, wide))
+
+        def added(post: np.ndarray, times: np.ndarray, to: np.ndarray | int, rows: int) -> np.ndarray:
+            post = post.view(POSTING)
+            times *= post["weight"]
+            return np.bincount(to + post["place"], times, minlength=rows * wide).reshape(rows, wide)
+
+        short = np.flatnonzero((size > 0) & (size < LONG))
+        cut = np.searchsorted(short, counts.cut)
+        done = np.concatenate(([0], np.cumsum(size[short])))[cut]
+        a = 0
+        while a < m:  # the short postings of some texts
+            b = max(a + 1, int(np.searchsorted(done, done[a] + GATHERED, side="right")) - 1)
+            own = short[cut[a]:cut[b]]
+            each = size[own]
+            at = np.repeat(begin[own] - (np.cumsum(each) - each), each) + np.arange(done[b] - done[a])
+            to = np.repeat(np.repeat(np.arange(b - a) * wide, np.diff(cut[a:b + 1])), each)
+            score[a:b] = added(self.post[at], np.repeat(weight[own], each), to, b - a)
+            a = b
+        own = np.flatnonzero(size >= LONG)
+        cut = np.searchsorted(own, counts.cut).tolist()
+        each, times = size[own], weight[own]
+        parts = [slice(a, b) for a, b in zip(begin[own].tolist(), (begin[own] + each).tolist())]
+        for i, (a, b) in enumerate(zip(cut[:-1], cut[1:])):  # the long ones of a text, end to end
+            if a < b:
+                score[i] += added(np.concatenate([self.post[p] for p in parts[a:b]]), np.repeat(times[a:b], each[a:b]), 0, 1)[0]
+        return score
+
     def _together(self, counts: Counts, k: int, without: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         m, n, wide = len(counts.words), len(self.example), self.matrix.shape[1]
         weight, rest = self.weights(counts)
@@ -363,20 +431,7 @@ class Index:
         query = np.zeros((m, len(self.matrix)))
         query[:, 0] = rest
         query[row[slot >= 0], slot[slot >= 0]] = weight[slot >= 0]
-        score = np.empty((m, wide))
-        begin, end = self.begin[counts.terms], self.begin[counts.terms + 1]
-        used = np.flatnonzero((slot < 0) & (end > begin))
-        cut = np.searchsorted(used, counts.cut)
-        begin, end, times = begin[used], end[used], weight[used]
-        for i in range(m):  # the postings of a text's rarer terms, end to end
-            own = slice(cut[i], cut[i + 1])
-            parts = [slice(a, b) for a, b in zip(begin[own].tolist(), end[own].tolist())]
-            if parts:
-                each = np.repeat(times[own], end[own] - begin[own])
-                each *= np.concatenate([self.weight[p] for p in parts])
-                score[i] = np.bincount(np.concatenate([self.place[p] for p in parts]), each, minlength=wide)
-            else:
-                score[i] = 0.0
+        score = self._rarer(counts, weight)
         bound = score.reshape(m, -1, BLOCK).max(axis=2) + query @ self.most + 1e-9
         near, opened = np.full((m, wide), -np.inf), np.zeros(bound.shape, bool)
 

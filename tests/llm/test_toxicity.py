@@ -150,3 +150,61 @@ def test_whole_vectors_against_brute_force(monkeypatch):
     own = np.arange(50)
     for i, (found, near) in zip(own, index.search(counted([examples[e] for e in index.example[:50]]), 25, own)):
         assert i not in found[np.isfinite(near)]
+
+
+def test_words_are_counted_without_remembering_strange_ones():
+    """Only words that hold terms are numbered, in texts of ASCII and others alike."""
+    from collections import Counter
+
+    from supplylake.llm import toxicity as T
+    terms = ["vile", "vile*", "vilen*", "scum", "straße", "été", "x_1"]
+    numbered = T.Numbered(terms)
+    rng = random.Random(4)
+    known = ["vile", "VILENESS", "vilest", "vil", "Scum", "scummy", "x_1", "straße", "ÉTÉ", "İ", "٣"]
+    texts = [None, "", "...", "a\x00b\x1fc\x85d", "vile-vile;VILE"]
+    for i in range(300):
+        words = [rng.choice(known) if rng.random() < 0.3 else f"w{rng.randrange(10 ** 6)}" for _ in range(rng.randrange(40))]
+        texts.append(rng.choice([" ", ", ", "\n\t", "'"]).join(w for w in words if i % 2 or w.isascii()))
+    size, unknown, held, ids, counts = T.count_terms(texts, numbered)
+    cut = np.concatenate(([0], np.cumsum(held)))
+    for i, text in enumerate(texts):
+        words = Counter(T.TERM.findall((text or "").lower()))
+        right = Counter()
+        for w, n in words.items():
+            for t in [w, *(w[:k] + "*" for k in T.STEMS if len(w) > k)]:
+                if t in terms:
+                    right[terms.index(t)] += n
+        assert size[i] == words.total()
+        assert unknown[i] == sum(n * n for w, n in words.items() if w not in terms)
+        assert list(zip(ids[cut[i]:cut[i + 1]], counts[cut[i]:cut[i + 1]])) == sorted(right.items())
+    assert set(numbered) == {*terms, "vileness", "vilest"}
+
+
+def test_postings_are_gathered_for_some_texts_at_once(monkeypatch):
+    """Short postings of several texts and long ones add up to the plain sums, however
+    many are gathered at once, and the steps are far fewer than the texts."""
+    from supplylake.llm import toxicity as T
+    monkeypatch.setattr(T, "FREQUENT", 5)
+    rng = np.random.default_rng(9)
+
+    def some(e):
+        t = np.unique((200 * rng.random(rng.integers(0, 30)) ** 2).astype(int))
+        return Row(example=e, toxic=0, words=int(rng.integers(30, 90)), terms=t.tolist(), counts=rng.integers(1, 5, len(t)).tolist())
+
+    idf = rng.random(200) + 0.5
+    index = Index.of(idf, [some(e) for e in range(500)], 0.5)
+    counts = T.Counts.listed([some(-1) for _ in range(150)])
+    weight, _ = index.weights(counts)
+    plain = np.zeros((150, index.matrix.shape[1]))
+    for i in range(150):
+        for j in range(counts.cut[i], counts.cut[i + 1]):
+            own = index.post[index.begin[counts.terms[j]]:index.begin[counts.terms[j] + 1]].view(T.POSTING)
+            plain[i, own["place"]] += weight[j] * own["weight"]
+    steps, counted = [], np.bincount
+    monkeypatch.setattr(T.np, "bincount", lambda *a, **k: steps.append(1) or counted(*a, **k))
+    for long, gathered, most in ((10 ** 6, 10 ** 6, 1), (10 ** 6, 1500, 75), (10 ** 6, 1, 150), (20, 1 << 18, 151), (1, 1, 300)):
+        monkeypatch.setattr(T, "LONG", long)
+        monkeypatch.setattr(T, "GATHERED", gathered)
+        steps.clear()
+        assert np.allclose(index._rarer(counts, weight), plain, atol=1e-12)
+        assert len(steps) <= most
