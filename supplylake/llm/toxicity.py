@@ -17,6 +17,7 @@ the examples' own votes (each without itself) turns votes into probabilities.
 
 from __future__ import annotations
 
+import io
 import pickle
 import re
 from array import array
@@ -53,7 +54,7 @@ FIRST = 4
 #: Texts compared with the examples at a time.
 TOGETHER = 128
 #: Postings of so many examples or more are copied as they lie; the shorter ones of several
-#: texts, about ``GATHERED`` entries, are gathered at once.
+#: texts, about ``GATHERED`` entries with the texts' sums, are gathered at once.
 LONG = 128
 GATHERED = 1 << 18
 #: An example's place among the blocks and a term's weight in it, held as one 64-bit number.
@@ -360,9 +361,10 @@ class Index:
     @staticmethod
     def unpacked(data: bytes) -> "Index":
         import zstandard
-        index = pickle.loads(zstandard.ZstdDecompressor().decompress(data))
-        index.matrix = index.matrix.astype(float)
-        index.most = index.matrix.reshape(len(index.matrix), -1, BLOCK).max(axis=2) if index.matrix.size else index.most
+        # read as a stream: the worker never holds all of it twice
+        with zstandard.ZstdDecompressor().stream_reader(data) as stream:
+            index = pickle.load(io.BufferedReader(stream))
+        index.most = index.matrix.reshape(len(index.matrix), -1, BLOCK).max(axis=2).astype(float) if index.matrix.size else index.most
         return index
 
     def weights(self, counts: Counts) -> tuple[np.ndarray, np.ndarray]:
@@ -406,9 +408,10 @@ class Index:
         short = np.flatnonzero((size > 0) & (size < LONG))
         cut = np.searchsorted(short, counts.cut)
         done = np.concatenate(([0], np.cumsum(size[short])))[cut]
+        held = done + wide * np.arange(m + 1)
         a = 0
         while a < m:  # the short postings of some texts
-            b = max(a + 1, int(np.searchsorted(done, done[a] + GATHERED, side="right")) - 1)
+            b = max(a + 1, int(np.searchsorted(held, held[a] + GATHERED, side="right")) - 1)
             own = short[cut[a]:cut[b]]
             each = size[own]
             at = np.repeat(begin[own] - (np.cumsum(each) - each), each) + np.arange(done[b] - done[a])

@@ -202,7 +202,7 @@ def test_postings_are_gathered_for_some_texts_at_once(monkeypatch):
             plain[i, own["place"]] += weight[j] * own["weight"]
     steps, counted = [], np.bincount
     monkeypatch.setattr(T.np, "bincount", lambda *a, **k: steps.append(1) or counted(*a, **k))
-    for long, gathered, most in ((10 ** 6, 10 ** 6, 1), (10 ** 6, 1500, 75), (10 ** 6, 1, 150), (20, 1 << 18, 151), (1, 1, 300)):
+    for long, gathered, most in ((10 ** 6, 10 ** 6, 1), (10 ** 6, 5000, 75), (10 ** 6, 1, 150), (20, 1 << 18, 151), (1, 1, 300)):
         monkeypatch.setattr(T, "LONG", long)
         monkeypatch.setattr(T, "GATHERED", gathered)
         steps.clear()
