@@ -17,22 +17,19 @@ the examples' own votes (each without itself) turns votes into probabilities.
 
 from __future__ import annotations
 
-import io
-import pickle
 import re
 from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import list_array, saved, text_slices
+from .common import ARROW_BYTES, forget, list_array, saved, settings, text_slices
 
 #: At most so many labelled rows are examples; more are thinned by a hash of their id.
 EXAMPLES = 12_000
@@ -73,6 +70,9 @@ PRIOR = 1.0
 #: starts anew, and bytes of text whose words are counted at a time.
 REMEMBERED = 200_000
 SLICE = 1 << 20
+#: Bytes of rows that a task gets at a time, and rows of ``term_counts`` scored at a time.
+BATCH = "2m"
+SCORED = 8 * TOGETHER
 THRESHOLD = 0.7
 TERM = re.compile(r"\w+")
 #: What ``TERM`` and lower case make of each byte of a text of ASCII: a space parts words.
@@ -351,21 +351,10 @@ class Index:
         index.post = post.view(np.int64)
         return index
 
-    def packed(self) -> bytes:
-        """What travels to tasks: weights of single precision, compressed; workers need no
-        copy of this package."""
-        import zstandard
-        small = replace(self, most=self.most[:, :0])
-        return zstandard.ZstdCompressor(level=3).compress(cloudpickle.dumps(small))
-
-    @staticmethod
-    def unpacked(data: bytes) -> "Index":
-        import zstandard
-        # read as a stream: the worker never holds all of it twice
-        with zstandard.ZstdDecompressor().stream_reader(data) as stream:
-            index = pickle.load(io.BufferedReader(stream))
-        index.most = index.matrix.reshape(len(index.matrix), -1, BLOCK).max(axis=2).astype(float) if index.matrix.size else index.most
-        return index
+    def parts(self) -> dict:
+        """What is broadcast, plain arrays by name: workers need no copy of this package, and
+        hold the index once, for all of their tasks."""
+        return vars(self) | {"most": self.most.astype(float)}
 
     def weights(self, counts: Counts) -> tuple[np.ndarray, np.ndarray]:
         """Every row's weights of its terms and of the fixed dimension; a row's norm is 1
@@ -471,12 +460,19 @@ class Index:
         return float(((weight * self.toxic[rows]).sum() + PRIOR * self.rate) / (weight.sum() + PRIOR))
 
 
+def row_slices(batches: Iterator[pa.RecordBatch], rows: int = SCORED) -> Iterator[pa.RecordBatch]:
+    """The same rows, at most so many at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def own_votes(examples: DataFrame, shared) -> DataFrame:
     """``toxic, vote`` of each example that has words, from the others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index.unpacked(shared.value)
+        index = Index(**shared.value)
         number = {e: i for i, e in enumerate(index.example.tolist())}
-        for batch in batches:
+        for batch in row_slices(batches):
             known = np.flatnonzero(batch.column("words").to_numpy() > 0)
             own = np.array([number[e] for e in batch.column("example").take(pa.array(known)).to_pylist()], np.int64)
             votes = [index.vote(*found) for found in index.search(Counts.of(batch).rows(known), without=own)]
@@ -519,26 +515,27 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, most: int = EXAMPLES
     terms = telling + (other_words(examples, telling) if both else [])
     counted = saved(term_counts(documents.select(
         "doc_id", "text", held_out().alias("held_out"), F.xxhash64("doc_id", "text").alias("row_key")),
-        terms, ["doc_id", "held_out", "row_key"]), "toxic-counts")
-    n = counted.count()
-    idf = np.log((n + 1) / (document_frequencies(counted, len(terms)) + 1)) + 1
-    known = saved(term_counts(examples, terms, ["example", "toxic"]), "toxic-example-counts")
+        terms, ["doc_id", "held_out", "row_key"]), "toxic-counts", BATCH)
+    spark, n = documents.sparkSession, counted.count()
+    with settings(spark, {ARROW_BYTES: BATCH}):
+        idf = np.log((n + 1) / (document_frequencies(counted, len(terms)) + 1)) + 1
+    known = saved(term_counts(examples, terms, ["example", "toxic"]), "toxic-example-counts", BATCH)
     own = known.orderBy("example").toArrow()
     toxic = own.column("toxic").to_numpy()
     index = Index.build(idf, own.column("example").to_numpy(), toxic.astype(float), Counts.of(own), total.rate, len(telling),
                         float(np.log((n + 1) / 2) + 1)) if both else Index(idf, 0, 0.0, total.rate)
-    spark = documents.sparkSession
     size, plain = len(index.example), toxic[own.column("words").to_numpy() == 0]
-    shared = spark.sparkContext.broadcast(index.packed())
+    shared = spark.sparkContext.broadcast(index.parts())
     del index, own
-    votes = own_votes(known, shared).toArrow() if size else None
+    with settings(spark, {ARROW_BYTES: BATCH}):
+        votes = own_votes(known, shared).toArrow() if size else None
     starts, values = isotonic(votes.column("vote").to_numpy(), votes.column("toxic").to_numpy()) if votes else (np.zeros(1), np.full(1, total.rate))
     nothing = (plain.sum() + total.rate) / (len(plain) + 1) if both else total.rate
     names = pa.array([*telling, None], pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index.unpacked(shared.value)
-        for batch in batches:
+        index = Index(**shared.value)
+        for batch in row_slices(batches):
             counts = Counts.of(batch)
             score, near = np.full(batch.num_rows, float(nothing)), [[]] * batch.num_rows
             known = np.flatnonzero(counts.words > 0) if len(index.example) else np.empty(0, np.int64)
@@ -556,8 +553,11 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, most: int = EXAMPLES
                  pa.array(near, pa.list_(pa.int64())), words, batch.column("row_key")],
                 ["doc_id", "held_out", "score", "predicted", "neighbours", "words", "row_key"])
 
-    return counted.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, "
-                                   "neighbours array<long>, words array<string>, row_key long")
+    # stored, so that no caller's shuffle runs beside the search, whose workers hold the index
+    scored = saved(counted.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, "
+                                           "neighbours array<long>, words array<string>, row_key long"), "toxic-scores", BATCH)
+    forget(counted)
+    return scored
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -208,3 +208,46 @@ def test_postings_are_gathered_for_some_texts_at_once(monkeypatch):
         steps.clear()
         assert np.allclose(index._rarer(counts, weight), plain, atol=1e-12)
         assert len(steps) <= most
+
+
+def test_workers_get_small_batches_and_search_apart_from_the_join(spark, monkeypatch):
+    """Texts and counted terms reach a worker a few at a time, whatever a batch of Spark's
+    holds by default; scores are stored before documents are shuffled, and are the same."""
+    from supplylake.llm import toxicity as T
+    rows, labels = corpus(spark)
+    docs, known = awkward(spark, rows).coalesce(1), spark.createDataFrame([(i, y) for i, y, _ in labels], "doc_id long, toxic int")
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    plain, before = {r.doc_id: r.score for r in score_toxicity(docs, known).collect()}, spark.conf.get(setting)
+    of, slices = T.Counts.of, T.text_slices
+
+    def small(batches):
+        for batch in batches:
+            assert batch.nbytes < 1 << 16, batch.nbytes
+            yield batch
+
+    def few(batch):
+        assert batch.num_rows <= 100 or not isinstance(batch, T.pa.RecordBatch), batch.num_rows
+        return of(batch)
+
+    monkeypatch.setattr(T, "BATCH", "32k", raising=False)
+    monkeypatch.setattr(T, "text_slices", lambda batches, *limit: slices(small(batches) if limit else batches, *limit))
+    monkeypatch.setattr(T, "row_slices", lambda batches, cut=T.row_slices: cut(small(batches), 100))
+    monkeypatch.setattr(T.Counts, "of", few)
+    assert {r.doc_id: r.score for r in score_toxicity(docs, known).collect()} == plain
+    assert spark.conf.get(setting) == before
+    assert "MapInArrow" not in without_toxic(docs, known)._jdf.queryExecution().toString()
+
+
+def test_a_broadcast_index_finds_the_same():
+    import pickle
+    rng = np.random.default_rng(6)
+
+    def some(e):
+        t = np.unique(rng.integers(0, 400, rng.integers(1, 30)))
+        return Row(example=e, toxic=0, words=int(rng.integers(30, 90)), terms=t.tolist(), counts=rng.integers(1, 5, len(t)).tolist())
+
+    index = Index.of(rng.random(400) + 0.5, [some(e) for e in range(300)], 0.5)
+    there = Index(**pickle.loads(pickle.dumps(index.parts(), 5)))
+    for row in [some(-1) for _ in range(50)]:
+        for a, b in zip(index.nearest(row, 9), there.nearest(row, 9)):
+            assert np.allclose(a, b)
