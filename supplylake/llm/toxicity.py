@@ -425,26 +425,28 @@ class Index:
         query[row[slot >= 0], slot[slot >= 0]] = weight[slot >= 0]
         score = self._rarer(counts, weight)
         bound = score.reshape(m, -1, BLOCK).max(axis=2) + query @ self.most + 1e-9
-        near, opened = np.full((m, wide), -np.inf), np.zeros(bound.shape, bool)
+        score[:, n:] = -np.inf
+        opened = np.zeros(bound.shape, bool)
 
         def open_blocks(wanted: np.ndarray) -> None:
             for b in np.flatnonzero(wanted.any(axis=0)).tolist():
                 rows, part = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, min((b + 1) * BLOCK, n))
-                near[rows, part] = score[rows, part] + query[rows] @ self.matrix[:, part]
+                score[rows, part] += query[rows] @ self.matrix[:, part]
             opened[wanted] = True
             self.opened += int(wanted.sum())
             if without is not None:
-                near[np.arange(m), without] = -np.inf
+                score[np.arange(m), without] = -np.inf
 
         first = np.argpartition(-bound, min(FIRST, bound.shape[1]) - 1, axis=1)[:, :FIRST]
         wanted = np.zeros_like(opened)
         np.put_along_axis(wanted, first, True, axis=1)
         open_blocks(wanted)
         # a block can hold a neighbour only if it can reach the k-th best of the first blocks
-        some = np.take_along_axis(near.reshape(m, -1, BLOCK), first[:, :, None], axis=1).reshape(m, -1)
+        some = np.take_along_axis(score.reshape(m, -1, BLOCK), first[:, :, None], axis=1).reshape(m, -1)
         least = np.partition(some, some.shape[1] - k, axis=1)[:, some.shape[1] - k] if some.shape[1] >= k else np.full(m, -np.inf)
         open_blocks(~opened & (bound >= least[:, None]))
-        for each, limit in zip(near, np.maximum(least, -1.0)):
+        score.reshape(m, -1, BLOCK)[~opened] = -np.inf
+        for each, limit in zip(score, np.maximum(least, -1.0)):
             kept = np.flatnonzero(each >= limit - 1e-12)
             if len(kept) > k:
                 found = each[kept]
