@@ -254,15 +254,16 @@ def edited(states: DataFrame, level: DataFrame) -> DataFrame:
         ["node", "salt"])
     size, left = F.char_length(label), F.char_length(text) - position
     same, fewer = piece(text, position, size), piece(text, position, size - 1)
-    replaced = ((left >= size) & (label > same) & has(F.col("lengths"), length_bit(F.char_length(text)))
+    replaced = ((left >= size) & has(F.col("lengths"), length_bit(F.char_length(text))) & (label > same)
                 & (F.levenshtein(label, same, 1) == 1))
     # a letter inserted into a run of its like counts at the run's end only
-    inserted = ((left >= size - 1) & (label != same) & has(F.col("lengths"), length_bit(F.char_length(text) + 1))
+    inserted = ((left >= size - 1) & has(F.col("lengths"), length_bit(F.char_length(text) + 1)) & (label != same)
                 & (F.levenshtein(label, fewer, 1) == 1))
-    moves = F.array_compact(F.array(F.when(replaced, position + size), F.when(inserted, position + size - 1)))
-    return (met.withColumn("moves", moves).filter(F.size("moves") > 0)
-            .select("way", "text", "start", F.explode("moves").alias("position"), F.lit(1).alias("edits"),
-                    F.concat("node", "label").alias("node"), "ends", "next_1", "next_2", "dealt"))
+    # few meetings pass this; arrays of moves are made of those only
+    moves = F.array(F.when(replaced, position + size), F.when(inserted, position + size - 1))
+    return (met.filter(replaced | inserted)
+            .select("way", "text", "start", F.explode(moves).alias("position"), F.lit(1).alias("edits"),
+                    F.concat("node", "label").alias("node"), "ends", "next_1", "next_2", "dealt").filter("position IS NOT NULL"))
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
@@ -281,8 +282,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
         one, two = next_bits(F.col("text"), position)
         goes_on = F.when(F.col("edits") == 0, F.col("next_1") != 0).otherwise(
             has(F.col("next_1"), one) & ((rest == 1) | has(F.col("next_2"), two)))
-        uses = F.array_compact(F.array(F.when(goes_on, GOES_ON), F.when(ended, ENDED)))
-        read = by_level(reached.select(*STATE, F.explode(uses).alias("use")), "use", "trie-states")
+        uses = F.array(F.when(goes_on, GOES_ON), F.when(ended, ENDED))
+        read = by_level(reached.select(*STATE, F.explode(uses).alias("use")).filter("use IS NOT NULL"), "use", "trie-states")
         ends.append(read(ENDED))
         if states is not None:
             forget(states)

@@ -110,3 +110,13 @@ def test_awkward_rows(spark):
     check(spark, awkward(spark), 3)
     assert spelling_variants(empty(spark)).count() == 0
     assert spelling_variants(spark.createDataFrame([(1, None), (2, ""), (3, "a bb 123")], "doc_id long, text string")).count() == 0
+
+
+def test_meetings_are_compared_without_lambdas(spark):
+    """A state meets every edge beside it, and Spark does not compile functions with lambdas."""
+    words = spark.createDataFrame([("abcde",), ("abcdf",), ("abcdef",), ("abxdef",)], "word string")
+    cuts = cut_lengths(6)
+    entering, edges = spelling.trie_levels(spelling.ways(words, cuts), cuts)
+    met = spelling.edited(entering(2), edges(2))
+    assert "lambdafunction" not in met._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.text, r.node, r.position) for r in met.collect()} == {("abcde", ">abx", 2), ("abcdf", ">abx", 2)}
