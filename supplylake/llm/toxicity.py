@@ -100,18 +100,35 @@ def example_rows(documents: DataFrame, labels: DataFrame, most: int = EXAMPLES,
             .filter("mean <> 0.5").select("example", "text", (F.col("mean") > 0.5).cast("int").alias("toxic")))
 
 
+def term_sums(examples: DataFrame) -> DataFrame:
+    """``term``, ``n`` and ``a``: in how many examples, and toxic ones, each word occurs, and
+    ``len(STEMS)`` times in how many each beginning of a word.  How long a beginning is comes
+    from its word's place in the text, not from ``STEMS`` (see the README).  A slice of texts
+    is counted where it is read, so that no row is made for each word of a text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, SLICE):
+            n, a = Counter(), Counter()
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+                words = list(dict.fromkeys(words_of(text)))
+                long = [w for i, w in enumerate(words) if len(w) > i]
+                held = dict.fromkeys(words, 1) | {w[:i] + "*": len(STEMS) for i, w in enumerate(long)}
+                n.update(held)
+                if toxic:
+                    a.update(held)
+            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array([a[t] for t in n], pa.int64()),
+                                              pa.array(list(n.values()), pa.int64())], ["term", "a", "n"])
+
+    return (examples.select("toxic", "text").mapInArrow(run, "term string, a long, n long")
+            .groupBy("term").agg(F.sum("a").alias("a"), F.sum("n").alias("n")))
+
+
 def telling_terms(examples: DataFrame, most: int = TERMS, least: float = EVIDENCE, odds: float = ODDS) -> list[str]:
     """The terms that speak for toxicity most, by log-likelihood ratio, among those
     that raise its odds enough."""
     totals = examples.agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).first()
     if not totals.t or totals.t == totals.n:
         return []
-    words = examples.select("toxic", F.array_distinct(F.regexp_extract_all(
-        F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))).alias("words"))
-    stems = [F.array_distinct(F.transform(F.filter("words", lambda w, k=k: F.length(w) > k),
-                                          lambda w, k=k: F.concat(F.substring(w, 1, k), F.lit("*")))) for k in STEMS]
-    counts = (words.select("toxic", F.explode(F.concat("words", *stems)).alias("term")).groupBy("term")
-              .agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 2"))
+    counts = term_sums(examples).filter("n > 2")
     rate = totals.t / totals.n
     a, b = F.col("a"), F.col("n") - F.col("a")
     other_a, other_b = totals.t - a, totals.n - totals.t - b
@@ -512,13 +529,15 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, most: int = EXAMPLES
     """
     examples = saved(example_rows(documents, labels, most), "toxic-examples")
     total = examples.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg("toxic"), F.lit(0.0)).alias("rate")).first()
-    telling = telling_terms(examples)
-    both = 0 < total.rate < 1
-    terms = telling + (other_words(examples, telling) if both else [])
+    spark = documents.sparkSession
+    with settings(spark, {ARROW_BYTES: BATCH}):
+        telling = telling_terms(examples)
+        both = 0 < total.rate < 1
+        terms = telling + (other_words(examples, telling) if both else [])
     counted = saved(term_counts(documents.select(
         "doc_id", "text", held_out().alias("held_out"), F.xxhash64("doc_id", "text").alias("row_key")),
         terms, ["doc_id", "held_out", "row_key"]), "toxic-counts", BATCH)
-    spark, n = documents.sparkSession, counted.count()
+    n = counted.count()
     with settings(spark, {ARROW_BYTES: BATCH}):
         idf = np.log((n + 1) / (document_frequencies(counted, len(terms)) + 1)) + 1
     known = saved(term_counts(examples, terms, ["example", "toxic"]), "toxic-example-counts", BATCH)

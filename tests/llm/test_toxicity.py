@@ -251,3 +251,24 @@ def test_a_broadcast_index_finds_the_same():
     for row in [some(-1) for _ in range(50)]:
         for a, b in zip(index.nearest(row, 9), there.nearest(row, 9)):
             assert np.allclose(a, b)
+
+
+def test_terms_are_summed_where_texts_are_read(spark, monkeypatch):
+    """The examples with each word and beginning of a word are counted slice by slice, with
+    no row for each word of a text; the sums are those of a row for each."""
+    from pyspark.sql import functions as F
+    from supplylake.llm import toxicity as T
+    texts = [("Straße_1 ÉTÉ été vilest vileness VILEST", 1), ("", 0), ("abcd abcde abcdefgh x\u0301y ١٢ vileness", 0),
+             ("vileness été_été Ⅷ ½ İstanbul ΟΔΟΣ", 1), (None, 1)]
+    rows = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(texts)], "example long, text string, toxic int")
+    words = rows.select("toxic", F.array_distinct(F.regexp_extract_all(
+        F.lower(F.coalesce("text", F.lit(""))), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))).alias("words"))
+    begun = F.array_distinct(F.transform(F.filter("words", lambda w, i: F.length(w) > i),
+                                         lambda w, i: F.concat(F.substring(w, 1, i), F.lit("*"))))
+    want = (words.select("toxic", F.explode(F.concat("words", *[begun] * 4)).alias("term")).groupBy("term")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("a")))
+    want = {r.term: (r.n, r.a) for r in want.collect()}
+    monkeypatch.setattr(T, "SLICE", 40)
+    sums = T.term_sums(rows.coalesce(1))
+    assert {r.term: (r.n, r.a) for r in sums.collect()} == want and want["vileness"] == (3, 2) and want["été"] == (1, 1)
+    assert "Generate" not in sums._jdf.queryExecution().optimizedPlan().toString()
